@@ -144,60 +144,67 @@ def corpus_perplexity(targets: DataFrame, model: DataFrame, n_total: Column,
 # --------------------------------------------------------------------------
 
 def next_token_dist(model: DataFrame) -> DataFrame:
-    """Maximum-likelihood next-token distribution ``(ctx, tok, p)``."""
-    w = Window.partitionBy("ctx")
-    # Context totals are an aggregate joined back (no unbounded window group).
+    """Maximum-likelihood next-token distribution ``(ctx, tok, w, p)``; ``w`` is
+    the count, kept so that the filters below compare exact integers."""
     return (model.join(context_totals(model), "ctx")
-            .select("ctx", "tok", (F.col("cnt") / F.col("ctx_cnt")).alias("p")))
+            .select("ctx", "tok", F.col("cnt").cast("double").alias("w"),
+                    (F.col("cnt") / F.col("ctx_cnt")).alias("p")))
+
+
+def _renorm(df: DataFrame) -> DataFrame:
+    return df.withColumn("p", F.col("w") / F.sum("w").over(Window.partitionBy("ctx")))
 
 
 def top_k(dist: DataFrame, k: int = TOP_K) -> DataFrame:
-    """L4: keep tokens ranked <= k per context (ties at the k-th kept), then
-    renormalise.  ``rank() <= k`` lets Spark insert a partial group limit
-    before the shuffle, so a huge context ships at most k rows per task."""
-    w = Window.partitionBy("ctx").orderBy(F.col("p").desc(), F.col("tok"))
-    kept = dist.withColumn("_rk", F.rank().over(
-        Window.partitionBy("ctx").orderBy(F.col("p").desc()))).where(F.col("_rk") <= k).drop("_rk")
-    return kept.withColumn("p", F.col("p") / F.sum("p").over(Window.partitionBy("ctx")))
+    """L4: keep tokens ranked <= k per context by weight ``w`` (ties at the
+    k-th kept), then renormalise.  ``rank() <= k`` lets Spark insert a partial
+    group limit before the shuffle, so a huge context ships at most k rows per
+    task.  A distribution without counts uses ``w = p``."""
+    if "w" not in dist.columns:
+        dist = dist.withColumn("w", F.col("p"))
+    rk = F.rank().over(Window.partitionBy("ctx").orderBy(F.col("w").desc()))
+    return _renorm(dist.withColumn("_rk", rk).where(F.col("_rk") <= k).drop("_rk"))
 
 
 def top_p(dist: DataFrame, p: float = TOP_P) -> DataFrame:
-    """Keep a token while the mass ranked before it is <= p (the first
-    token always stays), then renormalise.  Applied after :func:`top_k`, so
-    each context holds a bounded number of rows."""
-    w = (Window.partitionBy("ctx").orderBy(F.col("p").desc(), F.col("tok"))
-         .rowsBetween(Window.unboundedPreceding, -1))
-    before = F.coalesce(F.sum("p").over(w), F.lit(0.0))
-    kept = dist.withColumn("_before", before).where(F.col("_before") <= F.lit(p)).drop("_before")
-    return kept.withColumn("p", F.col("p") / F.sum("p").over(Window.partitionBy("ctx")))
+    """Keep a token while the mass ranked before it is <= p of the total
+    (the first token always stays), then renormalise.  Applied after
+    :func:`top_k`, so each context holds a bounded number of rows."""
+    if "w" not in dist.columns:
+        dist = dist.withColumn("w", F.col("p"))
+    before = F.coalesce(F.sum("w").over(
+        Window.partitionBy("ctx").orderBy(F.col("w").desc(), F.col("tok"))
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    total = F.sum("w").over(Window.partitionBy("ctx"))
+    kept = dist.withColumn("_keep", before <= F.lit(p) * total).where("_keep").drop("_keep")
+    return _renorm(kept)
 
 
 def with_cdf(dist: DataFrame) -> DataFrame:
-    """Cumulative probability per context in (p desc, tok) order."""
-    w = (Window.partitionBy("ctx").orderBy(F.col("p").desc(), F.col("tok"))
+    """Cumulative weight per context in (w desc, tok) order and the total."""
+    if "w" not in dist.columns:
+        dist = dist.withColumn("w", F.col("p"))
+    w = (Window.partitionBy("ctx").orderBy(F.col("w").desc(), F.col("tok"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return dist.withColumn("cdf", F.sum("p").over(w))
+    return (dist.withColumn("cum", F.sum("w").over(w))
+            .withColumn("tot", F.sum("w").over(Window.partitionBy("ctx"))))
 
 
 def sample_next(prompts: DataFrame, dist: DataFrame, id_col: str, n: int = 1,
                 seed: int = 42, do_sample: bool = True) -> DataFrame:
     """``n`` draws per prompt.  ``prompts`` has (id_col, ctx); ``dist`` is a
-    filtered distribution.  Inverse CDF with a seeded md5 uniform: the first
-    token whose cumulative mass reaches u.  Greedy takes the top token.
-    Prompts whose context is unknown get no row."""
+    filtered distribution (bounded rows per context).  Inverse CDF with a seeded
+    md5 uniform u: the first token whose cumulative weight reaches ``u * total``.
+    Greedy (``do_sample=False``) takes the top token.  Prompts whose context is
+    unknown get no row."""
     draws = prompts.select(id_col, "ctx", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("draw"))
     cdf = with_cdf(dist)
+    cand = draws.join(cdf, "ctx")
     if do_sample:
         u = md5_unit(F.lit(seed), F.col(id_col), F.col("draw"))
-        draws = draws.withColumn("u", u)
-        # the last token closes the distribution even if rounding leaves cdf < 1
-        last = cdf.groupBy("ctx").agg(F.max("cdf").alias("_top"))
-        cand = (draws.join(cdf, "ctx").join(last, "ctx")
-                .where((F.col("cdf") >= F.col("u")) | (F.col("cdf") == F.col("_top"))))
-    else:
-        cand = draws.join(cdf, "ctx")
+        cand = cand.where(F.col("cum") >= u * F.col("tot"))
     pick = cand.groupBy(id_col, "draw").agg(
-        F.min_by(F.struct("tok", "p"), F.struct("cdf", "tok")).alias("pick"))
+        F.min_by(F.struct("tok", "p"), F.struct("cum", "tok")).alias("pick"))
     return pick.select(id_col, "draw", F.col("pick.tok").alias("tok"),
                        F.col("pick.p").alias("p"))
 

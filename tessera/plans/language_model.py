@@ -1,35 +1,129 @@
-"""Language-model evaluation queries."""
+"""Language-model evaluation queries.
+
+Data: French ``documents``; the held-out part is the first 20 documents in
+seeded md5 order (R2), the rest trains the count model.  Paragraphs are lines
+of ``text`` (FIXTURES 6), right-stripped, blanks dropped, in (doc_id, pos)
+order - the reference's concatenated test set.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import tokenize
-from ..operators import ngram
+from ..functions.text import rtrim_ws, tokenize
+from ..operators import ngram, tokens as tk
 from ..operators.splits import split_fixed
+from ..session import cut_lineage
 from ..sources.tables import load
 from .registry import query
 
 TOKEN_RE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
+N_HELD = 20
+VOCAB_MAX = 30000
+WIN_LEN, WIN_STRIDE = 128, 64          # overlapping windows
+BLOCK_LEN = 1024                       # the notebook's n_positions = stride
 
-# DuckDB fragments shared by the oracles.
+# ---------------------------------------------------------------- DuckDB parts
 SQL_FR_SPLIT20 = f"""
-d AS (SELECT doc_id, regexp_extract_all(text, '{TOKEN_RE}') AS toks
+d AS (SELECT doc_id, text, regexp_extract_all(text, '{TOKEN_RE}') AS toks
       FROM documents WHERE lang = 'fr'),
-r AS (SELECT doc_id, toks,
+r AS (SELECT doc_id, text, toks,
              row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM d)"""
 
+SQL_TEST_PARAS = SQL_FR_SPLIT20 + f""",
+sp AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS para,
+              CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS BIGINT) AS pos
+       FROM r WHERE rn <= {N_HELD}),
+tp AS (SELECT doc_id, pos, rtrim(para) AS paragraph,
+              regexp_extract_all(rtrim(para), '{TOKEN_RE}') AS toks
+       FROM sp WHERE length(rtrim(para)) > 0),
+tt AS (SELECT doc_id, pos, unnest(toks) AS tok, generate_subscripts(toks, 1) AS k FROM tp),
+gs AS (SELECT row_number() OVER (ORDER BY doc_id, pos, k) - 1 AS g, tok FROM tt),
+gp AS (SELECT g, tok, lag(tok) OVER (ORDER BY g) AS prev FROM gs),
+nt AS (SELECT count(*) AS n FROM gs)"""
+
+SQL_BIGRAM = f""",
+trd AS (SELECT toks FROM r WHERE rn > {N_HELD}),
+pr AS (SELECT toks[i] AS ctx, toks[i + 1] AS tok
+       FROM (SELECT toks, unnest(range(1, len(toks))) AS i FROM trd)),
+m AS (SELECT ctx, tok, count(*) AS cnt FROM pr GROUP BY ctx, tok),
+ct AS (SELECT ctx, sum(cnt) AS ctx_cnt FROM m GROUP BY ctx),
+vv AS (SELECT count(*) + 1 AS v FROM (SELECT ctx FROM m UNION SELECT tok FROM m))"""
+
+SQL_VOCAB = f""",
+tru AS (SELECT unnest(toks) AS tok FROM r WHERE rn > {N_HELD}),
+vc AS (SELECT tok, count(*) AS cnt FROM tru GROUP BY tok),
+voc AS (SELECT CAST(row_number() OVER (ORDER BY cnt DESC, tok) + 4 AS INTEGER) AS id, tok
+        FROM (SELECT * FROM vc ORDER BY cnt DESC, tok LIMIT {VOCAB_MAX}))"""
+
+
+def _sql_targets(L: int, S: int) -> str:
+    return f""",
+tg AS (SELECT g, tok, prev,
+              g // {S} * {S} AS w,
+              greatest(g // {S} * {S} + {S - L}, 0) AS b,
+              least(g // {S} * {S} + {S}, nt.n) - g // {S} * {S} AS trg
+       FROM gp, nt),
+sc AS (SELECT prev AS ctx, tok,
+              trg::DOUBLE / (trg - CASE WHEN b = w THEN 1 ELSE 0 END) AS weight
+       FROM tg WHERE g > b)"""
+
+
+def _sql_window_ids(L: int, S: int) -> str:
+    return SQL_TEST_PARAS + SQL_VOCAB + f""",
+gi AS (SELECT g, CAST(coalesce(voc.id, 2) AS INTEGER) AS id FROM gs LEFT JOIN voc USING (tok)),
+ex AS (SELECT g, id, unnest(range(g // {S} * {S},
+                                  least((g + {L - S}) // {S} * {S}, (nt.n - 1) // {S} * {S}) + 1,
+                                  {S})) AS win_start
+       FROM gi, nt),
+wins AS (SELECT win_start,
+                greatest(win_start + {S - L}, 0) AS begin_loc,
+                least(win_start + {S}, nt.n) AS end_loc,
+                CAST(least(win_start + {S}, nt.n) - win_start AS INTEGER) AS trg_len,
+                list(id ORDER BY g) AS input_ids,
+                list(CASE WHEN g < win_start THEN -100 ELSE id END ORDER BY g) AS target_ids
+         FROM ex, nt GROUP BY win_start, nt.n)"""
+
 
-def fr_docs_split(spark, sf_dir, n_test=20):
+# ---------------------------------------------------------------- Spark parts
+def fr_docs_split(spark, sf_dir, n_test=N_HELD):
     docs = (load(spark, sf_dir, "documents").where(F.col("lang") == "fr")
-            .select("doc_id", tokenize("text").alias("tokens")))
+            .select("doc_id", "text", tokenize("text").alias("tokens")))
     return split_fixed(docs, "doc_id", n_test=n_test, n_valid=0, seed=42)
 
 
+def paragraphs(docs):
+    """Lines of the text, right-stripped, blanks dropped."""
+    p = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "para"))
+    p = p.select("doc_id", F.col("pos").cast("long").alias("pos"),
+                 rtrim_ws("para").alias("paragraph"))
+    return p.where(F.length("paragraph") > 0)
+
+
+def test_stream(spark, sf_dir):
+    split = fr_docs_split(spark, sf_dir)
+    paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
+    stream = tk.token_stream(paras, ["doc_id", "pos"], "tokens")
+    return split, stream
+
+
+def train_vocab(split):
+    train = split.where("split = 'train'").select(F.explode("tokens").alias("tok"))
+    return tk.build_vocab(train, "tok", 1, VOCAB_MAX)
+
+
+def bigram_model(split):
+    return ngram.fit_bigram(split.where("split = 'train'"), "tokens")
+
+
+def n_total(stream):
+    return stream.select(F.sum("n")).scalar()
+
+
 @query("lm_unigram_perplexity", f"""
 WITH {SQL_FR_SPLIT20},
-tr AS (SELECT unnest(toks) AS tok FROM r WHERE rn > 20),
-te AS (SELECT unnest(toks) AS tok FROM r WHERE rn <= 20),
+tr AS (SELECT unnest(toks) AS tok FROM r WHERE rn > {N_HELD}),
+te AS (SELECT unnest(toks) AS tok FROM r WHERE rn <= {N_HELD}),
 c AS (SELECT tok, count(*) AS c FROM tr GROUP BY tok),
 s AS (SELECT (SELECT count(*) FROM tr) AS n, (SELECT count(*) FROM c) AS v)
 SELECT count(*) AS n_tokens,
@@ -37,8 +131,212 @@ SELECT count(*) AS n_tokens,
 FROM te LEFT JOIN c USING (tok) CROSS JOIN s
 """)
 def lm_unigram_perplexity(spark, sf_dir):
-    """Minimum slice: French documents, 20 held out by seeded md5 order,
-    add-one unigram fitted on the rest, perplexity of the held-out tokens."""
+    """Minimum slice: add-one unigram fitted on the training documents,
+    perplexity of the held-out documents' tokens."""
     split = fr_docs_split(spark, sf_dir)
     toks = split.select("split", F.explode("tokens").alias("tok"))
     return ngram.unigram_perplexity(toks.where("split = 'train'"), toks.where("split = 'test'"))
+
+
+@query("lm_paragraph_scan", """
+WITH r AS (SELECT doc_id, text,
+                  row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM documents),
+sp AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS para,
+              CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS BIGINT) AS pos
+       FROM r WHERE rn <= 60)
+SELECT doc_id, pos, rtrim(para) AS paragraph FROM sp WHERE length(rtrim(para)) > 0
+""")
+def lm_paragraph_scan(spark, sf_dir):
+    """S6 + P1 + P2: the corpus is written split-partitioned, then the test
+    split is read back by partition pruning and cut into paragraphs."""
+    from ..sources.files import read_split, write_split_dataset
+    docs = split_fixed(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    path = write_split_dataset(docs, "lm_corpus")
+    return paragraphs(read_split(spark, path, "test"))
+
+
+@query("lm_stream", f"""
+WITH {SQL_TEST_PARAS}
+SELECT doc_id, pos, CAST(len(toks) AS INTEGER) AS n,
+       CAST(sum(len(toks)) OVER (ORDER BY doc_id, pos) - len(toks) AS BIGINT) AS start
+FROM tp
+""")
+def lm_stream(spark, sf_dir):
+    """Global token offset of every held-out paragraph."""
+    _, stream = test_stream(spark, sf_dir)
+    return stream.select("doc_id", "pos", "n", "start")
+
+
+@query("lm_windows", f"""
+WITH {_sql_window_ids(WIN_LEN, WIN_STRIDE)}
+SELECT * FROM wins
+""")
+def lm_windows(spark, sf_dir):
+    """K3 + K7 + K8: encoded stream cut into overlapping windows with masks."""
+    split, stream = test_stream(spark, sf_dir)
+    toks = tk.stream_tokens(stream)
+    voc = train_vocab(split)
+    ids = (toks.join(F.broadcast(voc.select("tok", "id")), "tok", "left")
+           .select("g", F.coalesce("id", F.lit(2)).alias("id")))
+    return tk.strided_windows(ids, n_total(stream), WIN_LEN, WIN_STRIDE, "id")
+
+
+@query("lm_windows_scored", f"""
+WITH {_sql_window_ids(WIN_LEN, WIN_STRIDE)}
+SELECT win_start, list_filter(target_ids, lambda x: x <> -100) AS scored_ids,
+       CAST(len(list_filter(target_ids, lambda x: x <> -100)) AS INTEGER) AS n_scored
+FROM wins
+""")
+def lm_windows_scored(spark, sf_dir):
+    """The scored targets of each window."""
+    w = lm_windows(spark, sf_dir)
+    s = tk.scored_ids("target_ids")
+    return w.select("win_start", s.alias("scored_ids"), F.size(s).alias("n_scored"))
+
+
+@query("lm_bigram_counts", f"""
+WITH {SQL_FR_SPLIT20}{SQL_BIGRAM}
+SELECT ctx, tok, cnt FROM m
+""")
+def lm_bigram_counts(spark, sf_dir):
+    """L1: bigram counts of the training documents."""
+    return bigram_model(fr_docs_split(spark, sf_dir))
+
+
+def _targets(spark, sf_dir, L, S, weighting="window"):
+    split, stream = test_stream(spark, sf_dir)
+    n = n_total(stream)
+    tg = ngram.stream_targets(tk.stream_tokens(stream), n, L, S, weighting)
+    return split, tg, n
+
+
+@query("lm_nll", f"""
+WITH {SQL_TEST_PARAS}{SQL_BIGRAM}{_sql_targets(WIN_LEN, WIN_STRIDE)}
+SELECT g, tg.tok, prev, round(-ln((coalesce(m.cnt, 0) + 1.0) / (coalesce(ct.ctx_cnt, 0) + vv.v)), 6) AS nll
+FROM tg LEFT JOIN m ON m.ctx = tg.prev AND m.tok = tg.tok
+        LEFT JOIN ct ON ct.ctx = tg.prev CROSS JOIN vv
+WHERE g > b
+""")
+def lm_nll(spark, sf_dir):
+    """L2: add-one bigram NLL of every scored target of the held-out stream."""
+    split, tg, _ = _targets(spark, sf_dir, WIN_LEN, WIN_STRIDE)
+    pairs = tg.where("scored").select("g", "tok", F.col("prev").alias("ctx"))
+    out = ngram.bigram_nll(pairs, bigram_model(split))
+    return out.select("g", "tok", F.col("ctx").alias("prev"), F.round("nll", 6).alias("nll"))
+
+
+def _sql_ppl(L, S, weighting):
+    nll = "-ln((coalesce(m.cnt, 0) + 1.0) / (coalesce(ct.ctx_cnt, 0) + vv.v))"
+    if weighting == "window":
+        value = f"exp(sum(weight * {nll}) / any_value(nt.n))"
+    else:
+        value = f"exp(sum({nll}) / count(*))"
+    return f"""
+WITH {SQL_TEST_PARAS}{SQL_BIGRAM}{_sql_targets(L, S)}
+SELECT count(*) AS n_scored, round({value}, 6) AS perplexity
+FROM sc LEFT JOIN m USING (ctx, tok) LEFT JOIN ct USING (ctx) CROSS JOIN vv CROSS JOIN nt
+"""
+
+
+def _ppl(spark, sf_dir, L, S, weighting):
+    split, tg, n = _targets(spark, sf_dir, L, S, weighting)
+    return ngram.corpus_perplexity(tg, bigram_model(split), n, 1.0, weighting)
+
+
+@query("lm_perplexity", _sql_ppl(BLOCK_LEN, BLOCK_LEN, "window"))
+def lm_perplexity(spark, sf_dir):
+    """Windows of 1,024 with stride 1,024 as in the notebook; every
+    window's first token has no left context (D20 weighting)."""
+    return _ppl(spark, sf_dir, BLOCK_LEN, BLOCK_LEN, "window")
+
+
+@query("lm_perplexity_strided", _sql_ppl(WIN_LEN, WIN_STRIDE, "window"))
+def lm_perplexity_strided(spark, sf_dir):
+    """L3/A12 with overlapping windows (128 / 64)."""
+    return _ppl(spark, sf_dir, WIN_LEN, WIN_STRIDE, "window")
+
+
+@query("lm_perplexity_token_mean", _sql_ppl(WIN_LEN, WIN_STRIDE, "scored"))
+def lm_perplexity_token_mean(spark, sf_dir):
+    """A12 with ``weighting='scored'``: the exact mean over scored tokens."""
+    return _ppl(spark, sf_dir, WIN_LEN, WIN_STRIDE, "scored")
+
+
+SQL_DIST = f"""
+WITH {SQL_FR_SPLIT20}{SQL_BIGRAM},
+dist AS (SELECT m.ctx, tok, cnt::DOUBLE AS w FROM m),
+tk AS (SELECT ctx, tok, w FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY w DESC) AS rk
+                               FROM dist) WHERE rk <= 50),
+tkn AS (SELECT ctx, tok, w, w / sum(w) OVER (PARTITION BY ctx) AS p FROM tk),
+tpb AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY ctx ORDER BY w DESC, tok
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                  sum(w) OVER (PARTITION BY ctx) AS total FROM tkn),
+tpn AS (SELECT ctx, tok, w, w / sum(w) OVER (PARTITION BY ctx) AS p FROM tpb
+        WHERE before <= 0.95 * total)"""
+
+
+def filtered_dist(split, k=50, p=0.95):
+    dist = ngram.next_token_dist(bigram_model(split))
+    return ngram.top_p(ngram.top_k(dist, k), p)
+
+
+@query("lm_top_k", SQL_DIST + "\nSELECT ctx, tok, round(p, 6) AS p FROM tkn")
+def lm_top_k(spark, sf_dir):
+    """L4: top-50 next tokens per context, renormalised."""
+    dist = ngram.next_token_dist(bigram_model(fr_docs_split(spark, sf_dir)))
+    return ngram.top_k(dist, 50).select("ctx", "tok", F.round("p", 6).alias("p"))
+
+
+@query("lm_top_p", SQL_DIST + "\nSELECT ctx, tok, round(p, 6) AS p FROM tpn")
+def lm_top_p(spark, sf_dir):
+    """L5 after L4: nucleus 0.95 of the top-50, renormalised."""
+    return filtered_dist(fr_docs_split(spark, sf_dir)).select(
+        "ctx", "tok", F.round("p", 6).alias("p"))
+
+
+@query("lm_sample_next", (SQL_DIST + f""",
+pm AS (SELECT doc_id || ':' || pos AS prompt_id, toks[1] AS ctx FROM tp),
+dr AS (SELECT prompt_id, ctx, unnest(range(0, 3)) AS draw FROM pm),
+du AS (SELECT *, CAST(('0x' || substr(md5('42:' || prompt_id || ':' || draw), 1, 8)) AS BIGINT)
+                 / 4294967296.0 AS u FROM dr),
+cdf AS (SELECT ctx, tok, p, sum(w) OVER (PARTITION BY ctx ORDER BY w DESC, tok
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+               sum(w) OVER (PARTITION BY ctx) AS tot FROM tpn),
+cand AS (SELECT du.prompt_id, du.draw, cdf.tok, cdf.p, cdf.cum FROM du JOIN cdf USING (ctx)
+         WHERE cdf.cum >= du.u * cdf.tot)
+SELECT prompt_id, CAST(draw AS INTEGER) AS draw, arg_min(tok, (cum, tok)) AS tok,
+       round(arg_min(p, (cum, tok)), 6) AS p
+FROM cand GROUP BY prompt_id, draw
+""").replace("WITH " + SQL_FR_SPLIT20, "WITH " + SQL_TEST_PARAS, 1))
+def lm_sample_next(spark, sf_dir):
+    """Three seeded draws of the next token after the first token of every
+    held-out paragraph, from the top-k / top-p filtered distribution."""
+    split = fr_docs_split(spark, sf_dir)
+    paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
+    prompts = paras.where(F.size("tokens") > 0).select(
+        F.concat_ws(":", "doc_id", "pos").alias("prompt_id"),
+        F.element_at("tokens", 1).alias("ctx"))
+    out = ngram.sample_next(prompts, filtered_dist(split), "prompt_id", n=3, seed=42)
+    return out.select("prompt_id", "draw", "tok", F.round("p", 6).alias("p"))
+
+
+@query("lm_generate_counts")
+def lm_generate_counts(spark, sf_dir, steps: int = 6):
+    """Batch generation, one token per step for every prompt, by repeated
+    L4 -> L5 -> L6 joins; lineage is cut each step with a reliable checkpoint.
+    Output: prompt, generated length and text."""
+    split = fr_docs_split(spark, sf_dir)
+    dist = cut_lineage(filtered_dist(split))
+    paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
+    state = paras.where(F.size("tokens") > 0).select(
+        F.concat_ws(":", "doc_id", "pos").alias("prompt_id"),
+        F.slice("tokens", 1, 1).alias("out"))
+    for step in range(steps):
+        prompts = state.select("prompt_id", F.element_at("out", -1).alias("ctx"))
+        nxt = ngram.sample_next(prompts, dist, "prompt_id", n=1, seed=1000 + step)
+        state = (state.join(nxt.select("prompt_id", "tok"), "prompt_id", "left")
+                 .select("prompt_id", F.when(F.col("tok").isNull(), F.col("out"))
+                         .otherwise(F.concat("out", F.array("tok"))).alias("out")))
+        state = cut_lineage(state)
+    return state.select("prompt_id", F.size("out").alias("n_tokens"),
+                        F.array_join("out", " ").alias("text"))
