@@ -63,7 +63,8 @@ def decode_entities(col) -> Column:
 
 def drop_script_style(col) -> Column:
     """Remove ``<script>`` and ``<style>`` elements (they may hold ``</p>``)."""
-    return F.regexp_replace(_c(col), r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
+    out = F.regexp_replace(_c(col), r"(?is)<script\b[^>]*>.*?</script\s*>", "")
+    return F.regexp_replace(out, r"(?is)<style\b[^>]*>.*?</style\s*>", "")
 
 
 def first_element(col, tag: str) -> Column:

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, StringType
 
 # FIXED VALUE: a paired tag, its inner text, and the matching closing tag.
 # Python's "." stops at newlines, so no pair spans a line break.
@@ -48,27 +49,27 @@ def _map_arrays(s: pd.Series, fn) -> pd.Series:
     return s.map(lambda arr: None if arr is None else [None if v is None else fn(v) for v in arr])
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _nfkd(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKD")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _strip_tags(s: pd.Series) -> pd.Series:
     return _map_strings(s, strip_paired_tags_py)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _clean(s: pd.Series) -> pd.Series:
     return _map_strings(s, clean_text_py)
 
 
-@pandas_udf("array<string>")
+@pandas_udf(ArrayType(StringType()))
 def _clean_array(s: pd.Series) -> pd.Series:
     return _map_arrays(s, clean_text_py)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _char_refs(s: pd.Series) -> pd.Series:
     return _map_strings(s, lambda v: _CHAR_REF.sub(lambda m: html.unescape(m.group(0)), v))
 
