@@ -39,29 +39,31 @@ def build_vocab(tokens: DataFrame, tok: str = "tok", min_count: int = 1,
     return specials.unionByName(ranked)
 
 
-def encode(df: DataFrame, key: str, vocab: DataFrame, tokens: str = "tokens",
+def encode(df: DataFrame, key, vocab: DataFrame, tokens: str = "tokens",
            out: str = "input_ids") -> DataFrame:
     """K3: token array -> id array, unknown tokens -> ``<unk>``.  Tokens are
     exploded, looked up in the (bounded) vocabulary by broadcast join and put
     back in order; only (key, pos, id) rows are shuffled."""
-    ex = df.select(key, F.posexplode(tokens).alias("pos", "tok"))
+    keys = [key] if isinstance(key, str) else list(key)
+    ex = df.select(*keys, F.posexplode(tokens).alias("pos", "tok"))
     ids = (ex.join(F.broadcast(vocab.select("tok", "id")), "tok", "left")
-           .select(key, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))
-    back = ids.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    enc = back.select(key, F.transform("_p", lambda s: s["id"]).alias(out))
+           .select(*keys, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))
+    back = ids.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_p"))
+    enc = back.select(*keys, F.transform("_p", lambda s: s["id"]).alias(out))
     # documents without tokens keep an empty array
-    return df.join(enc, key, "left").withColumn(
+    return df.join(enc, keys, "left").withColumn(
         out, F.coalesce(F.col(out), F.array().cast("array<int>")))
 
 
-def decode(df: DataFrame, key: str, vocab: DataFrame, ids: str = "input_ids",
+def decode(df: DataFrame, key, vocab: DataFrame, ids: str = "input_ids",
            out: str = "text") -> DataFrame:
     """Ids -> text, special tokens skipped, pieces joined with a space."""
-    ex = df.select(key, F.posexplode(ids).alias("pos", "id")).where(F.col("id") >= len(SPECIAL_TOKENS))
+    keys = [key] if isinstance(key, str) else list(key)
+    ex = df.select(*keys, F.posexplode(ids).alias("pos", "id")).where(F.col("id") >= len(SPECIAL_TOKENS))
     toks = ex.join(F.broadcast(vocab.select("id", "tok")), "id", "inner")
-    back = toks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_p"))
-    dec = back.select(key, F.array_join(F.transform("_p", lambda s: s["tok"]), " ").alias(out))
-    return df.select(key).join(dec, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
+    back = toks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_p"))
+    dec = back.select(*keys, F.array_join(F.transform("_p", lambda s: s["tok"]), " ").alias(out))
+    return df.select(*keys).join(dec, keys, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
 
 
 # --------------------------------------------------------------------------
@@ -220,19 +222,32 @@ def pack_assign(ns: Column, max_tokens: int) -> Column:
     return F.aggregate(ns, init, step, lambda acc: acc["ids"])
 
 
+def pack_starts(ns: Column, max_tokens: int) -> Column:
+    """1-based positions where a new pack begins, in one pass over the length
+    array (the same greedy rule as :func:`pack_assign`)."""
+    init = F.struct(F.lit(0).alias("k"), F.lit(-1).alias("pack"),
+                    F.lit(0).cast("long").alias("tot"), F.array().cast("array<int>").alias("st"))
+
+    def step(acc, n):
+        k = acc["k"] + 1
+        join = (acc["pack"] >= 0) & (acc["tot"] + n <= F.lit(max_tokens))
+        return F.struct(k.alias("k"),
+                        F.when(join, acc["pack"]).otherwise(acc["pack"] + 1).alias("pack"),
+                        F.when(join, acc["tot"] + n).otherwise(n.cast("long")).alias("tot"),
+                        F.when(join, acc["st"]).otherwise(F.concat(acc["st"], F.array(k))).alias("st"))
+
+    return F.aggregate(ns, init, step, lambda acc: acc["st"])
+
+
 def pack_sentences(df: DataFrame, sentences: str, max_tokens: int = 1024,
                    keep: list[str] | None = None) -> DataFrame:
     """K9 within each row (a document's ordered sentences): one output row per
     pack with ``pack``, ``n_sentences``, ``n_tokens`` and the joined ``text``.
-    Never crosses rows; linear in the number of sentences."""
+    Never crosses rows; one pass over the sentences to find pack starts."""
     keep = keep or []
     ns = F.transform(sentences, lambda s: F.size(tokenize(s)))
-    d = df.select(*keep, F.col(sentences).alias("_s"), ns.alias("_n"))
-    d = d.withColumn("_id", pack_assign(F.col("_n"), max_tokens))
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size("_id"), F.lit(1))),
-                      lambda k: F.when(k == 1, F.lit(True)).otherwise(
-                          F.element_at("_id", k) != F.element_at("_id", F.greatest(k - 1, F.lit(1)))))
-    d = d.where(F.size("_s") > 0).withColumn("_st", starts)
+    d = df.select(*keep, F.col(sentences).alias("_s"), ns.alias("_n")).where(F.size("_s") > 0)
+    d = d.withColumn("_st", pack_starts(F.col("_n"), max_tokens))
     ex = d.select(*keep, "_s", "_n", "_st", F.posexplode("_st").alias("pack", "s"))
     nxt = F.coalesce(F.try_element_at("_st", F.col("pack") + 2), F.size("_s") + 1)
     ln = nxt - F.col("s")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import corpus, language_model, metrics  # noqa: F401
+from . import benchmark, corpus, language_model, metrics, tokens  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 FLAGSHIP = "lm_unigram_perplexity"

@@ -39,6 +39,20 @@ def write_tsv(df: DataFrame, path: str, header: bool = False) -> str:
     return path
 
 
+def write_lines(lines: DataFrame, path: str, header_line: str | None = None) -> str:
+    """Write one string column verbatim, one value per line; with
+    ``header_line`` every part file starts with that line (so a reader that
+    skips one header line per file sees only data).  Values must not hold
+    newlines."""
+    col = lines.columns[0]
+    out = lines.select(F.col(col).alias(header_line or "value"))
+    w = (out.write.mode("overwrite").option("sep", "\u0001").option("quote", "")
+         .option("escape", "").option("escapeQuotes", "false").option("header", header_line is not None)
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
+    w.csv(path)
+    return path
+
+
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Generic scan chosen by extension (csv, tsv, json, jsonl)."""
     p = path.rstrip("/").lower()
