@@ -143,7 +143,7 @@ WITH r AS (SELECT doc_id, n_chars, row_number() OVER (ORDER BY md5('42:' || doc_
 s AS (SELECT CASE WHEN rn <= 60 THEN 'test' WHEN rn <= 120 THEN 'validation' ELSE 'train' END AS split,
              CASE WHEN rn <= 60 THEN 'test' WHEN rn <= 120 THEN 'dev' ELSE 'train' END AS file_split,
              n_chars FROM r)
-SELECT split, file_split, count(*) AS n, sum(n_chars) AS chars FROM s GROUP BY split, file_split""")
+SELECT split, file_split, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM s GROUP BY split, file_split""")
 def split_union_counts(spark, sf_dir):
     """S5 + S13: one file set per split (``train_0``, ``valid_0``, ``test_0``)
     read into one dataset; the split name also comes from the file name."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from . import benchmark, corpus, language_model, metrics, tokens  # noqa: F401
 from .registry import ORACLES, QUERIES
 
-FLAGSHIP = "lm_unigram_perplexity"
+FLAGSHIP = "lm_perplexity"
 
 
 def queries():

@@ -45,6 +45,17 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "timestamp": "TIMESTAMP", "date": "DATE"}
+
+
+def duck_type(t: str) -> str:
+    if t.startswith("array<") and t.endswith(">"):
+        return duck_type(t[6:-1]) + "[]"
+    return SPARK_TO_DUCK.get(t, t.upper())
+
+
 def rows_of(records, cols):
     return collections.Counter(tuple(norm(r[c]) for c in cols) for r in records)
 
@@ -84,6 +95,14 @@ def main():
             ok_all = False
             continue
         dcols = sorted(dcols_raw)
+        try:
+            dtypes = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql[name]).fetchall()}
+            stypes = {f.name: duck_type(f.dataType.simpleString()) for f in sdf.schema.fields}
+            bad = {c: (stypes.get(c), dtypes.get(c)) for c in dtypes if stypes.get(c) != dtypes.get(c)}
+            if bad:
+                print(f"{name:32s} TYPES {bad}")
+        except Exception as e:  # noqa: BLE001
+            print(f"{name:32s} TYPES? {str(e)[:200]}")
         if scols != dcols:
             print(f"{name:32s} COLUMNS spark={scols} duck={dcols}")
             ok_all = False
