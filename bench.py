@@ -31,7 +31,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
     names = sys.argv[1:] or HEADLINE
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(4, 2 * cpus),
-                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "4g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "4g"),
+                               # small inputs: keep at least one partition per core after AQE
+                               "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(cpus),
+                               "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k"})
     qs = catalog.queries()
     # warm-up: JVM start, class loading and the Python workers
     qs["metric_accuracy"](spark, sf_dir).write.format("noop").mode("overwrite").save()

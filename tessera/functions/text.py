@@ -28,6 +28,25 @@ def tokenize(col) -> Column:
     return F.regexp_extract_all(_c(col), F.lit(TOKEN_PATTERN), 0)
 
 
+def count_tokens(col) -> Column:
+    """Number of K1 tokens, counted without materialising them."""
+    return F.regexp_count(_c(col), F.lit(TOKEN_PATTERN))
+
+
+def explode_nonempty(col) -> Column:
+    """``explode`` for computed arrays.  Plain ``explode`` makes Catalyst infer
+    a ``size(array) > 0`` filter that re-evaluates the whole array expression
+    (a second regex pass over the text); ``explode_outer`` does not, and the
+    single null row of an empty array is dropped by the caller."""
+    return F.explode_outer(_c(col))
+
+
+def posexplode_nonempty(col) -> Column:
+    """``posexplode_outer`` for computed arrays (see :func:`explode_nonempty`);
+    drop the ``pos IS NULL`` row of an empty array afterwards."""
+    return F.posexplode_outer(_c(col))
+
+
 def rtrim_ws(col) -> Column:
     """Right strip of Unicode white space (Python ``rstrip``)."""
     return F.regexp_replace(_c(col), _WS + r"+\z", "")

@@ -28,8 +28,9 @@ SENTINEL = "\u0001"
 def _pieces(df: DataFrame, id_col: str, col: str, pattern: str, kind: int,
             groups: dict[str, int]) -> DataFrame:
     marked = F.regexp_replace(F.col(col), f"(?d)({pattern})", SENTINEL + "$1")
-    ex = df.select(id_col, F.length(col).alias("_html_len"),
-                   F.posexplode(F.split(marked, SENTINEL)).alias("_i", "_piece"))
+    ex = (df.select(id_col, F.length(col).alias("_html_len"),
+                    T.posexplode_nonempty(F.split(marked, SENTINEL)).alias("_i", "_piece"))
+          .where(F.col("_i").isNotNull()))
     sel = [id_col, "_html_len", F.lit(kind).alias("_kind"), F.col("_i").cast("long").alias("_i"),
            F.length("_piece").alias("_len")]
     for name, g in groups.items():
@@ -102,24 +103,25 @@ def render_index_pages(items: DataFrame, page: str, year: str, ref: str, title:
                        key: str) -> DataFrame:
     """One index page per ``page`` value: a ``<h2><span ...>YEAR</span></h2>``
     header before each year, one numbered ``<li>`` entry per item in
-    (year, key) order, lines joined with newlines.  Pages are bounded by the
-    caller's page key."""
-    g = items.groupBy(F.col(page).alias("page_id")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(year).alias("y"), F.col(key).alias("k"),
-                                             F.col(ref).alias("r"), F.col(title).alias("t"))))
-        .alias("_e"))
-
-    def line(e, i):
-        header = F.format_string('<h2><span class="mw-headline" id="y%d">%d</span></h2>\n',
-                                 e["y"], e["y"])
-        new_sec = F.when(i == 0, F.lit(True)).otherwise(
-            F.get(F.col("_e"), i - 1)["y"] != e["y"])
-        entry = F.format_string('<li>%d : <a class="x" href="/wiki/%s" title="%s">%s</a></li>',
-                                i + 1, e["r"], e["t"], e["r"])
-        return F.concat(F.when(new_sec, header).otherwise(F.lit("")), entry)
-
-    return g.select("page_id", F.concat(F.lit("<ul>\n"), F.array_join(F.transform("_e", line), "\n"),
-                                        F.lit("\n</ul>")).alias("html"))
+    (year, key) order, lines joined with newlines.  Lines are built per row
+    (code-generated projection; numbering and section breaks from a window on
+    the page key, which shares the exchange of the final grouping); pages are
+    bounded by the caller's page key."""
+    w = Window.partitionBy("page_id").orderBy("y", "k")
+    rows = items.select(F.col(page).alias("page_id"), F.col(year).alias("y"), F.col(key).alias("k"),
+                        F.col(ref).alias("r"), F.col(title).alias("t"))
+    rows = rows.withColumn("_n", F.row_number().over(w)).withColumn("_py", F.lag("y").over(w))
+    ys = F.col("y").cast("string")
+    header = F.concat(F.lit('<h2><span class="mw-headline" id="y'), ys, F.lit('">'), ys,
+                      F.lit("</span></h2>\n"))
+    entry = F.concat(F.lit("<li>"), F.col("_n").cast("string"), F.lit(' : <a class="x" href="/wiki/'),
+                     F.col("r"), F.lit('" title="'), F.col("t"), F.lit('">'), F.col("r"), F.lit("</a></li>"))
+    new_sec = F.col("_py").isNull() | (F.col("_py") != F.col("y"))
+    lines = rows.select("page_id", "_n", F.concat(F.when(new_sec, header).otherwise(F.lit("")), entry)
+                        .alias("_line"))
+    g = lines.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("_n", "_line"))).alias("_e"))
+    body = F.array_join(F.transform("_e", lambda e: e["_line"]), "\n")
+    return g.select("page_id", F.concat(F.lit("<ul>\n"), body, F.lit("\n</ul>")).alias("html"))
 
 
 # --------------------------------------------------------------------------

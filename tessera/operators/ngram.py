@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import NOT_SCORED, TOP_K, TOP_P
-from ..functions.text import md5_unit
+from ..functions.text import explode_nonempty, md5_unit
+from ..session import cut_lineage
 
 
 def unigram_counts(tokens: DataFrame, tok: str = "tok") -> DataFrame:
@@ -32,7 +33,9 @@ def unigram_perplexity(train_tokens: DataFrame, test_tokens: DataFrame,
     """Add-k unigram: ``p = (c + k) / (n + k * (v + 1))`` with n train tokens and
     v train types (one extra type for everything unseen).  Returns one row
     ``(n_tokens, perplexity)`` with ``perplexity = exp(mean(-ln p))``."""
-    counts = unigram_counts(train_tokens, tok)
+    # the counts feed two scalars and a join: written once to the shared
+    # checkpoint folder instead of re-tokenising the training corpus per use
+    counts = cut_lineage(unigram_counts(train_tokens, tok))
     n = counts.select(F.sum("cnt")).scalar()
     v = counts.select(F.count(F.lit(1))).scalar()
     test = test_tokens.groupBy(tok).agg(F.count(F.lit(1)).alias("m"))
@@ -52,7 +55,7 @@ def bigram_pairs(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """(ctx, tok) for every adjacent pair inside each token array."""
     pairs = F.arrays_zip(F.slice(F.col(tokens), 1, F.greatest(F.size(tokens) - 1, F.lit(0))),
                          F.slice(F.col(tokens), 2, F.greatest(F.size(tokens) - 1, F.lit(0))))
-    return (df.select(F.explode(pairs).alias("p"))
+    return (df.select(explode_nonempty(pairs).alias("p")).where(F.col("p").isNotNull())
             .select(F.col("p").getField("0").alias("ctx"), F.col("p").getField("1").alias("tok")))
 
 

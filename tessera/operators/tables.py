@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import NLI_LABELS, TASK_KEYS, TASK_METRIC
-from ..functions.text import split_part, split_task_code, strip_chars, tokenize
+from ..functions.text import count_tokens, split_part, split_task_code, strip_chars
 
 
 def repair_pair(df: DataFrame, s1: str = "sentence1", s2: str = "sentence2") -> DataFrame:
@@ -124,7 +124,7 @@ def filter_sources(df: DataFrame, keep: list[str], col: str = "source") -> DataF
 
 def filter_long(df: DataFrame, min_tokens: int, text: str = "text") -> DataFrame:
     """Documents of at least ``min_tokens`` tokens."""
-    return df.where(F.size(tokenize(F.col(text))) >= min_tokens)
+    return df.where(count_tokens(F.col(text)) >= min_tokens)
 
 
 def filter_lang(df: DataFrame, lang: str = "fr", col: str = "lang") -> DataFrame:

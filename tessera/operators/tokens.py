@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import NOT_SCORED, PAD_ID, SPECIAL_TOKENS, UNK_ID
-from ..functions.text import tokenize
+from ..functions.text import TOKEN_PATTERN, posexplode_nonempty
 from .ordering import global_offsets
 
 
@@ -45,7 +45,8 @@ def encode(df: DataFrame, key, vocab: DataFrame, tokens: str = "tokens",
     exploded, looked up in the (bounded) vocabulary by broadcast join and put
     back in order; only (key, pos, id) rows are shuffled."""
     keys = [key] if isinstance(key, str) else list(key)
-    ex = df.select(*keys, F.posexplode(tokens).alias("pos", "tok"))
+    ex = (df.select(*keys, F.posexplode_outer(tokens).alias("pos", "tok"))
+          .where(F.col("tok").isNotNull()))
     ids = (ex.join(F.broadcast(vocab.select("tok", "id")), "tok", "left")
            .select(*keys, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))
     back = ids.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_p"))
@@ -245,10 +246,11 @@ def pack_sentences(df: DataFrame, sentences: str, max_tokens: int = 1024,
     pack with ``pack``, ``n_sentences``, ``n_tokens`` and the joined ``text``.
     Never crosses rows; one pass over the sentences to find pack starts."""
     keep = keep or []
-    ns = F.transform(sentences, lambda s: F.size(tokenize(s)))
-    d = df.select(*keep, F.col(sentences).alias("_s"), ns.alias("_n")).where(F.size("_s") > 0)
+    ns = F.transform(sentences, lambda s: F.regexp_count(s, F.lit(TOKEN_PATTERN)))
+    d = df.select(*keep, F.col(sentences).alias("_s"), ns.alias("_n"))
     d = d.withColumn("_st", pack_starts(F.col("_n"), max_tokens))
-    ex = d.select(*keep, "_s", "_n", "_st", F.posexplode("_st").alias("pack", "s"))
+    ex = (d.select(*keep, "_s", "_n", "_st", posexplode_nonempty("_st").alias("pack", "s"))
+          .where(F.col("pack").isNotNull()))
     nxt = F.coalesce(F.try_element_at("_st", F.col("pack") + 2), F.size("_s") + 1)
     ln = nxt - F.col("s")
     return ex.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import tokenize, truncate_at_punct
+from ..functions.text import count_tokens, truncate_at_punct
 from ..operators import classifier as CL
 from ..operators import experiments as X
 from ..operators import tables as TB
@@ -204,7 +204,7 @@ def corpus_filter(spark, sf_dir):
     u = docs.unionByName(union_sources({"benchmark": bench}), allowMissingColumns=True)
     f = TB.filter_lang(TB.filter_long(TB.filter_sources(
         u, ["src0", "src1", "src2", "src3", "src4", "benchmark"]), 50))
-    return f.select("source", "doc_id", F.size(tokenize("text")).alias("n_tokens"))
+    return f.select("source", "doc_id", count_tokens("text").alias("n_tokens"))
 
 
 @query("label_domain", """

@@ -222,7 +222,8 @@ def page_paragraphs(spark, sf_dir):
     """T7 + T8 + T8b: paragraph texts in document order."""
     body, _ = H.body_of(F.col("html"))
     p = load(spark, sf_dir, "pages").select("page_id", H.raw_paragraphs(body).alias("paras"))
-    return p.select("page_id", F.posexplode("paras").alias("pos", "paragraph"))
+    return (p.select("page_id", T.posexplode_nonempty("paras").alias("pos", "paragraph"))
+            .where(F.col("pos").isNotNull()))
 
 
 @query("page_entities", f"""WITH {SQL_PAGES.split(',rp AS')[0]}
@@ -253,7 +254,8 @@ FROM ap WHERE ok""")
 def clean_paragraphs(spark, sf_dir):
     """NFKD -> paired-tag removal -> strip, per paragraph."""
     a = H.parse_article(load(spark, sf_dir, "pages"), "page_id", "html").where("ok")
-    return a.select("page_id", F.posexplode("content").alias("pos", "paragraph"))
+    return (a.select("page_id", T.posexplode_nonempty("content").alias("pos", "paragraph"))
+            .where(F.col("pos").isNotNull()))
 
 
 @query("nfkd_text", f"SELECT doc_id, {sql_nfkd('text')} AS text FROM documents")
@@ -272,7 +274,8 @@ def strip_ws(spark, sf_dir):
 def _tagged_paragraphs(spark, sf_dir):
     body, _ = H.body_of(F.col("html"))
     p = load(spark, sf_dir, "pages").select("page_id", T.elements(body, "p").alias("paras"))
-    return p.select("page_id", F.posexplode("paras").alias("pos", "raw"))
+    return (p.select("page_id", T.posexplode_nonempty("paras").alias("pos", "raw"))
+            .where(F.col("pos").isNotNull()))
 
 
 @query("tags_exact")

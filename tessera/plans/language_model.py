@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import rtrim_ws, tokenize
+from ..functions.text import explode_nonempty, posexplode_nonempty, rtrim_ws, tokenize
 from ..operators import ngram, tokens as tk
 from ..operators.splits import split_fixed
 from ..session import cut_lineage
@@ -94,26 +94,34 @@ def fr_docs_split(spark, sf_dir, n_test=N_HELD):
 
 def paragraphs(docs):
     """Lines of the text, right-stripped, blanks dropped."""
-    p = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "para"))
+    p = (docs.select("doc_id", posexplode_nonempty(F.split("text", "\n")).alias("pos", "para"))
+         .where(F.col("pos").isNotNull()))
     p = p.select("doc_id", F.col("pos").cast("long").alias("pos"),
                  rtrim_ws("para").alias("paragraph"))
     return p.where(F.length("paragraph") > 0)
 
 
 def test_stream(spark, sf_dir):
+    """Held-out paragraphs with tokens and global offsets, materialised once:
+    the stream feeds the offsets, the total, the neighbour join and the
+    windows."""
     split = fr_docs_split(spark, sf_dir)
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
-    stream = tk.token_stream(paras, ["doc_id", "pos"], "tokens")
+    paras = cut_lineage(paras.where(F.size("tokens") > 0))
+    stream = cut_lineage(tk.token_stream(paras, ["doc_id", "pos"], "tokens"))
     return split, stream
 
 
 def train_vocab(split):
-    train = split.where("split = 'train'").select(F.explode("tokens").alias("tok"))
+    train = (split.where("split = 'train'").select(explode_nonempty("tokens").alias("tok"))
+             .where(F.col("tok").isNotNull()))
     return tk.build_vocab(train, "tok", 1, VOCAB_MAX)
 
 
 def bigram_model(split):
-    return ngram.fit_bigram(split.where("split = 'train'"), "tokens")
+    """Bigram counts of the training split, written once (the model is read
+    by the pair join, the context totals and the vocabulary size)."""
+    return cut_lineage(ngram.fit_bigram(split.where("split = 'train'"), "tokens"))
 
 
 def n_total(stream):
@@ -134,7 +142,7 @@ def lm_unigram_perplexity(spark, sf_dir):
     """Minimum slice: add-one unigram fitted on the training documents,
     perplexity of the held-out documents' tokens."""
     split = fr_docs_split(spark, sf_dir)
-    toks = split.select("split", F.explode("tokens").alias("tok"))
+    toks = split.select("split", explode_nonempty("tokens").alias("tok")).where(F.col("tok").isNotNull())
     return ngram.unigram_perplexity(toks.where("split = 'train'"), toks.where("split = 'test'"))
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import split_sentences, tokenize, truncate_at_punct
+from ..functions.text import (count_tokens, explode_nonempty, posexplode_nonempty, split_sentences,
+                              tokenize, truncate_at_punct)
 from ..operators import tokens as tk
 from ..operators.experiments import pair_turns
 from ..operators.splits import split_fixed
@@ -35,7 +36,8 @@ enc AS (SELECT ct.conv_id, ct.turn, ct.role, coalesce(ids.input_ids, CAST([] AS
 
 
 def vocab(spark, sf_dir):
-    toks = load(spark, sf_dir, "documents").select(F.explode(tokenize("text")).alias("tok"))
+    toks = (load(spark, sf_dir, "documents").select(explode_nonempty(tokenize("text")).alias("tok"))
+            .where(F.col("tok").isNotNull()))
     return tk.build_vocab(toks, "tok", MIN_COUNT, VOCAB_MAX)
 
 
@@ -49,7 +51,7 @@ def encoded_turns(spark, sf_dir):
 SELECT doc_id, CAST(len(regexp_extract_all(text, '{TOKEN_RE}')) AS INTEGER) AS n_tokens FROM documents""")
 def tokens_per_doc(spark, sf_dir):
     """K1: word / number / symbol tokens per document (whole texts)."""
-    return load(spark, sf_dir, "documents").select("doc_id", F.size(tokenize("text")).alias("n_tokens"))
+    return load(spark, sf_dir, "documents").select("doc_id", count_tokens("text").alias("n_tokens"))
 
 
 @query("vocab_top", f"""WITH {SQL_VOCAB}
@@ -147,7 +149,8 @@ SELECT doc_id, CAST(generate_subscripts(sents, 1) - 1 AS INTEGER) AS pos, unnest
 def sentences(spark, sf_dir):
     """Sentence segmentation of whole documents."""
     d = load(spark, sf_dir, "documents").select("doc_id", split_sentences("text").alias("s"))
-    return d.select("doc_id", F.posexplode("s").alias("pos", "sentence"))
+    return (d.select("doc_id", posexplode_nonempty("s").alias("pos", "sentence"))
+            .where(F.col("pos").isNotNull()))
 
 
 @query("packed_docs", f"""WITH RECURSIVE {SQL_SENTENCES},

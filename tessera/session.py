@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Broadcast only below this size; every explicit broadcast in the
     # library is additionally behind a bounded row count (a parameter).
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -62,10 +63,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` once as a Parquet table in the shared checkpoint
+    folder and continue from it.  One pass (a reliable ``checkpoint()``
+    computes the plan twice unless cached), survives executor loss, and the
+    plan after it starts from a file scan with pushdown and pruning."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def local_path(path: str) -> str:
