@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import md5_order_key
+from ..functions.text import md5_order_key, md5_unit
 from .ordering import global_row_number
 
 
@@ -35,6 +35,15 @@ def split_fixed(df: DataFrame, key: str, n_test: int = 60, n_valid: int = 60,
             .drop("_tsr_split"))
 
 
+def split_fraction(df: DataFrame, key: str, test: float = 0.2, valid: float = 0.2,
+                   seed: int = 42, out: str = "split") -> DataFrame:
+    """Seeded fractional split: a row-local md5 draw, no shuffle and no
+    global order (for training sets whose held-out part grows with them)."""
+    u = md5_unit(F.lit(seed), F.col(key))
+    return df.withColumn(out, F.when(u < test, F.lit("test"))
+                         .when(u < test + valid, F.lit("valid")).otherwise(F.lit("train")))
+
+
 def shuffle(df: DataFrame, key: str, seed: int = 42, ordinal: str | None = "ord") -> DataFrame:
     """Seeded full shuffle.  With ``ordinal`` the position is a column
     (computed by distributed offsets, no one-task window); the data is range

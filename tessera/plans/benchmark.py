@@ -15,7 +15,7 @@ from ..operators import classifier as CL
 from ..operators import experiments as X
 from ..operators import tables as TB
 from ..operators.corpus import union_sources
-from ..operators.splits import split_fixed
+from ..operators.splits import split_fixed, split_fraction
 from ..session import scratch_path
 from ..sources import files
 from ..sources.tables import load
@@ -329,8 +329,8 @@ def paired_prompts(spark, sf_dir):
 
 def _clf_features(spark, sf_dir):
     d = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id")
-    d = split_fixed(d.select("doc_id", "text", F.col("quality").cast("double").alias("label")),
-                    "doc_id", n_test=60, n_valid=60)
+    d = split_fraction(d.select("doc_id", "text", F.col("quality").cast("double").alias("label")),
+                       "doc_id", 0.2, 0.2)
     return CL.featurize(d)
 
 
