@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import NLI_LABELS, TASK_KEYS, TASK_METRIC
 from ..functions.text import count_tokens, split_part, split_task_code, strip_chars
+from .ordering import global_row_number
 
 
 def repair_pair(df: DataFrame, s1: str = "sentence1", s2: str = "sentence2") -> DataFrame:
@@ -95,11 +96,11 @@ def with_task(df: DataFrame, code: str) -> DataFrame:
 
 
 def label_domain(df: DataFrame, label: str = "label") -> DataFrame:
-    """A15 + W4 + R1: sorted distinct labels with dense ids.  The distinct
-    set of a label column is the class list (small), so the ordered window
-    runs on it alone."""
+    """A15 + W4 + R1: sorted distinct labels with dense ids (distributed row
+    number, so even a huge label set never lands in one task)."""
     d = df.select(F.col(label).alias("label")).where(F.col("label").isNotNull()).distinct()
-    return d.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias("id"))
+    r = global_row_number(d, ["label"], "_rn")
+    return r.select("label", (F.col("_rn") - 1).cast("int").alias("id"))
 
 
 def align_labels(model: DataFrame, data_domain: DataFrame) -> DataFrame:

@@ -92,6 +92,13 @@ def pad_to_batch(df: DataFrame, ids: str, batch: str, pad: int = PAD_ID) -> Data
         .alias("attention_mask")).drop("_tsr_n")
 
 
+def with_batches(df: DataFrame, order_cols: list[str], batch_size: int, out: str = "batch") -> DataFrame:
+    """Consecutive batches of ``batch_size`` examples in the global order of
+    ``order_cols`` (distributed row number); every batch is a bounded group."""
+    r = global_offsets(df, order_cols, None, "_tsr_o")
+    return r.withColumn(out, F.floor(F.col("_tsr_o") / batch_size).cast("long")).drop("_tsr_o")
+
+
 def truncate_pair(a, b, budget: int) -> tuple[Column, Column]:
     """K5 longest-first truncation in closed form: with ``m = min(la, lb)``
     both stay whole if they fit; if ``budget - m >= m`` the shorter stays whole

@@ -3,7 +3,7 @@
 Index pages are rendered from ``orders`` (FIXTURES 1, at scale): every order is
 an article ``Commande_<key>`` listed under its order year, once on a "base"
 page (``o_orderkey div 256``) and once on a "yearly" page
-(``1e9 + year * 1e6 + o_custkey div 64``) - the reference parses the base and
+(``(year - 1900) * 1e13 + o_orderkey div 1024``) - the reference parses the base and
 the yearly pages alike, so articles repeat (D4, U1).  Pages have a bounded
 number of entries by construction of their key.  Article payloads are the
 driver's ``pages`` (``<article>`` with ``<p>``), and a page ``n`` holds the
@@ -62,7 +62,7 @@ o AS (SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y,
              'Commande n°' || o_orderkey || ' – ' || o_orderpriority AS title FROM orders),
 e AS (SELECT o_orderkey // 256 AS page_id, y, o_orderkey AS k, ref, title FROM o
       UNION ALL
-      SELECT 1000000000 + CAST(y AS BIGINT) * 1000000 + o_custkey // 64, y, o_orderkey, ref, title FROM o)"""
+      SELECT (CAST(y AS BIGINT) - 1900) * 10000000000000 + o_orderkey // 1024, y, o_orderkey, ref, title FROM o)"""
 
 SQL_LINES = SQL_ORDERS + """,
 l AS (SELECT page_id, y, k, ref, title, row_number() OVER w AS n,
@@ -103,8 +103,8 @@ def index_pages(spark, sf_dir):
     """Base pages and yearly pages, one bag of pages."""
     it = order_items(spark, sf_dir)
     base = it.withColumn("page", F.floor(F.col("o_orderkey") / 256).cast("long"))
-    yearly = it.withColumn("page", (F.lit(1000000000).cast("long") + F.col("y").cast("long") * 1000000
-                                    + F.floor(F.col("o_custkey") / 64)).cast("long"))
+    yearly = it.withColumn("page", ((F.col("y").cast("long") - 1900) * 10000000000000
+                                    + F.floor(F.col("o_orderkey") / 1024)).cast("long"))
     return H.render_index_pages(base.unionByName(yearly), "page", "y", "ref", "title", "o_orderkey")
 
 

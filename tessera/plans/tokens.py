@@ -84,15 +84,17 @@ def pad_truncate(spark, sf_dir):
 
 
 @query("pad_to_batch", f"""WITH {SQL_ENC},
-b AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY conv_id) - len(input_ids) AS r FROM enc)
+bt AS (SELECT *, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 8 AS batch FROM enc),
+b AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY batch) - len(input_ids) AS r FROM bt)
 SELECT conv_id, turn, list_concat(input_ids, list_transform(range(r), lambda x: 3)) AS padded_ids,
        list_concat(list_transform(range(len(input_ids)), lambda x: 1), list_transform(range(r), lambda x: 0))
          AS attention_mask
 FROM b""")
 def pad_to_batch(spark, sf_dir):
-    """Dynamic padding to the longest example of each batch (a
-    conversation's turns form one batch)."""
-    e = tk.pad_to_batch(encoded_turns(spark, sf_dir), "input_ids", "conv_id")
+    """Dynamic padding to the longest example of each batch of 8
+    examples in (conversation, turn) order."""
+    e = tk.with_batches(encoded_turns(spark, sf_dir), ["conv_id", "turn"], 8)
+    e = tk.pad_to_batch(e, "input_ids", "batch")
     return e.select("conv_id", "turn", "padded_ids", "attention_mask")
 
 
