@@ -39,6 +39,15 @@ def attach_content(articles: DataFrame, fetched: DataFrame, key: str = "ref",
     return with_content(articles.join(one, key, "inner"))
 
 
+def collect_paragraphs(df: DataFrame, key: str, pos: str = "pos", text: str = "paragraph",
+                       out: str = "content") -> DataFrame:
+    """Paragraph rows back into one ordered array per article (a group is
+    one article's paragraphs)."""
+    g = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"),
+                                                                 F.col(text).alias("t")))).alias("_a"))
+    return g.select(key, F.transform("_a", lambda s: s["t"]).alias(out))
+
+
 def union_pages(frames: list[DataFrame]) -> DataFrame:
     """Bag union of page sets."""
     return reduce(lambda a, b: a.unionByName(b), frames)

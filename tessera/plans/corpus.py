@@ -258,6 +258,14 @@ def clean_paragraphs(spark, sf_dir):
             .where(F.col("pos").isNotNull()))
 
 
+@query("collect_paragraphs", f"WITH {SQL_PAGES} SELECT page_id, content FROM ap WHERE ok AND len(content) > 0")
+def collect_paragraphs(spark, sf_dir):
+    """Cleaned paragraph rows (one per paragraph, as a streaming or
+    per-row stage would leave them) collected back in document order."""
+    rows = clean_paragraphs(spark, sf_dir)
+    return C.collect_paragraphs(rows, "page_id", "pos", "paragraph")
+
+
 @query("nfkd_text", f"SELECT doc_id, {sql_nfkd('text')} AS text FROM documents")
 def nfkd_text(spark, sf_dir):
     """T10 on whole documents (Arrow-batched pandas UDF)."""
