@@ -55,15 +55,15 @@ def block_of(cols: Sequence[Column], bounds: list, types) -> Column:
 
 def key_boundaries(df: DataFrame, order_cols: Sequence[str], blocks: int,
                    per_block: int = 64, seed: int = 17) -> list:
-    """Sorted distinct boundaries splitting ``df`` into about ``blocks`` ranges."""
+    """Sorted distinct boundaries splitting ``df`` into about ``blocks`` ranges.
+    A uniform sample of ``per_block * blocks`` keys is taken in one job as the
+    rows with the smallest seeded random values (a bounded top-k), then
+    sorted on the driver by Spark's own ordering."""
     if blocks <= 1:
         return []
-    keys = df.select(*order_cols)
-    n = keys.count()
-    if n == 0:
-        return []
-    frac = min(1.0, blocks * per_block / n)
-    sample = (keys.sample(False, frac, seed) if frac < 1.0 else keys)
+    m = blocks * per_block
+    sample = (df.select(*order_cols, F.rand(seed).alias("_tsr_r")).orderBy("_tsr_r").limit(m)
+              .select(*order_cols))
     rows = sample.orderBy(*order_cols).collect()
     if not rows:
         return []
