@@ -131,7 +131,7 @@ def render_index_pages(items: DataFrame, page: str, year: str, ref: str, title:
 def body_of(payload, tag: str = "article"):
     """T5 then T6: entity replacement, scripts and styles dropped, first element."""
     clean = T.drop_script_style(T.unescape_tags(payload))
-    return T.first_element(clean, tag), T.has_element(clean, tag)
+    return T.first_element(clean, tag), F.coalesce(T.has_element(clean, tag), F.lit(False))
 
 
 def raw_paragraphs(body, tag: str = "p"):

@@ -120,7 +120,7 @@ def _long(wide: DataFrame, names: list[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(names)}, {stack}) as (metric, value)")
 
 
-def glue_metric(df: DataFrame, config: str, pred="pred", label="label") -> DataFrame:
+def metric_by_config(df: DataFrame, config: str, pred="pred", label="label") -> DataFrame:
     """Metric set chosen by configuration name, long form (metric, value).
     Unknown names are refused."""
     if config not in METRIC_CONFIGS:

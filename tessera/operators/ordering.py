@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_blocks
+from ..session import MAX_BLOCKS, default_blocks
 
 _BLK = "_tsr_blk"
 
@@ -81,7 +81,7 @@ def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | Non
     over the global ascending order of ``order_cols`` (which must be unique and
     not null)."""
     spark = df.sparkSession
-    blocks = blocks or default_blocks(spark)
+    blocks = min(blocks or default_blocks(spark), MAX_BLOCKS)
     types = [df.schema[c].dataType for c in order_cols]
     bounds = key_boundaries(df, order_cols, blocks)
     size = F.col(size_col).cast("long") if size_col else F.lit(1).cast("long")

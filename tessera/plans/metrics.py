@@ -157,8 +157,8 @@ lng AS (
 
 def _dispatch(spark, sf_dir):
     b, m, r = binary_pairs(spark, sf_dir), multi_pairs(spark, sf_dir), regression_pairs(spark, sf_dir)
-    parts = [M.glue_metric(m, "cola"), M.glue_metric(b, "mrpc"), M.glue_metric(b, "sst2"),
-             M.glue_metric(r, "stsb")]
+    parts = [M.metric_by_config(m, "cola"), M.metric_by_config(b, "mrpc"), M.metric_by_config(b, "sst2"),
+             M.metric_by_config(r, "stsb")]
     return reduce(lambda a, c: a.unionByName(c), parts)
 
 

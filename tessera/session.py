@@ -78,8 +78,15 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
+# Blocks of the distributed prefix sums: one per shuffle partition, capped so
+# that the boundary sample collected on the driver stays small (<= 64 keys
+# per block, so at most 131,072 keys).
+MAX_BLOCKS = 2048
+
+
 def default_blocks(spark: SparkSession) -> int:
     try:
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover
-        return int(os.cpu_count() or 8)
+        n = int(os.cpu_count() or 8)
+    return max(1, min(n, MAX_BLOCKS))

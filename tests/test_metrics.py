@@ -77,8 +77,8 @@ def test_glue_dispatch_refuses_unknown(spark):
     import pytest
     df = spark.createDataFrame([(1, 1)], "pred long, label long")
     with pytest.raises(KeyError):
-        M.glue_metric(df, "wsd")
-    long = M.glue_metric(df, "mrpc").collect()
+        M.metric_by_config(df, "wsd")
+    long = M.metric_by_config(df, "mrpc").collect()
     assert sorted(r.metric for r in long) == ["accuracy", "f1"]
 
 
