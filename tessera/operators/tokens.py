@@ -183,6 +183,35 @@ def strided_windows(tokens: DataFrame, n_total: Column, max_len: int, stride: in
     return w.withColumn("target_ids", mask_targets("input_ids", "trg_len"))
 
 
+def strided_windows_rows(stream: DataFrame, n_total: Column, max_len: int, stride: int,
+                         ids: str = "ids") -> DataFrame:
+    """K7 + K8 from stream rows ``(start, n, ids)`` instead of single tokens:
+    each row sends one slice of its array to every window it overlaps, and a
+    window concatenates its slices in ``start`` order.  Same output as
+    :func:`strided_windows`, with one shuffled row per (row, window) pair
+    rather than ``ceil(L/stride)`` rows per token; a window group holds at most
+    ``max_len`` tokens."""
+    if stride > max_len:
+        raise ValueError("stride must be <= max_len")
+    S, L = stride, max_len
+    first = F.floor(F.col("start") / F.lit(S)).cast("long") * F.lit(S)
+    last = F.least(F.floor((F.col("start") + F.col("n") + F.lit(L - S - 1)) / F.lit(S)).cast("long") * F.lit(S),
+                   F.floor((n_total - F.lit(1)) / F.lit(S)).cast("long") * F.lit(S))
+    ex = stream.where(F.col("n") > 0).select("start", "n", ids, F.explode(
+        F.sequence(first, last, F.lit(S).cast("long"))).alias("win_start"))
+    begin = F.greatest(F.col("win_start") + F.lit(S - L), F.lit(0)).cast("long")
+    end = F.least(F.col("win_start") + F.lit(S), n_total).cast("long")
+    lo = F.greatest(begin, F.col("start"))
+    hi = F.least(end, F.col("start") + F.col("n"))
+    piece = ex.select("win_start", "start", F.slice(ids, (lo - F.col("start") + 1).cast("int"),
+                                                     (hi - lo).cast("int")).alias("_s")).where(F.size("_s") > 0)
+    grouped = piece.groupBy("win_start").agg(F.array_sort(F.collect_list(F.struct("start", "_s"))).alias("_p"))
+    w = grouped.select("win_start", begin.alias("begin_loc"), end.alias("end_loc"),
+                       (end - F.col("win_start")).cast("int").alias("trg_len"),
+                       F.flatten(F.transform("_p", lambda s: s["_s"])).alias("input_ids"))
+    return w.withColumn("target_ids", mask_targets("input_ids", "trg_len"))
+
+
 def mask_targets(ids, trg_len) -> Column:
     """K8: all but the last ``trg_len`` entries -> -100."""
     ids = F.col(ids) if isinstance(ids, str) else ids

@@ -21,7 +21,7 @@ from ..functions.udfs import clean_udf, strip_paired_tags
 from ..operators import corpus as C
 from ..operators import html as H
 from ..operators.splits import sample_n, shuffle, split_fixed
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.tables import load
 from .registry import query
@@ -341,9 +341,13 @@ sp AS (SELECT ref, date, title, content,
 
 
 def corpus_records(spark, sf_dir, n_test=3, n_valid=3):
-    """The corpus build: deduplicated listings with content, seeded split."""
+    """The corpus build: deduplicated listings with content, seeded split.
+    The records are written once to the shared folder: the split's top-k and
+    the sink both read them instead of re-running the index parse and the
+    content join."""
     arts = C.dedup_refs(index_articles_df(spark, sf_dir), ["page_id", "ord"])
     rec = C.attach_content(arts, fetched(spark, sf_dir)).select("ref", "date", "title", "content")
+    rec = cut_lineage(rec, "corpus_records")
     return split_fixed(rec, "ref", n_test=n_test, n_valid=n_valid, seed=42)
 
 

@@ -182,11 +182,8 @@ SELECT * FROM wins
 def lm_windows(spark, sf_dir):
     """K3 + K7 + K8: encoded stream cut into overlapping windows with masks."""
     split, stream = test_stream(spark, sf_dir)
-    toks = tk.stream_tokens(stream)
-    voc = train_vocab(split)
-    ids = (toks.join(F.broadcast(voc.select("tok", "id")), "tok", "left")
-           .select("g", F.coalesce("id", F.lit(2)).alias("id")))
-    return tk.strided_windows(ids, n_total(stream), WIN_LEN, WIN_STRIDE, "id")
+    enc = tk.encode(stream.select("start", "n", "tokens"), "start", train_vocab(split), "tokens", "ids")
+    return tk.strided_windows_rows(enc, n_total(stream), WIN_LEN, WIN_STRIDE, "ids")
 
 
 @query("lm_windows_scored", f"""

@@ -34,6 +34,13 @@ def test_windows_random(spark):
         got = [(r.win_start, r.begin_loc, r.end_loc, r.trg_len, r.input_ids, r.target_ids)
                for r in tk.strided_windows(toks, F.lit(n), L, S).orderBy("win_start").collect()]
         assert got == reference_windows(n, L, S)
+        cuts = sorted(rnd.sample(range(1, n), min(n - 1, rnd.randint(0, 6)))) if n > 1 else []
+        bounds = [0] + cuts + [n]
+        rows = [(a, b - a, list(range(a, b))) for a, b in zip(bounds, bounds[1:])]
+        st = spark.createDataFrame(rows, "start long, n long, ids array<int>")
+        by_rows = [(r.win_start, r.begin_loc, r.end_loc, r.trg_len, r.input_ids, r.target_ids)
+                   for r in tk.strided_windows_rows(st, F.lit(n), L, S).orderBy("win_start").collect()]
+        assert by_rows == reference_windows(n, L, S)
         doc = spark.createDataFrame([(list(range(n)),)], "ids array<int>")
         per_doc = [(r.win_start, r.begin_loc, r.end_loc, r.trg_len, r.input_ids, r.target_ids)
                    for r in tk.document_windows(doc, "ids", L, S).orderBy("win_start").collect()]
