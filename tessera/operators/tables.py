@@ -8,7 +8,7 @@ its order amounts to, see P4/P5).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import NLI_LABELS, TASK_KEYS, TASK_METRIC

@@ -125,7 +125,9 @@ def bigram_model(split):
 
 
 def n_total(stream):
-    return stream.select(F.sum("n")).scalar()
+    """N, the stream length: one aggregate over the materialised stream, used
+    as a literal in every window bound."""
+    return F.lit(stream.select(F.coalesce(F.sum("n"), F.lit(0)).cast("long")).first()[0])
 
 
 @query("lm_unigram_perplexity", f"""

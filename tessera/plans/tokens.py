@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.text import (count_tokens, explode_nonempty, posexplode_nonempty, split_sentences,
                               tokenize, truncate_at_punct)
 from ..operators import tokens as tk
-from ..operators.experiments import pair_turns
 from ..operators.splits import split_fixed
 from ..sources.tables import load
 from .registry import query

@@ -2,7 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
 
 from tessera.constants import ENTRY_PATTERN, SECTION_PATTERN
 from tessera.operators import html as H

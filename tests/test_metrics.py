@@ -3,7 +3,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
 
 from tessera.operators import experiments as X
 from tessera.operators import metrics as M
