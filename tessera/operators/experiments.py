@@ -86,14 +86,9 @@ def report(runs: DataFrame, metric: str = "metric_1") -> DataFrame:
                     F.bround(F.col("metric_1") * 100, 1).alias("best_dev_1"),
                     F.bround(F.col("metric_2") * 100, 1).alias("best_dev_2"))
     withtest = b.join(test, b.best_run_key == test.run_key, "left").drop("run_key")   # J8
-    return _attach_stats(withtest, stats)
-
-
-def _attach_stats(one_row: DataFrame, stats: DataFrame) -> DataFrame:
-    """Both inputs have exactly one row: attach by a constant key (a one-row
-    equi-join, not a cross product of data)."""
-    k = F.lit(1).alias("_k")
-    return one_row.select("*", k).join(stats.select("*", k), "_k").drop("_k")
+    # the statistics are one row: attached as a scalar subquery, not a join
+    s = stats.select(F.struct(*stats.columns).alias("s")).scalar()
+    return withtest.select("*", *[s.getField(c).alias(c) for c in stats.columns])
 
 
 def pair_turns(conv: DataFrame, first: str = "user", second: str = "assistant") -> DataFrame:
