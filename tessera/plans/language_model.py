@@ -327,8 +327,34 @@ def lm_sample_next(spark, sf_dir):
     return out.select("prompt_id", "draw", "tok", F.round("p", 6).alias("p"))
 
 
-@query("lm_generate_counts")
-def lm_generate_counts(spark, sf_dir, steps: int = 6):
+GEN_STEPS = 6
+
+
+def _sql_generate(steps: int = GEN_STEPS) -> str:
+    """The generation loop unrolled: one CTE per step, each a seeded draw from
+    the filtered distribution after the last token of every prompt."""
+    parts = [(SQL_DIST + """,
+cdf AS (SELECT ctx, tok, sum(w) OVER (PARTITION BY ctx ORDER BY w DESC, tok
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+               sum(w) OVER (PARTITION BY ctx) AS tot FROM tpn),
+g0 AS (SELECT doc_id || ':' || pos AS prompt_id, [toks[1]] AS out FROM tp)""")
+             .replace("WITH " + SQL_FR_SPLIT20, "WITH " + SQL_TEST_PARAS, 1)]
+    for k in range(steps):
+        parts.append(f""",
+p{k + 1} AS (SELECT g.prompt_id, arg_min(cdf.tok, (cdf.cum, cdf.tok)) AS tok
+            FROM g{k} g JOIN cdf ON cdf.ctx = g.out[len(g.out)]
+            WHERE cdf.cum >= CAST(('0x' || substr(md5('{1000 + k}:' || g.prompt_id || ':0'), 1, 8)) AS BIGINT)
+                             / 4294967296.0 * cdf.tot
+            GROUP BY g.prompt_id),
+g{k + 1} AS (SELECT g.prompt_id, CASE WHEN p.tok IS NULL THEN g.out ELSE list_append(g.out, p.tok) END AS out
+            FROM g{k} g LEFT JOIN p{k + 1} p USING (prompt_id))""")
+    parts.append(f"""
+SELECT prompt_id, CAST(len(out) AS INTEGER) AS n_tokens, array_to_string(out, ' ') AS text FROM g{steps}""")
+    return "".join(parts)
+
+
+@query("lm_generate_counts", _sql_generate())
+def lm_generate_counts(spark, sf_dir, steps: int = GEN_STEPS):
     """Batch generation, one token per step for every prompt, by repeated
     L4 -> L5 -> L6 joins; lineage is cut each step with a reliable checkpoint.
     Output: prompt, generated length and text."""
