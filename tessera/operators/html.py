@@ -146,10 +146,10 @@ def clean_paragraphs(arr):
 
 
 def parse_article(df: DataFrame, key: str, payload: str, tag: str = "article",
-                  para_tag: str = "p") -> DataFrame:
+                  para_tag: str = "p", keep: list[str] | None = None) -> DataFrame:
     """``(key, content array<string>, ok)``; ``ok = false`` when the body
     element is missing (D5: failures are rows, never dropped silently), and an
     element without paragraphs gives ``ok = true`` with ``[]``."""
     body, ok = body_of(F.col(payload), tag)
-    return df.select(key, F.when(ok, clean_paragraphs(raw_paragraphs(body, para_tag)))
+    return df.select(key, *(keep or []), F.when(ok, clean_paragraphs(raw_paragraphs(body, para_tag)))
                      .alias("content"), ok.alias("ok"))

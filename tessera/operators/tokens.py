@@ -133,8 +133,10 @@ def argmax(col) -> Column:
 def token_stream(paras: DataFrame, order_cols: list[str], tokens: str = "tokens",
                  blocks: int | None = None) -> DataFrame:
     """Add ``start`` = global offset of each row's first token in the
-    order of ``order_cols`` (distributed prefix sum), and ``n`` = its tokens."""
-    p = paras.withColumn("n", F.size(tokens)).where(F.col("n") > 0)
+    order of ``order_cols`` (distributed prefix sum), and ``n`` = its tokens.
+    Rows without tokens keep their place (``n = 0``); no filter is put on the
+    computed array here, which would make Catalyst evaluate it twice."""
+    p = paras.withColumn("n", F.size(tokens))
     return global_offsets(p, order_cols, "n", "start", blocks)
 
 
@@ -142,9 +144,10 @@ def stream_tokens(stream: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Per-token rows ``(g, tok, prev)``; ``prev`` is the previous token of the
     global stream, taken across row boundaries by a row-level equi-join of each
     row's start with the previous row's end (rows, not tokens, are joined)."""
-    ends = stream.select((F.col("start") + F.col("n")).alias("start"),
-                         F.element_at(tokens, -1).alias("_tsr_last"))
-    j = stream.join(ends, "start", "left")
+    live = stream.where(F.col("n") > 0)
+    ends = live.select((F.col("start") + F.col("n")).alias("start"),
+                       F.element_at(tokens, -1).alias("_tsr_last"))
+    j = live.join(ends, "start", "left")
     ex = j.select("start", "_tsr_last", tokens, F.posexplode(tokens).alias("k", "tok"))
     return ex.select(
         (F.col("start") + F.col("k")).alias("g"), "tok",

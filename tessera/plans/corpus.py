@@ -116,8 +116,7 @@ def fetched(spark, sf_dir):
     """S9 + T15: the landed article payloads, parsed; failures kept as rows."""
     pages = load(spark, sf_dir, "pages").select(
         F.concat(F.lit("Commande_"), F.col("page_id")).alias("ref"), "page_id", "html")
-    return H.parse_article(pages, "ref", "html").join(
-        pages.select("ref", "page_id"), "ref")
+    return H.parse_article(pages, "ref", "html", keep=["page_id"])
 
 
 # ------------------------------------------------------------- index queries

@@ -107,7 +107,6 @@ def test_stream(spark, sf_dir):
     windows."""
     split = fr_docs_split(spark, sf_dir)
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
-    paras = paras.where(F.size("tokens") > 0)
     stream = cut_lineage(tk.token_stream(paras, ["doc_id", "pos"], "tokens"))
     return split, stream
 
@@ -174,7 +173,7 @@ FROM tp
 def lm_stream(spark, sf_dir):
     """Global token offset of every held-out paragraph."""
     _, stream = test_stream(spark, sf_dir)
-    return stream.select("doc_id", "pos", "n", "start")
+    return stream.where(F.col("n") > 0).select("doc_id", "pos", "n", "start")
 
 
 @query("lm_windows", f"""
