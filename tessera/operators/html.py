@@ -50,15 +50,34 @@ def match_offsets(df: DataFrame, id_col: str, col: str, pattern: str,
     return out.where(F.col("_i") > 0).select(id_col, "start", *groups.keys())
 
 
+def _split_at_matches(col: str, pattern: str):
+    """``col`` split before every match of ``pattern``."""
+    return F.split(F.regexp_replace(F.col(col), f"(?d)({pattern})", SENTINEL + "$1"), SENTINEL)
+
+
 def index_anchors(pages: DataFrame, id_col: str = "page_id", col: str = "html",
                   section_pattern: str = SECTION_PATTERN,
                   entry_pattern: str = ENTRY_PATTERN) -> DataFrame:
     """T2 + T3 + T1: section years and entries with offsets, one row per anchor
-    ``(page_id, kind, start, year, ref, title)``; kind 0 = section, 1 = entry."""
-    sec = _pieces(pages, id_col, col, section_pattern, 0, {"year_s": 1})
-    ent = _pieces(pages, id_col, col, entry_pattern, 1, {"ref": 1, "title": 2})
-    rows = (sec.withColumn("ref", F.lit(None).cast("string")).withColumn("title", F.lit(None).cast("string"))
-            .unionByName(ent.withColumn("year_s", F.lit(None).cast("string"))))
+    ``(page_id, kind, start, year, ref, title)``; kind 0 = section, 1 = entry.
+    Each page row is paired with the two pattern kinds (a literal explode),
+    so the page text is scanned once and each pattern runs once per page;
+    groups are extracted in a code-generated projection after the explode."""
+    kinds = pages.select(id_col, col, F.explode(F.array(F.lit(0), F.lit(1))).alias("_kind"))
+    arr = F.when(F.col("_kind") == 0, _split_at_matches(col, section_pattern)).otherwise(
+        _split_at_matches(col, entry_pattern))
+    ex = (kinds.select(id_col, F.length(col).alias("_html_len"), "_kind",
+                       T.posexplode_nonempty(arr).alias("_i", "_piece"))
+          .where(F.col("_i").isNotNull()))
+    first = F.col("_i") > 0
+    rows = ex.select(id_col, "_html_len", "_kind", F.col("_i").cast("long").alias("_i"),
+                     F.length("_piece").alias("_len"),
+                     F.when((F.col("_kind") == 0) & first,
+                            F.regexp_extract("_piece", f"(?d)^(?:{section_pattern})", 1)).alias("year_s"),
+                     F.when((F.col("_kind") == 1) & first,
+                            F.regexp_extract("_piece", f"(?d)^(?:{entry_pattern})", 1)).alias("ref"),
+                     F.when((F.col("_kind") == 1) & first,
+                            F.regexp_extract("_piece", f"(?d)^(?:{entry_pattern})", 2)).alias("title"))
     # one window ordered by (kind, i): kind-1 offsets restart by subtracting the
     # page length (the pieces of one pattern add up to the whole page).
     w = (Window.partitionBy(id_col).orderBy("_kind", "_i")
