@@ -67,28 +67,32 @@ def best_run(runs: DataFrame, metric: str = "metric_1", phase: str = "dev") -> D
 def report(runs: DataFrame, metric: str = "metric_1") -> DataFrame:
     """M4 = A17 -> J9 -> A11 -> J8: best dev run, mean and population std (x100,
     one decimal, half-even) of the runs sharing its rate and batch size, and
-    the test metrics of the best run's key."""
-    best = best_run(runs, metric)
+    the test metrics of the best run's key.
+
+    Dev runs are aggregated once per (rate, batch size): the config's best run
+    and its statistics.  The best run overall is the best of the config bests
+    (same tie rule), so its config's statistics come with it - no self-join,
+    no subquery; then one equi-join fetches its test row."""
     dev = runs.where(F.col("phase") == "dev")
-    same = dev.join(F.broadcast(best.select("learning_rate", "batch_size")),
-                    ["learning_rate", "batch_size"], "inner")       # J9, one-row side
-    stats = same.agg(
+    order = F.struct(F.col(metric), -F.col("run_idx"))
+    per_cfg = dev.groupBy("learning_rate", "batch_size").agg(
+        F.max_by(F.struct(*RUN_COLS), order).alias("best"),
+        F.max(order).alias("_key"),
         F.bround(F.avg("metric_1") * 100, 1).alias("avg_dev_1"),
         F.bround(F.stddev_pop("metric_1") * 100, 1).alias("std_dev_1"),
         F.bround(F.avg("metric_2") * 100, 1).alias("avg_dev_2"),
         F.bround(F.stddev_pop("metric_2") * 100, 1).alias("std_dev_2"),
         F.count(F.lit(1)).alias("n_same"))
+    stats = ["avg_dev_1", "std_dev_1", "avg_dev_2", "std_dev_2", "n_same"]
+    top = per_cfg.agg(F.max_by(F.struct("best", *stats), F.col("_key")).alias("t")).select("t.*")
+    b = top.select(F.col("best.run_key").alias("best_run_key"), F.col("best.seed").alias("best_seed"),
+                   F.col("best.learning_rate").alias("best_learning_rate"),
+                   F.col("best.batch_size").alias("best_batch_size"),
+                   F.bround(F.col("best.metric_1") * 100, 1).alias("best_dev_1"),
+                   F.bround(F.col("best.metric_2") * 100, 1).alias("best_dev_2"), *stats)
     test = runs.where(F.col("phase") == "test").select(
         "run_key", F.col("metric_1").alias("test_metric_1"), F.col("metric_2").alias("test_metric_2"))
-    b = best.select(F.col("run_key").alias("best_run_key"), F.col("seed").alias("best_seed"),
-                    F.col("learning_rate").alias("best_learning_rate"),
-                    F.col("batch_size").alias("best_batch_size"),
-                    F.bround(F.col("metric_1") * 100, 1).alias("best_dev_1"),
-                    F.bround(F.col("metric_2") * 100, 1).alias("best_dev_2"))
-    withtest = b.join(test, b.best_run_key == test.run_key, "left").drop("run_key")   # J8
-    # the statistics are one row: attached as a scalar subquery, not a join
-    s = stats.select(F.struct(*stats.columns).alias("s")).scalar()
-    return withtest.select("*", *[s.getField(c).alias(c) for c in stats.columns])
+    return b.join(test, b.best_run_key == test.run_key, "left").drop("run_key")    # J8
 
 
 def pair_turns(conv: DataFrame, first: str = "user", second: str = "assistant") -> DataFrame:
