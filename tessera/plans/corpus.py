@@ -16,6 +16,7 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
+from ..constants import N_TEST, N_VALID
 from ..functions import text as T
 from ..functions.udfs import clean_udf, strip_paired_tags
 from ..operators import corpus as C
@@ -336,10 +337,10 @@ dd AS (SELECT ref, arg_min(date, (page_id, ord)) AS date, arg_min(title, (page_i
 rec AS (SELECT dd.ref, dd.date, dd.title, f.content FROM dd JOIN f USING (ref)),
 rr AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || ref), ref) AS rn FROM rec),
 sp AS (SELECT ref, date, title, content,
-              CASE WHEN rn <= 3 THEN 'test' WHEN rn <= 6 THEN 'valid' ELSE 'train' END AS split FROM rr)"""
+              CASE WHEN rn <= 60 THEN 'test' WHEN rn <= 120 THEN 'valid' ELSE 'train' END AS split FROM rr)"""
 
 
-def corpus_records(spark, sf_dir, n_test=3, n_valid=3):
+def corpus_records(spark, sf_dir, n_test=N_TEST, n_valid=N_VALID):
     """The corpus build: deduplicated listings with content, seeded split.
     The records are written once to the shared folder: the split's top-k and
     the sink both read them instead of re-running the index parse and the
@@ -352,7 +353,7 @@ def corpus_records(spark, sf_dir, n_test=3, n_valid=3):
 
 @query("corpus_split", SQL_RECORDS + " SELECT ref, split FROM sp")
 def corpus_split(spark, sf_dir):
-    """R2 on the built corpus (held-out sizes scaled to the small fixture)."""
+    """R2 on the built corpus: 60 test, 60 valid, the rest train."""
     return corpus_records(spark, sf_dir).select("ref", "split")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import explode_nonempty, posexplode_nonempty, rtrim_ws, tokenize
 from ..operators import ngram, tokens as tk
-from ..operators.splits import split_fixed
+from ..operators.splits import split_fixed, split_fraction
 from ..session import cut_lineage
 from ..sources.tables import load
 from .registry import query
@@ -30,10 +30,20 @@ d AS (SELECT doc_id, text, regexp_extract_all(text, '{TOKEN_RE}') AS toks
 r AS (SELECT doc_id, text, toks,
              row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM d)"""
 
-SQL_TEST_PARAS = SQL_FR_SPLIT20 + f""",
+HELD_FRACTION = 0.1
+
+# held-out = seeded md5 draw below HELD_FRACTION (grows with the table)
+SQL_FR_FRAC = f"""
+d AS (SELECT doc_id, text, regexp_extract_all(text, '{TOKEN_RE}') AS toks
+      FROM documents WHERE lang = 'fr'),
+r AS (SELECT doc_id, text, toks,
+             CAST(('0x' || substr(md5('42:' || doc_id), 1, 8)) AS BIGINT) / 4294967296.0 < {HELD_FRACTION}
+               AS held FROM d)"""
+
+SQL_TEST_PARAS = SQL_FR_FRAC + f""",
 sp AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS para,
               CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS BIGINT) AS pos
-       FROM r WHERE rn <= {N_HELD}),
+       FROM r WHERE held),
 tp AS (SELECT doc_id, pos, rtrim(para) AS paragraph,
               regexp_extract_all(rtrim(para), '{TOKEN_RE}') AS toks
        FROM sp WHERE length(rtrim(para)) > 0),
@@ -43,7 +53,7 @@ gp AS (SELECT g, tok, lag(tok) OVER (ORDER BY g) AS prev FROM gs),
 nt AS (SELECT count(*) AS n FROM gs)"""
 
 SQL_BIGRAM = f""",
-trd AS (SELECT toks FROM r WHERE rn > {N_HELD}),
+trd AS (SELECT toks FROM r WHERE NOT held),
 pr AS (SELECT toks[i] AS ctx, toks[i + 1] AS tok
        FROM (SELECT toks, unnest(range(1, len(toks))) AS i FROM trd)),
 m AS (SELECT ctx, tok, count(*) AS cnt FROM pr GROUP BY ctx, tok),
@@ -51,7 +61,7 @@ ct AS (SELECT ctx, sum(cnt) AS ctx_cnt FROM m GROUP BY ctx),
 vv AS (SELECT count(*) + 1 AS v FROM (SELECT ctx FROM m UNION SELECT tok FROM m))"""
 
 SQL_VOCAB = f""",
-tru AS (SELECT unnest(toks) AS tok FROM r WHERE rn > {N_HELD}),
+tru AS (SELECT unnest(toks) AS tok FROM r WHERE NOT held),
 vc AS (SELECT tok, count(*) AS cnt FROM tru GROUP BY tok),
 voc AS (SELECT CAST(row_number() OVER (ORDER BY cnt DESC, tok) + 4 AS INTEGER) AS id, tok
         FROM (SELECT * FROM vc ORDER BY cnt DESC, tok LIMIT {VOCAB_MAX}))"""
@@ -86,10 +96,22 @@ wins AS (SELECT win_start,
 
 
 # ---------------------------------------------------------------- Spark parts
-def fr_docs_split(spark, sf_dir, n_test=N_HELD):
-    docs = (load(spark, sf_dir, "documents").where(F.col("lang") == "fr")
+def fr_docs(spark, sf_dir):
+    return (load(spark, sf_dir, "documents").where(F.col("lang") == "fr")
             .select("doc_id", "text", tokenize("text").alias("tokens")))
-    return split_fixed(docs, "doc_id", n_test=n_test, n_valid=0, seed=42)
+
+
+def fr_docs_split(spark, sf_dir, n_test=N_HELD):
+    """Minimum slice: the first ``n_test`` documents in seeded
+    order are held out."""
+    return split_fixed(fr_docs(spark, sf_dir), "doc_id", n_test=n_test, n_valid=0, seed=42)
+
+
+def fr_docs_holdout(spark, sf_dir):
+    """Evaluation split of the LM queries: a seeded md5 draw holds out
+    ``HELD_FRACTION`` of the documents, so the scored stream grows with the
+    table."""
+    return split_fraction(fr_docs(spark, sf_dir), "doc_id", test=HELD_FRACTION, valid=0.0, seed=42)
 
 
 def paragraphs(docs):
@@ -105,7 +127,7 @@ def test_stream(spark, sf_dir):
     """Held-out paragraphs with tokens and global offsets, materialised once:
     the stream feeds the offsets, the total, the neighbour join and the
     windows."""
-    split = fr_docs_split(spark, sf_dir)
+    split = fr_docs_holdout(spark, sf_dir)
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
     stream = cut_lineage(tk.token_stream(paras, ["doc_id", "pos"], "tokens"))
     return split, stream
@@ -201,12 +223,12 @@ def lm_windows_scored(spark, sf_dir):
 
 
 @query("lm_bigram_counts", f"""
-WITH {SQL_FR_SPLIT20}{SQL_BIGRAM}
+WITH {SQL_FR_FRAC}{SQL_BIGRAM}
 SELECT ctx, tok, cnt FROM m
 """)
 def lm_bigram_counts(spark, sf_dir):
     """L1: bigram counts of the training documents."""
-    return bigram_model(fr_docs_split(spark, sf_dir))
+    return bigram_model(fr_docs_holdout(spark, sf_dir))
 
 
 def _targets(spark, sf_dir, L, S, weighting="window"):
@@ -269,7 +291,7 @@ def lm_perplexity_token_mean(spark, sf_dir):
 
 
 SQL_DIST = f"""
-WITH {SQL_FR_SPLIT20}{SQL_BIGRAM},
+WITH {SQL_FR_FRAC}{SQL_BIGRAM},
 dist AS (SELECT m.ctx, tok, cnt::DOUBLE AS w FROM m),
 tk AS (SELECT ctx, tok, w FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY w DESC) AS rk
                                FROM dist) WHERE rk <= 50),
@@ -289,14 +311,14 @@ def filtered_dist(split, k=50, p=0.95):
 @query("lm_top_k", SQL_DIST + "\nSELECT ctx, tok, round(p, 6) AS p FROM tkn")
 def lm_top_k(spark, sf_dir):
     """L4: top-50 next tokens per context, renormalised."""
-    dist = ngram.next_token_dist(bigram_model(fr_docs_split(spark, sf_dir)))
+    dist = ngram.next_token_dist(bigram_model(fr_docs_holdout(spark, sf_dir)))
     return ngram.top_k(dist, 50).select("ctx", "tok", F.round("p", 6).alias("p"))
 
 
 @query("lm_top_p", SQL_DIST + "\nSELECT ctx, tok, round(p, 6) AS p FROM tpn")
 def lm_top_p(spark, sf_dir):
     """L5 after L4: nucleus 0.95 of the top-50, renormalised."""
-    return filtered_dist(fr_docs_split(spark, sf_dir)).select(
+    return filtered_dist(fr_docs_holdout(spark, sf_dir)).select(
         "ctx", "tok", F.round("p", 6).alias("p"))
 
 
@@ -313,11 +335,11 @@ cand AS (SELECT du.prompt_id, du.draw, cdf.tok, cdf.p, cdf.cum FROM du JOIN cdf
 SELECT prompt_id, CAST(draw AS INTEGER) AS draw, arg_min(tok, (cum, tok)) AS tok,
        round(arg_min(p, (cum, tok)), 6) AS p
 FROM cand GROUP BY prompt_id, draw
-""").replace("WITH " + SQL_FR_SPLIT20, "WITH " + SQL_TEST_PARAS, 1))
+""").replace("WITH " + SQL_FR_FRAC, "WITH " + SQL_TEST_PARAS, 1))
 def lm_sample_next(spark, sf_dir):
     """Three seeded draws of the next token after the first token of every
     held-out paragraph, from the top-k / top-p filtered distribution."""
-    split = fr_docs_split(spark, sf_dir)
+    split = fr_docs_holdout(spark, sf_dir)
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
     prompts = paras.where(F.size("tokens") > 0).select(
         F.concat_ws(":", "doc_id", "pos").alias("prompt_id"),
@@ -353,23 +375,23 @@ def _outside_model_factory(bc):
 
 
 @query("lm_outside_model_scores", f"""
-WITH {SQL_FR_SPLIT20},
-tr AS (SELECT unnest(toks) AS tok FROM r WHERE rn > {N_HELD}),
+WITH {SQL_FR_FRAC},
+tr AS (SELECT unnest(toks) AS tok FROM r WHERE NOT held),
 vc AS (SELECT tok, count(*) AS cnt FROM tr GROUP BY tok),
 voc AS (SELECT tok, cnt FROM vc ORDER BY cnt DESC, tok LIMIT {OUTSIDE_VOCAB}),
 tot AS (SELECT sum(cnt) AS t, count(*) AS v FROM voc),
-te AS (SELECT doc_id, unnest(toks) AS tok FROM r WHERE rn <= {N_HELD}),
+te AS (SELECT doc_id, unnest(toks) AS tok FROM r WHERE held),
 sc AS (SELECT doc_id, -ln((coalesce(voc.cnt, 0) + 1.0) / (tot.t + tot.v + 1.0)) AS nll
        FROM te LEFT JOIN voc USING (tok) CROSS JOIN tot)
 SELECT CAST(r.doc_id AS VARCHAR) AS key, round(coalesce(sum(nll), 0), 6) AS nll_sum,
        CAST(count(sc.nll) AS BIGINT) AS n_tokens
-FROM r LEFT JOIN sc USING (doc_id) WHERE r.rn <= {N_HELD} GROUP BY r.doc_id""")
+FROM r LEFT JOIN sc USING (doc_id) WHERE r.held GROUP BY r.doc_id""")
 def lm_outside_model_scores(spark, sf_dir):
     """Held-out documents scored by an outside model through
     ``mapInPandas`` (model built once per task from a broadcast of the capped
     training vocabulary - at most 5,000 entries reach the driver)."""
     from ..operators.scoring import score_with
-    split = fr_docs_split(spark, sf_dir)
+    split = fr_docs_holdout(spark, sf_dir)
     voc = train_vocab(split).where(F.col("id") >= 5).orderBy("id").limit(OUTSIDE_VOCAB)
     bc = spark.sparkContext.broadcast({r.tok: r.cnt for r in voc.collect()})
     test = split.where("split = 'test'").select("doc_id", "text")
@@ -388,7 +410,7 @@ cdf AS (SELECT ctx, tok, sum(w) OVER (PARTITION BY ctx ORDER BY w DESC, tok
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
                sum(w) OVER (PARTITION BY ctx) AS tot FROM tpn),
 g0 AS (SELECT doc_id || ':' || pos AS prompt_id, [toks[1]] AS out FROM tp)""")
-             .replace("WITH " + SQL_FR_SPLIT20, "WITH " + SQL_TEST_PARAS, 1)]
+             .replace("WITH " + SQL_FR_FRAC, "WITH " + SQL_TEST_PARAS, 1)]
     for k in range(steps):
         parts.append(f""",
 p{k + 1} AS (SELECT g.prompt_id, arg_min(cdf.tok, (cdf.cum, cdf.tok)) AS tok
@@ -408,7 +430,7 @@ def lm_generate_counts(spark, sf_dir, steps: int = GEN_STEPS):
     """Batch generation, one token per step for every prompt, by repeated
     L4 -> L5 -> L6 joins; lineage is cut each step with a reliable checkpoint.
     Output: prompt, generated length and text."""
-    split = fr_docs_split(spark, sf_dir)
+    split = fr_docs_holdout(spark, sf_dir)
     dist = cut_lineage(filtered_dist(split))
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
     state = paras.where(F.size("tokens") > 0).select(
