@@ -95,9 +95,15 @@ def report(runs: DataFrame, metric: str = "metric_1") -> DataFrame:
     return b.join(test, b.best_run_key == test.run_key, "left").drop("run_key")    # J8
 
 
-def pair_turns(conv: DataFrame, first: str = "user", second: str = "assistant") -> DataFrame:
-    """Each ``first`` turn with the ``second`` turn that follows it."""
-    a = conv.where(F.col("role") == first).select("conv_id", "turn", F.col("text").alias("prompt"))
-    b = conv.where(F.col("role") == second).select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("completion"))
-    return a.join(b, ["conv_id", "turn"], "inner")
+def pair_turns(conv: DataFrame, first: str = "user", second: str = "assistant",
+               value: str = "text", out: tuple[str, str] = ("prompt", "completion")) -> DataFrame:
+    """Each ``first`` turn with the ``second`` turn right after it.  Both
+    turns map to the pair key (conversation, first turn) and one aggregation
+    puts them side by side - a single pass instead of a self-join."""
+    pair_turn = F.when(F.col("role") == first, F.col("turn")).otherwise(F.col("turn") - 1)
+    keyed = conv.where(F.col("role").isin(first, second)).select(
+        "conv_id", pair_turn.alias("turn"), "role", value)
+    g = keyed.groupBy("conv_id", "turn").agg(
+        F.first(F.when(F.col("role") == first, F.col(value)), ignorenulls=True).alias(out[0]),
+        F.first(F.when(F.col("role") == second, F.col(value)), ignorenulls=True).alias(out[1]))
+    return g.where(F.col(out[0]).isNotNull() & F.col(out[1]).isNotNull())

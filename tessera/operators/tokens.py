@@ -43,17 +43,19 @@ def encode(df: DataFrame, key, vocab: DataFrame, tokens: str = "tokens",
            out: str = "input_ids") -> DataFrame:
     """K3: token array -> id array, unknown tokens -> ``<unk>``.  Tokens are
     exploded, looked up in the (bounded) vocabulary by broadcast join and put
-    back in order; only (key, pos, id) rows are shuffled."""
+    back in order by one aggregation, which also carries the other columns
+    (``collect_list`` combines map-side, so about one row per key is
+    shuffled).  Rows without tokens keep an empty array."""
     keys = [key] if isinstance(key, str) else list(key)
-    ex = (df.select(*keys, F.posexplode_outer(tokens).alias("pos", "tok"))
-          .where(F.col("tok").isNotNull()))
+    others = [c for c in df.columns if c not in keys and c != tokens]
+    ex = df.select(*keys, *others, posexplode_nonempty(tokens).alias("pos", "tok"))
     ids = (ex.join(F.broadcast(vocab.select("tok", "id")), "tok", "left")
-           .select(*keys, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))
-    back = ids.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    enc = back.select(*keys, F.transform("_p", lambda s: s["id"]).alias(out))
-    # documents without tokens keep an empty array
-    return df.join(enc, keys, "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+           .select(*keys, *others, "pos",
+                   F.when(F.col("pos").isNotNull(), F.coalesce("id", F.lit(UNK_ID))).alias("id")))
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
+    back = ids.groupBy(*keys).agg(*[F.first(c).alias(c) for c in others],
+                                  F.array_sort(F.collect_list(item)).alias("_p"))
+    return back.select(*keys, *others, F.transform("_p", lambda s: s["id"]).alias(out))
 
 
 def decode(df: DataFrame, key, vocab: DataFrame, ids: str = "input_ids",

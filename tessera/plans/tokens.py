@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.text import (count_tokens, explode_nonempty, posexplode_nonempty, split_sentences,
                               tokenize, truncate_at_punct)
 from ..operators import tokens as tk
+from ..operators.experiments import pair_turns
 from ..operators.splits import split_fixed
+from ..session import cut_lineage
 from ..sources.tables import load
 from .registry import query
 
@@ -35,15 +37,17 @@ enc AS (SELECT ct.conv_id, ct.turn, ct.role, coalesce(ids.input_ids, CAST([] AS
 
 
 def vocab(spark, sf_dir):
+    """K2 over all documents, written once (at most VOCAB_MAX + 5 rows): the
+    encode and the decode read it instead of re-tokenising the corpus."""
     toks = (load(spark, sf_dir, "documents").select(explode_nonempty(tokenize("text")).alias("tok"))
             .where(F.col("tok").isNotNull()))
-    return tk.build_vocab(toks, "tok", MIN_COUNT, VOCAB_MAX)
+    return cut_lineage(tk.build_vocab(toks, "tok", MIN_COUNT, VOCAB_MAX), "vocab")
 
 
-def encoded_turns(spark, sf_dir):
+def encoded_turns(spark, sf_dir, voc=None):
     c = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role",
                                                     tokenize("text").alias("tokens"))
-    return tk.encode(c, ["conv_id", "turn"], vocab(spark, sf_dir)).drop("tokens")
+    return tk.encode(c, ["conv_id", "turn"], voc if voc is not None else vocab(spark, sf_dir))
 
 
 @query("tokens_per_doc", f"""
@@ -110,12 +114,9 @@ SELECT conv_id, turn,
 FROM k""")
 def encode_pair(spark, sf_dir):
     """K5: prompt and completion encoded as a pair, longest side cut first."""
-    e = encoded_turns(spark, sf_dir)
-    a = e.where("role = 'user'").select("conv_id", "turn", F.col("input_ids").alias("a"))
-    b = e.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"),
-                                              F.col("input_ids").alias("b"))
+    pairs = pair_turns(encoded_turns(spark, sf_dir), value="input_ids", out=("a", "b"))
     ia, ib = tk.truncate_pair("a", "b", PAIR_BUDGET)
-    return a.join(b, ["conv_id", "turn"]).select("conv_id", "turn", ia.alias("ids_a"), ib.alias("ids_b"))
+    return pairs.select("conv_id", "turn", ia.alias("ids_a"), ib.alias("ids_b"))
 
 
 @query("decode_roundtrip", f"""WITH {SQL_VOCAB},
@@ -127,7 +128,8 @@ SELECT ct.conv_id, ct.turn, coalesce(kept.text, '') AS text FROM ct LEFT JOIN ke
 def decode_roundtrip(spark, sf_dir):
     """decode(encode(text)): in-vocabulary tokens joined by spaces,
     ``<unk>`` and other special ids skipped."""
-    return tk.decode(encoded_turns(spark, sf_dir), ["conv_id", "turn"], vocab(spark, sf_dir))
+    voc = vocab(spark, sf_dir)
+    return tk.decode(encoded_turns(spark, sf_dir, voc), ["conv_id", "turn"], voc)
 
 
 @query("argmax_embedding", """
