@@ -248,6 +248,22 @@ def article_parse(spark, sf_dir):
     return H.parse_article(load(spark, sf_dir, "pages"), "page_id", "html")
 
 
+@query("stream_article_parse", f"WITH {SQL_PAGES} SELECT page_id, ok, content FROM ap")
+def stream_article_parse(spark, sf_dir):
+    """T15 under Structured Streaming: the pages are landed as files in the
+    shared folder, parsed by a ``readStream`` query (available-now trigger,
+    two files per micro-batch) into a Parquet sink, and the sink is read back."""
+    from ..streaming.corpus_stream import article_stream, write_parquet_stream
+    landed = scratch_path(spark, "landed_pages")
+    load(spark, sf_dir, "pages").write.parquet(landed)
+    out, ckpt = scratch_path(spark, "stream_articles"), scratch_path(spark, "stream_articles_ckpt")
+    q = write_parquet_stream(article_stream(spark, landed, max_files_per_trigger=2), out, ckpt)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out).select("page_id", "ok", "content")
+
+
 @query("clean_paragraphs", f"""WITH {SQL_PAGES}
 SELECT page_id, CAST(generate_subscripts(content, 1) - 1 AS INTEGER) AS pos, unnest(content) AS paragraph
 FROM ap WHERE ok""")

@@ -169,6 +169,30 @@ def lm_unigram_perplexity(spark, sf_dir):
     return ngram.unigram_perplexity(toks.where("split = 'train'"), toks.where("split = 'test'"))
 
 
+@query("stream_token_counts", f"""
+SELECT tok, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(text, '{TOKEN_RE}')) AS tok FROM documents)
+GROUP BY tok""")
+def stream_token_counts(spark, sf_dir):
+    """L1 (unigram counts) as a stateful Structured Streaming aggregation over
+    landed document files; each micro-batch replaces a Parquet table in the
+    shared folder with the running counts, read back at the end."""
+    from ..session import scratch_path
+    from ..streaming.corpus_stream import token_count_stream, write_counts_stream
+    landed = scratch_path(spark, "landed_docs")
+    load(spark, sf_dir, "documents").select("doc_id", "text").write.parquet(landed)
+    table, ckpt = scratch_path(spark, "stream_counts"), scratch_path(spark, "stream_counts_ckpt")
+
+    def sink(batch, _epoch):
+        batch.write.mode("overwrite").parquet(table)
+
+    docs = spark.readStream.schema("doc_id long, text string").option("maxFilesPerTrigger", 2).parquet(landed)
+    q = write_counts_stream(token_count_stream(docs), sink, ckpt, mode="complete")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(table).select("tok", "cnt")
+
+
 @query("lm_paragraph_scan", """
 WITH r AS (SELECT doc_id, text,
                   row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM documents),

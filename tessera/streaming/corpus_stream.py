@@ -45,11 +45,21 @@ def write_jsonl_stream(df: DataFrame, out_dir: str, checkpoint_location: str,
     return w.start()
 
 
+def write_parquet_stream(df: DataFrame, out_dir: str, checkpoint_location: str,
+                         available_now: bool = True) -> StreamingQuery:
+    """Append to a Parquet sink (exactly-once file commits)."""
+    w = (df.writeStream.format("parquet").option("path", out_dir)
+         .option("checkpointLocation", checkpoint_location).outputMode("append"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
+
+
 def write_counts_stream(df: DataFrame, sink, checkpoint_location: str,
-                        available_now: bool = True) -> StreamingQuery:
-    """Hand each micro-batch of updated counts to ``sink(batch_df, epoch_id)``
-    (e.g. a MERGE into a table); update mode emits only changed tokens."""
-    w = (df.writeStream.outputMode("update").foreachBatch(sink)
+                        available_now: bool = True, mode: str = "update") -> StreamingQuery:
+    """Hand each micro-batch of counts to ``sink(batch_df, epoch_id)`` (e.g. a
+    MERGE into a table); ``update`` mode emits only changed tokens,
+    ``complete`` the whole state."""
+    w = (df.writeStream.outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
