@@ -70,7 +70,8 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     plan after it starts from a file scan with pushdown and pruning."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: no footer-reading job to infer it again
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def local_path(path: str) -> str:

@@ -44,3 +44,34 @@ def test_offsets_window_is_partitioned_by_block(spark):
     df = spark.range(1000).withColumn("n", F.lit(2))
     p = plan(global_offsets(df, ["id"], "n", blocks=4))
     assert "hashpartitioning(_tsr_blk" in p
+
+
+def test_index_anchors_scan_pages_once(spark):
+    from tessera.operators.html import index_anchors
+    path = scratch_path(spark, "pages_plan")
+    spark.createDataFrame([(1, '<span class="a" id="b">2004</span><li>1 <a href="/wiki/X" title="Y">')],
+                          "page_id long, html string").write.parquet(path)
+    p = plan(index_anchors(spark.read.parquet(path)))
+    assert p.count("FileScan parquet") == 1
+
+
+def test_encode_reads_input_once(spark):
+    from tessera.operators import tokens as tk
+    path = scratch_path(spark, "docs_plan")
+    spark.createDataFrame([(1, "a b"), (2, "")], "k long, text string").write.parquet(path)
+    docs = spark.read.parquet(path).select("k", tokenize("text").alias("tokens"))
+    voc = spark.createDataFrame([(5, "a")], "id int, tok string")
+    enc = tk.encode(docs, "k", voc)
+    assert plan(enc).count("FileScan parquet") == 1
+    assert {r.k: r.input_ids for r in enc.collect()} == {1: [5, 2], 2: []}
+
+
+def test_report_has_no_nested_loop(spark):
+    runs = spark.createDataFrame(
+        [(0, "a", 1e-5, 8, 0, "dev", 0.5, 0.1, 1.0), (0, "a", 1e-5, 8, 0, "test", 0.4, 0.1, 1.0)],
+        "run_idx long, run_key string, learning_rate double, batch_size int, seed int, phase string, "
+        "metric_1 double, metric_2 double, loss double")
+    r = X.report(runs)
+    p = plan(r)
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert r.first().best_run_key == "a"
