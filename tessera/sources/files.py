@@ -67,6 +67,16 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     raise ValueError(f"unsupported file type: {path} (csv, tsv, json or jsonl)")
 
 
+def read_payload_files(spark: SparkSession, path: str, key: str = "ref") -> DataFrame:
+    """Landed payload files, one document per file: ``(ref, payload)``
+    with ``ref`` = the file name without its extension (``wholetext`` keeps
+    each file in one row)."""
+    raw = spark.read.text(path, wholetext=True)
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1)
+    return raw.select(F.reflect(F.lit("java.net.URLDecoder"), F.lit("decode"), name, F.lit("UTF-8"))
+                      .alias(key), F.col("value").alias("payload"))
+
+
 def read_splits(spark: SparkSession, paths: dict[str, str], reader) -> DataFrame:
     """One path per split -> one dataset with a ``split`` column."""
     parts = [reader(spark, p).withColumn("split", F.lit(name)) for name, p in paths.items()]

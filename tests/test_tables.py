@@ -86,3 +86,17 @@ def test_jsonl_keeps_nulls(spark):
     files.write_jsonl(df, p)
     text = spark.read.text(p).first().value
     assert '"date":null' in text
+
+
+def test_read_payload_files(spark, tmp_dir):
+    import os
+    from tessera.operators.html import parse_article
+    d = os.path.join(tmp_dir, "payloads")
+    os.makedirs(d)
+    with open(os.path.join(d, "Aé_1.xml"), "w", encoding="utf-8") as f:
+        f.write("<api><extract>&lt;p&gt;un\ndeux&lt;/p&gt;</extract></api>")
+    with open(os.path.join(d, "B.xml"), "w", encoding="utf-8") as f:
+        f.write("<api/>")
+    df = files.read_payload_files(spark, d)
+    got = {r.ref: (r.content, r.ok) for r in parse_article(df, "ref", "payload", tag="extract").collect()}
+    assert got == {"Aé_1": (["un\ndeux"], True), "B": (None, False)}
