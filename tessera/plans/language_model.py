@@ -1,9 +1,12 @@
-"""Language-model evaluation queries.
-
-Data: French ``documents``; the held-out part is the first 20 documents in
-seeded md5 order (R2), the rest trains the count model.  Paragraphs are lines
-of ``text`` (FIXTURES 6), right-stripped, blanks dropped, in (doc_id, pos)
-order - the reference's concatenated test set.
+"""Language-model evaluation queries (S6, P1, P2, P13, K1, K3, K6-K8, L1-L8, A12,
+plus the streaming token counts).
+
+Data: French ``documents``.  The held-out part is a seeded md5 draw of 10% of
+the documents (so the scored stream grows with the table); the rest trains
+the count model.  The minimum slice ``lm_unigram_perplexity`` keeps SURVEY 7's
+rule: the first 20 documents in seeded order.  Paragraphs are lines of
+``text`` (FIXTURES 6), right-stripped, blanks dropped, in (doc_id, pos) order -
+the reference's concatenated test set.
 """
 
 from __future__ import annotations
