@@ -21,12 +21,14 @@ from .metrics import accuracy, f1_binary
 
 
 def featurize(df: DataFrame, text: str = "text", num_features: int = 1 << 16) -> DataFrame:
-    """Token counts hashed to ``num_features`` dimensions, IDF-weighted."""
+    """Token counts hashed to ``num_features`` dimensions, IDF-weighted.  With
+    a ``split`` column the IDF is fitted on the training rows only."""
     tok = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False,
                          toLowercase=False)
     tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
     idf = IDF(inputCol="_tf", outputCol="features")
-    model = Pipeline(stages=[tok, tf, idf]).fit(df)
+    fit_on = df.where(F.col("split") == "train") if "split" in df.columns else df
+    model = Pipeline(stages=[tok, tf, idf]).fit(fit_on)
     return model.transform(df).drop("_tokens", "_tf")
 
 
