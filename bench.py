@@ -30,7 +30,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(4, 2 * cpus),
+    parts = int(os.environ.get("BENCH_PARTS", str(2 * cpus)))
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(1, parts),
                         extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "4g"),
                                # small inputs: keep at least one partition per core after AQE
                                "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(cpus),
