@@ -252,12 +252,13 @@ def article_parse(spark, sf_dir):
 def stream_article_parse(spark, sf_dir):
     """T15 under Structured Streaming: the pages are landed as files in the
     shared folder, parsed by a ``readStream`` query (available-now trigger,
-    two files per micro-batch) into a Parquet sink, and the sink is read back."""
+    up to 64 files per micro-batch) into a Parquet sink, and the sink is read
+    back."""
     from ..streaming.corpus_stream import article_stream, write_parquet_stream
     landed = scratch_path(spark, "landed_pages")
     load(spark, sf_dir, "pages").write.parquet(landed)
     out, ckpt = scratch_path(spark, "stream_articles"), scratch_path(spark, "stream_articles_ckpt")
-    q = write_parquet_stream(article_stream(spark, landed, max_files_per_trigger=2), out, ckpt)
+    q = write_parquet_stream(article_stream(spark, landed, max_files_per_trigger=64), out, ckpt)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

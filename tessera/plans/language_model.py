@@ -177,23 +177,25 @@ SELECT tok, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(text, '{TOKEN
 GROUP BY tok""")
 def stream_token_counts(spark, sf_dir):
     """L1 (unigram counts) as a stateful Structured Streaming aggregation over
-    landed document files; each micro-batch replaces a Parquet table in the
-    shared folder with the running counts, read back at the end."""
+    landed document files.  In update mode each micro-batch appends only the
+    tokens whose running count changed (with its epoch) to a Parquet table in
+    the shared folder, so a batch costs what it changed, not the whole
+    vocabulary; running counts only grow, so the latest is the largest."""
     from ..session import scratch_path
     from ..streaming.corpus_stream import token_count_stream, write_counts_stream
     landed = scratch_path(spark, "landed_docs")
     load(spark, sf_dir, "documents").select("doc_id", "text").write.parquet(landed)
     table, ckpt = scratch_path(spark, "stream_counts"), scratch_path(spark, "stream_counts_ckpt")
 
-    def sink(batch, _epoch):
-        batch.write.mode("overwrite").parquet(table)
+    def sink(batch, epoch):
+        batch.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(table)
 
-    docs = spark.readStream.schema("doc_id long, text string").option("maxFilesPerTrigger", 2).parquet(landed)
-    q = write_counts_stream(token_count_stream(docs), sink, ckpt, mode="complete")
+    docs = spark.readStream.schema("doc_id long, text string").option("maxFilesPerTrigger", 64).parquet(landed)
+    q = write_counts_stream(token_count_stream(docs), sink, ckpt, mode="update")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(table).select("tok", "cnt")
+    return spark.read.parquet(table).groupBy("tok").agg(F.max("cnt").alias("cnt"))
 
 
 @query("lm_paragraph_scan", """
