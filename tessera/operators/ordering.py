@@ -76,16 +76,25 @@ def key_boundaries(df: DataFrame, order_cols: Sequence[str], blocks: int,
 
 
 def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | None = None,
-                   out: str = "offset", blocks: int | None = None) -> DataFrame:
+                   out: str = "offset", blocks: int | None = None,
+                   bound_keys: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = exclusive running sum of ``size_col`` (1 per row when None)
     over the global ascending order of ``order_cols`` (which must be unique and
-    not null)."""
+    not null).
+
+    ``bound_keys`` (optional) is a cheap DataFrame holding a *prefix* of the
+    order columns (e.g. the document ids behind paragraph rows); boundaries
+    are then sampled from it instead of from ``df``, so the sample job does not
+    recompute ``df``.  Rows sharing that prefix stay in one block."""
     spark = df.sparkSession
     blocks = min(blocks or default_blocks(spark), MAX_BLOCKS)
-    types = [df.schema[c].dataType for c in order_cols]
-    bounds = key_boundaries(df, order_cols, blocks)
+    bcols = list(bound_keys.columns) if bound_keys is not None else list(order_cols)
+    if bcols != list(order_cols)[:len(bcols)]:
+        raise ValueError("bound_keys must hold a prefix of order_cols")
+    types = [df.schema[c].dataType for c in bcols]
+    bounds = key_boundaries(bound_keys if bound_keys is not None else df, bcols, blocks)
     size = F.col(size_col).cast("long") if size_col else F.lit(1).cast("long")
-    keyed = df.withColumn(_BLK, block_of([F.col(c) for c in order_cols], bounds, types))
+    keyed = df.withColumn(_BLK, block_of([F.col(c) for c in bcols], bounds, types))
     w = (Window.partitionBy(_BLK).orderBy(*order_cols)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     running = keyed.withColumn("_tsr_incl", F.sum(size).over(w))

@@ -133,13 +133,13 @@ def argmax(col) -> Column:
 # --------------------------------------------------------------------------
 
 def token_stream(paras: DataFrame, order_cols: list[str], tokens: str = "tokens",
-                 blocks: int | None = None) -> DataFrame:
+                 blocks: int | None = None, bound_keys: DataFrame | None = None) -> DataFrame:
     """Add ``start`` = global offset of each row's first token in the
     order of ``order_cols`` (distributed prefix sum), and ``n`` = its tokens.
     Rows without tokens keep their place (``n = 0``); no filter is put on the
     computed array here, which would make Catalyst evaluate it twice."""
     p = paras.withColumn("n", F.size(tokens))
-    return global_offsets(p, order_cols, "n", "start", blocks)
+    return global_offsets(p, order_cols, "n", "start", blocks, bound_keys)
 
 
 def stream_tokens(stream: DataFrame, tokens: str = "tokens") -> DataFrame:

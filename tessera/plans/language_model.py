@@ -132,7 +132,8 @@ def test_stream(spark, sf_dir):
     windows."""
     split = fr_docs_holdout(spark, sf_dir)
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
-    stream = cut_lineage(tk.token_stream(paras, ["doc_id", "pos"], "tokens"))
+    held_ids = split.where("split = 'test'").select("doc_id")      # boundaries from ids only
+    stream = cut_lineage(tk.token_stream(paras, ["doc_id", "pos"], "tokens", bound_keys=held_ids))
     return split, stream
 
 

@@ -31,3 +31,14 @@ def test_block_tree(spark):
     from pyspark.sql.types import LongType
     out = [r.b for r in df.select(block_of([F.col("v")], bounds, [LongType()]).alias("b")).collect()]
     assert out == [0, 1, 1, 2, 2, 3, 3]
+
+
+def test_offsets_with_prefix_boundaries(spark):
+    rows = [(d, p, (d * 3 + p) % 4) for d in range(40) for p in range(5)]
+    df = spark.createDataFrame(rows, "d long, p long, n long")
+    ids = spark.createDataFrame([(d,) for d in range(40)], "d long")
+    got = {(r.d, r.p): r.offset for r in global_offsets(df, ["d", "p"], "n", blocks=6, bound_keys=ids).collect()}
+    acc = 0
+    for d, p, n in rows:
+        assert got[(d, p)] == acc
+        acc += n
