@@ -52,3 +52,18 @@ def test_read_table_csv(spark):
     spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string").coalesce(1).write.option("header", True).csv(p)
     got = sorted((r.a, r.b) for r in files.read_table(spark, p).collect())
     assert got == [(1, "x"), (2, "y")]
+
+
+def test_argument_validation(spark):
+    import pytest
+    from tessera.operators import tokens as tk
+    from tessera.operators.ordering import global_offsets
+    toks = spark.createDataFrame([(0, 1)], "g long, id int")
+    with pytest.raises(ValueError):
+        tk.strided_windows(toks, F.lit(1), 2, 3)
+    st = spark.createDataFrame([(0, "a", None)], "g long, tok string, prev string")
+    with pytest.raises(ValueError):
+        ngram.stream_targets(st, F.lit(1), 4, 4, weighting="mean")
+    df = spark.createDataFrame([(1, 2)], "a long, b long")
+    with pytest.raises(ValueError):
+        global_offsets(df, ["a", "b"], bound_keys=df.select("b"))
