@@ -142,9 +142,10 @@ def split_task_code(col) -> tuple[Column, Column]:
 
 def normalize_split(col) -> Column:
     """File path -> split: the last path component named ``valid_0``,
-    ``test_0`` or ``train_0`` (optionally ``.xlm`` and an extension) gives
-    ``dev``, ``test`` or ``train``; other names give null."""
-    stem = F.regexp_extract(_c(col), r"(?:^|/)(train|valid|test)_0(?:\.xlm)?(?:\.[A-Za-z0-9]+)*(?:/[^/]*)?$", 1)
+    ``test_0`` or ``train_0`` (optionally ``.xlm`` and an extension, or as the
+    value of a ``key=value`` directory) gives ``dev``, ``test`` or ``train``;
+    other names give null."""
+    stem = F.regexp_extract(_c(col), r"(?:^|/|=)(train|valid|test)_0(?:\.xlm)?(?:\.[A-Za-z0-9]+)*(?:/[^/]*)?$", 1)
     return (F.when(stem == "valid", F.lit("dev"))
             .when(stem == "train", F.lit("train"))
             .when(stem == "test", F.lit("test")))

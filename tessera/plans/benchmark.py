@@ -150,12 +150,10 @@ def split_union_counts(spark, sf_dir):
     d = split_fixed(load(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
     base = scratch_path(spark, "splits")
     names = {"train": "train_0.tsv", "validation": "valid_0.tsv", "test": "test_0.tsv"}
-    paths = {}
-    for split, fname in names.items():
-        src = "valid" if split == "validation" else split
-        p = f"{base}/{fname}"
-        files.write_tsv(d.where(F.col("split") == src).select("doc_id", "n_chars"), p)
-        paths[split] = p
+    fname = F.concat(F.col("split"), F.lit("_0.tsv"))
+    # one pass over the documents writes all three file sets
+    files.write_tsv(d.select("doc_id", "n_chars", fname.alias("file")), base, partition_by="file")
+    paths = {split: f"{base}/file={f}" for split, f in names.items()}
     u = files.read_splits(spark, paths, lambda s, p: files.read_tsv(s, p, "doc_id bigint, n_chars bigint"))
     u = files.with_file_split(u, "file_split")
     return u.groupBy("split", "file_split").agg(F.count(F.lit(1)).alias("n"),

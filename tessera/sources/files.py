@@ -31,8 +31,12 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType | str, header: b
     return r.csv(path)
 
 
-def write_tsv(df: DataFrame, path: str, header: bool = False) -> str:
+def write_tsv(df: DataFrame, path: str, header: bool = False, partition_by: str | None = None) -> str:
+    """TSV sink (no quoting, white space kept); with ``partition_by`` one
+    directory per value, written in a single pass."""
     w = df.write.mode("overwrite").option("header", header)
+    if partition_by:
+        w = w.partitionBy(partition_by)
     for k, v in TSV_WRITE.items():
         w = w.option(k, v)
     w.csv(path)
