@@ -357,12 +357,13 @@ sp AS (SELECT ref, date, title, content,
               CASE WHEN rn <= 60 THEN 'test' WHEN rn <= 120 THEN 'valid' ELSE 'train' END AS split FROM rr)"""
 
 
-def corpus_records(spark, sf_dir, n_test=N_TEST, n_valid=N_VALID):
+def corpus_records(spark, sf_dir, n_test=N_TEST, n_valid=N_VALID, listing=None):
     """The corpus build: deduplicated listings with content, seeded split.
     The records are written once to the shared folder: the split's top-k and
     the sink both read them instead of re-running the index parse and the
     content join."""
-    arts = C.dedup_refs(index_articles_df(spark, sf_dir), ["page_id", "ord"])
+    listing = listing if listing is not None else index_articles_df(spark, sf_dir)
+    arts = C.dedup_refs(listing, ["page_id", "ord"])
     rec = C.attach_content(arts, fetched(spark, sf_dir)).select("ref", "date", "title", "content")
     rec = cut_lineage(rec, "corpus_records")
     return split_fixed(rec, "ref", n_test=n_test, n_valid=n_valid, seed=42)
@@ -398,8 +399,9 @@ SELECT 0 AS set, ref, date, title FROM good UNION ALL SELECT 1, ref, date, title
 def extend_train(spark, sf_dir):
     """Good articles (here the urgent orders' listings) first, then the
     training split, as a bag with a set ordinal."""
-    good = index_articles_df(spark, sf_dir).where(F.col("title").contains("URGENT"))
-    train = corpus_records(spark, sf_dir).where("split = 'train'")
+    listing = cut_lineage(index_articles_df(spark, sf_dir), "listing")    # parsed once, read twice
+    good = listing.where(F.col("title").contains("URGENT"))
+    train = corpus_records(spark, sf_dir, listing=listing).where("split = 'train'")
     return C.extend_train(good.select("ref", "date", "title"), train.select("ref", "date", "title"))
 
 
