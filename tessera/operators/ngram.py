@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import NOT_SCORED, TOP_K, TOP_P
+from ..constants import TOP_K, TOP_P
 from ..functions.text import explode_nonempty, md5_unit
 from ..session import cut_lineage
 
@@ -210,7 +210,3 @@ def sample_next(prompts: DataFrame, dist: DataFrame, id_col: str, n: int = 1,
         F.min_by(F.struct("tok", "p"), F.struct("cum", "tok")).alias("pick"))
     return pick.select(id_col, "draw", F.col("pick.tok").alias("tok"),
                        F.col("pick.p").alias("p"))
-
-
-def mask_value() -> Column:
-    return F.lit(NOT_SCORED)

@@ -106,7 +106,7 @@ def index_pages(spark, sf_dir):
     base = it.withColumn("page", F.floor(F.col("o_orderkey") / 256).cast("long"))
     yearly = it.withColumn("page", ((F.col("y").cast("long") - 1900) * 10000000000000
                                     + F.floor(F.col("o_orderkey") / 1024)).cast("long"))
-    return H.render_index_pages(base.unionByName(yearly), "page", "y", "ref", "title", "o_orderkey")
+    return H.render_index_pages(C.union_pages([base, yearly]), "page", "y", "ref", "title", "o_orderkey")
 
 
 def index_articles_df(spark, sf_dir):

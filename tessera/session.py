@@ -77,11 +77,6 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for python-side file listing in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
 # Blocks of the distributed prefix sums: one per shuffle partition, capped so
 # that the boundary sample collected on the driver stays small (<= 64 keys
 # per block, so at most 131,072 keys).

@@ -88,3 +88,18 @@ def test_script_is_dropped_before_paragraphs(spark):
     html = '<script>var t="</p>";</script><article><p>a &amp; b</p><p>c</p></article>'
     r = H.parse_article(spark.createDataFrame([(1, html)], "id long, h string"), "id", "h").first()
     assert r.content == ["a & b", "c"] and r.ok
+
+
+def test_match_offsets_single_pattern(spark):
+    body = "ab <li>1 x <li>22 y\n<li>3"
+    pages = spark.createDataFrame([(1, body)], "page_id long, html string")
+    got = [(r.start, r.n) for r in H.match_offsets(pages, "page_id", "html", r"<li>(\d+)", {"n": 1})
+           .orderBy("start").collect()]
+    assert got == [(m.start(0), m.group(1)) for m in re.finditer(r"<li>(\d+)", body)]
+
+
+def test_numeric_character_references(spark):
+    from tessera.functions.udfs import decode_char_refs
+    r = spark.createDataFrame([("caf&#233; &#xE9;t&#233; &amp;#233;",)], "s string").select(
+        decode_char_refs("s").alias("o")).first()
+    assert r.o == "café été &amp;#233;"
