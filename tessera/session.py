@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,11 +56,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver was started
+    from: a zip of its modules, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-ship-"), f"{os.path.basename(here)}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
