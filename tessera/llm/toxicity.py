@@ -1,8 +1,10 @@
 """Toxic passages by maximum-scoring segments.
 
 Token weights are log-odds of the toxic against the clean labelled documents
-with a Dirichlet prior from the word counts of the whole corpus; words whose
-log-odds are not significant weigh nothing.  Every token also costs a small
+(by documents that hold the word) with a Dirichlet prior from the counts of the
+whole corpus, taken at their lower confidence bound; words whose log-odds are
+not significant weigh nothing, and a word outside the lexicon has the weight of
+its first letters.  Every token also costs a small
 drift, so that the mean weight of clean text is below zero.  One linear scan
 finds all maximal segments (Ruzzo and Tompa).  Segment scores are calibrated
 by extreme-value statistics (Karlin and Altschul): lambda solves
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import cut, small_batches
 
 TOKEN = re.compile(r"[^\W_]+")
+#: Letters of a word's stem, to which words outside the lexicon back off.
+STEM = 4
 OUT = "n_tokens int, evidence double, passages array<struct<start:int,end:int,score:double>>"
 
 
@@ -40,10 +44,12 @@ class Settings:
     max_labelled: int = 200_000
     #: Words with the most significant log-odds that the model holds, at most.
     max_lexicon: int = 200_000
-    #: Weight of the corpus prior, as a share of the labelled tokens.
-    prior: float = 0.05
-    #: Least absolute z of a word's log-odds, and least documents with the word.
-    min_z: float = 4.0
+    #: Weight of the corpus prior, as a share of the labelled counts.
+    prior: float = 0.01
+    #: Least absolute z of a word's log-odds, standard deviations taken off
+    #: them, and least documents with the word.
+    min_z: float = 5.0
+    shrink: float = 3.0
     min_docs: int = 5
     #: Mean weight of a token of clean text.
     drift: float = 0.1
@@ -107,12 +113,12 @@ def labelled(labels: DataFrame, settings: Settings) -> DataFrame:
 
 def _counted(flush: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        everywhere, docs = Counter(), (Counter(), Counter())
+        everywhere, docs = Counter(), (Counter(), Counter(), Counter())
 
         def rows():
             keys = list(everywhere)
-            out = pd.DataFrame({"word": keys, "n": [everywhere[k] for k in keys],
-                                "clean": [docs[0][k] for k in keys], "toxic": [docs[1][k] for k in keys]})
+            out = pd.DataFrame({"word": keys, "n": [everywhere[k] for k in keys]}
+                               | {name: [c[k] for k in keys] for name, c in zip(("clean", "toxic", "other"), docs)})
             for c in (everywhere, *docs):
                 c.clear()
             return out
@@ -120,9 +126,9 @@ def _counted(flush: int):
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 found = tokens(text)
+                found += [t[:STEM] + "*" for t in found if len(t) > STEM]
                 everywhere.update(found)
-                if toxic >= 0:
-                    docs[1 if toxic else 0].update(set(found))
+                docs[2 if toxic < 0 else 1 if toxic else 0].update(set(found))
                 if len(everywhere) > flush:
                     yield rows()
         yield rows()
@@ -140,21 +146,23 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         return None
     marked = docs.select("doc_id", "text").join(F.broadcast(train), "doc_id", "left")  # at most max_labelled rows
     parts = marked.select("text", F.coalesce(F.col("toxic"), F.lit(-1)).alias("toxic")).mapInPandas(
-        _counted(settings.flush), "word string, n long, clean long, toxic long")
-    counts = cut(parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "clean", "toxic")]), "tox-words")
-    n, n0, n1 = counts.agg(F.sum("n"), F.sum("clean"), F.sum("toxic")).first()
+        _counted(settings.flush), "word string, n long, clean long, toxic long, other long")
+    counts = cut(parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "clean", "toxic", "other")]), "tox-words")
+    n, n0, n1, n2 = counts.agg(*[F.sum(c) for c in ("n", "clean", "toxic", "other")]).first()
     if not n0 or not n1:
         return None
     a0 = settings.prior * (n0 + n1)
-    a = F.col("n") * (a0 / n)
+    a = (F.col("clean") + F.col("toxic") + F.col("other")) * (a0 / (n0 + n1 + n2))
     y1, y0 = F.col("toxic") + a, F.col("clean") + a
-    # a word and its share of the other class's size; both odds use the same prior
     delta = F.log(y1 / (n1 + a0 - y1)) - F.log(y0 / (n0 + a0 - y0))
-    z = delta / F.sqrt(1 / y1 + 1 / y0)
+    sd = F.sqrt(1 / y1 + 1 / y0)
     known = (counts.where(F.col("toxic") + F.col("clean") >= settings.min_docs)
-             .select("word", delta.alias("delta"), z.alias("z"), (y0 / (n0 + a0)).alias("p"))
-             .where(F.abs("z") >= settings.min_z))
-    top = known.orderBy(F.abs("z").desc(), "word").limit(settings.max_lexicon).collect()
+             .select("word", delta.alias("delta"), sd.alias("sd"), (F.col("n") / n).alias("p"),
+                     (y0 / (n0 + a0) / ((y0 + y1) / (n0 + n1 + 2 * a0))).alias("clean_share"))
+             .where(F.abs(F.col("delta") / F.col("sd")) >= settings.min_z)
+             .select("word", (F.signum("delta") * (F.abs("delta") - settings.shrink * F.col("sd"))).alias("delta"),
+                     F.abs(F.col("delta") / F.col("sd")).alias("z"), (F.col("p") * F.col("clean_share")).alias("p")))
+    top = known.orderBy(F.col("z").desc(), "word").limit(settings.max_lexicon).collect()
     p = np.array([r.p for r in top] + [max(1e-9, 1 - sum(r.p for r in top))])
     s = np.array([r.delta for r in top] + [0.0])
     shift = float((p * s).sum()) + settings.drift
@@ -209,7 +217,8 @@ def _logistic(rows: list[tuple[float, int, int]]) -> tuple[float, float]:
 
 def _weights(model: Model, text: str | None) -> np.ndarray:
     get, rest = model.lexicon.get, model.neutral
-    return np.array([get(t, rest) for t in tokens(text)], dtype=float)
+    return np.array([w if (w := get(t)) is not None else get(t[:STEM] + "*", rest) if len(t) > STEM else rest
+                     for t in tokens(text)], dtype=float)
 
 
 def _best(model: Model):
