@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.sources.tables import load
 
-from . import decontaminate, packing, secrets, simhash, toxicity
+from . import chat, decontaminate, license_scan, packing, pii, quality, secrets, sharding, simhash, toxicity
 from .common import documents
 
 QUERIES: dict = {}
@@ -30,11 +30,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op2_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(documents(spark, sf_dir)))
+
+
 @query("op3_secrets")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(documents(spark, sf_dir)))
 
 
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
 @query("op5_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.pack(documents(spark, sf_dir))
@@ -54,3 +64,21 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_decontamination")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaking(documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
+
+
+@query("op8_license", license_scan.sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
+@query("op9_chat", chat.SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_trap(load(spark, sf_dir, "conversations"), spark)
+    return chat.digest(chat.read_back(chat.render(rows)))
+
+
+@query("op10_sharding")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot", "version")
