@@ -61,7 +61,8 @@ def _scan(xs: Column, base: Column) -> Column:
 
 def running_starts(lengths: Column, step: int = 128) -> Column:
     """Sum of the lengths before each entry.  Runs of ``step`` entries are
-    summed first, so a long array costs far less than its square."""
+    summed first, so a long array costs far less than its square.  ``lengths``
+    should be a column, not an expression."""
     chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / step).cast("int")),
                          lambda c: F.slice(lengths, c * step + 1, step))
     sums = F.transform(chunks, lambda ch: F.aggregate(ch, F.lit(0), lambda a, x: (a + x).cast("int")))
@@ -76,7 +77,7 @@ def with_matches(df: DataFrame, out: str, text: str, pattern: str, group: int =
     points, end exclusive; ``g`` is the capture group).  ``when`` is a cheap
     necessary condition that spares the search.  The pieces between matches
     give the positions, so no Python is needed."""
-    m, g, p, at = (f"__{out}_{x}" for x in "mgpa")
+    m, g, p, n, at = (f"__{out}_{x}" for x in "mgpna")
     empty = F.array().cast("array<string>")
     cond = F.col(text).isNotNull() if when is None else F.coalesce(when, F.lit(False))
     df = df.withColumn(m, F.when(cond, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(empty))
@@ -85,15 +86,15 @@ def with_matches(df: DataFrame, out: str, text: str, pattern: str, group: int =
                        .otherwise(F.array().cast("array<int>")))
     df = df.withColumn(g, F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).otherwise(empty)
                        if group else F.col(m))
-    df = df.withColumn(at, running_starts(F.zip_with(
-        F.slice(p, 1, F.size(m)), F.col(m), lambda a, x: (a + F.length(x)).cast("int"))))
+    df = df.withColumn(n, F.zip_with(F.slice(p, 1, F.size(m)), F.col(m), lambda a, x: (a + F.length(x)).cast("int")))
+    df = df.withColumn(at, running_starts(F.col(n)))  # of a column: lambdas evaluate an expression for each entry
     spans = F.transform(F.arrays_zip(F.col(at).alias("a"), F.slice(p, 1, F.size(m)).alias("p"),
                                      F.col(m).alias("m"), F.col(g).alias("g")),
                         lambda x: F.struct((x["a"] + x["p"]).cast("int").alias("start"),
                                            (x["a"] + x["p"] + F.length(x["m"])).cast("int").alias("end"),
                                            x["m"].alias("m"), x["g"].alias("g")))
     return df.withColumn(out, F.when(some, spans).otherwise(
-        F.array().cast("array<struct<start:int,end:int,m:string,g:string>>"))).drop(m, g, p, at)
+        F.array().cast("array<struct<start:int,end:int,m:string,g:string>>"))).drop(m, g, p, n, at)
 
 
 def span_text(spans: Column) -> Column:

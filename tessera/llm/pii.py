@@ -113,13 +113,14 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
         good.append(F.filter(f"__{kind}", lambda s: s["base"]))
         bad.append(F.filter(f"__{kind}", lambda s: ~s["base"]))
     df = df.withColumn("base", F.array_sort(F.concat(*good)).cast(SPAN))
-    df = df.withColumn("__m", F.when(F.size("base") > 0, _blanked(t, merged(F.col("base")))).otherwise(t))
+    df = df.withColumn("__b", merged(F.col("base")))  # a column: lambdas evaluate an expression for each entry
+    df = df.withColumn("__m", F.when(F.size("base") > 0, _blanked(t, F.col("__b"))).otherwise(t))
     for kind, (pattern, needs) in PROPOSED.items():
         df = with_matches(df, f"__p_{kind}", "__m", pattern, when=F.col("__m").rlike(needs))
         make = _features(kind, t)
         bad.append(F.transform(f"__p_{kind}", _proposed(make)))
     return df.withColumn("other", F.array_sort(F.concat(*bad)).cast(SPAN)).drop(
-        "__t", "__m", *[f"__{k}" for k in KINDS], *[f"__p_{k}" for k in KINDS])
+        "__t", "__m", "__b", *[f"__{k}" for k in KINDS], *[f"__p_{k}" for k in KINDS])
 
 
 def _judged(kind: str, text: Column):
@@ -204,9 +205,11 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), precision: float
 def redact(docs: DataFrame, **settings) -> DataFrame:
     """The documents with every span replaced by ``<PII:KIND>``; rows keep their order in no way."""
     keep = tuple(docs.columns)
-    found = scan(docs.withColumn("__text", F.col("text")), keep=(*keep, "__text"), **settings)
-    return found.select(*[c for c in keep if c != "text"], redacted(F.coalesce("__text", F.lit("")), merged(F.col("spans")), "PII").alias("text")
-                        ).select(*keep)
+    found = scan(docs.withColumnsRenamed({c: f"k{i}" for i, c in enumerate(keep)}).withColumn("text", F.col(f"k{keep.index('text')}")),
+                 keep=tuple(f"k{i}" for i in range(len(keep))), **settings)
+    found = found.withColumn("__spans", merged(F.col("spans")))
+    return found.select(*[F.when(F.size("__spans") > 0, redacted(F.col(f"k{i}"), F.col("__spans"), "PII")).otherwise(F.col(f"k{i}")).alias(c)
+                          if c == "text" else F.col(f"k{i}").alias(c) for i, c in enumerate(keep)])
 
 
 def digest(found: DataFrame) -> DataFrame:

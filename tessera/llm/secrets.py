@@ -95,10 +95,10 @@ def scan(docs: DataFrame, owner: str = "source", repo: str = "doc_id", keep: tup
     spans = F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["no"].alias("no"), s["end"].alias("end"), s["kind"].alias("kind"), s["h"].alias("h"),
         s["base"].alias("base"), F.array_contains(F.col("live"), s["h"]).alias("live")))
-    fixed = F.filter("spans", lambda s: s["base"])
-    free = lambda s: ~F.exists(fixed, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+    free = lambda s: ~F.exists("fixed", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
     return (marked.select(*[F.col(f"k_{c}").alias(c) for c in keep], "key", spans.alias("spans"))
-            .withColumn("spans", F.array_distinct(F.filter("spans", lambda s: s["base"] | (s["live"] & free(s))))))
+            .withColumn("fixed", F.filter("spans", lambda s: s["base"]))
+            .withColumn("spans", F.array_distinct(F.filter("spans", lambda s: s["base"] | (s["live"] & free(s))))).drop("fixed"))
 
 
 def redact(docs: DataFrame, **settings) -> DataFrame:
