@@ -6,7 +6,7 @@ sentences; the identifiers found, in order, are matched against ordered rules.
 A rule matches if its identifiers occur in that order; a rule whose identifiers
 are part of a longer matching rule is not reported beside it.
 
-Sentences are taken twice, with line ends as sentence ends and as blanks, so
+Sentences are taken twice, with line ends as sentence ends and as blanks (but for blank lines), so
 wrapped licence texts and notices on a line of their own are both found.
 
 Null and empty texts hold no licence.  Rows are independent, so repeated rows
@@ -28,7 +28,7 @@ SENTENCES = {
     "mit license": "mit-title",
     "the mit license": "mit-title",
     "the mit license mit": "mit-title",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-grant",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-condition",
     "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "mit-warranty",
     "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "mit-liability",
@@ -106,11 +106,12 @@ RULES = (
 #: Every known sentence has one of these, so texts without any are not cut up.
 NEEDED = "(?i)licen[sc]e|permi[st]|redistribut|copyright|software|public domain|rights reserved|licensed"
 ENDS = "[.!?]+(?:[\\x20\\x09-\\x0D]+|$)"
+BLANK_LINE = "\\n[\\x20\\x09]*\\n+"
 
 
 def sentences(text: Column, lines: bool) -> Column:
     """Normalised sentences; ``lines``: a line end also ends one."""
-    parts = F.split(text, f"{ENDS}|\\n+" if lines else ENDS, -1)
+    parts = F.split(text, f"{ENDS}|\\n+" if lines else f"{ENDS}|{BLANK_LINE}", -1)
     return F.transform(parts, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
 
 
@@ -168,11 +169,10 @@ def sql() -> str:
     for i, (licence, form, own) in enumerate(RULES):
         over = [j for j, (*_, other) in enumerate(RULES) if _inside(own, other)]
         found.append(f"CASE WHEN hits[{i + 1}]" + "".join(f" AND NOT hits[{j + 1}]" for j in over) + f" THEN '{licence}:{form}' END")
-    ends = "[.!?]+(?:[\\x20\\x09-\\x0D]+|$)"
     return f"""
 WITH k AS (SELECT map_from_entries(list((s, i))) AS known FROM (VALUES {table}) v(s, i)),
 d AS (SELECT doc_id, coalesce(text, '') AS t, known FROM documents, k),
-a AS (SELECT doc_id, {ids(ends + "|" + chr(92) + "n+")} AS a, {ids(ends)} AS b FROM d),
+a AS (SELECT doc_id, {ids(ENDS + "|" + chr(92) + "n+")} AS a, {ids(ENDS + "|" + BLANK_LINE)} AS b FROM d),
 j AS (SELECT doc_id, a, list_aggregate(list_transform(a, x -> ',' || x || ','), 'string_agg', '') AS a_text,
              list_aggregate(list_transform(b, x -> ',' || x || ','), 'string_agg', '') AS b_text FROM a),
 h AS (SELECT doc_id, a, [{', '.join(f"coalesce({x}, false)" for x in hit)}] AS hits FROM j),
