@@ -55,12 +55,17 @@ RUN_COLS = ["run_idx", "run_key", "learning_rate", "batch_size", "seed", "phase"
             "metric_1", "metric_2", "loss"]
 
 
+def run_order(metric: str):
+    """Larger metric first, then the first run; a NaN or missing metric never wins."""
+    m = F.col(metric).cast("double")
+    return F.struct(F.when(~F.isnan(m), m).alias("m"), -F.col("run_idx"))
+
+
 def best_run(runs: DataFrame, metric: str = "metric_1", phase: str = "dev") -> DataFrame:
     """The run with the largest ``metric`` on ``phase``; the first run
     (smallest ``run_idx``) wins ties, as a strict ``>`` scan does."""
     dev = runs.where(F.col("phase") == phase)
-    best = dev.agg(F.max_by(F.struct(*RUN_COLS), F.struct(F.col(metric), -F.col("run_idx")))
-                   .alias("b"))
+    best = dev.agg(F.max_by(F.struct(*RUN_COLS), run_order(metric)).alias("b"))
     return best.select("b.*")
 
 
@@ -74,7 +79,7 @@ def report(runs: DataFrame, metric: str = "metric_1") -> DataFrame:
     (same tie rule), so its config's statistics come with it - no self-join,
     no subquery; then one equi-join fetches its test row."""
     dev = runs.where(F.col("phase") == "dev")
-    order = F.struct(F.col(metric), -F.col("run_idx"))
+    order = run_order(metric)
     per_cfg = dev.groupBy("learning_rate", "batch_size").agg(
         F.max_by(F.struct(*RUN_COLS), order).alias("best"),
         F.max(order).alias("_key"),

@@ -54,8 +54,10 @@ def mse(pred="pred", label="label") -> Column:
 
 
 def pearson(x="pred", y="label") -> Column:
-    """A5: Pearson correlation; NaN for a constant column (no ANSI error)."""
+    """A5: Pearson correlation over complete pairs; NaN for a constant column
+    (no ANSI error)."""
     x, y = F.col(x).cast("double"), F.col(y).cast("double")
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
     den = F.sqrt(F.var_pop(x) * F.var_pop(y))
     return F.coalesce(F.try_divide(F.covar_pop(x, y), F.when(den > 0, den)), _nan())
 
@@ -70,7 +72,8 @@ def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
 
 
 def spearman_frame(df: DataFrame, x: str = "pred", y: str = "label") -> DataFrame:
-    """A6 input: each row with the average ranks of its two values."""
+    """A6 input: each complete pair with the average ranks of its two values."""
+    df = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     rx = average_ranks(df, x, "_rx")
     ry = average_ranks(df, y, "_ry")
     return df.select(x, y).join(rx, x).join(ry, y)

@@ -106,3 +106,20 @@ def test_grid_order_and_seeds(spark):
     assert cls == [(lr, bs, s) for lr in (1e-5, 2e-5) for bs in (8, 16) for s in range(3)]
     assert [r.run_idx for r in g if r.task == "cls"] == list(range(12))
     assert len([r for r in g if r.task == "xnli"]) == 4
+
+
+def test_correlations_use_complete_pairs(spark):
+    from tessera.operators.metrics import pearson, spearman
+    rows = [(1.0, 2.0), (2.0, 1.0), (3.0, 5.0), (4.0, 4.0), (5.0, 6.0)]
+    whole = spark.createDataFrame(rows, "pred double, label double")
+    holes = spark.createDataFrame([*rows, (900.0, None), (None, -70.0), (None, None)], "pred double, label double")
+    for frame in (lambda d: d.agg(pearson().alias("r")), spearman):
+        assert abs(frame(whole).first()[0] - frame(holes).first()[0]) < 1e-12
+
+
+def test_nan_metric_never_wins(spark):
+    from tessera.operators.experiments import RUN_COLS, best_run
+    rows = [(0, "a", 0.1, 8, 0, "dev", float("nan"), 0.0, 0.0), (1, "b", 0.1, 8, 1, "dev", 0.9, 0.0, 0.0), (2, "c", 0.1, 8, 2, "dev", None, 0.0, 0.0)]
+    schema = ("run_idx long, run_key string, learning_rate double, batch_size int, seed int, phase string, "
+              "metric_1 double, metric_2 double, loss double")
+    assert best_run(spark.createDataFrame(rows, schema).select(*RUN_COLS)).first().run_key == "b"
