@@ -161,8 +161,8 @@ def sql() -> str:
     table = ", ".join(f"('{s}', '{i}')" for s, i in SENTENCES.items())
 
     def ids(ends: str) -> str:
-        return (f"list_filter(list_transform(string_split_regex(t, '{ends}'), x -> known[trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))]), "
-                "x -> x IS NOT NULL)")
+        return (f"list_filter(list_transform(string_split_regex(t, '{ends}'), lambda x: known[trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))]), "
+                "lambda x: x IS NOT NULL)")
 
     hit = [f"(a_text LIKE '{like(r[2])}' OR b_text LIKE '{like(r[2])}')" for r in RULES]
     found = []
@@ -173,12 +173,12 @@ def sql() -> str:
 WITH k AS (SELECT map_from_entries(list((s, i))) AS known FROM (VALUES {table}) v(s, i)),
 d AS (SELECT doc_id, coalesce(text, '') AS t, known FROM documents, k),
 a AS (SELECT doc_id, {ids(ENDS + "|" + chr(92) + "n+")} AS a, {ids(ENDS + "|" + BLANK_LINE)} AS b FROM d),
-j AS (SELECT doc_id, a, list_aggregate(list_transform(a, x -> ',' || x || ','), 'string_agg', '') AS a_text,
-             list_aggregate(list_transform(b, x -> ',' || x || ','), 'string_agg', '') AS b_text FROM a),
+j AS (SELECT doc_id, a, list_aggregate(list_transform(a, lambda x: ',' || x || ','), 'string_agg', '') AS a_text,
+             list_aggregate(list_transform(b, lambda x: ',' || x || ','), 'string_agg', '') AS b_text FROM a),
 h AS (SELECT doc_id, a, [{', '.join(f"coalesce({x}, false)" for x in hit)}] AS hits FROM j),
-f AS (SELECT doc_id, a, list_filter([{', '.join(found)}], x -> x IS NOT NULL) AS found FROM h)
+f AS (SELECT doc_id, a, list_filter([{', '.join(found)}], lambda x: x IS NOT NULL) AS found FROM h)
 SELECT doc_id, coalesce(list_aggregate(a, 'string_agg', ','), '') AS sentence_ids,
        coalesce(list_aggregate(found, 'string_agg', ','), '') AS licences,
-       CAST(len(list_distinct(list_transform(found, x -> string_split(x, ':')[1]))) AS BIGINT) AS n_licences
+       CAST(len(list_distinct(list_transform(found, lambda x: string_split(x, ':')[1]))) AS BIGINT) AS n_licences
 FROM f
 """
