@@ -104,7 +104,7 @@ RULES = (
 )
 
 #: Every known sentence has one of these, so texts without any are not cut up.
-NEEDED = "(?i)licen[sc]e|permi[st]|redistribut|copyright|software|public domain|rights reserved|licensed"
+NEEDED = "(?i)licen[sc]e|permi[st]|redistribut|copyright|software|warrant|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
 ENDS = "[.!?]+(?:[\\x20\\x09-\\x0D]+|$)"
 BLANK_LINE = "\\n[\\x20\\x09]*\\n+"
 
