@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import TOP_K, TOP_P
+from ..constants import GEN_MAX_LENGTH, TOP_K, TOP_P
 from ..functions.text import explode_nonempty, md5_unit
 from ..session import cut_lineage
 
@@ -154,6 +154,15 @@ def next_token_dist(model: DataFrame) -> DataFrame:
                     (F.col("cnt") / F.col("ctx_cnt")).alias("p")))
 
 
+def backoff_dist(model: DataFrame) -> DataFrame:
+    """What follows a context the model has not seen, as the rows of the null
+    context: every token by how often it follows any other."""
+    counts = model.groupBy("tok").agg(F.sum("cnt").alias("cnt"))
+    total = model.select(F.sum("cnt")).scalar()
+    return counts.select(F.lit(None).cast("string").alias("ctx"), "tok", F.col("cnt").cast("double").alias("w"),
+                         (F.col("cnt") / total).alias("p"))
+
+
 def _renorm(df: DataFrame) -> DataFrame:
     return df.withColumn("p", F.col("w") / F.sum("w").over(Window.partitionBy("ctx")))
 
@@ -193,20 +202,56 @@ def with_cdf(dist: DataFrame) -> DataFrame:
             .withColumn("tot", F.sum("w").over(Window.partitionBy("ctx"))))
 
 
+def cdf_rows(dist: DataFrame) -> DataFrame:
+    """One row per context: ``cdf``, its (cum, tok, p) in draw order, and ``tot``."""
+    entries = F.collect_list(F.struct("cum", "tok", "p"))
+    return with_cdf(dist).groupBy("ctx").agg(F.array_sort(entries).alias("cdf"), F.max("tot").alias("tot"))
+
+
+def _pick(rows: DataFrame, cdf: DataFrame, u: Column, out: str) -> DataFrame:
+    """Add ``out`` = (cum, tok, p) of the first token after ``ctx`` whose
+    cumulative weight reaches ``u * tot``; a context without a row takes the
+    row of the null context."""
+    back = cdf.where(F.col("ctx").isNull()).select(F.struct("cdf", "tot")).scalar()
+    known = cdf.where(F.col("ctx").isNotNull()).select("ctx", F.struct("cdf", "tot").alias("_d"))
+    joined = (rows.join(known, "ctx", "left").withColumn("_d", F.coalesce(F.col("_d"), back))
+              .withColumn("_u", u * F.col("_d.tot")))
+    reached = F.filter(F.col("_d.cdf"), lambda c: c["cum"] >= F.col("_u"))
+    return joined.withColumn(out, F.get(reached, F.lit(0))).drop("_d", "_u")
+
+
 def sample_next(prompts: DataFrame, dist: DataFrame, id_col: str, n: int = 1,
                 seed: int = 42, do_sample: bool = True) -> DataFrame:
-    """``n`` draws per prompt.  ``prompts`` has (id_col, ctx); ``dist`` is a
-    filtered distribution (bounded rows per context).  Inverse CDF with a seeded
-    md5 uniform u: the first token whose cumulative weight reaches ``u * total``.
-    Greedy (``do_sample=False``) takes the top token.  Prompts whose context is
-    unknown get no row."""
+    """``n`` draws per prompt, ``n`` rows each.  ``prompts`` has (id_col,
+    ctx); ``dist`` is a filtered distribution or its :func:`cdf_rows`.  Inverse
+    CDF with a seeded md5 uniform u: the first token whose cumulative weight
+    reaches ``u * total``.  Greedy (``do_sample=False``) takes the top token.  An
+    unknown or null context draws from the rows of ``dist`` whose ``ctx`` is null
+    (:func:`backoff_dist`); without such rows its tokens are null."""
     draws = prompts.select(id_col, "ctx", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("draw"))
-    cdf = with_cdf(dist)
-    cand = draws.join(cdf, "ctx")
-    if do_sample:
-        u = md5_unit(F.lit(seed), F.col(id_col), F.col("draw"))
-        cand = cand.where(F.col("cum") >= u * F.col("tot"))
-    pick = cand.groupBy(id_col, "draw").agg(
-        F.min_by(F.struct("tok", "p"), F.struct("cum", "tok")).alias("pick"))
-    return pick.select(id_col, "draw", F.col("pick.tok").alias("tok"),
-                       F.col("pick.p").alias("p"))
+    u = md5_unit(F.lit(seed), F.col(id_col), F.col("draw")) if do_sample else F.lit(0.0)
+    cdf = dist if "cdf" in dist.columns else cdf_rows(dist)
+    return _pick(draws, cdf, u, "_pick").select(
+        id_col, "draw", F.col("_pick.tok").alias("tok"), F.col("_pick.p").alias("p"))
+
+
+def generate(prompts: DataFrame, dist: DataFrame, id_col: str, max_length: int = GEN_MAX_LENGTH,
+             seed: int = 42, per_cut: int = 10) -> DataFrame:
+    """Continue every prompt, ``(id_col, out)`` with its tokens in ``out``,
+    to ``max_length`` tokens, the prompt included; a prompt as long already stays
+    as it is.  Step ``s`` is draw ``s`` of :func:`sample_next` after the last
+    token.  Every ``per_cut`` steps the state is written and read again, so
+    plans stay short and a lost executor costs ``per_cut`` steps at most."""
+    cdf = cut_lineage(cdf_rows(dist))
+    state = cut_lineage(prompts.select(id_col, "out"))
+    shortest = state.select(F.min(F.size("out"))).first()[0]
+    steps = 0 if shortest is None else max(0, max_length - shortest)
+    for step in range(steps):
+        u = md5_unit(F.lit(seed), F.col(id_col), F.lit(step))
+        drawn = _pick(state.withColumn("ctx", F.try_element_at("out", F.lit(-1))), cdf, u, "_pick")
+        more = (F.size("out") < max_length) & F.col("_pick").isNotNull()
+        state = drawn.select(id_col, F.when(more, F.concat("out", F.array("_pick.tok")))
+                             .otherwise(F.col("out")).alias("out"))
+        if (step + 1) % per_cut == 0 or step + 1 == steps:
+            state = cut_lineage(state)
+    return state

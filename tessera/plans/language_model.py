@@ -1,18 +1,17 @@
 """Language-model evaluation queries (S6, P1, P2, P13, K1, K3, K6-K8, L1-L8, A12,
 plus the streaming token counts).
 
-Data: French ``documents``.  The held-out part is a seeded md5 draw of 10% of
-the documents (so the scored stream grows with the table); the rest trains
-the count model.  The minimum slice ``lm_unigram_perplexity`` keeps SURVEY 7's
-rule: the first 20 documents in seeded order.  Paragraphs are lines of
-``text`` (FIXTURES 6), right-stripped, blanks dropped, in (doc_id, pos) order -
-the reference's concatenated test set.
+Data: ``documents``.  The held-out part is a seeded md5 draw of 10% of the
+documents (so the scored stream grows with the table); the rest trains the
+count model.  Paragraphs are lines of ``text`` (FIXTURES 6), right-stripped,
+blanks dropped, in (doc_id, pos) order - the reference's concatenated test set.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..constants import GEN_MAX_LENGTH
 from ..functions.text import explode_nonempty, posexplode_nonempty, rtrim_ws, tokenize
 from ..operators import ngram, tokens as tk
 from ..operators.splits import split_fixed, split_fraction
@@ -21,29 +20,21 @@ from ..sources.tables import load
 from .registry import query
 
 TOKEN_RE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
-N_HELD = 20
 VOCAB_MAX = 30000
 WIN_LEN, WIN_STRIDE = 128, 64          # overlapping windows
 BLOCK_LEN = 1024                       # the notebook's n_positions = stride
 
 # ---------------------------------------------------------------- DuckDB parts
-SQL_FR_SPLIT20 = f"""
-d AS (SELECT doc_id, text, regexp_extract_all(text, '{TOKEN_RE}') AS toks
-      FROM documents WHERE lang = 'fr'),
-r AS (SELECT doc_id, text, toks,
-             row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM d)"""
-
 HELD_FRACTION = 0.1
 
 # held-out = seeded md5 draw below HELD_FRACTION (grows with the table)
-SQL_FR_FRAC = f"""
-d AS (SELECT doc_id, text, regexp_extract_all(text, '{TOKEN_RE}') AS toks
-      FROM documents WHERE lang = 'fr'),
+SQL_HOLDOUT = f"""
+d AS (SELECT doc_id, text, regexp_extract_all(text, '{TOKEN_RE}') AS toks FROM documents),
 r AS (SELECT doc_id, text, toks,
              CAST(('0x' || substr(md5('42:' || doc_id), 1, 8)) AS BIGINT) / 4294967296.0 < {HELD_FRACTION}
                AS held FROM d)"""
 
-SQL_TEST_PARAS = SQL_FR_FRAC + f""",
+SQL_TEST_PARAS = SQL_HOLDOUT + f""",
 sp AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS para,
               CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS BIGINT) AS pos
        FROM r WHERE held),
@@ -99,22 +90,12 @@ wins AS (SELECT win_start,
 
 
 # ---------------------------------------------------------------- Spark parts
-def fr_docs(spark, sf_dir):
-    return (load(spark, sf_dir, "documents").where(F.col("lang") == "fr")
-            .select("doc_id", "text", tokenize("text").alias("tokens")))
-
-
-def fr_docs_split(spark, sf_dir, n_test=N_HELD):
-    """Minimum slice: the first ``n_test`` documents in seeded
-    order are held out."""
-    return split_fixed(fr_docs(spark, sf_dir), "doc_id", n_test=n_test, n_valid=0, seed=42)
-
-
-def fr_docs_holdout(spark, sf_dir):
+def holdout_docs(spark, sf_dir):
     """Evaluation split of the LM queries: a seeded md5 draw holds out
     ``HELD_FRACTION`` of the documents, so the scored stream grows with the
     table."""
-    return split_fraction(fr_docs(spark, sf_dir), "doc_id", test=HELD_FRACTION, valid=0.0, seed=42)
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", tokenize("text").alias("tokens"))
+    return split_fraction(docs, "doc_id", test=HELD_FRACTION, valid=0.0, seed=42)
 
 
 def paragraphs(docs):
@@ -130,7 +111,7 @@ def test_stream(spark, sf_dir):
     """Held-out paragraphs with tokens and global offsets, materialised once:
     the stream feeds the offsets, the total, the neighbour join and the
     windows."""
-    split = fr_docs_holdout(spark, sf_dir)
+    split = holdout_docs(spark, sf_dir)
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
     held_ids = split.where("split = 'test'").select("doc_id")      # boundaries from ids only
     stream = cut_lineage(tk.token_stream(paras, ["doc_id", "pos"], "tokens", bound_keys=held_ids))
@@ -156,9 +137,9 @@ def n_total(stream):
 
 
 @query("lm_unigram_perplexity", f"""
-WITH {SQL_FR_SPLIT20},
-tr AS (SELECT unnest(toks) AS tok FROM r WHERE rn > {N_HELD}),
-te AS (SELECT unnest(toks) AS tok FROM r WHERE rn <= {N_HELD}),
+WITH {SQL_HOLDOUT},
+tr AS (SELECT unnest(toks) AS tok FROM r WHERE NOT held),
+te AS (SELECT unnest(toks) AS tok FROM r WHERE held),
 c AS (SELECT tok, count(*) AS c FROM tr GROUP BY tok),
 s AS (SELECT (SELECT count(*) FROM tr) AS n, (SELECT count(*) FROM c) AS v)
 SELECT count(*) AS n_tokens,
@@ -168,7 +149,7 @@ FROM te LEFT JOIN c USING (tok) CROSS JOIN s
 def lm_unigram_perplexity(spark, sf_dir):
     """Minimum slice: add-one unigram fitted on the training documents,
     perplexity of the held-out documents' tokens."""
-    split = fr_docs_split(spark, sf_dir)
+    split = holdout_docs(spark, sf_dir)
     toks = split.select("split", explode_nonempty("tokens").alias("tok")).where(F.col("tok").isNotNull())
     return ngram.unigram_perplexity(toks.where("split = 'train'"), toks.where("split = 'test'"))
 
@@ -253,12 +234,12 @@ def lm_windows_scored(spark, sf_dir):
 
 
 @query("lm_bigram_counts", f"""
-WITH {SQL_FR_FRAC}{SQL_BIGRAM}
+WITH {SQL_HOLDOUT}{SQL_BIGRAM}
 SELECT ctx, tok, cnt FROM m
 """)
 def lm_bigram_counts(spark, sf_dir):
     """L1: bigram counts of the training documents."""
-    return bigram_model(fr_docs_holdout(spark, sf_dir))
+    return bigram_model(holdout_docs(spark, sf_dir))
 
 
 def _targets(spark, sf_dir, L, S, weighting="window"):
@@ -320,9 +301,12 @@ def lm_perplexity_token_mean(spark, sf_dir):
     return _ppl(spark, sf_dir, WIN_LEN, WIN_STRIDE, "scored")
 
 
-SQL_DIST = f"""
-WITH {SQL_FR_FRAC}{SQL_BIGRAM},
-dist AS (SELECT m.ctx, tok, cnt::DOUBLE AS w FROM m),
+def _sql_dist(docs: str, backoff: bool = False) -> str:
+    """The filtered distribution; the null context holds the back-off."""
+    back = "\n         UNION ALL SELECT NULL, tok, sum(cnt)::DOUBLE FROM m GROUP BY tok" if backoff else ""
+    return f"""
+WITH {docs}{SQL_BIGRAM},
+dist AS (SELECT m.ctx, tok, cnt::DOUBLE AS w FROM m{back}),
 tk AS (SELECT ctx, tok, w FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY w DESC) AS rk
                                FROM dist) WHERE rk <= 50),
 tkn AS (SELECT ctx, tok, w, w / sum(w) OVER (PARTITION BY ctx) AS p FROM tk),
@@ -333,48 +317,60 @@ tpn AS (SELECT ctx, tok, w, w / sum(w) OVER (PARTITION BY ctx) AS p FROM tpb
         WHERE before <= 0.95 * total)"""
 
 
-def filtered_dist(split, k=50, p=0.95):
-    dist = ngram.next_token_dist(bigram_model(split))
+SQL_DIST = _sql_dist(SQL_HOLDOUT)
+
+
+def filtered_dist(split, k=50, p=0.95, backoff=False):
+    model = bigram_model(split)
+    dist = ngram.next_token_dist(model)
+    if backoff:
+        dist = dist.unionByName(ngram.backoff_dist(model))
     return ngram.top_p(ngram.top_k(dist, k), p)
 
 
-@query("lm_top_k", SQL_DIST + "\nSELECT ctx, tok, round(p, 6) AS p FROM tkn")
+@query("lm_top_k", SQL_DIST +"\nSELECT ctx, tok, round(p, 6) AS p FROM tkn")
 def lm_top_k(spark, sf_dir):
     """L4: top-50 next tokens per context, renormalised."""
-    dist = ngram.next_token_dist(bigram_model(fr_docs_holdout(spark, sf_dir)))
+    dist = ngram.next_token_dist(bigram_model(holdout_docs(spark, sf_dir)))
     return ngram.top_k(dist, 50).select("ctx", "tok", F.round("p", 6).alias("p"))
 
 
 @query("lm_top_p", SQL_DIST + "\nSELECT ctx, tok, round(p, 6) AS p FROM tpn")
 def lm_top_p(spark, sf_dir):
     """L5 after L4: nucleus 0.95 of the top-50, renormalised."""
-    return filtered_dist(fr_docs_holdout(spark, sf_dir)).select(
+    return filtered_dist(holdout_docs(spark, sf_dir)).select(
         "ctx", "tok", F.round("p", 6).alias("p"))
 
 
-@query("lm_sample_next", (SQL_DIST + f""",
-pm AS (SELECT doc_id || ':' || pos AS prompt_id, toks[1] AS ctx FROM tp),
-dr AS (SELECT prompt_id, ctx, unnest(range(0, 3)) AS draw FROM pm),
-du AS (SELECT *, CAST(('0x' || substr(md5('42:' || prompt_id || ':' || draw), 1, 8)) AS BIGINT)
-                 / 4294967296.0 AS u FROM dr),
+SQL_CDF = _sql_dist(SQL_TEST_PARAS, backoff=True) + """,
 cdf AS (SELECT ctx, tok, p, sum(w) OVER (PARTITION BY ctx ORDER BY w DESC, tok
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
                sum(w) OVER (PARTITION BY ctx) AS tot FROM tpn),
-cand AS (SELECT du.prompt_id, du.draw, cdf.tok, cdf.p, cdf.cum FROM du JOIN cdf USING (ctx)
-         WHERE cdf.cum >= du.u * cdf.tot)
-SELECT prompt_id, CAST(draw AS INTEGER) AS draw, arg_min(tok, (cum, tok)) AS tok,
-       round(arg_min(p, (cum, tok)), 6) AS p
-FROM cand GROUP BY prompt_id, draw
-""").replace("WITH " + SQL_FR_FRAC, "WITH " + SQL_TEST_PARAS, 1))
+ca AS MATERIALIZED (SELECT ctx, list({'cum': cum, 'tok': tok, 'p': p} ORDER BY cum, tok) AS c,
+                           max(tot) AS tot FROM cdf GROUP BY ctx),
+bo AS MATERIALIZED (SELECT c, tot FROM ca WHERE ctx IS NULL)"""
+
+
+@query("lm_sample_next", SQL_CDF + """,
+pm AS (SELECT doc_id || ':' || pos AS prompt_id, toks[len(toks)] AS ctx FROM tp WHERE len(toks) > 0),
+dr AS (SELECT prompt_id, ctx, unnest(range(0, 3)) AS draw FROM pm),
+du AS (SELECT *, CAST(('0x' || substr(md5('42:' || prompt_id || ':' || draw), 1, 8)) AS BIGINT)
+                 / 4294967296.0 AS u FROM dr),
+pk AS (SELECT prompt_id, draw, list_filter(coalesce(ca.c, bo.c), lambda x: x.cum >= u * coalesce(ca.tot, bo.tot))[1] AS s
+       FROM du LEFT JOIN ca ON ca.ctx = du.ctx CROSS JOIN bo)
+SELECT prompt_id, CAST(draw AS INTEGER) AS draw, s.tok AS tok, round(s.p, 6) AS p FROM pk
+""")
 def lm_sample_next(spark, sf_dir):
-    """Three seeded draws of the next token after the first token of every
-    held-out paragraph, from the top-k / top-p filtered distribution."""
-    split = fr_docs_holdout(spark, sf_dir)
+    """Three seeded draws of the next token after the last token of every
+    held-out paragraph, from the top-k / top-p filtered distribution; an unseen
+    last token backs off to the unigram distribution."""
+    split = holdout_docs(spark, sf_dir)
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
     prompts = paras.where(F.size("tokens") > 0).select(
         F.concat_ws(":", "doc_id", "pos").alias("prompt_id"),
-        F.element_at("tokens", 1).alias("ctx"))
-    out = ngram.sample_next(prompts, filtered_dist(split), "prompt_id", n=3, seed=42)
+        F.element_at("tokens", -1).alias("ctx"))
+    cdf = cut_lineage(ngram.cdf_rows(filtered_dist(split, backoff=True)))
+    out = ngram.sample_next(prompts, cdf, "prompt_id", n=3, seed=42)
     return out.select("prompt_id", "draw", "tok", F.round("p", 6).alias("p"))
 
 
@@ -405,7 +401,7 @@ def _outside_model_factory(bc):
 
 
 @query("lm_outside_model_scores", f"""
-WITH {SQL_FR_FRAC},
+WITH {SQL_HOLDOUT},
 tr AS (SELECT unnest(toks) AS tok FROM r WHERE NOT held),
 vc AS (SELECT tok, count(*) AS cnt FROM tr GROUP BY tok),
 voc AS (SELECT tok, cnt FROM vc ORDER BY cnt DESC, tok LIMIT {OUTSIDE_VOCAB}),
@@ -421,7 +417,7 @@ def lm_outside_model_scores(spark, sf_dir):
     ``mapInPandas`` (model built once per task from a broadcast of the capped
     training vocabulary - at most 5,000 entries reach the driver)."""
     from ..operators.scoring import score_with
-    split = fr_docs_holdout(spark, sf_dir)
+    split = holdout_docs(spark, sf_dir)
     voc = train_vocab(split).where(F.col("id") >= 5).orderBy("id").limit(OUTSIDE_VOCAB)
     bc = spark.sparkContext.broadcast({r.tok: r.cnt for r in voc.collect()})
     test = split.where("split = 'test'").select("doc_id", "text")
@@ -429,49 +425,24 @@ def lm_outside_model_scores(spark, sf_dir):
     return out.select("key", F.round("nll_sum", 6).alias("nll_sum"), "n_tokens")
 
 
-GEN_STEPS = 6
-
-
-def _sql_generate(steps: int = GEN_STEPS) -> str:
-    """The generation loop unrolled: one CTE per step, each a seeded draw from
-    the filtered distribution after the last token of every prompt."""
-    parts = [(SQL_DIST + """,
-cdf AS (SELECT ctx, tok, sum(w) OVER (PARTITION BY ctx ORDER BY w DESC, tok
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-               sum(w) OVER (PARTITION BY ctx) AS tot FROM tpn),
-g0 AS (SELECT doc_id || ':' || pos AS prompt_id, [toks[1]] AS out FROM tp)""")
-             .replace("WITH " + SQL_FR_FRAC, "WITH " + SQL_TEST_PARAS, 1)]
-    for k in range(steps):
-        parts.append(f""",
-p{k + 1} AS (SELECT g.prompt_id, arg_min(cdf.tok, (cdf.cum, cdf.tok)) AS tok
-            FROM g{k} g JOIN cdf ON cdf.ctx = g.out[len(g.out)]
-            WHERE cdf.cum >= CAST(('0x' || substr(md5('{1000 + k}:' || g.prompt_id || ':0'), 1, 8)) AS BIGINT)
-                             / 4294967296.0 * cdf.tot
-            GROUP BY g.prompt_id),
-g{k + 1} AS (SELECT g.prompt_id, CASE WHEN p.tok IS NULL THEN g.out ELSE list_append(g.out, p.tok) END AS out
-            FROM g{k} g LEFT JOIN p{k + 1} p USING (prompt_id))""")
-    parts.append(f"""
-SELECT prompt_id, CAST(len(out) AS INTEGER) AS n_tokens, array_to_string(out, ' ') AS text FROM g{steps}""")
-    return "".join(parts)
-
-
-@query("lm_generate_counts", _sql_generate())
-def lm_generate_counts(spark, sf_dir, steps: int = GEN_STEPS):
-    """Batch generation, one token per step for every prompt, by repeated
-    L4 -> L5 -> L6 joins; lineage is cut each step with a reliable checkpoint.
-    Output: prompt, generated length and text."""
-    split = fr_docs_holdout(spark, sf_dir)
-    dist = cut_lineage(filtered_dist(split))
+@query("lm_generate_counts", SQL_CDF.replace("WITH", "WITH RECURSIVE", 1) + f""",
+gen AS (SELECT doc_id || ':' || pos AS prompt_id, toks AS out, 0 AS step FROM tp WHERE len(toks) > 0
+        UNION ALL
+        SELECT g.prompt_id,
+               list_append(g.out, list_filter(coalesce(ca.c, bo.c), lambda x: x.cum >=
+                   CAST(('0x' || substr(md5('42:' || g.prompt_id || ':' || g.step), 1, 8)) AS BIGINT)
+                   / 4294967296.0 * coalesce(ca.tot, bo.tot))[1].tok),
+               g.step + 1
+        FROM gen g LEFT JOIN ca ON ca.ctx = g.out[len(g.out)] CROSS JOIN bo
+        WHERE len(g.out) < {GEN_MAX_LENGTH})
+SELECT prompt_id, CAST(max(len(out)) AS INTEGER) AS n_tokens, array_to_string(arg_max(out, step), ' ') AS text
+FROM gen GROUP BY prompt_id""")
+def lm_generate_counts(spark, sf_dir, max_length: int = GEN_MAX_LENGTH):
+    """Every held-out paragraph continued to ``max_length`` tokens, prompt
+    included.  Output: prompt, length and text."""
+    split = holdout_docs(spark, sf_dir)
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
-    state = paras.where(F.size("tokens") > 0).select(
-        F.concat_ws(":", "doc_id", "pos").alias("prompt_id"),
-        F.slice("tokens", 1, 1).alias("out"))
-    for step in range(steps):
-        prompts = state.select("prompt_id", F.element_at("out", -1).alias("ctx"))
-        nxt = ngram.sample_next(prompts, dist, "prompt_id", n=1, seed=1000 + step)
-        state = (state.join(nxt.select("prompt_id", "tok"), "prompt_id", "left")
-                 .select("prompt_id", F.when(F.col("tok").isNull(), F.col("out"))
-                         .otherwise(F.concat("out", F.array("tok"))).alias("out")))
-        state = cut_lineage(state)
-    return state.select("prompt_id", F.size("out").alias("n_tokens"),
-                        F.array_join("out", " ").alias("text"))
+    prompts = paras.where(F.size("tokens") > 0).select(
+        F.concat_ws(":", "doc_id", "pos").alias("prompt_id"), F.col("tokens").alias("out"))
+    out = ngram.generate(prompts, filtered_dist(split, backoff=True), "prompt_id", max_length)
+    return out.select("prompt_id", F.size("out").alias("n_tokens"), F.array_join("out", " ").alias("text"))
