@@ -5,14 +5,13 @@ Corpus-wide offsets (the token stream), ordinals of a seeded shuffle and
 average ranks all need a running sum over the *global* order, so they go
 through :func:`global_offsets` instead:
 
-1. sample the order key and pick ``blocks - 1`` boundaries (a bounded collect:
-   at most ``64 * blocks`` sampled keys reach the driver);
-2. ``block`` = position of the key among the boundaries, a balanced tree of
-   comparisons (a JVM expression, deterministic on recompute);
-3. running sum inside each block: a window partitioned by ``block`` - one
-   shuffle, every block holds about ``rows / blocks`` rows, hot keys of a
-   leading column are split because boundaries use the whole key;
-4. block totals (``blocks`` rows) get an exclusive prefix sum and are joined
+1. the rows are dealt by ranges of the whole order key (``repartitionByRange``,
+   so a hot value of a leading column is split) and written once to the shared
+   folder with the number of their range, the block.  Spark samples the bounds
+   on the executors and sends a bounded number of keys to the driver;
+2. running sum inside each block: a window partitioned by ``block``, which holds
+   about ``rows / blocks`` rows;
+3. block totals (``blocks`` rows) get an exclusive prefix sum and are joined
    back with a broadcast whose size is bounded by ``blocks``.
 """
 
@@ -20,85 +19,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import MAX_BLOCKS, default_blocks
+from ..session import cut_lineage, default_blocks
 
 _BLK = "_tsr_blk"
 
 
-def _lex_less(cols: Sequence[Column], values: Sequence, types) -> Column:
-    """Lexicographic ``cols < values`` for a composite key."""
-    expr = None
-    for c, v, t in reversed(list(zip(cols, values, types))):
-        lit = F.lit(v).cast(t)
-        if expr is None:
-            expr = c < lit
-        else:
-            expr = (c < lit) | ((c == lit) & expr)
-    return expr
-
-
-def block_of(cols: Sequence[Column], bounds: list, types) -> Column:
-    """Number of boundaries ``<=`` the key, as a balanced comparison tree."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_lex_less(cols, bounds[mid], types), tree(lo, mid)).otherwise(
-            tree(mid + 1, hi))
-
-    return tree(0, len(bounds))
-
-
-def key_boundaries(df: DataFrame, order_cols: Sequence[str], blocks: int,
-                   per_block: int = 64, seed: int = 17) -> list:
-    """Sorted distinct boundaries splitting ``df`` into about ``blocks`` ranges.
-    A uniform sample of ``per_block * blocks`` keys is taken in one job as the
-    rows with the smallest seeded random values (a bounded top-k), then
-    sorted on the driver by Spark's own ordering."""
-    if blocks <= 1:
-        return []
-    m = blocks * per_block
-    sample = (df.select(*order_cols, F.rand(seed).alias("_tsr_r")).orderBy("_tsr_r").limit(m)
-              .select(*order_cols))
-    rows = sample.orderBy(*order_cols).collect()
-    if not rows:
-        return []
-    picked = []
-    for i in range(1, blocks):
-        r = tuple(rows[min(len(rows) - 1, (i * len(rows)) // blocks)])
-        if not picked or r != picked[-1]:
-            picked.append(r)
-    return picked
-
-
 def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | None = None,
-                   out: str = "offset", blocks: int | None = None,
-                   bound_keys: DataFrame | None = None) -> DataFrame:
+                   out: str = "offset", blocks: int | None = None) -> DataFrame:
     """Add ``out`` = exclusive running sum of ``size_col`` (1 per row when None)
     over the global ascending order of ``order_cols`` (which must be unique and
-    not null).
-
-    ``bound_keys`` (optional) is a cheap DataFrame holding a *prefix* of the
-    order columns (e.g. the document ids behind paragraph rows); boundaries
-    are then sampled from it instead of from ``df``, so the sample job does not
-    recompute ``df``.  Rows sharing that prefix stay in one block."""
-    spark = df.sparkSession
-    blocks = min(blocks or default_blocks(spark), MAX_BLOCKS)
-    bcols = list(bound_keys.columns) if bound_keys is not None else list(order_cols)
-    if bcols != list(order_cols)[:len(bcols)]:
-        raise ValueError("bound_keys must hold a prefix of order_cols")
-    types = [df.schema[c].dataType for c in bcols]
-    bounds = key_boundaries(bound_keys if bound_keys is not None else df, bcols, blocks)
+    not null).  The rows are written once when this is called."""
+    blocks = blocks or default_blocks(df.sparkSession)
+    ranges = df.repartitionByRange(blocks, *order_cols)
+    keyed = cut_lineage(ranges.withColumn(_BLK, F.spark_partition_id()), "offsets")
     size = F.col(size_col).cast("long") if size_col else F.lit(1).cast("long")
-    keyed = df.withColumn(_BLK, block_of([F.col(c) for c in bcols], bounds, types))
     w = (Window.partitionBy(_BLK).orderBy(*order_cols)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     running = keyed.withColumn("_tsr_incl", F.sum(size).over(w))
-    totals = running.groupBy(_BLK).agg(F.max("_tsr_incl").alias("_tsr_tot"))
+    totals = keyed.groupBy(_BLK).agg(F.sum(size).alias("_tsr_tot"))
     # <= blocks rows: a one-partition window here is bounded by construction.
     prefix = totals.select(
         _BLK,

@@ -6,48 +6,37 @@ engine and out of every recompute (the reference's split was unseeded, D6).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import md5_order_key, md5_unit
 from .ordering import global_row_number
 
 
-# Above this many held-out keys the split joins a broadcast table instead of
-# carrying the keys as a literal IN list in the plan.
-MAX_LITERAL_KEYS = 10000
-
-
 def split_fixed(df: DataFrame, key: str, n_test: int = 60, n_valid: int = 60,
                 seed: int = 42, out: str = "split") -> DataFrame:
     """The first ``n_test`` keys in seeded order are ``test``, the next
     ``n_valid`` are ``valid``, all others ``train``.
 
     The held-out keys are a top-k (``TakeOrderedAndProject``, no full sort) of
-    ``n_test + n_valid`` rows - bounded by the parameters, not by the data - so
-    they are collected once and become literal ``IN`` lists: no join, no
-    repeated top-k when the split feeds several jobs, and Catalyst can push
-    the predicate into the scan.  ``key`` must be unique.
+    ``n_test + n_valid`` rows - bounded by the parameters, not by the data.  The
+    last key of each part is its bound, and a row's part follows from comparing
+    its own order key with the two bounds: no join, and no repeated top-k when
+    the split feeds several jobs.  ``key`` must be unique; a null key is ``train``.
     """
     n = n_test + n_valid
-    order = [F.col("_tsr_h"), F.col(key)]
-    held = (df.select(key, md5_order_key(seed, F.col(key)).alias("_tsr_h"))
-            .orderBy(*order).limit(n))
-    if n > MAX_LITERAL_KEYS:
-        ranked = held.select(
-            key, F.when(F.row_number().over(Window.orderBy(*order)) <= n_test, F.lit("test"))
-            .otherwise(F.lit("valid")).alias("_tsr_split"))
-        return (df.join(F.broadcast(ranked), key, "left")
-                .withColumn(out, F.coalesce(F.col("_tsr_split"), F.lit("train")))
-                .drop("_tsr_split"))
-    keys = [r[0] for r in held.select(key).collect()]
-    test, valid = keys[:n_test], keys[n_test:]
-    label = F.lit("train")
-    if valid:
-        label = F.when(F.col(key).isin(valid), F.lit("valid")).otherwise(label)
-    if test:
-        label = F.when(F.col(key).isin(test), F.lit("test")).otherwise(label)
-    return df.withColumn(out, label)
+    h = md5_order_key(seed, F.col(key))
+    held = (df.where(F.col(key).isNotNull()).select(key, h.alias("_tsr_h"))
+            .orderBy("_tsr_h", key).limit(n).collect())
+
+    def among_first(m: int):
+        if not held or m <= 0:
+            return F.lit(False)
+        last = held[min(m, len(held)) - 1]
+        return (h < last["_tsr_h"]) | ((h == last["_tsr_h"]) & (F.col(key) <= F.lit(last[key])))
+
+    return df.withColumn(out, F.when(among_first(n_test), F.lit("test"))
+                         .when(among_first(n), F.lit("valid")).otherwise(F.lit("train")))
 
 
 def split_fraction(df: DataFrame, key: str, test: float = 0.2, valid: float = 0.2,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..constants import PACK_MAX_TOKENS
 from ..functions.text import (count_tokens, explode_nonempty, posexplode_nonempty, split_sentences,
                               tokenize, truncate_at_punct)
 from ..operators import tokens as tk
@@ -19,7 +20,7 @@ from ..sources.tables import load
 from .registry import query
 
 TOKEN_RE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
-VOCAB_MAX, MIN_COUNT, MAX_LEN, PAIR_BUDGET, PACK_MAX = 1000, 2, 32, 64, 128
+VOCAB_MAX, MIN_COUNT, MAX_LEN, PAIR_BUDGET = 1000, 2, 32, 64
 
 SQL_VOCAB = f"""
 vt AS (SELECT unnest(regexp_extract_all(text, '{TOKEN_RE}')) AS tok FROM documents),
@@ -163,17 +164,17 @@ p(doc_id, k, pack, tot) AS (
   SELECT doc_id, k, 0, n FROM sn WHERE k = 1
   UNION ALL
   SELECT sn.doc_id, sn.k,
-         CASE WHEN p.tot + sn.n <= {PACK_MAX} THEN p.pack ELSE p.pack + 1 END,
-         CASE WHEN p.tot + sn.n <= {PACK_MAX} THEN p.tot + sn.n ELSE sn.n END
+         CASE WHEN p.tot + sn.n <= {PACK_MAX_TOKENS} THEN p.pack ELSE p.pack + 1 END,
+         CASE WHEN p.tot + sn.n <= {PACK_MAX_TOKENS} THEN p.tot + sn.n ELSE sn.n END
   FROM p JOIN sn ON sn.doc_id = p.doc_id AND sn.k = p.k + 1)
 SELECT doc_id, CAST(pack AS INTEGER) AS pack, CAST(count(*) AS INTEGER) AS n_sentences,
        CAST(sum(n) AS BIGINT) AS n_tokens, string_agg(sent, ' ' ORDER BY k) AS text
 FROM p JOIN sn USING (doc_id, k) GROUP BY doc_id, pack""")
 def packed_docs(spark, sf_dir):
     """K9: each document's sentences greedily packed into pieces of at most
-    128 tokens (a longer sentence is a piece of its own)."""
+    ``PACK_MAX_TOKENS`` tokens (a longer sentence is a piece of its own)."""
     d = load(spark, sf_dir, "documents").select("doc_id", split_sentences("text").alias("s"))
-    return tk.pack_sentences(d, "s", PACK_MAX, keep=["doc_id"])
+    return tk.pack_sentences(d, "s", PACK_MAX_TOKENS, keep=["doc_id"])
 
 
 @query("truncate_at_punct", """

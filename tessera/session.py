@@ -101,15 +101,6 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# Blocks of the distributed prefix sums: one per shuffle partition, capped so
-# that the boundary sample collected on the driver stays small (<= 64 keys
-# per block, so at most 131,072 keys).
-MAX_BLOCKS = 2048
-
-
 def default_blocks(spark: SparkSession) -> int:
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover
-        n = int(os.cpu_count() or 8)
-    return max(1, min(n, MAX_BLOCKS))
+    """Blocks of the distributed prefix sums: one per shuffle partition."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

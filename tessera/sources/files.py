@@ -15,7 +15,6 @@ from pyspark.sql.types import StructType
 from ..functions.text import normalize_split
 from ..session import scratch_path
 
-TSV_READ = {"sep": "\t", "quote": "", "escape": "", "mode": "PERMISSIVE"}
 TSV_WRITE = {"sep": "\t", "quote": "", "escape": "", "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false", "nullValue": ""}
 
@@ -24,9 +23,12 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType | str, header: b
              quoting: bool = False) -> DataFrame:
     """Tab-separated file with declared columns; ``header=True`` skips
     one line.  By default quotes are plain characters (no glued fields, D8);
-    ``quoting=True`` reproduces the glued read that :func:`repair_pair` undoes."""
+    ``quoting=True`` reproduces the glued read that :func:`repair_pair` undoes
+    (a doubled quote inside a quoted field is one quote, a backslash is text)."""
     r = spark.read.schema(schema).option("sep", "\t").option("header", header)
-    if not quoting:
+    if quoting:
+        r = r.option("quote", '"').option("escape", '"')
+    else:
         r = r.option("quote", "").option("escape", "")
     return r.csv(path)
 
@@ -120,10 +122,11 @@ def write_titles(df: DataFrame, path: str, col: str = "title") -> str:
 
 
 def materialize(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
-    """Write once and reuse; rewrite only when asked."""
+    """Write once and reuse; rewrite when asked, or when the last write
+    did not end."""
     spark = df.sparkSession
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if overwrite or not fs.exists(jvm_path):
+    done = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    fs = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if overwrite or not fs.exists(done):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -54,16 +54,27 @@ def test_read_table_csv(spark):
     assert got == [(1, "x"), (2, "y")]
 
 
+def test_quoted_fields_double_their_quotes(spark):
+    p = files.write_lines(spark.createDataFrame([('"say ""hi"""\t"a\\"\tend',)], "v string"), scratch_path(spark, "quoted"))
+    row = files.read_tsv(spark, p, "a string, b string, c string", quoting=True).first()
+    assert tuple(row) == ('say "hi"', "a\\", "end")
+
+
+def test_materialize_writes_again_after_a_write_that_did_not_end(spark):
+    p = scratch_path(spark, "half")
+    spark.range(3).write.parquet(p)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, False)
+    assert files.materialize(spark.range(5), p).count() == 5
+    assert files.materialize(spark.range(9), p).count() == 5
+
+
 def test_argument_validation(spark):
     import pytest
     from tessera.operators import tokens as tk
-    from tessera.operators.ordering import global_offsets
     toks = spark.createDataFrame([(0, 1)], "g long, id int")
     with pytest.raises(ValueError):
         tk.strided_windows(toks, F.lit(1), 2, 3)
     st = spark.createDataFrame([(0, "a", None)], "g long, tok string, prev string")
     with pytest.raises(ValueError):
         ngram.stream_targets(st, F.lit(1), 4, 4, weighting="mean")
-    df = spark.createDataFrame([(1, 2)], "a long, b long")
-    with pytest.raises(ValueError):
-        global_offsets(df, ["a", "b"], bound_keys=df.select("b"))

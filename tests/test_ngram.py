@@ -76,3 +76,27 @@ def test_sampling_is_seeded_and_greedy_is_top(spark):
     assert 0.5 < share < 0.7
     greedy = ngram.sample_next(prompts, dist, "id", 1, do_sample=False)
     assert {r.tok for r in greedy.collect()} == {"a"}
+
+
+def test_no_prompt_is_lost(spark):
+    model = spark.createDataFrame([("a", "b", 3), ("b", "a", 2), ("b", "c", 1)], "ctx string, tok string, cnt long")
+    prompts = spark.createDataFrame([(1, "a"), (2, "unseen"), (3, None), (4, "c")], "id long, ctx string")
+    dist = ngram.next_token_dist(model)
+    full = dist.unionByName(ngram.backoff_dist(model))
+    got = {r.id: (r.tok, r.p) for r in ngram.sample_next(prompts, full, "id", 1, do_sample=False).collect()}
+    assert got == {1: ("b", 1.0), 2: ("b", 0.5), 3: ("b", 0.5), 4: ("b", 0.5)}
+    assert ngram.sample_next(prompts, full, "id", 3).count() == 12
+    bare = {r.id: r.tok for r in ngram.sample_next(prompts, dist, "id", 1).collect()}
+    assert bare == {1: "b", 2: None, 3: None, 4: None}
+
+
+def test_generation_reaches_the_length_from_the_whole_prompt(spark):
+    model = spark.createDataFrame([("a", "b", 3), ("b", "a", 2), ("b", "c", 1)], "ctx string, tok string, cnt long")
+    dist = ngram.next_token_dist(model).unionByName(ngram.backoff_dist(model))
+    start = {1: ["x", "a"], 2: [], 3: ["a"] * 7, 4: ["a", "b", "c"]}
+    prompts = spark.createDataFrame(list(start.items()), "id long, out array<string>")
+    got = {r.id: r.out for r in ngram.generate(prompts, dist, "id", max_length=6, per_cut=2).collect()}
+    assert {k: len(v) for k, v in got.items()} == {1: 6, 2: 6, 3: 7, 4: 6}
+    assert all(got[k][:len(v)] == v for k, v in start.items()) and got[1][2] == "b"
+    empty = ngram.generate(prompts.where("id < 0"), dist, "id", max_length=6)
+    assert empty.count() == 0

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import block_of, global_offsets, global_row_number
+from tessera.operators.ordering import global_offsets, global_row_number
 
 
 def test_offsets_with_hot_leading_key(spark):
@@ -25,20 +25,18 @@ def test_row_number_strings(spark):
     assert [got[k] for k in sorted(keys)] == list(range(1, 501))
 
 
-def test_block_tree(spark):
-    bounds = [(10,), (20,), (30,)]
-    df = spark.createDataFrame([(v,) for v in (5, 10, 15, 20, 29, 30, 99)], "v long")
-    from pyspark.sql.types import LongType
-    out = [r.b for r in df.select(block_of([F.col("v")], bounds, [LongType()]).alias("b")).collect()]
-    assert out == [0, 1, 1, 2, 2, 3, 3]
-
-
-def test_offsets_with_prefix_boundaries(spark):
+def test_many_more_blocks_than_rows(spark):
     rows = [(d, p, (d * 3 + p) % 4) for d in range(40) for p in range(5)]
     df = spark.createDataFrame(rows, "d long, p long, n long")
-    ids = spark.createDataFrame([(d,) for d in range(40)], "d long")
-    got = {(r.d, r.p): r.offset for r in global_offsets(df, ["d", "p"], "n", blocks=6, bound_keys=ids).collect()}
+    out = global_offsets(df, ["d", "p"], "n", blocks=500)
+    assert "TakeOrderedAndProject" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.d, r.p): r.offset for r in out.collect()}
     acc = 0
     for d, p, n in rows:
         assert got[(d, p)] == acc
         acc += n
+
+
+def test_offsets_of_no_rows(spark):
+    df = spark.range(0).withColumn("n", F.lit(2))
+    assert global_offsets(df, ["id"], "n", blocks=4).count() == 0
