@@ -71,8 +71,8 @@ def unescape_tags(col, mapping=TAG_ENTITIES) -> Column:
 
 
 def decode_entities(col) -> Column:
-    """Named entities an XML parser decodes, ``&amp;`` last; decimal and
-    hex character references are decoded by :func:`tessera.functions.udfs`."""
+    """T8b, named entities only, ``&amp;`` last; with character references too:
+    :func:`tessera.functions.udfs.decode_char_refs`."""
     out = _c(col)
     for src, dst in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
                      ("&amp;", "&")]:
@@ -106,16 +106,6 @@ def inner_text(col) -> Column:
     return F.regexp_replace(_c(col), r"<[^>]+>", "")
 
 
-def strip_paired_tags_native(col, depth: int = 4) -> Column:
-    """T9 fast mode: repeated replacement of ``<t ...>x</t>`` by ``x``.  Equal
-    to the exact recursion except for nested same-name and crossed tags (see
-    README); the exact form is :func:`tessera.functions.udfs.strip_paired_tags`."""
-    out = _c(col)
-    for _ in range(depth):
-        out = F.regexp_replace(out, r"(?d)<(.*?)(?: .*?)?>(.*?)</(\1)>", "$2")
-    return out
-
-
 def split_part(col, sep_regex: str, idx: int) -> Column:
     """1-based piece of a split, null when missing (ANSI safe)."""
     return F.try_element_at(F.split(_c(col), sep_regex), F.lit(idx))

@@ -5,6 +5,8 @@ each match is prefixed with a sentinel by ``regexp_replace`` and the text is
 split on it; piece ``i`` starts with match ``i`` and its offset is the sum of
 the lengths of the pieces before it.  Only small per-match rows (ids, piece
 length, captured groups) leave the row - the page text is never shuffled.
+U+0001, a character HTML forbids, is the sentinel; one in a page reads as
+U+FFFD, which keeps every offset.
 
 Section years and entries are scanned *separately* (one alternation would
 lose a year anchor that lies inside an entry's lazy span), then both kinds go
@@ -20,16 +22,15 @@ from pyspark.sql import functions as F
 
 from ..constants import ENTRY_PATTERN, SECTION_PATTERN
 from ..functions import text as T
-from ..functions.udfs import clean_array_udf
+from ..functions.udfs import clean_array_udf, clean_markup_udf
 
 SENTINEL = "\u0001"
 
 
 def _pieces(df: DataFrame, id_col: str, col: str, pattern: str, kind: int,
             groups: dict[str, int]) -> DataFrame:
-    marked = F.regexp_replace(F.col(col), f"(?d)({pattern})", SENTINEL + "$1")
     ex = (df.select(id_col, F.length(col).alias("_html_len"),
-                    T.posexplode_nonempty(F.split(marked, SENTINEL)).alias("_i", "_piece"))
+                    T.posexplode_nonempty(_split_at_matches(col, pattern)).alias("_i", "_piece"))
           .where(F.col("_i").isNotNull()))
     sel = [id_col, "_html_len", F.lit(kind).alias("_kind"), F.col("_i").cast("long").alias("_i"),
            F.length("_piece").alias("_len")]
@@ -52,7 +53,8 @@ def match_offsets(df: DataFrame, id_col: str, col: str, pattern: str,
 
 def _split_at_matches(col: str, pattern: str):
     """``col`` split before every match of ``pattern``."""
-    return F.split(F.regexp_replace(F.col(col), f"(?d)({pattern})", SENTINEL + "$1"), SENTINEL)
+    clear = F.translate(F.col(col), SENTINEL, "\uFFFD")
+    return F.split(F.regexp_replace(clear, f"(?d)({pattern})", SENTINEL + "$1"), SENTINEL)
 
 
 def index_anchors(pages: DataFrame, id_col: str = "page_id", col: str = "html",
@@ -158,6 +160,11 @@ def raw_paragraphs(body, tag: str = "p"):
     return F.transform(T.elements(body, tag), lambda x: T.decode_entities(T.inner_text(x)))
 
 
+def markup_paragraphs(body, tag: str = "p"):
+    """T7 + T8: element texts in document order, references not yet decoded."""
+    return F.transform(T.elements(body, tag), lambda x: T.inner_text(x))
+
+
 def clean_paragraphs(arr):
     """T14 on every element: NFKD and paired-tag removal (one Arrow crossing
     per batch), then the Unicode strip natively."""
@@ -168,7 +175,8 @@ def parse_article(df: DataFrame, key: str, payload: str, tag: str = "article",
                   para_tag: str = "p", keep: list[str] | None = None) -> DataFrame:
     """``(key, content array<string>, ok)``; ``ok = false`` when the body
     element is missing (D5: failures are rows, never dropped silently), and an
-    element without paragraphs gives ``ok = true`` with ``[]``."""
+    element without paragraphs gives ``ok = true`` with ``[]``.  References are
+    decoded (T8b), normalised and cleaned in one crossing."""
     body, ok = body_of(F.col(payload), tag)
-    return df.select(key, *(keep or []), F.when(ok, clean_paragraphs(raw_paragraphs(body, para_tag)))
-                     .alias("content"), ok.alias("ok"))
+    clean = F.transform(clean_markup_udf(markup_paragraphs(body, para_tag)), lambda x: T.strip_ws(x))
+    return df.select(key, *(keep or []), F.when(ok, clean).alias("content"), ok.alias("ok"))

@@ -2,8 +2,11 @@
 
 Every metric is an aggregate over (pred, label) rows: partial aggregation on
 each task, one tiny final merge.  Confusion counts are grouped to at most
-classes^2 rows before marginals are taken.  Ranks (Spearman) are built on
-the distinct values with distributed offsets, never with a one-task window.
+classes^2 rows before marginals are taken, and one such table
+(:func:`confusion`) serves every classification metric of an input.  Ranks
+(Spearman) are built on the distinct values with distributed offsets, never
+with a one-task window, and are joined to distinct pairs with their counts, so
+a hot value is one row for each partner.
 """
 
 from __future__ import annotations
@@ -12,8 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ACCURACY_CONFIGS, CONFIG_METRICS, METRIC_CONFIGS
+from ..session import cut_lineage
 from .ordering import global_offsets
 
+
 def _nan() -> Column:
     return F.lit(float("nan"))
 
@@ -33,17 +38,28 @@ def unmatched(preds: DataFrame, refs: DataFrame, key: str) -> DataFrame:
         .alias("only_in"))
 
 
-def accuracy(pred="pred", label="label") -> Column:
-    """A1: mean of pred = label."""
-    return F.avg((F.col(pred) == F.col(label)).cast("double"))
+def confusion(df: DataFrame, pred="pred", label="label") -> DataFrame:
+    """Counts ``n`` of each (pred, label): the weighted input of A1-A4."""
+    return df.groupBy(pred, label).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _weight(weight: str | None) -> Column:
+    return F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+
+
+def accuracy(pred="pred", label="label", weight: str | None = None) -> Column:
+    """A1: mean of pred = label over complete pairs."""
+    same, w = F.col(pred) == F.col(label), _weight(weight)
+    return F.try_divide(F.sum(F.when(same, w).when(~same, F.lit(0))).cast("double"),
+                        F.sum(F.when(same.isNotNull(), w)))
 
 
-def f1_binary(pred="pred", label="label", positive=1) -> Column:
+def f1_binary(pred="pred", label="label", positive=1, weight: str | None = None) -> Column:
     """A2: binary F1 for the positive class, 0 when undefined."""
-    p, y = F.col(pred) == positive, F.col(label) == positive
-    tp = F.sum((p & y).cast("long"))
-    fp = F.sum((p & ~y).cast("long"))
-    fn = F.sum((~p & y).cast("long"))
+    p, y, w = F.col(pred) == positive, F.col(label) == positive, _weight(weight)
+    tp = F.coalesce(F.sum(F.when(p & y, w)), F.lit(0))
+    fp = F.coalesce(F.sum(F.when(p & ~y, w)), F.lit(0))
+    fn = F.coalesce(F.sum(F.when(~p & y, w)), F.lit(0))
     return F.coalesce(F.try_divide(2.0 * tp, 2 * tp + fp + fn), F.lit(0.0))
 
 
@@ -62,60 +78,60 @@ def pearson(x="pred", y="label") -> Column:
     return F.coalesce(F.try_divide(F.covar_pop(x, y), F.when(den > 0, den)), _nan())
 
 
-def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
+def average_ranks(df: DataFrame, col: str, out: str, weight: str | None = None) -> DataFrame:
     """1-based average rank of each distinct value of ``col`` (ties share
-    the mean rank).  Distinct values are counted, offset by a distributed
-    prefix sum, and ``(value, rank)`` is returned for a join back."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c")).where(F.col(col).isNotNull())
+    the mean rank).  Distinct values are counted (``weight``: rows a row stands
+    for), offset by a distributed prefix sum, and ``(value, rank)`` is returned
+    for a join back."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.sum(_weight(weight)).alias("_c"))
     off = global_offsets(counts, [col], "_c", "_o")
     return off.select(col, (F.col("_o") + (F.col("_c") + 1) / 2.0).alias(out))
 
 
-def spearman_frame(df: DataFrame, x: str = "pred", y: str = "label") -> DataFrame:
-    """A6 input: each complete pair with the average ranks of its two values."""
-    df = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    rx = average_ranks(df, x, "_rx")
-    ry = average_ranks(df, y, "_ry")
-    return df.select(x, y).join(rx, x).join(ry, y)
-
-
 def spearman(df: DataFrame, x: str = "pred", y: str = "label") -> DataFrame:
-    """Pearson over average ranks, one row ``(spearmanr)``."""
-    return spearman_frame(df, x, y).agg(pearson("_rx", "_ry").alias("spearmanr"))
-
-
-def matthews(df: DataFrame, pred: str = "pred", label: str = "label") -> DataFrame:
+    """Pearson over average ranks of complete pairs, one row ``(spearmanr)``.
+    Distinct pairs are written once with their counts; the mean rank is known
+    (``(N + 1) / 2``), so the moments are centred."""
+    pairs = cut_lineage(df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+                        .groupBy(x, y).agg(F.count(F.lit(1)).alias("_n")), "pairs")
+    mean = (pairs.agg(F.sum("_n")).scalar() + 1) / F.lit(2.0)
+    ranked = (pairs.join(average_ranks(pairs, x, "_rx", "_n"), x).join(average_ranks(pairs, y, "_ry", "_n"), y)
+              .select("_n", (F.col("_rx") - mean).alias("a"), (F.col("_ry") - mean).alias("b")))
+    n, a, b = F.col("_n"), F.col("a"), F.col("b")
+    den = F.sqrt(F.sum(n * a * a)) * F.sqrt(F.sum(n * b * b))
+    return ranked.agg(F.coalesce(F.try_divide(F.sum(n * a * b), F.when(den > 0, den)), _nan()).alias("spearmanr"))
+
+
+def matthews(df: DataFrame, pred: str = "pred", label: str = "label", weight: str | None = None) -> DataFrame:
     """A4: multiclass Matthews correlation, 0 when the denominator is 0.
     ``(c*s - sum t_k p_k) / sqrt((s^2 - sum p_k^2)(s^2 - sum t_k^2))`` with
-    products in double."""
-    conf = df.groupBy(F.col(label).alias("t"), F.col(pred).alias("p")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"))
-    t = conf.groupBy(F.col("t").alias("k")).agg(F.sum("n").alias("tk"))
-    p = conf.groupBy(F.col("p").alias("k")).agg(F.sum("n").alias("pk"))
-    marg = t.join(p, "k", "full").select(F.coalesce("tk", F.lit(0.0)).alias("tk"),
-                                         F.coalesce("pk", F.lit(0.0)).alias("pk"))
-    c = conf.where(F.col("t") == F.col("p")).select(F.coalesce(F.sum("n"), F.lit(0.0))).scalar()
+    products in double.  Each confusion cell gives a row to its label's and to
+    its prediction's marginal, so the input is read once."""
+    cells = df.groupBy(F.col(label).alias("t"), F.col(pred).alias("p")).agg(
+        F.sum(_weight(weight)).cast("double").alias("n"))
+    zero = F.lit(0.0)
+    sides = cells.select(F.explode(F.array(
+        F.struct(F.col("t").alias("k"), F.col("n").alias("tk"), zero.alias("pk"),
+                 F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(zero).alias("c")),
+        F.struct(F.col("p").alias("k"), zero.alias("tk"), F.col("n").alias("pk"), zero.alias("c")))).alias("m")).select("m.*")
+    marg = sides.groupBy("k").agg(*[F.sum(v).alias(v) for v in ("tk", "pk", "c")])
+    s, c, tp, tt, pp = (F.col(v) for v in ("s", "c", "tp", "tt", "pp"))
+    den = (s * s - pp) * (s * s - tt)
     return marg.agg(
-        F.sum("tk").alias("s"), F.sum(F.col("tk") * F.col("pk")).alias("tp"),
+        F.sum("tk").alias("s"), F.sum("c").alias("c"), F.sum(F.col("tk") * F.col("pk")).alias("tp"),
         F.sum(F.col("tk") * F.col("tk")).alias("tt"), F.sum(F.col("pk") * F.col("pk")).alias("pp")
-    ).select(
-        F.coalesce(F.try_divide(
-            c * F.col("s") - F.col("tp"),
-            F.when((F.col("s") * F.col("s") - F.col("pp")) * (F.col("s") * F.col("s") - F.col("tt")) > 0,
-                   F.sqrt((F.col("s") * F.col("s") - F.col("pp"))
-                          * (F.col("s") * F.col("s") - F.col("tt"))))), F.lit(0.0))
-        .alias("matthews_correlation"))
+    ).select(F.coalesce(F.try_divide(c * s - tp, F.when(den > 0, F.sqrt(den))), zero).alias("matthews_correlation"))
 
 
-def acc_and_f1(df: DataFrame, pred="pred", label="label") -> DataFrame:
+def acc_and_f1(df: DataFrame, pred="pred", label="label", weight: str | None = None) -> DataFrame:
     """A3: accuracy and F1 in one pass."""
-    return df.agg(accuracy(pred, label).alias("accuracy"), f1_binary(pred, label).alias("f1"))
+    return df.agg(accuracy(pred, label, weight).alias("accuracy"), f1_binary(pred, label, weight=weight).alias("f1"))
 
 
 def pearson_and_spearman(df: DataFrame, pred="pred", label="label") -> DataFrame:
-    """Pearson and Spearman."""
-    r = spearman_frame(df, pred, label)
-    return r.agg(pearson(pred, label).alias("pearson"), pearson("_rx", "_ry").alias("spearmanr"))
+    """Pearson (one aggregate over the rows) and Spearman."""
+    return df.agg(pearson(pred, label).alias("pearson")).select(
+        "pearson", spearman(df, pred, label).scalar().alias("spearmanr"))
 
 
 def _long(wide: DataFrame, names: list[str]) -> DataFrame:
@@ -123,21 +139,22 @@ def _long(wide: DataFrame, names: list[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(names)}, {stack}) as (metric, value)")
 
 
-def metric_by_config(df: DataFrame, config: str, pred="pred", label="label") -> DataFrame:
+def metric_by_config(df: DataFrame, config: str, pred="pred", label="label", weight: str | None = None) -> DataFrame:
     """Metric set chosen by configuration name, long form (metric, value).
-    Unknown names are refused."""
+    Unknown names are refused.  With ``weight`` the rows are confusion counts
+    (classification only)."""
     if config not in METRIC_CONFIGS:
         raise KeyError(f"metric configuration must be one of {METRIC_CONFIGS}")
     if config == "cola":
-        wide = matthews(df, pred, label)
+        wide = matthews(df, pred, label, weight)
     elif config == "stsb":
         wide = pearson_and_spearman(df.select(F.col(pred).cast("float").alias(pred),
                                               F.col(label).cast("float").alias(label)),
                                     pred, label)
     elif config in ("mrpc", "qqp"):
-        wide = acc_and_f1(df, pred, label)
+        wide = acc_and_f1(df, pred, label, weight)
     elif config in ACCURACY_CONFIGS:
-        wide = df.agg(accuracy(pred, label).alias("accuracy"))
+        wide = df.agg(accuracy(pred, label, weight).alias("accuracy"))
     else:  # pragma: no cover - the lists above cover every legal name
         raise KeyError(config)
     names = CONFIG_METRICS.get(config, ["accuracy"])

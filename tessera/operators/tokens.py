@@ -21,17 +21,17 @@ from .ordering import global_offsets
 # --------------------------------------------------------------------------
 
 def build_vocab(tokens: DataFrame, tok: str = "tok", min_count: int = 1,
-                max_size: int = 30000) -> DataFrame:
+                max_size: int | None = None) -> DataFrame:
     """K2: ``(id, tok, cnt)``; ids 0-4 are the special tokens, then tokens by
-    (count desc, token) from id 5.  ``max_size`` caps the regular entries, so
-    the vocabulary is a proven-bounded broadcast side."""
-    counts = tokens.groupBy(tok).agg(F.count(F.lit(1)).alias("cnt")).where(
-        F.col("cnt") >= min_count)
-    top = counts.orderBy(F.col("cnt").desc(), F.col(tok)).limit(max_size)
-    # <= max_size rows: a one-partition window over a parameter-bounded set.
-    ranked = top.select(
-        (F.row_number().over(Window.orderBy(F.col("cnt").desc(), F.col(tok))) + 4)
-        .cast("int").alias("id"), F.col(tok).alias("tok"), "cnt")
+    (count desc, token) from id 5, numbered by a distributed prefix sum.
+    ``max_size`` caps the regular entries where a fixed vocabulary is wanted;
+    by default every token has its id."""
+    counts = tokens.where(F.col(tok).isNotNull()).groupBy(F.col(tok).alias("tok")).agg(
+        F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") >= min_count)
+    ranked = global_offsets(counts.withColumn("_neg", -F.col("cnt")), ["_neg", "tok"], None, "_o")
+    if max_size is not None:
+        ranked = ranked.where(F.col("_o") < max_size)
+    ranked = ranked.select((F.col("_o") + len(SPECIAL_TOKENS)).cast("int").alias("id"), "tok", "cnt")
     spark = tokens.sparkSession
     specials = spark.createDataFrame(
         [(i, t) for i, t in enumerate(SPECIAL_TOKENS)], "id int, tok string").withColumn(
@@ -42,14 +42,15 @@ def build_vocab(tokens: DataFrame, tok: str = "tok", min_count: int = 1,
 def encode(df: DataFrame, key, vocab: DataFrame, tokens: str = "tokens",
            out: str = "input_ids") -> DataFrame:
     """K3: token array -> id array, unknown tokens -> ``<unk>``.  Tokens are
-    exploded, looked up in the (bounded) vocabulary by broadcast join and put
-    back in order by one aggregation, which also carries the other columns
+    exploded, looked up in the vocabulary (unique per token, so a hot token is
+    many rows on one side only, which AQE splits; Spark broadcasts a small one
+    by its size) and put back in order by one aggregation, which also carries the other columns
     (``collect_list`` combines map-side, so about one row per key is
     shuffled).  Rows without tokens keep an empty array."""
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys and c != tokens]
     ex = df.select(*keys, *others, posexplode_nonempty(tokens).alias("pos", "tok"))
-    ids = (ex.join(F.broadcast(vocab.select("tok", "id")), "tok", "left")
+    ids = (ex.join(vocab.select("tok", "id"), "tok", "left")
            .select(*keys, *others, "pos",
                    F.when(F.col("pos").isNotNull(), F.coalesce("id", F.lit(UNK_ID))).alias("id")))
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
@@ -60,13 +61,14 @@ def encode(df: DataFrame, key, vocab: DataFrame, tokens: str = "tokens",
 
 def decode(df: DataFrame, key, vocab: DataFrame, ids: str = "input_ids",
            out: str = "text") -> DataFrame:
-    """Ids -> text, special tokens skipped, pieces joined with a space."""
+    """Ids -> text, special tokens skipped, pieces joined with a space.
+    One pass over the (unique) keys; a key without pieces gives ''."""
     keys = [key] if isinstance(key, str) else list(key)
-    ex = df.select(*keys, F.posexplode(ids).alias("pos", "id")).where(F.col("id") >= len(SPECIAL_TOKENS))
-    toks = ex.join(F.broadcast(vocab.select("id", "tok")), "id", "inner")
-    back = toks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_p"))
-    dec = back.select(*keys, F.array_join(F.transform("_p", lambda s: s["tok"]), " ").alias(out))
-    return df.select(*keys).join(dec, keys, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
+    regular = vocab.where(F.col("id") >= len(SPECIAL_TOKENS)).select("id", "tok")
+    toks = df.select(*keys, F.posexplode_outer(ids).alias("pos", "id")).join(regular, "id", "left")
+    item = F.when(F.col("tok").isNotNull(), F.struct("pos", "tok"))
+    back = toks.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_p"))
+    return back.select(*keys, F.array_join(F.transform("_p", lambda s: s["tok"]), " ").alias(out))
 
 
 # --------------------------------------------------------------------------
@@ -136,8 +138,8 @@ def token_stream(paras: DataFrame, order_cols: list[str], tokens: str = "tokens"
                  blocks: int | None = None) -> DataFrame:
     """Add ``start`` = global offset of each row's first token in the
     order of ``order_cols`` (distributed prefix sum), and ``n`` = its tokens.
-    Rows without tokens keep their place (``n = 0``); no filter is put on the
-    computed array here, which would make Catalyst evaluate it twice."""
+    Rows without tokens keep their place (``n = 0``) and share ``start`` with
+    the next row, so drop them before ``start`` serves as a key."""
     p = paras.withColumn("n", F.size(tokens))
     return global_offsets(p, order_cols, "n", "start", blocks)
 

@@ -187,17 +187,35 @@ def index_urls(spark, sf_dir):
 
 @query("page_intake_gaps", """
 WITH b AS (SELECT min(year(o_orderdate)) AS y0, max(year(o_orderdate)) + 1 AS y1 FROM orders),
-u AS (SELECT 0 AS ord, 'https://example.org/wiki/Index' AS url FROM b
-      UNION ALL SELECT CAST(y - b.y0 + 1 AS INTEGER), 'https://example.org/wiki/Index/' || y
-      FROM b, range(b.y0, b.y1) t(y)),
-urls AS (SELECT url FROM u UNION ALL SELECT url FROM pages)
-SELECT u.ord, u.url, count(p.page_id) > 0 AS landed FROM u LEFT JOIN pages p USING (url)
-GROUP BY u.ord, u.url""")
+u AS (SELECT CAST(0 AS BIGINT) AS ord, 'https://example.org/wiki/Index' AS url FROM b
+      UNION ALL SELECT CAST(y - b.y0 + 1 AS BIGINT), 'https://example.org/wiki/Index/' || y
+      FROM b, range(b.y0, b.y1) t(y)
+      UNION ALL SELECT min(page_id) + 10000, url FROM pages GROUP BY url)
+SELECT ord, url, url IN (SELECT url FROM pages) AS landed FROM u""")
 def page_intake_gaps(spark, sf_dir):
-    """Which index URLs have a landed page (left join to ``pages``)."""
+    """Which wanted URLs have a landed page: the index pages, which the
+    driver's ``pages`` lack, and every page URL."""
     years = load(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y"))
-    urls = C.index_urls(years, "https://example.org/wiki/Index")
-    return C.intake_gaps(urls, load(spark, sf_dir, "pages"))
+    pages = load(spark, sf_dir, "pages")
+    urls = C.index_urls(years, "https://example.org/wiki/Index").select(F.col("ord").cast("long").alias("ord"), "url")
+    urls = urls.unionByName(pages.groupBy("url").agg((F.min("page_id") + 10000).alias("ord")))
+    return C.intake_gaps(urls, pages)
+
+
+LINK = '<li><a href="/(.*?)">(.*?)</a></li>'
+
+
+@query("page_links", f"""
+WITH m AS (SELECT page_id, regexp_extract_all(html, '{LINK}', 0) AS ms, regexp_extract_all(html, '{LINK}', 1) AS refs,
+                  regexp_extract_all(html, '{LINK}', 2) AS titles, regexp_split_to_array(html, '{LINK}') AS parts FROM pages),
+i AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM m)
+SELECT page_id, CAST(list_sum(list_transform(parts[1:i], lambda x: length(x)))
+                     + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS ord,
+       refs[i] AS ref, titles[i] AS title FROM i""")
+def page_links(spark, sf_dir):
+    """T1 + T3 on the real pages: every navigation link with its offset, the
+    entry pattern as a parameter."""
+    return H.parse_index(load(spark, sf_dir, "pages"), entry_pattern=LINK).select("page_id", "ord", "ref", "title")
 
 
 # ------------------------------------------------------------- article queries
@@ -311,13 +329,6 @@ def tags_exact(spark, sf_dir):
     return p.select("page_id", "pos", strip_paired_tags("raw").alias("text"))
 
 
-@query("tags_native")
-def tags_native(spark, sf_dir):
-    """T9 fast mode (repeated native replacement) on paragraph markup."""
-    p = _tagged_paragraphs(spark, sf_dir)
-    return p.select("page_id", "pos", T.strip_paired_tags_native("raw").alias("text"))
-
-
 @query("clean_text_exact")
 def clean_text_exact(spark, sf_dir):
     """T14 on conversation turns through the single-crossing UDF (rows-only)."""

@@ -20,7 +20,6 @@ from ..sources.tables import load
 from .registry import query
 
 TOKEN_RE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
-VOCAB_MAX = 30000
 WIN_LEN, WIN_STRIDE = 128, 64          # overlapping windows
 BLOCK_LEN = 1024                       # the notebook's n_positions = stride
 
@@ -58,7 +57,7 @@ SQL_VOCAB = f""",
 tru AS (SELECT unnest(toks) AS tok FROM r WHERE NOT held),
 vc AS (SELECT tok, count(*) AS cnt FROM tru GROUP BY tok),
 voc AS (SELECT CAST(row_number() OVER (ORDER BY cnt DESC, tok) + 4 AS INTEGER) AS id, tok
-        FROM (SELECT * FROM vc ORDER BY cnt DESC, tok LIMIT {VOCAB_MAX}))"""
+        FROM vc)"""
 
 
 def _sql_targets(L: int, S: int) -> str:
@@ -114,13 +113,13 @@ def test_stream(spark, sf_dir):
     split = holdout_docs(spark, sf_dir)
     paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
     stream = cut_lineage(tk.token_stream(paras, ["doc_id", "pos"], "tokens"))
-    return split, stream
+    return split, stream.where("n > 0")  # of the written table: ``start`` is a key now
 
 
 def train_vocab(split):
     train = (split.where("split = 'train'").select(explode_nonempty("tokens").alias("tok"))
              .where(F.col("tok").isNotNull()))
-    return tk.build_vocab(train, "tok", 1, VOCAB_MAX)
+    return tk.build_vocab(train, "tok", 1)
 
 
 def bigram_model(split):
@@ -205,7 +204,7 @@ FROM tp
 def lm_stream(spark, sf_dir):
     """Global token offset of every held-out paragraph."""
     _, stream = test_stream(spark, sf_dir)
-    return stream.where(F.col("n") > 0).select("doc_id", "pos", "n", "start")
+    return stream.select("doc_id", "pos", "n", "start")
 
 
 @query("lm_windows", f"""
@@ -373,57 +372,6 @@ def lm_sample_next(spark, sf_dir):
     return out.select("prompt_id", "draw", "tok", F.round("p", 6).alias("p"))
 
 
-OUTSIDE_VOCAB = 5000
-
-
-def _outside_model_factory(bc):
-    """A stand-in outside model: add-one unigram over a capped vocabulary,
-    read from a broadcast variable once per task."""
-    def make():
-        import math
-
-        import pandas as pd
-        import regex
-        counts = bc.value
-        total, v = sum(counts.values()), len(counts)
-        pat = regex.compile(TOKEN_RE)
-
-        def score(texts):
-            nll, n = [], []
-            for t in texts:
-                toks = pat.findall(t or "")
-                n.append(len(toks))
-                nll.append(sum(-math.log((counts.get(x, 0) + 1) / (total + v + 1)) for x in toks))
-            return pd.DataFrame({"nll_sum": nll, "n_tokens": n})
-        return score
-    return make
-
-
-@query("lm_outside_model_scores", f"""
-WITH {SQL_HOLDOUT},
-tr AS (SELECT unnest(toks) AS tok FROM r WHERE NOT held),
-vc AS (SELECT tok, count(*) AS cnt FROM tr GROUP BY tok),
-voc AS (SELECT tok, cnt FROM vc ORDER BY cnt DESC, tok LIMIT {OUTSIDE_VOCAB}),
-tot AS (SELECT sum(cnt) AS t, count(*) AS v FROM voc),
-te AS (SELECT doc_id, unnest(toks) AS tok FROM r WHERE held),
-sc AS (SELECT doc_id, -ln((coalesce(voc.cnt, 0) + 1.0) / (tot.t + tot.v + 1.0)) AS nll
-       FROM te LEFT JOIN voc USING (tok) CROSS JOIN tot)
-SELECT CAST(r.doc_id AS VARCHAR) AS key, round(coalesce(sum(nll), 0), 6) AS nll_sum,
-       CAST(count(sc.nll) AS BIGINT) AS n_tokens
-FROM r LEFT JOIN sc USING (doc_id) WHERE r.held GROUP BY r.doc_id""")
-def lm_outside_model_scores(spark, sf_dir):
-    """Held-out documents scored by an outside model through
-    ``mapInPandas`` (model built once per task from a broadcast of the capped
-    training vocabulary - at most 5,000 entries reach the driver)."""
-    from ..operators.scoring import score_with
-    split = holdout_docs(spark, sf_dir)
-    voc = train_vocab(split).where(F.col("id") >= 5).orderBy("id").limit(OUTSIDE_VOCAB)
-    bc = spark.sparkContext.broadcast({r.tok: r.cnt for r in voc.collect()})
-    test = split.where("split = 'test'").select("doc_id", "text")
-    out = score_with(test, "doc_id", "text", _outside_model_factory(bc))
-    return out.select("key", F.round("nll_sum", 6).alias("nll_sum"), "n_tokens")
-
-
 @query("lm_generate_counts", SQL_CDF.replace("WITH", "WITH RECURSIVE", 1) + f""",
 gen AS (SELECT doc_id || ':' || pos AS prompt_id, toks AS out, 0 AS step FROM tp WHERE len(toks) > 0
         UNION ALL

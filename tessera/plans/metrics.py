@@ -157,8 +157,9 @@ lng AS (
 
 def _dispatch(spark, sf_dir):
     b, m, r = binary_pairs(spark, sf_dir), multi_pairs(spark, sf_dir), regression_pairs(spark, sf_dir)
-    parts = [M.metric_by_config(m, "cola"), M.metric_by_config(b, "mrpc"), M.metric_by_config(b, "sst2"),
-             M.metric_by_config(r, "stsb")]
+    cells = M.confusion(b)
+    parts = [M.metric_by_config(M.confusion(m), "cola", weight="n"), M.metric_by_config(cells, "mrpc", weight="n"),
+             M.metric_by_config(cells, "sst2", weight="n"), M.metric_by_config(r, "stsb")]
     return reduce(lambda a, c: a.unionByName(c), parts)
 
 

@@ -20,13 +20,12 @@ from ..sources.tables import load
 from .registry import query
 
 TOKEN_RE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
-VOCAB_MAX, MIN_COUNT, MAX_LEN, PAIR_BUDGET = 1000, 2, 32, 64
+MIN_COUNT, MAX_LEN, PAIR_BUDGET = 2, 32, 64
 
 SQL_VOCAB = f"""
 vt AS (SELECT unnest(regexp_extract_all(text, '{TOKEN_RE}')) AS tok FROM documents),
 vc AS (SELECT tok, count(*) AS cnt FROM vt GROUP BY tok HAVING count(*) >= {MIN_COUNT}),
-voc AS (SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY cnt DESC, tok) + 4 AS INTEGER) AS id, tok, cnt
-                       FROM vc) WHERE id < {VOCAB_MAX + 5})"""
+voc AS (SELECT CAST(row_number() OVER (ORDER BY cnt DESC, tok) + 4 AS INTEGER) AS id, tok, cnt FROM vc)"""
 
 SQL_ENC = SQL_VOCAB + f""",
 ct AS (SELECT conv_id, turn, role, regexp_extract_all(text, '{TOKEN_RE}') AS toks FROM conversations),
@@ -38,11 +37,11 @@ enc AS (SELECT ct.conv_id, ct.turn, ct.role, coalesce(ids.input_ids, CAST([] AS
 
 
 def vocab(spark, sf_dir):
-    """K2 over all documents, written once (at most VOCAB_MAX + 5 rows): the
+    """K2 over all documents, tokens seen at least MIN_COUNT times, written once: the
     encode and the decode read it instead of re-tokenising the corpus."""
     toks = (load(spark, sf_dir, "documents").select(explode_nonempty(tokenize("text")).alias("tok"))
             .where(F.col("tok").isNotNull()))
-    return cut_lineage(tk.build_vocab(toks, "tok", MIN_COUNT, VOCAB_MAX), "vocab")
+    return cut_lineage(tk.build_vocab(toks, "tok", MIN_COUNT), "vocab")
 
 
 def encoded_turns(spark, sf_dir, voc=None):
@@ -63,7 +62,7 @@ SELECT id, tok, cnt FROM voc
 UNION ALL SELECT * FROM (VALUES (0, '</s>', NULL), (1, '<s>', NULL), (2, '<unk>', NULL), (3, '<pad>', NULL),
                                 (4, '<mask>', NULL)) v(id, tok, cnt)""")
 def vocab_top(spark, sf_dir):
-    """K2: capped vocabulary with the five special tokens first."""
+    """K2: vocabulary with the five special tokens first."""
     return vocab(spark, sf_dir)
 
 

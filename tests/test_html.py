@@ -1,6 +1,7 @@
 """Index and article parsing against FIXTURES 1 and 2."""
 
 import re
+import unicodedata
 
 
 from tessera.constants import ENTRY_PATTERN, SECTION_PATTERN
@@ -102,4 +103,14 @@ def test_numeric_character_references(spark):
     from tessera.functions.udfs import decode_char_refs
     r = spark.createDataFrame([("caf&#233; &#xE9;t&#233; &amp;#233;",)], "s string").select(
         decode_char_refs("s").alias("o")).first()
-    assert r.o == "café été &amp;#233;"
+    assert r.o == "café été &#233;"
+
+
+def test_article_with_references_and_a_sentinel(spark):
+    page = "<article><p>caf&#233; &#38;lt; x</p></article>"
+    r = H.parse_article(spark.createDataFrame([(1, page)], "page_id long, html string"), "page_id", "html").first()
+    assert r.content == [unicodedata.normalize("NFKD", "caf\xe9 &lt; x")] and r.ok
+    body = "\x01<li>1 \x01x<li>22 y\x01"
+    pages = spark.createDataFrame([(1, body)], "page_id long, html string")
+    got = [(r.start, r.n) for r in H.match_offsets(pages, "page_id", "html", r"<li>(\d+)", {"n": 1}).orderBy("start").collect()]
+    assert got == [(m.start(0), m.group(1)) for m in re.finditer(r"<li>(\d+)", body)]

@@ -1,10 +1,14 @@
 """Golden strings for the text functions (FIXTURES 3, T5, T11, T13, T19-T21, S13, S15)."""
 
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
-from tessera.functions.udfs import clean_text_py, strip_paired_tags, strip_paired_tags_py
+from tessera.functions.udfs import clean_text_py, decode_refs_py, strip_paired_tags, strip_paired_tags_py
 
 # FIXTURES 3: input, exact result, repeated-replacement result
 TAGS = [
@@ -28,11 +32,37 @@ def test_strip_paired_tags_python(src, exact, _native):
 
 def test_strip_paired_tags_spark(spark):
     df = spark.createDataFrame([(i, s) for i, (s, _, _) in enumerate(TAGS)], "i int, s string")
-    out = df.select("i", strip_paired_tags("s").alias("exact"),
-                    T.strip_paired_tags_native("s").alias("native")).orderBy("i").collect()
-    for r, (_, exact, native) in zip(out, TAGS):
+    out = df.select("i", strip_paired_tags("s").alias("exact")).orderBy("i").collect()
+    for r, (_, exact, _native) in zip(out, TAGS):
         assert r.exact == exact
-        assert r.native == native
+
+
+def recursive_tags(text):
+    """The paired-tag contract as the recursion that defines it."""
+    return re.sub(r"<(.*?)(?: .*?)?>(.*?)</(\1)>", lambda m: recursive_tags(m.group(2)), text)
+
+
+@pytest.mark.parametrize("pieces", ["</> ab", "<</>>a \n", ["<a>", "</a>", "<b x>", "</b>", " ", "t", "<", ">", "\n", "</", "<a b>"]])
+def test_strip_paired_tags_equals_the_recursion(pieces):
+    rng = random.Random(7)
+    for _ in range(20000):
+        s = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        assert strip_paired_tags_py(s) == recursive_tags(s), s
+
+
+def test_strip_paired_tags_deep_and_long():
+    n = 10000
+    begin = time.perf_counter()
+    named = [f"t{i}" for i in range(n)]
+    assert strip_paired_tags_py("".join(f"<{t}>" for t in named) + "x" + "".join(f"</{t}>" for t in reversed(named))) == "x"
+    assert strip_paired_tags_py("<a>" * n + "</a>" * n) == "<a>" * (n - 1) + "</a>" * (n - 1)
+    for s in ("<" * 100_000, "< " * 50_000 + ">", "a < b > c " * 10_000, "a < b > c </x>" * 7_000):
+        assert strip_paired_tags_py(s) == s
+    assert time.perf_counter() - begin < 5
+
+
+def test_references_are_decoded_once():
+    assert decode_refs_py("caf&#233; &#xE9; &#38;lt; &amp;#233; &#0; &#xD800; &lt;b&gt; &nbsp;") == "caf\xe9 \xe9 &lt; &#233; &#0; &#xD800; <b> &nbsp;"
 
 
 def test_clean_text_nfkd_then_tags():
