@@ -23,6 +23,8 @@ HEADLINE = [
     "index_articles", "article_parse", "attach_content", "sink_jsonl_roundtrip",
     "metric_dispatch", "metric_spearman", "best_run",
     "vocab_top", "encode_docs", "packed_docs", "nli_repair", "split_union_counts",
+    "lm_generate_counts", "clf_runs", "pad_to_batch", "label_align", "page_links",
+    "stream_article_parse", "stream_token_counts",
 ]
 
 

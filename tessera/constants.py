@@ -43,12 +43,8 @@ ACCURACY_CONFIGS = ["sst2", "mnli", "mnli_mismatched", "mnli_matched", "qnli", "
                     "wnli", "hans"]
 
 # --- FIXED VALUES: defaults of the reference's scripts ---------------------
-MAX_SEQ_LENGTH = 128
-N_SEEDS = 5
 N_VALID = 60
 N_TEST = 60
-YEAR_MIN = 2003
-YEAR_MAX = 2018
 TOP_K = 50
 TOP_P = 0.95
 GEN_MAX_LENGTH = 200

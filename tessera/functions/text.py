@@ -16,7 +16,6 @@ from ..constants import TAG_ENTITIES
 TOKEN_PATTERN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
 # Python's str.strip() removes Unicode white space and the separators \x1c-\x1f.
 _WS = r"[\t\n\x0B\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-PUNCT = ".,;:!?"
 
 
 def _c(col) -> Column:

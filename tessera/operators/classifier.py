@@ -1,24 +1,139 @@
-"""Text classifier fit, evaluation and sweep on Spark ML (M1-M3, M6).
+"""Text classifier fit, evaluation and sweep (M1-M3, M6).
 
-The reference fine-tunes a neural model per (rate, batch size, seed); here
-each run fits a ``RegexTokenizer -> HashingTF -> IDF -> LogisticRegression``
-pipeline.  Features are computed once and persisted before the sweep (the
-reference re-loaded and re-encoded inside the loop, D17); each fit is an
-ordinary distributed Spark ML job.
+The reference fine-tunes a neural model per (rate, batch size, seed).  Here
+the checked classifier is multinomial naive Bayes, whose parameters are counts:
+its grid is ``smoothing`` x ``min_count`` x seeds, and a seed draws the dev
+part, so runs differ as repeated draws do.  All runs share one pass: counts are
+grouped by seed, every grid point is a pair of columns, and no driver loop
+submits a job per run.  Logistic regression on Spark ML is an option with its
+own parameters (:func:`fit_logistic`).
+
+A document without a label is left out; one without known tokens gets the
+priors.  ``labels`` is the declared class list (P7), so the columns per class
+are bounded by it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TOKEN_PATTERN
+from ..functions.text import TOKEN_PATTERN, explode_nonempty, md5_unit, tokenize
+from ..session import cut_lineage
 from .metrics import accuracy, f1_binary
 
+TEST_SEED, DEV_SEED = 42, 43
+
+
+def seeded_splits(docs: DataFrame, seeds: int = 1, key: str = "doc_id", test: float = 0.2,
+                  dev: float = 0.25) -> DataFrame:
+    """Each document once per seed with its ``split``: one fixed test part, and
+    a dev part of the rest drawn by the seed (row-local, no shuffle)."""
+    runs = docs.withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))))
+    return runs.withColumn("split", F.when(md5_unit(F.lit(TEST_SEED), F.col(key)) < test, "test")
+                           .when(md5_unit(F.col("seed") + DEV_SEED, F.col(key)) < dev, "dev").otherwise("train"))
+
+
+def bags(docs: DataFrame, text: str = "text", key: str = "doc_id", label: str = "label") -> DataFrame:
+    """(key, label, tok, m): token counts of each labelled document."""
+    words = docs.where(F.col(label).isNotNull()).select(key, F.col(label).alias("label"),
+                                                        explode_nonempty(tokenize(text)).alias("tok"))
+    return words.where(F.col("tok").isNotNull()).groupBy(key, "label", "tok").agg(F.count(F.lit(1)).alias("m"))
+
+
+def fit_naive_bayes(train_bags: DataFrame, labels: Sequence[int]) -> DataFrame:
+    """M1: (seed, tok, n_0, n_1, ...), training occurrences by class."""
+    return train_bags.groupBy("seed", "tok").agg(
+        *[F.coalesce(F.sum(F.when(F.col("label") == c, F.col("m"))), F.lit(0)).alias(f"n_{i}")
+          for i, c in enumerate(labels)])
+
+
+def _total(labels: Sequence[int]) -> Column:
+    return sum((F.col(f"n_{i}") for i in range(1, len(labels))), F.col("n_0"))
+
+
+def predict_naive_bayes(words: DataFrame, train_docs: DataFrame, eval_docs: DataFrame, eval_bags: DataFrame,
+                        labels: Sequence[int], smoothing: Sequence[float], min_counts: Sequence[int],
+                        key: str = "doc_id") -> DataFrame:
+    """(seed, split, key, label, run_idx, smoothing, min_count, pred, loss) for
+    every document and grid point, ``run_idx`` in product order with the seed
+    last.  The token join has one row per token on the model's side, so a hot
+    token is many rows on the other side only, which AQE splits."""
+    k, grid = range(len(labels)), [(a, c) for a in smoothing for c in min_counts]
+    total = _total(labels)
+    sizes = words.groupBy("seed").agg(*[x for j, c in enumerate(min_counts) for x in (
+        F.count(F.when(total >= c, F.lit(1))).alias(f"v_{j}"),
+        *[F.sum(F.when(total >= c, F.col(f"n_{i}")).otherwise(F.lit(0))).alias(f"t_{j}_{i}") for i in k])])
+    priors = train_docs.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), *[
+        F.count(F.when(F.col("label") == c, F.lit(1))).alias(f"d_{i}") for i, c in enumerate(labels)])
+    known = eval_bags.join(words, ["seed", "tok"])
+    sums = known.groupBy("seed", key).agg(
+        *[F.sum(F.when(total >= c, F.col("m"))).alias(f"m_{j}") for j, c in enumerate(min_counts)],
+        *[F.sum(F.when(total >= c, F.col("m") * F.log(F.col(f"n_{i}") + F.lit(float(a))))).alias(f"s_{g}_{i}")
+          for g, (a, c) in enumerate(grid) for i in k])
+    rows = (eval_docs.select("seed", "split", key, "label").join(sums, ["seed", key], "left")
+            .join(sizes, "seed").join(priors, "seed"))
+    zero = F.lit(0.0)
+    points = []
+    for g, (a, c) in enumerate(grid):
+        j = list(min_counts).index(c)
+        scores = F.array(*[
+            F.log((F.col(f"d_{i}") + 1.0) / (F.col("n") + float(len(labels)))) + F.coalesce(F.col(f"s_{g}_{i}"), zero)
+            - F.coalesce(F.col(f"m_{j}"), F.lit(0)) * F.log(F.col(f"t_{j}_{i}") + float(a) * F.col(f"v_{j}") + F.lit(1e-300))
+            for i in k])
+        points.append(F.struct(F.lit(g).alias("g"), F.lit(float(a)).alias("smoothing"), F.lit(int(c)).alias("min_count"),
+                               scores.alias("scores")))
+    names = F.array(*[F.lit(c).cast("long") for c in labels])
+    out = rows.select("seed", "split", key, F.col("label").cast("long").alias("label"), F.explode(F.array(*points)).alias("p"))
+    out = out.select("seed", "split", key, "label", F.col("p.g").alias("g"), F.col("p.smoothing").alias("smoothing"),
+                     F.col("p.min_count").alias("min_count"), F.col("p.scores").alias("s"), F.array_max("p.scores").alias("top"))
+    mass = F.aggregate(F.transform("s", lambda x: F.exp(x - F.col("top"))), zero, lambda x, y: x + y)
+    return out.select("seed", "split", key, "label", "g", "smoothing", "min_count",
+                      F.element_at(names, F.array_position("s", F.col("top")).cast("int")).alias("pred"),
+                      (F.col("top") + F.log(mass) - F.try_element_at("s", F.array_position(names, F.col("label")).cast("int")))
+                      .alias("loss"))
+
+
+def naive_bayes(docs: DataFrame, labels: Sequence[int], smoothing: Sequence[float] = (1.0,),
+                min_counts: Sequence[int] = (1,), seeds: int = 1, key: str = "doc_id") -> DataFrame:
+    """M1 on every seed: predictions of the dev and test documents.  The token
+    counts of the documents are written once; seeds only re-label them."""
+    docs = docs.where(F.col("label").isNotNull())
+    bag = seeded_splits(cut_lineage(bags(docs, key=key), "bags"), seeds, key)
+    heads = seeded_splits(docs.select(key, "label"), seeds, key)
+    train = F.col("split") == "train"
+    words = fit_naive_bayes(bag.where(train), labels)
+    return predict_naive_bayes(words, heads.where(train), heads.where(~train), bag.where(~train).select("seed", key, "tok", "m"),
+                               labels, smoothing, min_counts, key)
+
+
+def evaluate(pred: DataFrame, *by: str) -> DataFrame:
+    """M2: accuracy, F1 and mean log-loss of predictions, by any columns."""
+    return pred.groupBy(*by).agg(accuracy().alias("metric_1"), f1_binary().alias("metric_2"), F.avg("loss").alias("loss"))
+
+
+def sweep(docs: DataFrame, labels: Sequence[int], smoothing: Sequence[float], min_counts: Sequence[int],
+          seeds: int, do_train: bool = True, do_eval: bool = True) -> DataFrame | None:
+    """M3 + M6: the run table of the whole grid, one row per (run, phase); a
+    missing metric stays null.  Nothing is returned unless both stages run."""
+    if not (do_train and do_eval):
+        return None
+    pred = naive_bayes(docs, labels, smoothing, min_counts, seeds)
+    runs = evaluate(pred, "g", "smoothing", "min_count", "seed", F.col("split").alias("phase"))
+    return runs.select((F.col("g") * seeds + F.col("seed")).cast("long").alias("run_idx"),
+                       F.format_string("%d_%.1e_%d", "seed", "smoothing", "min_count").alias("run_key"),
+                       "smoothing", "min_count", "seed", "phase", "metric_1", "metric_2", "loss")
+
+
+# --------------------------------------------------------------------------
+# Logistic regression (optional, Spark ML)
+# --------------------------------------------------------------------------
 
 def featurize(df: DataFrame, text: str = "text", num_features: int = 1 << 16) -> DataFrame:
     """Token counts hashed to ``num_features`` dimensions, IDF-weighted.  With
@@ -32,48 +147,13 @@ def featurize(df: DataFrame, text: str = "text", num_features: int = 1 << 16) ->
     return model.transform(df).drop("_tokens", "_tf")
 
 
-def fit_classifier(train: DataFrame, learning_rate: float, batch_size: int, seed: int,
-                   label: str = "label"):
-    """M1: logistic regression; the rate maps to the regularisation strength
-    and the batch size to the iteration budget (a count model has no
-    mini-batches).  Every training row is used, so the seed changes nothing."""
-    lr = LogisticRegression(featuresCol="features", labelCol=label,
-                            regParam=float(learning_rate) * 1000.0,
-                            maxIter=max(5, int(batch_size)))
-    return lr.fit(train)
-
-
-def evaluate(model, df: DataFrame, label: str = "label") -> DataFrame:
-    """M2: accuracy, F1 and log-loss of a fitted model on a split."""
-    pred = model.transform(df).select(
-        F.col(label).cast("long").alias("label"), F.col("prediction").cast("long").alias("pred"),
-        vector_to_array("probability").alias("prob"))
-    p_true = F.greatest(F.least(F.element_at("prob", F.col("label").cast("int") + 1),
-                                F.lit(1 - 1e-15)), F.lit(1e-15))
-    return pred.agg(accuracy().alias("metric_1"), f1_binary().alias("metric_2"),
-                    F.avg(-F.log(p_true)).alias("loss"))
-
-
-def sweep(features: DataFrame, runs: list[dict], do_train: bool = True,
-          do_eval: bool = True) -> DataFrame | None:
-    """M3 + M6: every run of the grid (driver loop, one Spark job per fit) on
-    persisted features with a ``split`` column; returns the run table with one
-    row per (run, phase).  The report needs ``do_eval``."""
-    if not do_train:
-        return None
-    spark = features.sparkSession
-    features = features.persist()
-    train = features.where("split = 'train'")
-    rows = []
-    for r in runs:
-        model = fit_classifier(train, r["learning_rate"], r["batch_size"], r["seed"])
-        if not do_eval:
-            continue
-        for phase, split in (("dev", "valid"), ("test", "test")):
-            m = evaluate(model, features.where(F.col("split") == split)).first()
-            rows.append((r["run_idx"], r["run_key"], float(r["learning_rate"]), int(r["batch_size"]),
-                         int(r["seed"]), phase, m["metric_1"], m["metric_2"], m["loss"]))
-    features.unpersist()
-    schema = ("run_idx long, run_key string, learning_rate double, batch_size int, seed int, "
-              "phase string, metric_1 double, metric_2 double, loss double")
-    return spark.createDataFrame(rows, schema)
+def fit_logistic(train: DataFrame, reg_param: float = 0.01, max_iter: int = 20, label: str = "label"):
+    """Logistic regression on ``features``, over every training row."""
+    return LogisticRegression(featuresCol="features", labelCol=label, regParam=reg_param, maxIter=max_iter).fit(train)
+
+
+def predict_logistic(model, df: DataFrame, label: str = "label") -> DataFrame:
+    """(..., label, pred, loss) of a fitted model, ready for :func:`evaluate`."""
+    p = F.greatest(F.element_at(vector_to_array("probability"), F.col(label).cast("int") + 1), F.lit(1e-15))
+    return model.transform(df).withColumn("loss", -F.log(p)).withColumn("pred", F.col("prediction").cast("long")).withColumn(
+        "label", F.col(label).cast("long")).drop("features", "rawPrediction", "probability", "prediction")

@@ -51,8 +51,14 @@ def grid(tasks: DataFrame, rates: str, batches: str, n_seeds: int,
                     (F.lit(steps) * F.col("batch_size")).alias("final_batch"))
 
 
-RUN_COLS = ["run_idx", "run_key", "learning_rate", "batch_size", "seed", "phase",
-            "metric_1", "metric_2", "loss"]
+PARAMS = ("learning_rate", "batch_size")
+
+
+def run_cols(params=PARAMS) -> list[str]:
+    return ["run_idx", "run_key", *params, "seed", "phase", "metric_1", "metric_2", "loss"]
+
+
+RUN_COLS = run_cols()
 
 
 def run_order(metric: str):
@@ -61,27 +67,27 @@ def run_order(metric: str):
     return F.struct(F.when(~F.isnan(m), m).alias("m"), -F.col("run_idx"))
 
 
-def best_run(runs: DataFrame, metric: str = "metric_1", phase: str = "dev") -> DataFrame:
+def best_run(runs: DataFrame, metric: str = "metric_1", phase: str = "dev", params=PARAMS) -> DataFrame:
     """The run with the largest ``metric`` on ``phase``; the first run
     (smallest ``run_idx``) wins ties, as a strict ``>`` scan does."""
     dev = runs.where(F.col("phase") == phase)
-    best = dev.agg(F.max_by(F.struct(*RUN_COLS), run_order(metric)).alias("b"))
+    best = dev.agg(F.max_by(F.struct(*run_cols(params)), run_order(metric)).alias("b"))
     return best.select("b.*")
 
 
-def report(runs: DataFrame, metric: str = "metric_1") -> DataFrame:
+def report(runs: DataFrame, metric: str = "metric_1", params=PARAMS) -> DataFrame:
     """M4 = A17 -> J9 -> A11 -> J8: best dev run, mean and population std (x100,
-    one decimal, half-even) of the runs sharing its rate and batch size, and
-    the test metrics of the best run's key.
+    one decimal, half-even) of the runs sharing its configuration (``params``:
+    rate and batch size), and the test metrics of the best run's key.
 
-    Dev runs are aggregated once per (rate, batch size): the config's best run
+    Dev runs are aggregated once per configuration: the config's best run
     and its statistics.  The best run overall is the best of the config bests
     (same tie rule), so its config's statistics come with it - no self-join,
     no subquery; then one equi-join fetches its test row."""
     dev = runs.where(F.col("phase") == "dev")
     order = run_order(metric)
-    per_cfg = dev.groupBy("learning_rate", "batch_size").agg(
-        F.max_by(F.struct(*RUN_COLS), order).alias("best"),
+    per_cfg = dev.groupBy(*params).agg(
+        F.max_by(F.struct(*run_cols(params)), order).alias("best"),
         F.max(order).alias("_key"),
         F.bround(F.avg("metric_1") * 100, 1).alias("avg_dev_1"),
         F.bround(F.stddev_pop("metric_1") * 100, 1).alias("std_dev_1"),
@@ -91,8 +97,7 @@ def report(runs: DataFrame, metric: str = "metric_1") -> DataFrame:
     stats = ["avg_dev_1", "std_dev_1", "avg_dev_2", "std_dev_2", "n_same"]
     top = per_cfg.agg(F.max_by(F.struct("best", *stats), F.col("_key")).alias("t")).select("t.*")
     b = top.select(F.col("best.run_key").alias("best_run_key"), F.col("best.seed").alias("best_seed"),
-                   F.col("best.learning_rate").alias("best_learning_rate"),
-                   F.col("best.batch_size").alias("best_batch_size"),
+                   *[F.col(f"best.{p}").alias(f"best_{p}") for p in params],
                    F.bround(F.col("best.metric_1") * 100, 1).alias("best_dev_1"),
                    F.bround(F.col("best.metric_2") * 100, 1).alias("best_dev_2"), *stats)
     test = runs.where(F.col("phase") == "test").select(

@@ -50,11 +50,11 @@ def split_fraction(df: DataFrame, key: str, test: float = 0.2, valid: float = 0.
 
 def shuffle(df: DataFrame, key: str, seed: int = 42, ordinal: str | None = "ord") -> DataFrame:
     """Seeded full shuffle.  With ``ordinal`` the position is a column
-    (computed by distributed offsets, no one-task window); the data is range
-    sorted by the order key for a sink."""
+    (computed by distributed offsets, no one-task window) and carries the
+    order; without it the rows are sorted for a sink."""
     keyed = df.withColumn("_tsr_h", md5_order_key(seed, F.col(key)))
     if ordinal:
-        keyed = global_row_number(keyed, ["_tsr_h", key], ordinal)
+        return global_row_number(keyed, ["_tsr_h", key], ordinal).drop("_tsr_h")
     return keyed.orderBy("_tsr_h", key).drop("_tsr_h")
 
 

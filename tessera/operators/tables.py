@@ -71,6 +71,11 @@ def resolve_text_columns(columns: list[str], task: str | None = None) -> tuple[s
     return rest[0], None
 
 
+def is_regression(df: DataFrame, label: str = "label") -> bool:
+    """Without a task, a floating-point label means regression."""
+    return dict(df.dtypes)[label] in ("float", "double")
+
+
 def task_keys(task: str) -> tuple[str, str | None]:
     """Refuse unknown tasks; names are lower-cased."""
     t = task.lower()

@@ -249,26 +249,10 @@ def document_windows(df: DataFrame, ids: str, max_len: int, stride: int) -> Data
 # K9 greedy packing, A14 token counts
 # --------------------------------------------------------------------------
 
-def pack_assign(ns: Column, max_tokens: int) -> Column:
-    """Pack index of every element of a length array: successive elements are
-    joined while the pack total stays <= max_tokens; an element longer than the
-    limit is a pack of its own."""
-    init = F.struct(F.lit(-1).alias("pack"), F.lit(0).cast("long").alias("tot"),
-                    F.array().cast("array<int>").alias("ids"))
-
-    def step(acc, n):
-        join = (acc["pack"] >= 0) & (acc["tot"] + n <= F.lit(max_tokens))
-        pack = F.when(join, acc["pack"]).otherwise(acc["pack"] + 1)
-        tot = F.when(join, acc["tot"] + n).otherwise(n.cast("long"))
-        return F.struct(pack.alias("pack"), tot.alias("tot"),
-                        F.concat(acc["ids"], F.array(pack)).alias("ids"))
-
-    return F.aggregate(ns, init, step, lambda acc: acc["ids"])
-
-
 def pack_starts(ns: Column, max_tokens: int) -> Column:
     """1-based positions where a new pack begins, in one pass over the length
-    array (the same greedy rule as :func:`pack_assign`)."""
+    array: successive elements are joined while the pack total stays <=
+    max_tokens; an element longer than the limit is a pack of its own."""
     init = F.struct(F.lit(0).alias("k"), F.lit(-1).alias("pack"),
                     F.lit(0).cast("long").alias("tot"), F.array().cast("array<int>").alias("st"))
 

@@ -15,8 +15,8 @@ from ..operators import classifier as CL
 from ..operators import experiments as X
 from ..operators import tables as TB
 from ..operators.corpus import union_sources
-from ..operators.splits import split_fixed, split_fraction
-from ..session import scratch_path
+from ..operators.splits import split_fixed
+from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.tables import load
 from .registry import query
@@ -134,7 +134,39 @@ def src_json_roundtrip(spark, sf_dir):
     d = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     path = scratch_path(spark, "docs") + ".json"
     d.write.mode("overwrite").json(path)
-    return files.read_table(spark, path).select("doc_id", "lang", "source", "n_chars")
+    return files.read_table(spark, path, "doc_id long, lang string, source string, n_chars long")
+
+
+@query("generic_table", f"""
+WITH c AS (SELECT 'class' AS src, {SQL_LINE} AS sentence, d.source, CAST(l.quality AS VARCHAR) AS label
+           FROM documents d JOIN labels l USING (doc_id)),
+r AS (SELECT 'score' AS src, {SQL_LINE} AS sentence, d.source, NULL AS label FROM documents d JOIN labels l USING (doc_id)),
+u AS (SELECT * FROM c UNION ALL SELECT * FROM r)
+SELECT src, 'sentence' AS text_1, 'source' AS text_2, src = 'score' AS regression,
+       CAST(CASE WHEN label IS NOT NULL THEN dense_rank() OVER (PARTITION BY src ORDER BY label) - 1 END AS INTEGER) AS label_id,
+       count(*) AS n, CAST(sum(length(sentence)) AS BIGINT) AS chars_1, CAST(sum(length(source)) AS BIGINT) AS chars_2
+FROM u GROUP BY src, label""")
+def generic_table(spark, sf_dir):
+    """Files without a task.  The extension picks the reader, the text
+    columns and the label domain come from the table, and a floating-point
+    label makes it a regression (no domain)."""
+    d = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id")
+    d = d.select(line_text().alias("sentence"), "source", "quality", (F.col("n_chars") / 1000.0).alias("score"))
+    parts = []
+    for src, label, kind in (("class", "quality", "int"), ("score", "score", "double")):
+        path = scratch_path(spark, src) + ".csv"
+        (d.select("sentence", "source", F.col(label).cast(kind).alias("label")).write.option("header", True)
+         .option("escape", '"').csv(path))
+        t = files.read_table(spark, path, f"sentence string, source string, label {kind}")
+        a, b = TB.resolve_text_columns(t.columns)
+        regression = TB.is_regression(t)
+        rows = (t.withColumn("id", F.lit(None).cast("int")) if regression
+                else t.join(TB.label_domain(t), "label", "left"))
+        parts.append(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(a)).alias("chars_1"),
+                                            F.sum(F.length(b)).alias("chars_2"))
+                     .select(F.lit(src).alias("src"), F.lit(a).alias("text_1"), F.lit(b).alias("text_2"),
+                             F.lit(regression).alias("regression"), F.col("id").alias("label_id"), "n", "chars_1", "chars_2"))
+    return parts[0].unionByName(parts[1])
 
 
 @query("split_union_counts", """
@@ -325,37 +357,101 @@ def paired_prompts(spark, sf_dir):
                     truncate_at_punct("completion").alias("first_clause"))
 
 
-def _clf_features(spark, sf_dir):
+SMOOTHING, MIN_COUNTS, CLF_SEEDS = (0.1, 0.3, 1.0, 3.0), (1, 2), 5
+
+
+def _sql_clf(smoothing, min_counts, seeds):
+    u = "CAST(('0x' || substr(md5({}), 1, 8)) AS BIGINT) / 4294967296.0"
+    points = ", ".join(f"({g}, CAST({a} AS DOUBLE), {c})" for g, (a, c) in enumerate(
+        (a, c) for a in smoothing for c in min_counts))
+    return f"""
+d AS (SELECT doc_id, CAST(quality AS BIGINT) AS label, regexp_extract_all(text, '\\p{{L}}+|\\p{{N}}+|[^\\s\\p{{L}}\\p{{N}}]+') AS toks
+      FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+s AS (SELECT d.*, CAST(t.seed AS INTEGER) AS seed,
+             CASE WHEN {u.format("'42:' || doc_id")} < 0.2 THEN 'test'
+                  WHEN {u.format("(t.seed + 43) || ':' || doc_id")} < 0.25 THEN 'dev' ELSE 'train' END AS split
+      FROM d, range({seeds}) t(seed)),
+bag AS (SELECT seed, split, doc_id, label, tok, count(*) AS m
+        FROM (SELECT seed, split, doc_id, label, unnest(toks) AS tok FROM s) GROUP BY ALL),
+w AS (SELECT seed, tok, coalesce(sum(m) FILTER (label = 0), 0) AS n0, coalesce(sum(m) FILTER (label = 1), 0) AS n1
+      FROM bag WHERE split = 'train' GROUP BY ALL),
+pt(g, a, mc) AS (VALUES {points}),
+sz AS (SELECT seed, g, count(*) AS v, sum(n0) AS t0, sum(n1) AS t1 FROM w, pt WHERE n0 + n1 >= mc GROUP BY ALL),
+pri AS (SELECT seed, count(*) AS n, count(*) FILTER (label = 0) AS d0, count(*) FILTER (label = 1) AS d1
+        FROM s WHERE split = 'train' GROUP BY seed),
+sm AS (SELECT seed, doc_id, g, sum(m) AS m, sum(m * ln(n0 + a)) AS s0, sum(m * ln(n1 + a)) AS s1
+       FROM bag JOIN w USING (seed, tok), pt WHERE split <> 'train' AND n0 + n1 >= mc GROUP BY ALL),
+sc AS (SELECT s.seed, s.split AS phase, s.doc_id, s.label, pt.g, a AS smoothing, mc AS min_count,
+              ln((d0 + 1.0) / (n + 2.0)) + coalesce(s0, 0) - coalesce(sm.m, 0) * ln(t0 + a * v) AS z0,
+              ln((d1 + 1.0) / (n + 2.0)) + coalesce(s1, 0) - coalesce(sm.m, 0) * ln(t1 + a * v) AS z1
+       FROM s JOIN pri USING (seed) CROSS JOIN pt JOIN sz ON sz.seed = s.seed AND sz.g = pt.g
+       LEFT JOIN sm ON sm.seed = s.seed AND sm.doc_id = s.doc_id AND sm.g = pt.g WHERE s.split <> 'train'),
+pr AS (SELECT *, CAST(CASE WHEN z1 > z0 THEN 1 ELSE 0 END AS BIGINT) AS pred,
+              greatest(z0, z1) + ln(exp(z0 - greatest(z0, z1)) + exp(z1 - greatest(z0, z1)))
+              - CASE label WHEN 0 THEN z0 ELSE z1 END AS loss FROM sc),
+ev AS (SELECT g, smoothing, min_count, seed, phase, avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) AS metric_1,
+              coalesce(2.0 * sum(CASE WHEN pred = 1 AND label = 1 THEN 1 ELSE 0 END)
+                       / nullif(sum(CASE WHEN pred = 1 THEN 1 ELSE 0 END) + sum(CASE WHEN label = 1 THEN 1 ELSE 0 END), 0), 0.0)
+                AS metric_2, avg(loss) AS loss FROM pr GROUP BY ALL)"""
+
+
+SQL_SWEEP = f"""{_sql_clf(SMOOTHING, MIN_COUNTS, CLF_SEEDS)},
+rt AS (SELECT CAST(g * {CLF_SEEDS} + seed AS BIGINT) AS run_idx, printf('%d_%.1e_%d', seed, smoothing, min_count) AS run_key,
+              smoothing, min_count, seed, phase, metric_1, metric_2, loss FROM ev)"""
+
+
+def _clf_docs(spark, sf_dir):
     d = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id")
-    d = split_fraction(d.select("doc_id", "text", F.col("quality").cast("double").alias("label")),
-                       "doc_id", 0.2, 0.2)
-    return CL.featurize(d)
+    return d.select("doc_id", "text", F.col("quality").alias("label"))
 
 
-@query("clf_predictions")
+@query("clf_predictions", f"WITH {_sql_clf((1.0,), (1,), 1)} SELECT doc_id, label, pred FROM pr WHERE phase = 'test'")
 def clf_predictions(spark, sf_dir):
     """M1: fit on the training split, predictions on the test split."""
-    feats = _clf_features(spark, sf_dir)
-    model = CL.fit_classifier(feats.where("split = 'train'"), 2e-5, 16, 0)
-    pred = model.transform(feats.where("split = 'test'"))
-    return pred.select("doc_id", F.col("label").cast("long").alias("label"),
-                       F.col("prediction").cast("long").alias("pred"))
+    pred = CL.naive_bayes(_clf_docs(spark, sf_dir), (0, 1))
+    return pred.where("split = 'test'").select("doc_id", "label", "pred")
+
+
+def _rounded(df):
+    return df.select(*[F.round(c, 6).alias(c) if c in ("metric_1", "metric_2", "loss") else c for c in df.columns])
 
 
-@query("clf_eval")
+@query("clf_eval", f"""WITH {_sql_clf((1.0,), (1,), 1)}
+SELECT phase, round(metric_1, 6) AS metric_1, round(metric_2, 6) AS metric_2, round(loss, 6) AS loss FROM ev""")
 def clf_eval(spark, sf_dir):
     """M2: accuracy, F1 and log-loss on dev and test."""
-    feats = _clf_features(spark, sf_dir)
-    model = CL.fit_classifier(feats.where("split = 'train'"), 2e-5, 16, 0)
-    dev = CL.evaluate(model, feats.where("split = 'valid'")).withColumn("phase", F.lit("dev"))
-    test = CL.evaluate(model, feats.where("split = 'test'")).withColumn("phase", F.lit("test"))
-    return dev.unionByName(test)
+    pred = CL.naive_bayes(_clf_docs(spark, sf_dir), (0, 1))
+    return _rounded(CL.evaluate(pred, F.col("split").alias("phase")))
+
+
+def _clf_sweep(spark, sf_dir):
+    return CL.sweep(_clf_docs(spark, sf_dir), (0, 1), SMOOTHING, MIN_COUNTS, CLF_SEEDS)
 
 
-@query("clf_runs")
+@query("clf_sweep", f"""WITH {SQL_SWEEP}
+SELECT run_idx, run_key, smoothing, min_count, seed, phase, round(metric_1, 6) AS metric_1,
+       round(metric_2, 6) AS metric_2, round(loss, 6) AS loss FROM rt""")
+def clf_sweep(spark, sf_dir):
+    """M3: the run table of 4 smoothings x 2 minimum counts x 5 seeds."""
+    return _rounded(_clf_sweep(spark, sf_dir))
+
+
+@query("clf_runs", f"""WITH {SQL_SWEEP},
+dev AS (SELECT * FROM rt WHERE phase = 'dev'),
+b AS (SELECT arg_max(run_key, (metric_1, -run_idx)) AS k FROM dev),
+best AS (SELECT dev.* FROM dev, b WHERE dev.run_key = b.k),
+same AS (SELECT dev.* FROM dev JOIN best USING (smoothing, min_count)),
+st AS (SELECT round_even(avg(metric_1) * 100, 1) AS avg_dev_1, round_even(stddev_pop(metric_1) * 100, 1) AS std_dev_1,
+              round_even(avg(metric_2) * 100, 1) AS avg_dev_2, round_even(stddev_pop(metric_2) * 100, 1) AS std_dev_2,
+              count(*) AS n_same FROM same),
+t AS (SELECT run_key, metric_1 AS test_metric_1, metric_2 AS test_metric_2 FROM rt WHERE phase = 'test')
+SELECT best.run_key AS best_run_key, best.seed AS best_seed, best.smoothing AS best_smoothing,
+       best.min_count AS best_min_count, round_even(best.metric_1 * 100, 1) AS best_dev_1,
+       round_even(best.metric_2 * 100, 1) AS best_dev_2, round(t.test_metric_1, 6) AS test_metric_1,
+       round(t.test_metric_2, 6) AS test_metric_2, avg_dev_1, std_dev_1, avg_dev_2, std_dev_2, n_same
+FROM best LEFT JOIN t USING (run_key), st""")
 def clf_runs(spark, sf_dir):
-    """M3 + M4: a small sweep (2 rates x 1 batch size x 2 seeds) and its report."""
-    feats = _clf_features(spark, sf_dir)
-    grid = X.grid(spark.createDataFrame([("cls",)], "task string"), "1e-5/5e-5", "16", 2).collect()
-    runs = CL.sweep(feats, [r.asDict() for r in grid])
-    return X.report(runs)
+    """M3 + M4: the sweep's best dev run and its report."""
+    r = X.report(cut_lineage(_clf_sweep(spark, sf_dir), "runs"), params=("smoothing", "min_count"))
+    return r.withColumn("test_metric_1", F.round("test_metric_1", 6)).withColumn(
+        "test_metric_2", F.round("test_metric_2", 6))

@@ -25,6 +25,7 @@ from ..operators.splits import sample_n, shuffle, split_fixed
 from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.tables import load
+from .index_fixture import render_index_pages
 from .registry import query
 
 # ------------------------------------------------------------- SQL helpers
@@ -106,7 +107,7 @@ def index_pages(spark, sf_dir):
     base = it.withColumn("page", F.floor(F.col("o_orderkey") / 256).cast("long"))
     yearly = it.withColumn("page", ((F.col("y").cast("long") - 1900) * 10000000000000
                                     + F.floor(F.col("o_orderkey") / 1024)).cast("long"))
-    return H.render_index_pages(C.union_pages([base, yearly]), "page", "y", "ref", "title", "o_orderkey")
+    return render_index_pages(C.union_pages([base, yearly]), "page", "y", "ref", "title", "o_orderkey")
 
 
 def index_articles_df(spark, sf_dir):
@@ -205,6 +206,26 @@ def page_intake_gaps(spark, sf_dir):
 LINK = '<li><a href="/(.*?)">(.*?)</a></li>'
 
 
+@query("payload_files", "SELECT CAST(page_id AS VARCHAR) AS ref, html AS payload FROM pages")
+def payload_files(spark, sf_dir):
+    """Page payloads landed as one file each and read back whole."""
+    path = scratch_path(spark, "payloads")
+    p = load(spark, sf_dir, "pages").select("page_id", "html")
+    p.repartition("page_id").write.partitionBy("page_id").text(path)
+    found = files.read_payload_files(spark, path, name="page_id=([^/]+)/[^/]*$")
+    return found.select("ref", F.regexp_replace("payload", "\\n\\z", "").alias("payload"))  # the writer's line end
+
+
+@query("materialized", "SELECT doc_id, lang, n_chars FROM documents")
+def materialized(spark, sf_dir):
+    """A finished table is reused, so the second call gives the first
+    call's rows whatever it is handed."""
+    d = load(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    path = scratch_path(spark, "materialized")
+    files.materialize(d, path)
+    return files.materialize(d.where("false"), path)
+
+
 @query("page_links", f"""
 WITH m AS (SELECT page_id, regexp_extract_all(html, '{LINK}', 0) AS ms, regexp_extract_all(html, '{LINK}', 1) AS refs,
                   regexp_extract_all(html, '{LINK}', 2) AS titles, regexp_split_to_array(html, '{LINK}') AS parts FROM pages),

@@ -87,7 +87,15 @@ def ship_package(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/tessera-scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's written intermediates; call it when its
+    results have been read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-scratch/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

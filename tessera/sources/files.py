@@ -60,10 +60,11 @@ def write_lines(lines: DataFrame, path: str, header_line: str | None = None) ->
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Generic scan chosen by extension (csv, tsv, json, jsonl)."""
+    """Generic scan chosen by extension (csv, tsv, json, jsonl).  Give the
+    schema where it is known: inferring it reads the file once more."""
     p = path.rstrip("/").lower()
     if p.endswith(".csv"):
-        r = spark.read.option("header", True)
+        r = spark.read.option("header", True).option("escape", '"')
         return (r.schema(schema) if schema else r.option("inferSchema", True)).csv(path)
     if p.endswith(".tsv"):
         return read_tsv(spark, path, schema, header=True)
@@ -73,12 +74,15 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     raise ValueError(f"unsupported file type: {path} (csv, tsv, json or jsonl)")
 
 
-def read_payload_files(spark: SparkSession, path: str, key: str = "ref") -> DataFrame:
+FILE_STEM = r"([^/]+?)(?:\.[^./]*)?$"
+
+
+def read_payload_files(spark: SparkSession, path: str, key: str = "ref", name: str = FILE_STEM) -> DataFrame:
     """Landed payload files, one document per file: ``(ref, payload)``
-    with ``ref`` = the file name without its extension (``wholetext`` keeps
-    each file in one row)."""
+    with ``ref`` = the file name without its extension, or group 1 of another
+    ``name`` pattern (``wholetext`` keeps each file in one row)."""
     raw = spark.read.text(path, wholetext=True)
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1)
+    name = F.regexp_extract(F.input_file_name(), name, 1)
     return raw.select(F.reflect(F.lit("java.net.URLDecoder"), F.lit("decode"), name, F.lit("UTF-8"))
                       .alias(key), F.col("value").alias("payload"))
 

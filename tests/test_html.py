@@ -3,9 +3,9 @@
 import re
 import unicodedata
 
-
 from tessera.constants import ENTRY_PATTERN, SECTION_PATTERN
 from tessera.operators import html as H
+from tessera.plans.index_fixture import render_index_pages
 
 INDEX = ('<span class="mw-headline" id="a">2004</span>\n'
          '<li>1 mai : <a class="x" href="/wiki/A" title="Aé">A</a></li>\n'
@@ -79,7 +79,7 @@ def test_render_then_parse_roundtrip(spark):
     items = spark.createDataFrame(
         [(1, 2001, 10, "R10", "T ten"), (1, 2001, 11, "R11", "T11"), (1, 2003, 5, "R5", "T5"),
          (2, 1999, 1, "R1", "T1")], "p long, y int, k long, r string, t string")
-    pages = H.render_index_pages(items, "p", "y", "r", "t", "k")
+    pages = render_index_pages(items, "p", "y", "r", "t", "k")
     got = {(r.page_id, r.ref, r.title, r.date) for r in H.parse_index(pages).collect()}
     assert got == {(1, "R10", "T ten", 2001), (1, "R11", "T11", 2001), (1, "R5", "T5", 2003),
                    (2, "R1", "T1", 1999)}

@@ -1,8 +1,11 @@
 """Invariants from SURVEY 5.2 and the outside-model hook."""
 
+import math
+
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tessera.operators import classifier as CL
 from tessera.operators import ngram
 from tessera.operators import tokens as tk
 from tessera.operators.scoring import perplexity_of, score_with
@@ -67,3 +70,41 @@ def test_outside_model_scoring(spark):
     out = score_with(df, "k", "text", make_model)
     assert {r.key: r.n_tokens for r in out.collect()} == {"1": 3, "2": 2}
     assert abs(perplexity_of(out).first().perplexity - 7.389056099) < 1e-6   # exp(10 / 5)
+
+
+def test_naive_bayes_by_hand(spark):
+    docs = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(
+        [("good fine good", 1), ("bad poor", 0), ("good", 1), ("bad bad", 0), (None, 1), ("", 0), ("good bad", None)] * 12)],
+        "doc_id long, text string, label int")
+    rows = CL.naive_bayes(docs, (0, 1), (0.5, 2.0), (1, 3), seeds=2).collect()
+    heads = CL.seeded_splits(docs.where("label is not null"), 2).collect()
+    for seed in (0, 1):
+        train = [r for r in heads if r.seed == seed and r.split == "train"]
+        counts = {}
+        for r in train:
+            for t in (r.text or "").split():
+                counts.setdefault(t, [0, 0])[r.label] += 1
+        mine = [r for r in rows if r.seed == seed]
+        held = {r.doc_id: r for r in heads if r.seed == seed and r.split != "train"}
+        assert sorted({r.doc_id for r in mine}) == sorted(held) and len(mine) == 4 * len(held)
+        for r in mine:
+            words = {t: n for t, n in counts.items() if sum(n) >= r.min_count}
+            s = []
+            for c in (0, 1):
+                size = sum(n[c] for n in words.values()) + r.smoothing * len(words)
+                z = math.log((sum(x.label == c for x in train) + 1) / (len(train) + 2))
+                s.append(z + sum(math.log((words[t][c] + r.smoothing) / size)
+                                 for t in (held[r.doc_id].text or "").split() if t in words))
+            assert r.pred == s.index(max(s))
+            assert abs(r.loss - (math.log(sum(math.exp(x) for x in s)) - s[r.label])) < 1e-9
+    assert CL.naive_bayes(docs.limit(0), (0, 1)).count() == 0
+    assert CL.sweep(docs, (0, 1), (1.0,), (1,), 1, do_eval=False) is None
+
+
+def test_logistic_option(spark):
+    docs = spark.createDataFrame([(i, "good fine" if i % 2 else "bad poor", float(i % 2), "train" if i < 30 else "test")
+                                  for i in range(40)], "doc_id long, text string, label double, split string")
+    feats = CL.featurize(docs, num_features=64)
+    model = CL.fit_logistic(feats.where("split = 'train'"))
+    r = CL.evaluate(CL.predict_logistic(model, feats.where("split = 'test'"))).first()
+    assert r.metric_1 == 1.0 and r.metric_2 == 1.0 and r.loss < 0.2
