@@ -12,6 +12,9 @@ A bit table of fixed size (``2^bits``), built from the benchmark, spares the
 join the windows that cannot match; the hash join and a comparison of the
 template itself decide.  Rows of equal text are handled once.
 
+A capital at an item's start may begin a sentence or a name where a document
+quotes the item, so its first window is filed both ways; it counts once.
+
 Null and empty texts or items match nothing.  An item shorter than a window is
 one window of its own length.  Items of equal text are one item: the least id
 stands for it and ``item_ids`` lists all (null ids last to be chosen).
@@ -114,13 +117,19 @@ def item_windows(benchmark: DataFrame, width: int = WINDOW, least: int = MIN_LIT
             surface, shape = canonical(text)
             w = min(width, len(shape))
             hs = hashes(shape, w)
-            out.append((w, _rows(surface, shape, w, hs, [i for i in range(len(hs)) if _literal(shape, i, w, least)])))
+            rows = _rows(surface, shape, w, hs, [i for i in range(len(hs)) if _literal(shape, i, w, least)])
+            head = TOKEN.search((text or "").lstrip(".!?\n"))
+            if shape and head and head.group()[0].isupper() and shape[0] not in SLOTS:
+                named = [NAME, *shape[1:w]]
+                if _literal(named, 0, w, least):
+                    rows += _rows(surface, named, w, hashes(named, w), [0])
+            out.append((w, rows))
         return pd.DataFrame(out, columns=["width", "rows"])
 
     items = (benchmark.where(F.col("text").isNotNull()).groupBy("text")
              .agg(F.min("item_id").alias("item_id"), F.sort_array(F.collect_set("item_id")).alias("item_ids")))
     return (items.select("item_id", "item_ids", "text", windows("text").alias("w"))
-            .select("item_id", "item_ids", text_key(F.col("text")).alias("item_key"), F.size("w.rows").alias("n_windows"), "w.width",
+            .select("item_id", "item_ids", text_key(F.col("text")).alias("item_key"), F.size(F.array_distinct("w.rows.pos")).alias("n_windows"), "w.width",
                     F.explode("w.rows").alias("r")).select("item_id", "item_ids", "item_key", "n_windows", "width", "r.*"))
 
 

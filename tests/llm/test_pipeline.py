@@ -27,6 +27,14 @@ def test_changed_slots_and_consistency(spark):
     assert decontaminate.leaking(docs.limit(0), bench).count() == decontaminate.leaking(docs, bench.limit(0)).count() == 0
 
 
+def test_short_item_inside_a_sentence(spark):
+    item = "Which river flows through the old town?"
+    docs = spark.createDataFrame([(1, "She asked: " + item), (2, "Quiz. " + item + " Yes"), (3, "Which road leads through the old town?"),
+                                  (4, "they wondered, Which river flows through the old town, and left")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, item)], "item_id long, text string")
+    assert sorted((r.doc_id, r.cover) for r in decontaminate.leaking(docs, bench).collect()) == [(1, 1.0), (2, 1.0), (4, 1.0)]
+
+
 def test_hashes_of_windows():
     shape = "a b c a b c d".split()
     h = decontaminate.hashes(shape, 3)
