@@ -23,7 +23,7 @@ HEADLINE = [
     "index_articles", "article_parse", "attach_content", "sink_jsonl_roundtrip",
     "metric_dispatch", "metric_spearman", "best_run",
     "vocab_top", "encode_docs", "packed_docs", "nli_repair", "split_union_counts",
-    "lm_generate_counts", "clf_runs", "pad_to_batch", "label_align", "page_links",
+    "clf_runs", "pad_to_batch", "label_align", "page_links",
     "stream_article_parse", "stream_token_counts",
 ]
 
@@ -46,6 +46,7 @@ def main() -> None:
         t0 = time.time()
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_wall_seconds", "value": total, "unit": "sec",
