@@ -78,3 +78,16 @@ def test_argument_validation(spark):
     st = spark.createDataFrame([(0, "a", None)], "g long, tok string, prev string")
     with pytest.raises(ValueError):
         ngram.stream_targets(st, F.lit(1), 4, 4, weighting="mean")
+
+
+def test_clear_scratch_deletes_only_its_own(spark):
+    from tessera.session import clear_scratch, cut_lineage, ensure_checkpoint_dir
+    kept = ensure_checkpoint_dir(spark).rstrip("/") + "/tessera-scratch/another-application/t"
+    spark.range(3).write.mode("overwrite").parquet(kept)
+    cut = cut_lineage(spark.range(5))
+    path = cut.inputFiles()[0]
+    assert cut.count() == 5
+    clear_scratch(spark)
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path))
+    assert spark.read.parquet(kept).count() == 3
