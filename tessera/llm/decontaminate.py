@@ -3,10 +3,11 @@
 Numbers, names and units of a text become typed placeholders; windows of the
 placeholder text are hashed and joined by hash with the benchmark's windows.
 Windows that match on one diagonal (document position less item position) give
-pairs of slot values; a diagonal counts only if each item value stands for one
-document value throughout, which tells a question asked again with other
-numbers from chance.  A document leaks an item if consistent windows cover
-``min_cover`` of the item's windows.
+pairs of slot values.  On a diagonal an item value stands for the document value
+it meets at most places, and for none if two are level; only windows that keep
+to this count, which tells a question asked again with other numbers from
+chance.  A document leaks an item if such windows cover ``min_cover`` of the
+item's windows.
 
 A bit table of fixed size (``2^bits``), built from the benchmark, spares the
 join the windows that cannot match; the hash join and a comparison of the
@@ -24,6 +25,7 @@ Repeated documents give repeated rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +53,8 @@ TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?\n]")
 _P = np.uint64(0x9E3779B97F4A7C15)
 _HASHES: dict[str, int] = {}
 
-WINDOW_ROW = "pos int, h long, template string, slots array<string>"
+#: ``slots``: which of the window's tokens are placeholders.
+WINDOW_ROW = "pos int, h long, template string, tokens array<string>, slots array<int>"
 
 
 def canonical(text: str | None) -> tuple[list[str], list[str]]:
@@ -100,7 +103,7 @@ def hashes(shape: list[str], width: int) -> np.ndarray:
 
 def _rows(surface, shape, width, hs, at):
     return [{"pos": int(i), "h": int(hs[i]), "template": " ".join(shape[i:i + width]),
-             "slots": [s for s, c in zip(surface[i:i + width], shape[i:i + width]) if c in SLOTS]} for i in at]
+             "tokens": surface[i:i + width], "slots": [k for k, c in enumerate(shape[i:i + width]) if c in SLOTS]} for i in at]
 
 
 def _literal(shape, i, width, least):
@@ -108,7 +111,7 @@ def _literal(shape, i, width, least):
 
 
 def item_windows(benchmark: DataFrame, width: int = WINDOW, least: int = MIN_LITERALS) -> DataFrame:
-    """(item_id, item_ids, n_windows, width, pos, h, template, slots): each window with enough plain words."""
+    """(item_id, item_ids, n_windows, width, pos, h, template, tokens, slots): each window with enough plain words."""
 
     @F.pandas_udf(f"struct<width:int,rows:array<struct<{WINDOW_ROW.replace(' ', ':').replace(',:', ',')}>>>")
     def windows(texts: pd.Series) -> pd.DataFrame:
@@ -145,7 +148,7 @@ def bit_table(windows: DataFrame, bits: int = TABLE_BITS) -> bytes:
 
 def candidate_windows(docs: DataFrame, table: bytes, widths: list[int], bits: int = TABLE_BITS,
                       least: int = MIN_LITERALS) -> DataFrame:
-    """(key, pos, h, template, slots) of distinct texts' windows that the bit table lets through."""
+    """(key, pos, h, template, tokens, slots) of distinct texts' windows that the bit table lets through."""
     shared = docs.sparkSession.sparkContext.broadcast(table)  # 2^bits / 8 bytes, whatever the benchmark's size
 
     @F.pandas_udf(f"array<struct<{WINDOW_ROW.replace(' ', ':').replace(',:', ',')}>>")
@@ -169,6 +172,26 @@ def candidate_windows(docs: DataFrame, table: bytes, widths: list[int], bits: in
             .select("key", "r.*").dropDuplicates(["key", "pos", "h", "template"]))
 
 
+def agreed(diagonals: pd.Series) -> pd.DataFrame:
+    """Of each diagonal's windows (at, pairs): where those lie whose pairs keep
+    to the readings of most places, and how many readings differ from the item's."""
+    out = []
+    for windows in diagonals:
+        places = {p["place"]: (p["own"], p["theirs"]) for w in windows for p in w["pairs"]}
+        votes: dict[str, Counter] = {}
+        for own, theirs in places.values():
+            votes.setdefault(own, Counter())[theirs] += 1
+        reading = {}
+        for own, c in votes.items():
+            top = c.most_common(2)
+            if len(top) == 1 or top[0][1] > top[1][1]:
+                reading[own] = top[0][0]
+        kept = [w for w in windows if all(reading.get(p["own"]) == p["theirs"] for p in w["pairs"])]
+        changed = {p["own"] for w in kept for p in w["pairs"] if p["own"] != p["theirs"]}
+        out.append((sorted({int(w["at"]) for w in kept}), len(changed)))
+    return pd.DataFrame(out, columns=["at", "changed"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: int = MIN_LITERALS,
           min_cover: float = MIN_COVER, bits: int = TABLE_BITS) -> DataFrame:
     """(key, item_id, item_ids, n_windows, n_matched, cover, n_changed): leaked
@@ -178,17 +201,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: int
     items = cut(item_windows(benchmark, width, least), "dec-items")
     widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most ``width`` of them
     found = candidate_windows(docs, bit_table(items, bits), widths, bits, least)
-    pair = F.arrays_zip(F.col("d.slots").alias("theirs"), F.col("i.slots").alias("own"))
+    pairs = F.transform("i.slots", lambda k: F.struct((F.col("i.pos") + k).alias("place"), F.get("i.tokens", k).alias("own"),
+                                                      F.get("d.tokens", k).alias("theirs")))
     hits = (found.alias("d").join(items.alias("i"), (F.col("d.h") == F.col("i.h")) & (F.col("d.template") == F.col("i.template")))
-            .select("d.key", "i.item_key", "i.item_id", "i.item_ids", "i.n_windows", F.col("i.pos").alias("at"),
-                    (F.col("d.pos") - F.col("i.pos")).alias("diagonal"), pair.alias("pairs")))
+            .select("d.key", "i.item_key", "i.item_id", "i.item_ids", "i.n_windows", (F.col("d.pos") - F.col("i.pos")).alias("diagonal"),
+                    F.struct(F.col("i.pos").alias("at"), pairs.alias("pairs")).alias("w")))
     one = (hits.groupBy("key", "item_key", "diagonal")
            .agg(F.first("item_id").alias("item_id"), F.first("item_ids").alias("item_ids"), F.first("n_windows").alias("n_windows"),
-                F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs")))
-    own = F.transform("pairs", lambda p: p["own"])
-    one = one.where(F.size(F.array_distinct(own)) == F.size("pairs"))  # each item value stands for one value here
-    changed = F.filter("pairs", lambda p: p["own"] != p["theirs"])
-    return (one.select("*", F.size(changed).alias("changed")).groupBy("key", "item_key")
+                F.collect_list("w").alias("w")).withColumn("w", F.pandas_udf(agreed, "struct<at:array<int>,changed:int>")("w")))
+    return (one.select("key", "item_key", "item_id", "item_ids", "n_windows", "w.*").groupBy("key", "item_key")
             .agg(F.first("item_id").alias("item_id"), F.first("item_ids").alias("item_ids"), F.first("n_windows").alias("n_windows"),
                  F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_matched"), F.max("changed").alias("n_changed"))
             .withColumn("cover", F.col("n_matched") / F.col("n_windows")).where(F.col("cover") >= min_cover).drop("item_key"))

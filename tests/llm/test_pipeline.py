@@ -35,6 +35,23 @@ def test_short_item_inside_a_sentence(spark):
     assert sorted((r.doc_id, r.cover) for r in decontaminate.leaking(docs, bench).collect()) == [(1, 1.0), (2, 1.0), (4, 1.0)]
 
 
+def found(spark, items, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in decontaminate.leaking(docs, bench).collect()}
+
+
+def test_one_conflicting_value_drops_its_windows_only(spark):
+    item = ("the farmer counts 12 brown hens in the yard before lunch and then he walks over to the long barn where he finds another 12 white "
+            "hens that sleep on the warm straw near the door, and his wife brings 12 more in the evening when the sun goes down behind the hill")
+    fruit = ("in the small kitchen there are 5 green apples on the wide table and in the cold cellar there are 5 yellow pears in a basket "
+             "so how many pieces of fruit are there in the whole old house of the family")
+    edited = item.replace("12", "40", 1)
+    got = found(spark, [item, fruit], [edited, fruit.replace("5", "3", 1).replace("5 y", "7 y"), item, item.replace("12", "x")])
+    assert got[0, 0].n_matched < got[0, 0].n_windows and got[0, 0].n_changed == 0 and got[1, 1].cover > 0.5 and got[2, 0].cover == 1
+    assert set(got) >= {(0, 0), (1, 1), (2, 0)} and got[0, 0].cover > 0.8
+
+
 def test_hashes_of_windows():
     shape = "a b c a b c d".split()
     h = decontaminate.hashes(shape, 3)
