@@ -9,6 +9,12 @@ to this count, which tells a question asked again with other numbers from
 chance.  A document leaks an item if such windows cover ``min_cover`` of the
 item's windows.
 
+Every window is also filed with its surface words, so that one with too few
+plain words to tell a question by (``least``) still matches a verbatim copy.  The
+cover is the larger of two: over the windows with enough plain words, and over
+all.  Items without any token cannot be filed; ``unfiled`` lists them and
+``leaks`` logs their number.
+
 A bit table of fixed size (``2^bits``), built from the benchmark, spares the
 join the windows that cannot match; the hash join and a comparison of the
 template itself decide.  Rows of equal text are handled once.
@@ -24,6 +30,7 @@ Repeated documents give repeated rows.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -53,8 +60,10 @@ TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?\n]")
 _P = np.uint64(0x9E3779B97F4A7C15)
 _HASHES: dict[str, int] = {}
 
-#: ``slots``: which of the window's tokens are placeholders.
-WINDOW_ROW = "pos int, h long, template string, tokens array<string>, slots array<int>"
+#: ``slots``: which of the window's tokens are placeholders; ``rich``: has enough plain words.
+WINDOW_ROW = "pos int, h long, template string, tokens array<string>, slots array<int>, rich boolean"
+ROWS = f"array<struct<{WINDOW_ROW.replace(' ', ':').replace(',:', ',')}>>"
+_LOG = logging.getLogger(__name__)
 
 
 def canonical(text: str | None) -> tuple[list[str], list[str]]:
@@ -88,12 +97,14 @@ def _hash(token: str) -> int:
     return h
 
 
-def hashes(shape: list[str], width: int) -> np.ndarray:
-    """Signed 64-bit hash of every window of ``width`` tokens."""
-    n = len(shape) - width + 1
+def _codes(tokens: list[str]) -> np.ndarray:
+    return np.fromiter(map(_hash, tokens), dtype="<u8", count=len(tokens))
+
+
+def _rolled(one: np.ndarray, width: int) -> np.ndarray:
+    n = len(one) - width + 1
     if n < 1 or width < 1:
         return np.empty(0, dtype="<i8")
-    one = np.fromiter(map(_hash, shape), dtype="<u8", count=len(shape))
     out = np.full(n, np.uint64(width))
     for k in range(width):
         out = out * _P + one[k:k + n]
@@ -101,9 +112,15 @@ def hashes(shape: list[str], width: int) -> np.ndarray:
     return out.view("<i8")
 
 
-def _rows(surface, shape, width, hs, at):
-    return [{"pos": int(i), "h": int(hs[i]), "template": " ".join(shape[i:i + width]),
-             "tokens": surface[i:i + width], "slots": [k for k, c in enumerate(shape[i:i + width]) if c in SLOTS]} for i in at]
+def hashes(shape: list[str], width: int) -> np.ndarray:
+    """Signed 64-bit hash of every window of ``width`` tokens."""
+    return _rolled(_codes(shape), width)
+
+
+def _rows(surface, shape, form, width, hs, at, least):
+    """Rows of the windows ``at``, filed under the tokens of ``form``."""
+    return [{"pos": int(i), "h": int(hs[i]), "template": " ".join(form[i:i + width]), "tokens": surface[i:i + width],
+             "slots": [k for k in range(width) if shape[i + k] in SLOTS], "rich": _literal(shape, i, width, least)} for i in at]
 
 
 def _literal(shape, i, width, least):
@@ -111,29 +128,46 @@ def _literal(shape, i, width, least):
 
 
 def item_windows(benchmark: DataFrame, width: int = WINDOW, least: int = MIN_LITERALS) -> DataFrame:
-    """(item_id, item_ids, n_windows, width, pos, h, template, tokens, slots): each window with enough plain words."""
+    """(item_id, item_ids, item_key, n_all, n_rich, width, pos, h, template,
+    tokens, slots, rich): each window, with placeholders if it has enough plain
+    words, and with its surface words."""
 
-    @F.pandas_udf(f"struct<width:int,rows:array<struct<{WINDOW_ROW.replace(' ', ':').replace(',:', ',')}>>>")
+    @F.pandas_udf(f"struct<width:int,n_all:int,rows:{ROWS}>")
     def windows(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts:
             surface, shape = canonical(text)
             w = min(width, len(shape))
             hs = hashes(shape, w)
-            rows = _rows(surface, shape, w, hs, [i for i in range(len(hs)) if _literal(shape, i, w, least)])
+            rich = [i for i in range(len(hs)) if _literal(shape, i, w, least)]
+            rows = _rows(surface, shape, shape, w, hs, rich, least)
+            done = set(rich)
+            exact = [i for i in range(len(hs)) if i not in done or surface[i:i + w] != shape[i:i + w]]
+            rows += _rows(surface, shape, surface, w, hashes(surface, w), exact, least)
             head = TOKEN.search((text or "").lstrip(".!?\n"))
             if shape and head and head.group()[0].isupper() and shape[0] not in SLOTS:
                 named = [NAME, *shape[1:w]]
                 if _literal(named, 0, w, least):
-                    rows += _rows(surface, named, w, hashes(named, w), [0])
-            out.append((w, rows))
-        return pd.DataFrame(out, columns=["width", "rows"])
+                    rows += _rows(surface, named, named, w, hashes(named, w), [0], least)
+            out.append((w, len(hs), rows))
+        return pd.DataFrame(out, columns=["width", "n_all", "rows"])
 
     items = (benchmark.where(F.col("text").isNotNull()).groupBy("text")
              .agg(F.min("item_id").alias("item_id"), F.sort_array(F.collect_set("item_id")).alias("item_ids")))
+    n_rich = F.size(F.array_distinct(F.transform(F.filter("w.rows", lambda r: r["rich"]), lambda r: r["pos"])))
     return (items.select("item_id", "item_ids", "text", windows("text").alias("w"))
-            .select("item_id", "item_ids", text_key(F.col("text")).alias("item_key"), F.size(F.array_distinct("w.rows.pos")).alias("n_windows"), "w.width",
-                    F.explode("w.rows").alias("r")).select("item_id", "item_ids", "item_key", "n_windows", "width", "r.*"))
+            .select("item_id", "item_ids", text_key(F.col("text")).alias("item_key"), "w.n_all", n_rich.alias("n_rich"), "w.width",
+                    F.explode("w.rows").alias("r")).select("item_id", "item_ids", "item_key", "n_all", "n_rich", "width", "r.*"))
+
+
+def _left_out(benchmark: DataFrame, windows: DataFrame) -> DataFrame:
+    filed = windows.select(F.col("item_key").alias("__filed")).distinct()
+    return benchmark.join(filed, text_key(F.col("text")) == F.col("__filed"), "left_anti")
+
+
+def unfiled(benchmark: DataFrame, width: int = WINDOW, least: int = MIN_LITERALS) -> DataFrame:
+    """The benchmark's rows that no document can match: null, empty or without a token."""
+    return _left_out(benchmark, item_windows(benchmark, width, least))
 
 
 def bit_table(windows: DataFrame, bits: int = TABLE_BITS) -> bytes:
@@ -148,33 +182,44 @@ def bit_table(windows: DataFrame, bits: int = TABLE_BITS) -> bytes:
 
 def candidate_windows(docs: DataFrame, table: bytes, widths: list[int], bits: int = TABLE_BITS,
                       least: int = MIN_LITERALS) -> DataFrame:
-    """(key, pos, h, template, tokens, slots) of distinct texts' windows that the bit table lets through."""
+    """(key, pos, h, template, tokens) of distinct texts' windows that the bit table lets through."""
     shared = docs.sparkSession.sparkContext.broadcast(table)  # 2^bits / 8 bytes, whatever the benchmark's size
 
-    @F.pandas_udf(f"array<struct<{WINDOW_ROW.replace(' ', ':').replace(',:', ',')}>>")
+    @F.pandas_udf(ROWS)
     def windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         marks = np.frombuffer(shared.value, dtype="<u4")
         top = np.uint64((1 << bits) - 1)
+
+        def marked(hs: np.ndarray) -> np.ndarray:
+            low = hs.view("<u8") & top
+            return np.flatnonzero(marks[low >> np.uint64(5)] >> (low & np.uint64(31)).astype("<u4") & np.uint32(1))
+
         for batch in batches:
             out = []
             for text in batch:
                 surface, shape = canonical(text)
+                exact = _codes(surface)
+                one = exact.copy()
+                for i, c in enumerate(shape):
+                    if c in SLOTS:
+                        one[i] = _hash(c)
                 rows = []
                 for w in widths:
-                    hs = hashes(shape, w)
-                    low = hs.view("<u8") & top
-                    hit = np.flatnonzero(marks[low >> np.uint64(5)] >> (low & np.uint64(31)).astype("<u4") & np.uint32(1))
-                    rows += _rows(surface, shape, w, hs, [i for i in hit if _literal(shape, i, w, least)])
+                    hs = _rolled(one, w)
+                    rows += _rows(surface, shape, shape, w, hs, [i for i in marked(hs) if _literal(shape, i, w, least)], least)
+                    hs = _rolled(exact, w)
+                    rows += _rows(surface, shape, surface, w, hs, marked(hs), least)
                 out.append(rows)
             yield pd.Series(out)
 
     return (docs.select(text_key(F.col("text")).alias("key"), F.explode(windows(F.col("text"))).alias("r"))
-            .select("key", "r.*").dropDuplicates(["key", "pos", "h", "template"]))
+            .select("key", "r.pos", "r.h", "r.template", "r.tokens").dropDuplicates(["key", "pos", "h", "template"]))
 
 
 def agreed(diagonals: pd.Series) -> pd.DataFrame:
-    """Of each diagonal's windows (at, pairs): where those lie whose pairs keep
-    to the readings of most places, and how many readings differ from the item's."""
+    """Of each diagonal's windows (at, rich, pairs): where those lie, and the rich
+    of them, whose pairs keep to the readings of most places, and how many
+    readings differ from the item's."""
     out = []
     for windows in diagonals:
         places = {p["place"]: (p["own"], p["theirs"]) for w in windows for p in w["pairs"]}
@@ -188,8 +233,8 @@ def agreed(diagonals: pd.Series) -> pd.DataFrame:
                 reading[own] = top[0][0]
         kept = [w for w in windows if all(reading.get(p["own"]) == p["theirs"] for p in w["pairs"])]
         changed = {p["own"] for w in kept for p in w["pairs"] if p["own"] != p["theirs"]}
-        out.append((sorted({int(w["at"]) for w in kept}), len(changed)))
-    return pd.DataFrame(out, columns=["at", "changed"])
+        out.append((sorted({int(w["at"]) for w in kept}), sorted({int(w["at"]) for w in kept if w["rich"]}), len(changed)))
+    return pd.DataFrame(out, columns=["at", "rich", "changed"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: int = MIN_LITERALS,
@@ -199,20 +244,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: int
     counts slot values that differ from the item's."""
     small_batches(docs.sparkSession)
     items = cut(item_windows(benchmark, width, least), "dec-items")
+    lost = _left_out(benchmark, items).count()
+    if lost:
+        _LOG.warning("%d benchmark rows have no token and cannot be matched", lost)
     widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most ``width`` of them
     found = candidate_windows(docs, bit_table(items, bits), widths, bits, least)
     pairs = F.transform("i.slots", lambda k: F.struct((F.col("i.pos") + k).alias("place"), F.get("i.tokens", k).alias("own"),
                                                       F.get("d.tokens", k).alias("theirs")))
+    of_item = ["item_id", "item_ids", "n_all", "n_rich"]
     hits = (found.alias("d").join(items.alias("i"), (F.col("d.h") == F.col("i.h")) & (F.col("d.template") == F.col("i.template")))
-            .select("d.key", "i.item_key", "i.item_id", "i.item_ids", "i.n_windows", (F.col("d.pos") - F.col("i.pos")).alias("diagonal"),
-                    F.struct(F.col("i.pos").alias("at"), pairs.alias("pairs")).alias("w")))
-    one = (hits.groupBy("key", "item_key", "diagonal")
-           .agg(F.first("item_id").alias("item_id"), F.first("item_ids").alias("item_ids"), F.first("n_windows").alias("n_windows"),
-                F.collect_list("w").alias("w")).withColumn("w", F.pandas_udf(agreed, "struct<at:array<int>,changed:int>")("w")))
-    return (one.select("key", "item_key", "item_id", "item_ids", "n_windows", "w.*").groupBy("key", "item_key")
-            .agg(F.first("item_id").alias("item_id"), F.first("item_ids").alias("item_ids"), F.first("n_windows").alias("n_windows"),
-                 F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_matched"), F.max("changed").alias("n_changed"))
-            .withColumn("cover", F.col("n_matched") / F.col("n_windows")).where(F.col("cover") >= min_cover).drop("item_key"))
+            .select("d.key", "i.item_key", *[f"i.{c}" for c in of_item], (F.col("d.pos") - F.col("i.pos")).alias("diagonal"),
+                    F.struct(F.col("i.pos").alias("at"), "i.rich", pairs.alias("pairs")).alias("w")))
+    same = [F.first(c).alias(c) for c in of_item]
+    kind = "struct<at:array<int>,rich:array<int>,changed:int>"
+    one = (hits.groupBy("key", "item_key", "diagonal").agg(*same, F.collect_list("w").alias("w"))
+           .withColumn("w", F.pandas_udf(agreed, kind)("w")))
+    places = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
+    both = (one.select("key", "item_key", *of_item, "w.*").groupBy("key", "item_key")
+            .agg(*same, places("at").alias("at"), places("rich").alias("rich"), F.max("changed").alias("n_changed")))
+    by_rich = F.coalesce(F.try_divide("rich", "n_rich") >= F.col("at") / F.col("n_all"), F.lit(False))
+    return (both.select("key", "item_id", "item_ids", F.when(by_rich, F.col("n_rich")).otherwise(F.col("n_all")).alias("n_windows"),
+                        F.when(by_rich, F.col("rich")).otherwise(F.col("at")).alias("n_matched"), "n_changed")
+            .withColumn("cover", F.col("n_matched") / F.col("n_windows")).where(F.col("cover") >= min_cover))
 
 
 def leaking(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:

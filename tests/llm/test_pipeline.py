@@ -52,6 +52,15 @@ def test_one_conflicting_value_drops_its_windows_only(spark):
     assert set(got) >= {(0, 0), (1, 1), (2, 0)} and got[0, 0].cover > 0.8
 
 
+def test_items_with_few_plain_words_match_verbatim(spark):
+    items = ["What is 17 + 25 + 38 + 41 + 56 + 73?", "Old Tom Bell, Ann Lee Ross, Max Oak Field", "+++ ???", "12 3"]
+    texts = ["Sums: What is 17 + 25 + 38 + 41 + 56 + 73? 282", "what is 17 + 25 + 38 + 41 + 56 + 74", "and Old Tom Bell, Ann Lee Ross, Max Oak Field met", "x +++ ??? y"]
+    got = found(spark, items, texts)
+    assert set(got) == {(0, 0), (2, 1)} and all(r.cover == 1 for r in got.values())
+    bench = spark.createDataFrame([*enumerate(items), (9, None), (10, "")], "item_id long, text string")
+    assert {r.item_id for r in decontaminate.unfiled(bench).collect()} == {2, 9, 10}
+
+
 def test_hashes_of_windows():
     shape = "a b c a b c d".split()
     h = decontaminate.hashes(shape, 3)
