@@ -19,8 +19,9 @@ A bit table of fixed size (``2^bits``), built from the benchmark, spares the
 join the windows that cannot match; the hash join and a comparison of the
 template itself decide.  Rows of equal text are handled once.
 
-A capital at an item's start may begin a sentence or a name where a document
-quotes the item, so its first window is filed both ways; it counts once.
+A capital at a sentence start may begin a sentence or a name, so windows of items
+and of documents are taken with each such word as itself and as a name; a
+window counts once.
 
 Null and empty texts or items match nothing.  An item shorter than a window is
 one window of its own length.  Items of equal text are one item: the least id
@@ -66,9 +67,9 @@ ROWS = f"array<struct<{WINDOW_ROW.replace(' ', ':').replace(',:', ',')}>>"
 _LOG = logging.getLogger(__name__)
 
 
-def canonical(text: str | None) -> tuple[list[str], list[str]]:
-    """(tokens in lower case, the same with placeholders)."""
-    surface, shape = [], []
+def canonical(text: str | None) -> tuple[list[str], list[str], list[int]]:
+    """(tokens in lower case, the same with placeholders, which may be names: capitals at a sentence start)."""
+    surface, shape, capitals = [], [], []
     start, after_number = True, False
     for t in TOKEN.findall(text or ""):
         if t in ".!?\n":
@@ -79,13 +80,15 @@ def canonical(text: str | None) -> tuple[list[str], list[str]]:
             c = NUMBER
         elif after_number and low in UNITS:
             c = UNIT
-        elif not start and t[0].isupper():
-            c = NAME
+        elif t[0].isupper():
+            c = low if start else NAME
+            if start:
+                capitals.append(len(shape))
         else:
             c = low
         surface.append(low), shape.append(c)
         start, after_number = False, c == NUMBER
-    return surface, shape
+    return surface, shape, capitals
 
 
 def _hash(token: str) -> int:
@@ -101,20 +104,61 @@ def _codes(tokens: list[str]) -> np.ndarray:
     return np.fromiter(map(_hash, tokens), dtype="<u8", count=len(tokens))
 
 
+def _mixed(out: np.ndarray) -> np.ndarray:
+    return (out ^ out >> np.uint64(29)).view("<i8")
+
+
 def _rolled(one: np.ndarray, width: int) -> np.ndarray:
+    """Sums of every window, to be mixed; linear in the tokens' codes."""
     n = len(one) - width + 1
     if n < 1 or width < 1:
-        return np.empty(0, dtype="<i8")
+        return np.empty(0, dtype="<u8")
     out = np.full(n, np.uint64(width))
     for k in range(width):
         out = out * _P + one[k:k + n]
-    out ^= out >> np.uint64(29)
-    return out.view("<i8")
+    return out
 
 
 def hashes(shape: list[str], width: int) -> np.ndarray:
     """Signed 64-bit hash of every window of ``width`` tokens."""
-    return _rolled(_codes(shape), width)
+    return _mixed(_rolled(_codes(shape), width))
+
+
+def _named(one: np.ndarray, sums: np.ndarray, capitals: list[int], width: int, spare: np.ndarray):
+    """(window, which of its tokens are taken as names as bits, hash) of windows
+    with some of their ``capitals`` taken as names, at most ``spare[window]``."""
+    delta = np.zeros(len(one), dtype="<u8")
+    delta[capitals] = np.uint64(_hash(NAME)) - one[capitals]
+    is_capital = np.zeros(len(one), dtype=bool)
+    is_capital[capitals] = True
+    n = len(sums)
+    some = np.flatnonzero(np.convolve(is_capital, np.ones(width, dtype=int))[width - 1:width - 1 + n])
+    some = some[spare[some] > 0]
+    power = [np.uint64(pow(int(_P), width - 1 - k, 1 << 64)) for k in range(width)]
+    for part in range(0, len(some), 4096):  # a window has up to 2^width forms
+        at = some[part:part + 4096]
+        bits, total, left = np.zeros(len(at), dtype="<i8"), sums[at], spare[at]
+        for k in range(width):
+            more = np.flatnonzero(is_capital[at + k] & (left > 0))
+            if len(more):
+                added = at[more]
+                at, bits = np.concatenate([at, added]), np.concatenate([bits, bits[more] | 1 << k])
+                total, left = np.concatenate([total, total[more] + delta[added + k] * power[k]]), np.concatenate([left, left[more] - 1])
+        new = np.flatnonzero(bits)
+        yield at[new], bits[new], _mixed(total[new])
+
+
+def _spare(shape: list[str], width: int, least: int) -> np.ndarray:
+    """For every window, how many plain words it has over those it needs."""
+    plain = np.fromiter((c not in SLOTS for c in shape), dtype=int, count=len(shape))
+    return np.convolve(plain, np.ones(width, dtype=int))[width - 1:len(shape)] - min(least, max(1, width // 2))
+
+
+def _named_row(surface, shape, width, i, bits, h):
+    """The row of window ``i`` with the tokens of ``bits`` taken as names; rich, as its plain form is."""
+    form = [NAME if bits >> k & 1 else c for k, c in enumerate(shape[i:i + width])]
+    return {"pos": int(i), "h": int(h), "template": " ".join(form), "tokens": surface[i:i + width],
+            "slots": [k for k, c in enumerate(form) if c in SLOTS], "rich": True}
 
 
 def _rows(surface, shape, form, width, hs, at, least):
@@ -136,19 +180,19 @@ def item_windows(benchmark: DataFrame, width: int = WINDOW, least: int = MIN_LIT
     def windows(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts:
-            surface, shape = canonical(text)
+            surface, shape, capitals = canonical(text)
             w = min(width, len(shape))
-            hs = hashes(shape, w)
+            one = _codes(shape)
+            sums = _rolled(one, w)
+            hs = _mixed(sums)
             rich = [i for i in range(len(hs)) if _literal(shape, i, w, least)]
             rows = _rows(surface, shape, shape, w, hs, rich, least)
             done = set(rich)
             exact = [i for i in range(len(hs)) if i not in done or surface[i:i + w] != shape[i:i + w]]
             rows += _rows(surface, shape, surface, w, hashes(surface, w), exact, least)
-            head = TOKEN.search((text or "").lstrip(".!?\n"))
-            if shape and head and head.group()[0].isupper() and shape[0] not in SLOTS:
-                named = [NAME, *shape[1:w]]
-                if _literal(named, 0, w, least):
-                    rows += _rows(surface, named, named, w, hashes(named, w), [0], least)
+            if capitals and w:
+                for at, bits, named in _named(one, sums, capitals, w, _spare(shape, w, least)):
+                    rows += [_named_row(surface, shape, w, *x) for x in zip(at, bits.tolist(), named)]
             out.append((w, len(hs), rows))
         return pd.DataFrame(out, columns=["width", "n_all", "rows"])
 
@@ -197,7 +241,7 @@ def candidate_windows(docs: DataFrame, table: bytes, widths: list[int], bits: in
         for batch in batches:
             out = []
             for text in batch:
-                surface, shape = canonical(text)
+                surface, shape, capitals = canonical(text)
                 exact = _codes(surface)
                 one = exact.copy()
                 for i, c in enumerate(shape):
@@ -205,9 +249,13 @@ def candidate_windows(docs: DataFrame, table: bytes, widths: list[int], bits: in
                         one[i] = _hash(c)
                 rows = []
                 for w in widths:
-                    hs = _rolled(one, w)
+                    sums = _rolled(one, w)
+                    hs = _mixed(sums)
                     rows += _rows(surface, shape, shape, w, hs, [i for i in marked(hs) if _literal(shape, i, w, least)], least)
-                    hs = _rolled(exact, w)
+                    if capitals and len(sums):
+                        for at, bits_, hs in _named(one, sums, capitals, w, _spare(shape, w, least)):
+                            rows += [_named_row(surface, shape, w, at[j], int(bits_[j]), hs[j]) for j in marked(hs)]
+                    hs = _mixed(_rolled(exact, w))
                     rows += _rows(surface, shape, surface, w, hs, marked(hs), least)
                 out.append(rows)
             yield pd.Series(out)

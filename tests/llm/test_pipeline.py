@@ -61,6 +61,31 @@ def test_items_with_few_plain_words_match_verbatim(spark):
     assert {r.item_id for r in decontaminate.unfiled(bench).collect()} == {2, 9, 10}
 
 
+def test_names_at_sentence_starts(spark):
+    items = ["Ann has 3 red pens. Bob has 5 blue pens. How many pens do they have in all?",
+             "yesterday the old Mr. Smith walked to the shop and bought two loaves",
+             "in the morning the young\nJones walked over the hill and bought two loaves"]
+    texts = [items[0].replace("Ann", "Sue").replace("Bob", "Tim"), items[1].replace("Smith", "Jones"),
+             items[2].replace("\nJones", " Peter"), "the pens of Ann are red. The cat of Bob has 5 blue pens and all is well"]
+    got = found(spark, items, texts)
+    assert {k: r.cover for k, r in got.items()} == {(0, 0): 1, (1, 1): 1, (2, 2): 1} and got[0, 0].n_changed == 2
+
+
+def test_forms_of_windows():
+    text = "Ann sat. Bob ran. How far is it. We ask. " * 3
+    surface, shape, capitals = decontaminate.canonical(text)
+    one = decontaminate._codes(shape)
+    got = [(int(i), int(b), int(h)) for at, bits, hs in decontaminate._named(one, decontaminate._rolled(one, 8), capitals, 8, decontaminate._spare(shape, 8, 4))
+           for i, b, h in zip(at, bits, hs)]
+    want = set()
+    for i in range(len(shape) - 7):
+        for b in range(1, 256):
+            if all(i + k in capitals for k in range(8) if b >> k & 1) and b.bit_count() <= 4:
+                form = [decontaminate.NAME if b >> k & 1 else shape[i + k] for k in range(8)]
+                want.add((i, b, int(decontaminate.hashes(form, 8)[0])))
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_hashes_of_windows():
     shape = "a b c a b c d".split()
     h = decontaminate.hashes(shape, 3)
