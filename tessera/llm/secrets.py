@@ -3,9 +3,9 @@
 Spans of the fixed patterns always stand.  Further candidates (provider
 tokens, signed tokens, passwords in addresses, values behind credential words)
 are hashed with the fixed ones; each hash is counted by distinct repositories
-and owners over the whole corpus.  A value of ``example_owners`` owners or more
-is a widely copied example; a varied value of fewer owners looks live.  Live
-further candidates become spans.
+and owners over the whole corpus.  A value of ``example_owners`` owners or of
+``example_repos`` repositories or more is a widely copied example; a varied
+value of fewer of both looks live.  Live further candidates become spans.
 
 Counts are by (hash, owner, repository), then (hash, owner), then hash, each
 combined before its shuffle, so a value that a third of the corpus repeats
@@ -40,6 +40,7 @@ FURTHER = (
                r"([A-Za-z0-9+/_.=-]{16,})", 1, r"(?i:bearer|authorization|credential|pwd|private_?key|access_?key|client_?id)"),
 )
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOS = 20
 SPAN = "array<struct<start:int,no:int,end:int,kind:string,h:bigint,base:boolean,varied:boolean>>"
 
 
@@ -77,7 +78,7 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, owner: str = "source", repo: str = "doc_id", keep: tuple[str, ...] = ("doc_id",),
-         example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+         example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """``keep`` columns, key, spans (array of SPAN with ``live``) per row.
     Base spans and live further ones are kept."""
     own = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.col("text").alias("text"),
@@ -88,7 +89,7 @@ def scan(docs: DataFrame, owner: str = "source", repo: str = "doc_id", keep: tup
     some = rows.where(F.size("spans") > 0)
     stats = ownership(some)
     live = (some.select("key", F.explode("spans").alias("s")).where("s.varied").select("key", F.col("s.h").alias("h")).distinct()
-            .join(stats.where(F.col("n_owners") < example_owners), "h").groupBy("key").agg(F.collect_set("h").alias("live")))
+            .join(stats.where((F.col("n_owners") < example_owners) & (F.col("n_repos") < example_repos)), "h").groupBy("key").agg(F.collect_set("h").alias("live")))
     none = F.array().cast("array<bigint>")
     marked = union([rows.where(F.size("spans") == 0).withColumn("live", none),
                     some.join(live, "key", "left").withColumn("live", F.coalesce("live", none))])

@@ -85,6 +85,14 @@ def test_live_and_copied_secrets(spark):
     assert got[0]["spans"] == "" and got[9]["spans"] == "access:4:32" and got[9]["n_live"] == 1
 
 
+def test_a_value_in_many_documents_of_one_source_is_an_example(spark):
+    copied, own = "ghp_" + "a1B2c3D4e5F6g7H8i9J0k1L2", "ghp_zz11YY22xx33WW44vv55UU66"
+    rows = [(i, f"see {copied} here {i}", "en", f"s{i % 2}", 1) for i in range(40)] + [(50 + i, f"see {own} here {i}", "en", "s0", 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["n_live"] for r in collected(secrets.digest(secrets.scan(df)))}
+    assert {got[i] for i in range(40)} == {0} and {got[50 + i] for i in range(5)} == {1}
+
+
 def test_redaction(spark, odd_docs):
     for module in (secrets, pii):
         out = module.redact(odd_docs)
