@@ -7,7 +7,8 @@ are fitted on every candidate of the corpus, counted by its binned format and
 context features: base spans are positive, proposals and failed base matches
 negative.  The trees are turned into one SQL expression and score candidates in
 place; a kind's threshold is the lowest score at which the share of base spans
-among its candidates reaches ``precision``.  Proposals at or over it are added.
+among the candidates of that score (isotonic over the scores, not cumulative)
+reaches ``precision``.  Proposals at or over it are added.
 
 The table that is fitted has at most as many rows as there are combinations of
 bins, whatever the corpus.  Without candidates of both classes nothing is
@@ -152,6 +153,21 @@ def _tree(text: str, value) -> Column:
     return node()
 
 
+def limit(bins: list[tuple[float, float, float]], precision: float, support: int) -> float | None:
+    """Lowest score whose own share of base spans reaches ``precision``, from
+    (score, candidates, base spans); the share never falls with the score, as
+    neighbours where it would are pooled.  None if under ``support`` base spans lie there."""
+    blocks: list[list[float]] = []
+    for p, n, good in sorted(bins):
+        blocks.append([p, n, good])
+        while len(blocks) > 1 and blocks[-2][2] * blocks[-1][1] >= blocks[-1][2] * blocks[-2][1]:
+            _, n, good = blocks.pop()
+            blocks[-1][1] += n
+            blocks[-1][2] += good
+    over = [b for b in blocks if b[2] >= precision * b[1]]
+    return over[0][0] if over and sum(b[2] for b in over) >= support else None
+
+
 def fit(rows: DataFrame, precision: float = 0.95, support: int = 20, trees: int = 10, depth: int = 4):
     """(score(span) -> Column, threshold by kind) from candidates()'s rows, or None."""
     both = rows.select(F.explode(F.concat("base", "other")).alias("s"))
@@ -173,11 +189,9 @@ def fit(rows: DataFrame, precision: float = 0.95, support: int = 20, trees: int
              .agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("good")).collect())  # at most 1,001 a kind
     limits = {}
     for no in range(len(KINDS)):
-        n = good = 0.0
-        for r in sorted((r for r in found if r.no == no), key=lambda r: -r.p):
-            n, good = n + r.n, good + r.good
-            if good >= support and good >= precision * n:
-                limits[no] = r.p
+        least = limit([(r.p, r.n, r.good) for r in found if r.no == no], precision, support)
+        if least is not None:
+            limits[no] = least
     return score, limits
 
 

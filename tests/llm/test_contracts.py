@@ -93,6 +93,18 @@ def test_a_value_in_many_documents_of_one_source_is_an_example(spark):
     assert {got[i] for i in range(40)} == {0} and {got[50 + i] for i in range(5)} == {1}
 
 
+def test_a_proposal_is_not_carried_by_the_base_spans_of_other_scores(spark):
+    rows = [(i, f"call +1 (487) 555-{i:04d}") for i in range(600)] + [(1000 + i, f"order 555-123-{4000 + i}") for i in range(10)]
+    got = {r["doc_id"]: r["spans"] for r in collected(pii.digest(pii.scan(spark.createDataFrame(rows, "doc_id long, text string"))))}
+    assert all(got[i].startswith("phone:") for i in range(600)) and {got[1000 + i] for i in range(10)} == {""}
+
+
+def test_limit_of_scores():
+    assert pii.limit([(0.9, 1000, 1000), (0.1, 40, 0)], 0.95, 20) == 0.9
+    assert pii.limit([(0.9, 50, 48), (0.8, 50, 50), (0.7, 100, 60)], 0.95, 20) == 0.8
+    assert pii.limit([(0.9, 10, 10), (0.1, 10, 0)], 0.95, 20) is None and pii.limit([(0.5, 50, 20)], 0.95, 20) is None and pii.limit([], 0.95, 20) is None
+
+
 def test_redaction(spark, odd_docs):
     for module in (secrets, pii):
         out = module.redact(odd_docs)
