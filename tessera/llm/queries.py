@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.sources.tables import load
 
-from . import chat, decontaminate, license_scan, packing, pii, quality, secrets, sharding, simhash, toxicity
+from . import align, chat, decontaminate, license_scan, packing, pii, quality, secrets, sharding, simhash, toxicity
 from .common import documents
 
 QUERIES: dict = {}
@@ -82,3 +82,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot", "version")
+
+
+@query("op12_align")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignments(documents(spark, sf_dir)).drop("a", "b")
