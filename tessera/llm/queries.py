@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.sources.tables import load
 
-from . import align, chat, decontaminate, license_scan, packing, pii, quality, secrets, sharding, simhash, toxicity
+from . import (align, chat, decontaminate, graph, license_scan, packing, pii, quality, repair, secrets, sharding, simhash,
+               toxicity)
 from .common import documents
 
 QUERIES: dict = {}
@@ -87,3 +88,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_align")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignments(documents(spark, sf_dir)).drop("a", "b")
+
+
+@query("op11_graph")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+@query("op13_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.summaries(repair.damaged(load(spark, sf_dir, "conversations")))
