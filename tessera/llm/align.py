@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -45,8 +47,11 @@ STEP, HELD = 1 << 20, 1 << 20
 
 @dataclass(frozen=True)
 class Pair:
-    """Both tokenizers, the bytes of their ids, and A's id -> B's id of the same bytes (-1: none)."""
+    """Both tokenizers, the bytes of their ids, and A's id -> B's id of the same bytes (-1: none).
+    ``by_word``: no piece of B has a space after another character."""
 
+    names: tuple[str, str]
+    by_word: bool
     a: object
     b: object
     bytes_a: list[bytes]
@@ -80,20 +85,50 @@ def tokenizers(name_a: str = NAME_A, name_b: str = NAME_B) -> Pair:
     same = np.array([ids.get(x, -1) for x in bytes_a], dtype=np.int64)
     if max(len(bytes_a), len(bytes_b)) > 1 << 16:
         raise ValueError("ids are kept in 16 bits")
-    return Pair(a, b, bytes_a, bytes_b, np.array([len(x) for x in bytes_a], dtype=np.int64),
+    by_word = not any(re.search(b"[^ ] ", x) for x in bytes_b)
+    return Pair((name_a, name_b), by_word, a, b, bytes_a, bytes_b, np.array([len(x) for x in bytes_a], dtype=np.int64),
                 np.array([len(x) for x in bytes_b], dtype=np.int64), same)
 
 
-def encode(text: str | None, pair: Pair) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of both tokenizers, none of either if the bytes differ from a space and the text."""
-    none = np.empty(0, dtype="<u2")
-    if not text:
-        return none, none
-    data = (" " + text).encode()
-    a, b = pair.a.encode_ordinary(" " + text), pair.b.encode(text, num_threads=1)
-    if b"".join([pair.bytes_a[i] for i in a]) != data or b"".join([pair.bytes_b[i] for i in b]) != data:
-        return none, none
-    return np.array(a, dtype="<u2"), np.array(b, dtype="<u2")
+#: Where a text can't be cut at a space: A would take the spaces around it together, or B two spaces as one piece.
+CLOSE = re.compile(r"  |\s \s| \Z")
+#: Words whose ids a worker remembers beyond a batch.
+WORDS = 1 << 18
+_KNOWN: dict[tuple[str, str], dict[str, tuple[bytes, bytes] | None]] = {}
+
+
+def _whole(texts: list[str], pair: Pair) -> list[tuple[bytes, bytes] | None]:
+    """Ids of each text, none of them empty, as 16-bit numbers; None if their bytes differ from a space and the text."""
+    of_a, of_b = pair.bytes_a.__getitem__, pair.bytes_b.__getitem__
+    out = []
+    ids = pair.a.encode_ordinary
+    for text, b in zip(texts, pair.b.encode(texts, num_threads=1)):
+        raw, a = (" " + text).encode(), ids(" " + text)
+        same = b"".join(map(of_a, a)) == raw and b"".join(map(of_b, b)) == raw
+        out.append((array("H", a).tobytes(), array("H", b).tobytes()) if same else None)
+    return out
+
+
+def encode(texts: list[str | None], pair: Pair) -> list[tuple[bytes, bytes]]:
+    """Ids of both tokenizers for each text, none of either if the bytes differ from a space and the text.  Both
+    begin a token at a space after another character, whatever follows (``pair.by_word`` tells whether no piece of
+    B goes on beyond one), so words with their space are encoded once and remembered."""
+    known = _KNOWN.setdefault(pair.names, {})
+    if len(known) > WORDS:
+        known.clear()
+    words = [t.split(" ") if t and pair.by_word and not CLOSE.search(" " + t) else None for t in texts]
+    new = list(set().union(*(w for w in words if w)) - known.keys())
+    known.update(zip(new, _whole(new, pair)))
+    rest = [t for t, w in zip(texts, words) if t and not w]
+    whole = iter(_whole(rest, pair))
+    out = []
+    for text, own in zip(texts, words):
+        if own:
+            found = [known[w] for w in own]
+            out.append((b"", b"") if None in found else (b"".join([x[0] for x in found]), b"".join([x[1] for x in found])))
+        else:
+            out.append(text and next(whole) or (b"", b""))
+    return out
 
 
 @dataclass(frozen=True)
@@ -110,17 +145,23 @@ class Aligned:
 
 
 def align(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, pair: Pair) -> Aligned:
-    """Links and groups of documents whose ids lie end to end in ``a`` and ``b``."""
+    """Links and groups of documents whose ids lie end to end in ``a`` and ``b``: one merge of the ends of both."""
     a, b = a.astype(np.int64), b.astype(np.int64)
     end_a, end_b = np.cumsum(pair.len_a[a]), np.cumsum(pair.len_b[b])
     ends = np.concatenate([[0], end_a])[np.cumsum(n_a)]  # of the documents
-    cuts = np.union1d(end_a, end_b)
-    at_a, at_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
-    both = np.intersect1d(end_a, end_b, assume_unique=True)
-    upto = lambda xs: np.diff(np.searchsorted(xs, ends, "right"), prepend=0)
-    # a document without tokens ends where the one before it ends: count cuts of the interval, not of the offset
-    return Aligned(np.searchsorted(ends, cuts), a[at_a], b[at_b], upto(both), upto(cuts),
-                   np.searchsorted(both, end_a), np.searchsorted(both, end_b))
+    every = np.concatenate([end_a, end_b])
+    order = np.argsort(every, kind="stable")  # two runs; an end of A comes before the same end of B
+    every, of_a = every[order], order < len(a)
+    first = np.diff(every, prepend=-1) != 0
+    cuts, at = every[first], np.flatnonzero(first)
+    at_a = (np.cumsum(of_a) - of_a)[at]  # ends of A before the cut: the token of A that it ends or lies in
+    shared = np.diff(at, append=len(every)) == 2
+    group = (np.cumsum(shared) - shared)[np.cumsum(first) - 1]
+    upto = lambda n: np.diff(n[np.searchsorted(cuts, ends, "right")], prepend=0)
+    n_links = upto(np.arange(len(cuts) + 1))
+    # a document without tokens ends where the one before it ends, and has no cut of its own
+    return Aligned(np.repeat(np.arange(len(n_a)), n_links), a[at_a], b[at - at_a], upto(np.concatenate([[0], np.cumsum(shared)])),
+                   n_links, group[of_a], group[~of_a])
 
 
 @lru_cache(maxsize=1)
@@ -132,9 +173,10 @@ def _table() -> np.ndarray:
 
 def group_hashes(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, found: Aligned) -> list[str]:
     """SHA-256 of ``a1,a2|b1;a3|b2`` for each document, '' without tokens."""
-    at_a = np.arange(len(a)) + np.searchsorted(found.group_b, found.group_a, "left")   # after the B tokens of earlier groups
-    at_b = np.arange(len(b)) + np.searchsorted(found.group_a, found.group_b, "right")  # after the A tokens of its group
-    n = len(a) + len(b)
+    n, groups = len(a) + len(b), int(found.n_groups.sum())
+    in_a, in_b = np.bincount(found.group_a, minlength=groups), np.bincount(found.group_b, minlength=groups)
+    at_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[found.group_a]  # after the B tokens of earlier groups
+    at_b = np.arange(len(b)) + np.cumsum(in_a)[found.group_b]           # after the A tokens of its group
     text = np.zeros((n, 6), dtype=np.uint8)
     text[at_a], text[at_b] = _table()[a], _table()[b]
     side, group = np.empty(n, dtype=bool), np.empty(n, dtype=np.int64)
@@ -168,11 +210,11 @@ def _counted(name_a: str, name_b: str):
         codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
         part = lambda c, n: pd.DataFrame({"codes": [c], "docs": [n], "counts": True})
         for batch in batches:
-            made = [encode(t, pair) for t in batch["text"]]
+            made = encode(batch["text"].tolist(), pair)
             ids = batch["doc_id"].tolist()  # as text: a null would make the column one of floats
-            for s in _steps([len(x) + len(y) for x, y in made], STEP):
-                n_a, n_b = (np.array([len(x[k]) for x in made[s]], dtype=np.int64) for k in (0, 1))
-                a, b = (np.concatenate([x[k] for x in made[s]]) for k in (0, 1))
+            for s in _steps([(len(x) + len(y)) // 2 for x, y in made], STEP):
+                n_a, n_b = (np.array([len(x[k]) // 2 for x in made[s]], dtype=np.int64) for k in (0, 1))
+                a, b = (np.frombuffer(b"".join([x[k] for x in made[s]]), dtype="<u2") for k in (0, 1))
                 got = align(a, b, n_a, n_b, pair)
                 code = got.a << 16 | got.b
                 exact = pair.same[got.a] == got.b
@@ -184,7 +226,7 @@ def _counted(name_a: str, name_b: str):
                     "doc_id": pd.array([None if x is None else int(x) for x in ids[s]], dtype="Int64"),
                     "n_a": n_a, "n_b": n_b, "n_groups": got.n_groups, "n_links": got.n_links,
                     "groups_sha256": group_hashes(a, b, n_a, n_b, got),
-                    "a": [x.tobytes() for x, _ in made[s]], "b": [y.tobytes() for _, y in made[s]], "counts": False})
+                    "a": [x for x, _ in made[s]], "b": [y for _, y in made[s]], "counts": False})
                 if len(codes) > HELD:
                     yield part(codes, counts)
                     codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)

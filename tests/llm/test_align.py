@@ -1,8 +1,10 @@
 """Cross-tokenizer alignment against plain loops over bytes."""
 
+import random
 from collections import Counter, defaultdict
 
 import brute
+import numpy as np
 import pytest
 from tessera.llm import align
 from tessera.llm.queries import QUERIES
@@ -99,8 +101,6 @@ def test_empty_table(spark, odd_docs):
 
 def test_pair_of_same_bytes_inside_an_irregular_group():
     """The map's pair may be linked off its place, too: it counts in the vector all the same."""
-    import numpy as np
-
     pair = align.tokenizers()
     one, two = pair.bytes_a.index(b"a"), pair.bytes_a.index(b"aa")
     b_one, b_two = int(pair.same[one]), int(pair.same[two])
@@ -111,4 +111,16 @@ def test_pair_of_same_bytes_inside_an_irregular_group():
 def test_ids_are_those_of_the_file(tools):
     pair = align.tokenizers()
     for text in ("Étion dans, çouelle  ", "<|endoftext|> 12\n\n x", "naïve \U0001f600"):
-        assert align.encode(text, pair)[0].tolist() == tools[0].encode(" " + text, add_special_tokens=False).ids
+        assert np.frombuffer(align.encode([text], pair)[0][0], "<u2").tolist() == tools[0].encode(" " + text, add_special_tokens=False).ids
+
+
+def test_word_by_word_is_the_whole_text(tools):
+    """Spaces, other blanks and marks in any order: remembered words give the ids of the whole text."""
+    pair, rng = align.tokenizers(), random.Random(6)
+    assert pair.by_word
+    parts = [" ", " ", " ", "\n", "\t", "\u00a0", "\u2003", "\r", "a", "Word", "don't", "'s", "12", "é", "!?", "-", "\U0001f600", "the"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(4000)]
+    for text, (x, y), whole in zip(texts, align.encode(texts, pair), align._whole(texts, pair)):
+        assert (x, y) == whole
+        assert np.frombuffer(x, "<u2").tolist() == tools[0].encode(" " + text, add_special_tokens=False).ids
+        assert np.frombuffer(y, "<u2").tolist() == tools[1].encode(text)
