@@ -3,16 +3,16 @@
 Match offsets (T1): Spark has no "all matches with positions" function, so
 each match is prefixed with a sentinel by ``regexp_replace`` and the text is
 split on it; piece ``i`` starts with match ``i`` and its offset is the sum of
-the lengths of the pieces before it.  Only small per-match rows (ids, piece
-length, captured groups) leave the row - the page text is never shuffled.
+the lengths of the pieces before it, a running sum inside the page's row.
 U+0001, a character HTML forbids, is the sentinel; one in a page reads as
 U+FFFD, which keeps every offset.
 
 Section years and entries are scanned *separately* (one alternation would
-lose a year anchor that lies inside an entry's lazy span), then both kinds go
-through one window partitioned by page: offsets first, then the as-of carry
-of the last year with a smaller offset (J1).  Both windows share one
-hash partitioning on the page id, so the plan has a single exchange.
+lose a year anchor that lies inside an entry's lazy span).  A page is one row,
+so its entries take their year there (J1), by a two-level search among the
+page's section offsets: index parsing needs no shuffle and no window, and a
+page with any number of entries costs its own length.  Anchors that come as
+rows go through :func:`asof_section`, a carry-forward in blocks.
 """
 
 from __future__ import annotations
@@ -22,33 +22,35 @@ from pyspark.sql import functions as F
 
 from ..constants import ENTRY_PATTERN, SECTION_PATTERN
 from ..functions import text as T
+from ..functions.arrays import last_before, running_starts
 from ..functions.udfs import clean_array_udf, clean_markup_udf
 
 SENTINEL = "\u0001"
 
 
-def _pieces(df: DataFrame, id_col: str, col: str, pattern: str, kind: int,
-            groups: dict[str, int]) -> DataFrame:
-    ex = (df.select(id_col, F.length(col).alias("_html_len"),
-                    T.posexplode_nonempty(_split_at_matches(col, pattern)).alias("_i", "_piece"))
-          .where(F.col("_i").isNotNull()))
-    sel = [id_col, "_html_len", F.lit(kind).alias("_kind"), F.col("_i").cast("long").alias("_i"),
-           F.length("_piece").alias("_len")]
-    for name, g in groups.items():
-        # a piece starts with its match; the anchored pattern yields the same match
-        sel.append(F.when(F.col("_i") > 0, F.regexp_extract("_piece", f"(?d)^(?:{pattern})", g))
-                   .alias(name))
-    return ex.select(*sel)
+def _matches(df: DataFrame, keep: list[str], col: str, patterns: dict[str, str]) -> DataFrame:
+    """For each name of ``patterns`` an array ``name`` of ``(start, piece)``: every match's offset and the text
+    from it up to the next match."""
+    df = df.select(*keep, *(_split_at_matches(col, p).alias(f"_{n}_p") for n, p in patterns.items()))
+    df = df.select("*", *(F.transform(f"_{n}_p", lambda x: F.length(x)).alias(f"_{n}_n") for n in patterns))
+    df = df.select("*", *(running_starts(F.col(f"_{n}_n")).alias(f"_{n}_s") for n in patterns))
+    rest = lambda c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))  # noqa: E731  the first piece is before any match
+    return df.select(*keep, *(F.arrays_zip(rest(F.col(f"_{n}_s")).alias("start"), rest(F.col(f"_{n}_p")).alias("piece")).alias(n)
+                              for n in patterns))
+
+
+def _group(piece: str, pattern: str, g: int):
+    """Capture group of the match that a piece starts with (the anchored pattern yields the same match)."""
+    return F.regexp_extract(piece, f"(?d)^(?:{pattern})", g)
 
 
 def match_offsets(df: DataFrame, id_col: str, col: str, pattern: str,
                   groups: dict[str, int]) -> DataFrame:
     """Every match of ``pattern`` with its 0-based start offset (Python's
     ``m.start()``) and the named capture groups: ``(id, start, g...)``."""
-    p = _pieces(df, id_col, col, pattern, 0, groups)
-    w = Window.partitionBy(id_col).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
-    out = p.withColumn("start", F.coalesce(F.sum("_len").over(w), F.lit(0)).cast("long"))
-    return out.where(F.col("_i") > 0).select(id_col, "start", *groups.keys())
+    m = _matches(df, [id_col], col, {"m": pattern}).select(id_col, T.explode_nonempty("m").alias("m")).where("m is not null")
+    m = m.select(id_col, "m.start", F.col("m.piece").alias("_piece"))
+    return m.select(id_col, "start", *(_group("_piece", pattern, g).alias(name) for name, g in groups.items()))
 
 
 def _split_at_matches(col: str, pattern: str):
@@ -62,50 +64,49 @@ def index_anchors(pages: DataFrame, id_col: str = "page_id", col: str = "html",
                   entry_pattern: str = ENTRY_PATTERN) -> DataFrame:
     """T2 + T3 + T1: section years and entries with offsets, one row per anchor
     ``(page_id, kind, start, year, ref, title)``; kind 0 = section, 1 = entry.
-    Each page row is paired with the two pattern kinds (a literal explode),
-    so the page text is scanned once and each pattern runs once per page;
-    groups are extracted in a code-generated projection after the explode."""
-    kinds = pages.select(id_col, col, F.explode(F.array(F.lit(0), F.lit(1))).alias("_kind"))
-    arr = F.when(F.col("_kind") == 0, _split_at_matches(col, section_pattern)).otherwise(
-        _split_at_matches(col, entry_pattern))
-    ex = (kinds.select(id_col, F.length(col).alias("_html_len"), "_kind",
-                       T.posexplode_nonempty(arr).alias("_i", "_piece"))
-          .where(F.col("_i").isNotNull()))
-    first = F.col("_i") > 0
-    rows = ex.select(id_col, "_html_len", "_kind", F.col("_i").cast("long").alias("_i"),
-                     F.length("_piece").alias("_len"),
-                     F.when((F.col("_kind") == 0) & first,
-                            F.regexp_extract("_piece", f"(?d)^(?:{section_pattern})", 1)).alias("year_s"),
-                     F.when((F.col("_kind") == 1) & first,
-                            F.regexp_extract("_piece", f"(?d)^(?:{entry_pattern})", 1)).alias("ref"),
-                     F.when((F.col("_kind") == 1) & first,
-                            F.regexp_extract("_piece", f"(?d)^(?:{entry_pattern})", 2)).alias("title"))
-    # one window ordered by (kind, i): kind-1 offsets restart by subtracting the
-    # page length (the pieces of one pattern add up to the whole page).
-    w = (Window.partitionBy(id_col).orderBy("_kind", "_i")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    start = F.coalesce(F.sum("_len").over(w), F.lit(0)) - F.col("_kind") * F.col("_html_len")
-    out = rows.withColumn("start", start.cast("long")).where(F.col("_i") > 0)
-    return out.select(id_col, F.col("_kind").alias("kind"), "start",
-                      F.col("year_s").try_cast("int").alias("year"),
-                      "ref", "title")
-
-
-def asof_section(anchors: DataFrame, id_col: str = "page_id") -> DataFrame:
+    Groups are extracted in a code-generated projection after the explode."""
+    m = _matches(pages, [id_col], col, {"s": section_pattern, "e": entry_pattern})
+    anchor = lambda kind: lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["piece"].alias("piece"))
+    both = F.concat(F.transform("s", anchor(0)), F.transform("e", anchor(1)))
+    rows = m.select(id_col, T.explode_nonempty(both).alias("a")).where("a is not null").select(
+        id_col, "a.kind", "a.start", F.col("a.piece").alias("_piece"))
+    section, entry = F.col("kind") == 0, F.col("kind") == 1
+    return rows.select(id_col, "kind", "start", F.when(section, _group("_piece", section_pattern, 1)).try_cast("int").alias("year"),
+                       F.when(entry, _group("_piece", entry_pattern, 1)).alias("ref"),
+                       F.when(entry, _group("_piece", entry_pattern, 2)).alias("title"))
+
+
+def asof_section(anchors: DataFrame, id_col: str = "page_id", block: int = 1 << 20) -> DataFrame:
     """Each entry takes the year of the last section anchor with a
-    strictly smaller offset on the same page; none -> null (D1, quarantine)."""
-    w = (Window.partitionBy(id_col).orderBy("start", "kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    dated = anchors.withColumn("date", F.last("year", ignorenulls=True).over(w))
-    return dated.where(F.col("kind") == 1).select(id_col, F.col("start").alias("ord"), "ref",
-                                                   "title", "date")
-
-
-def parse_index(pages: DataFrame, id_col: str = "page_id", col: str = "html", **patterns) -> DataFrame:
+    strictly smaller offset on the same page; none -> null (D1, quarantine).
+    A carry-forward in blocks of ``block`` offsets: the last year inside the
+    block, else the last one of the blocks before it (one row per block)."""
+    keyed = anchors.withColumn("_blk", F.floor(F.col("start") / block))
+    inside = Window.partitionBy(id_col, "_blk").orderBy("start").rangeBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(id_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = keyed.groupBy(id_col, "_blk").agg(F.max_by("year", F.when(F.col("year").isNotNull(), F.col("start"))).alias("_last"))
+    carry = lasts.select(F.col(id_col).alias("_id"), F.col("_blk").alias("_b"), F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    dated = keyed.withColumn("_own", F.last("year", ignorenulls=True).over(inside)).where(F.col("kind") == 1)
+    dated = dated.join(carry, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_blk") == F.col("_b")))
+    return dated.select(id_col, F.col("start").alias("ord"), "ref", "title", F.coalesce("_own", "_carry").alias("date"))
+
+
+def parse_index(pages: DataFrame, id_col: str = "page_id", col: str = "html", section_pattern: str = SECTION_PATTERN,
+                entry_pattern: str = ENTRY_PATTERN) -> DataFrame:
     """T4: ``(page_id, ord, ref, title, date)`` for every listed article; ``ord``
-    is the entry's offset (input order, R6).  Rows with a null date are the
-    quarantine of D1 (see :func:`quarantine`)."""
-    return asof_section(index_anchors(pages, id_col, col, **patterns), id_col)
+    is the entry's offset (input order, R6).  Every entry has the year of the
+    last section before it, found inside the page's row (J1).  Rows with a null
+    date are the quarantine of D1 (see :func:`quarantine`)."""
+    m = _matches(pages, [id_col], col, {"s": section_pattern, "e": entry_pattern})
+    years = F.transform("s", lambda x: F.struct(x["start"].alias("start"), F.regexp_extract(
+        x["piece"], f"(?d)^(?:{section_pattern})", 1).try_cast("int").alias("year")))
+    m = m.select(id_col, "e", years.alias("s")).withColumn("s", F.filter("s", lambda x: x["year"].isNotNull()))
+    m = m.select(id_col, "e", F.col("s.start").alias("_at"), F.col("s.year").alias("_year"), F.col("e.start").alias("_es"))
+    m = m.withColumn("_date", last_before(F.col("_at"), F.col("_year"), F.col("_es")))
+    rows = m.select(id_col, T.explode_nonempty(F.arrays_zip(F.col("_es").alias("start"), F.col("e.piece").alias("piece"),
+                                                           F.col("_date").alias("date"))).alias("a")).where("a is not null")
+    rows = rows.select(id_col, F.col("a.start").alias("ord"), F.col("a.piece").alias("_piece"), F.col("a.date").alias("date"))
+    return rows.select(id_col, "ord", _group("_piece", entry_pattern, 1).alias("ref"), _group("_piece", entry_pattern, 2).alias("title"), "date")
 
 
 def quarantine(articles: DataFrame) -> DataFrame:

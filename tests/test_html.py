@@ -114,3 +114,28 @@ def test_article_with_references_and_a_sentinel(spark):
     pages = spark.createDataFrame([(1, body)], "page_id long, html string")
     got = [(r.start, r.n) for r in H.match_offsets(pages, "page_id", "html", r"<li>(\d+)", {"n": 1}).orderBy("start").collect()]
     assert got == [(m.start(0), m.group(1)) for m in re.finditer(r"<li>(\d+)", body)]
+
+
+def test_years_carry_over_blocks_and_inside_the_row(spark):
+    """J1 two ways, on a page with many sections and entries and with years that do not parse."""
+    import random
+
+    rng = random.Random(3)
+    html, want, at, year = [], [], 0, None
+    for i in range(700):
+        if rng.random() < 0.3:
+            y = rng.choice(["2001", "1999", "junk"])
+            html.append(f"[{y}]")
+            year = int(y) if y != "junk" else year
+        else:
+            html.append(f"{{r{i}|t{i}}}")
+            want.append((at, f"r{i}", f"t{i}", year))
+        at += len(html[-1])
+    patterns = {"section_pattern": r"\[(.*?)\]", "entry_pattern": r"\{(.*?)\|(.*?)\}"}
+    pages = spark.createDataFrame([(1, "".join(html)), (2, "{a|b}[2000]"), (3, ""), (4, None)], "page_id long, html string")
+    rows = H.parse_index(pages, **patterns)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    anchors = H.index_anchors(pages, **patterns)
+    for df in (rows, H.asof_section(anchors), H.asof_section(anchors, block=50)):
+        got = sorted(((r.page_id, r.ord, r.ref, r.title, r.date) for r in df.collect()))
+        assert got == [(1, *w) for w in want] + [(2, 0, "a", "b", None)]
