@@ -105,6 +105,37 @@ def inner_text(col) -> Column:
     return F.regexp_replace(_c(col), r"<[^>]+>", "")
 
 
+# Marks around inner texts, noncharacters of Unicode, which no text may hold.
+_OPEN, _CLOSE = "\ufdd0", "\ufdd1"
+
+
+def _pair_pattern(text: Column) -> Column:
+    """The paired-tag contract ``<(.*?)(?: .*?)?>(.*?)</(\\1)>`` (fixed value; "." is any character but the line feed)
+    for one text: a name holds no ``>``, or its part before that would be a shorter name that closes, so it is
+    one of the closing tags' names, shortest first, and the tag ends at the next ``>``."""
+    names = F.array_distinct(F.regexp_extract_all(text, F.lit("(?=</([^>\\n]*)>)"), F.lit(1)))
+    names = F.array_sort(names, lambda a, b: F.length(a) - F.length(b))
+    quoted = F.transform(names, lambda x: F.concat(F.lit("\\Q"), F.replace(x, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
+    return F.concat(F.lit("<("), F.array_join(quoted, "|"), F.lit(f")(?: [^>\\n{_OPEN}{_CLOSE}]*+)?>([^\\n{_OPEN}{_CLOSE}]*?)</\\1>"))
+
+
+def paired_tags(col) -> Column:
+    """Each paired tag replaced by its inner text, and only inner texts cleaned again.  One pass replaces the
+    leftmost pairs and leaves marks around their inner texts; no later match crosses a mark, so the next pass works
+    on the inner texts alone (what lies outside had no match before and has none now).  The fold ends when a pass
+    changes nothing; it is as deep as the tags are nested, at most the number of closing tags."""
+    text = F.translate(_c(col), _OPEN + _CLOSE, "")
+    closings = F.regexp_count(_c(col), F.lit("</[^>\\n]*>"))
+    zero = F.struct(text.alias("s"), _pair_pattern(text).alias("p"), F.lit(False).alias("done"))
+
+    def step(acc, _):
+        new = F.regexp_replace(acc["s"], acc["p"], F.lit(f"{_OPEN}$2{_CLOSE}"))
+        return F.when(acc["done"], acc).otherwise(F.struct(new.alias("s"), acc["p"].alias("p"), (new == acc["s"]).alias("done")))
+
+    folded = F.aggregate(F.sequence(F.lit(1), closings), zero, step, lambda acc: F.translate(acc["s"], _OPEN + _CLOSE, ""))
+    return F.when(closings > 0, folded).otherwise(_c(col))
+
+
 def split_part(col, sep_regex: str, idx: int) -> Column:
     """1-based piece of a split, null when missing (ANSI safe)."""
     return F.try_element_at(F.split(_c(col), sep_regex), F.lit(idx))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..constants import N_TEST, N_VALID
 from ..functions import text as T
-from ..functions.udfs import clean_udf, strip_paired_tags
+from ..functions.udfs import clean_udf
 from ..operators import corpus as C
 from ..operators import html as H
 from ..operators.splits import sample_n, shuffle, split_fixed
@@ -342,17 +342,45 @@ def _tagged_paragraphs(spark, sf_dir):
             .where(F.col("pos").isNotNull()))
 
 
-@query("tags_exact")
+def sql_paired_tags(source: str, keys: str, expr: str) -> str:
+    """CTEs up to ``tagged`` (keys, text): T9 by a recursive work list.  A piece of a line with a match becomes what
+    is before it, its inner text and what is after it; the latter two are searched again.  A match begins at the
+    leftmost ``<`` and has the shortest name for which the next ``>`` has a closing tag after it."""
+    match = """list_filter(flatten(list_transform(list_filter(range(1, length(seg) + 1), lambda i: seg[i] = '<'),
+        lambda i: list_transform(list_filter(range(i + 1, length(seg) + 1), lambda j: seg[j] = ' ' OR seg[j] = '>'),
+                                 lambda j: {'i': i, 'n': seg[i + 1:j - 1], 'e': j - 1 + strpos(seg[j:], '>')}))),
+        lambda x: seg[x.e] = '>' AND strpos(seg[x.e + 1:], '</' || x.n || '>') > 0)[1]"""
+    found = f"CASE WHEN contains(seg, '</') THEN {match} END"
+    return f"""
+lines AS (SELECT {keys}, unnest(string_split({expr}, chr(10))) AS seg,
+                 generate_subscripts(string_split({expr}, chr(10)), 1) AS line FROM {source}),
+work AS (SELECT {keys}, line, '' AS path, seg, {found} AS m FROM lines
+         UNION ALL
+         SELECT {keys}, line, path, seg, {found} FROM (
+           SELECT {keys}, line, path || k AS path,
+                  CASE k WHEN '1' THEN seg[1:m.i - 1]
+                         WHEN '2' THEN seg[m.e + 1:m.e + strpos(seg[m.e + 1:], '</' || m.n || '>') - 1]
+                         ELSE seg[m.e + strpos(seg[m.e + 1:], '</' || m.n || '>') + length(m.n) + 3:] END AS seg
+           FROM work, (VALUES ('1'), ('2'), ('3')) t(k) WHERE m IS NOT NULL)),
+whole AS (SELECT {keys}, line, string_agg(seg, '' ORDER BY path) AS seg FROM work WHERE m IS NULL GROUP BY {keys}, line),
+tagged AS (SELECT {keys}, string_agg(seg, chr(10) ORDER BY line) AS text FROM whole GROUP BY {keys})"""
+
+
+@query("tags_exact", f"""WITH RECURSIVE {SQL_PAGES.split('rp AS')[0]}
+rw AS (SELECT page_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS pos, unnest(p) AS raw
+       FROM (SELECT page_id, regexp_extract_all(body, '(?s)<p(?:\\s[^>]*)?>(.*?)</p\\s*>', 1) AS p FROM bd)),
+{sql_paired_tags('rw', 'page_id, pos', 'raw')}
+SELECT page_id, pos, text FROM tagged""")
 def tags_exact(spark, sf_dir):
-    """T9 exact (recursive, pandas UDF) on paragraph markup.  DuckDB has no
-    back-references, so this is checked in pytest against the golden strings."""
+    """T9 (recursive paired-tag removal) on paragraph markup, as a fold of built-in expressions."""
     p = _tagged_paragraphs(spark, sf_dir)
-    return p.select("page_id", "pos", strip_paired_tags("raw").alias("text"))
+    return p.select("page_id", "pos", T.paired_tags("raw").alias("text"))
 
 
-@query("clean_text_exact")
+@query("clean_text_exact", f"""WITH RECURSIVE {sql_paired_tags('conversations', 'conv_id, turn', sql_nfkd('text'))}
+SELECT conv_id, turn, {sql_strip('text')} AS text FROM tagged""")
 def clean_text_exact(spark, sf_dir):
-    """T14 on conversation turns through the single-crossing UDF (rows-only)."""
+    """T14 on conversation turns through the single-crossing UDF."""
     c = load(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", T.strip_ws(clean_udf("text")).alias("text"))
 

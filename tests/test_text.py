@@ -121,3 +121,32 @@ def test_normalize_split_and_task_codes(spark):
 def test_run_key(spark):
     r = spark.range(1).select(T.run_key(F.lit(3), F.lit(5e-6), F.lit(16)).alias("k")).first()
     assert r.k == "3_5.0e-06_16"
+
+
+def test_paired_tags_in_the_jvm(spark):
+    """The fold of built-in expressions gives the recursive pattern's result on random markup."""
+    from tessera.functions.text import paired_tags
+
+    rng = random.Random(11)
+    parts = ["<a>", "</a>", "<b c>", "</b>", "<", ">", "</", " ", "x", "\n", "<a b>", "</a b>", "<>", "</>", "$1", "\\", "é", "\r", "\u2028"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 18)))) for i in range(1500)]
+    rows += [(5000, None), (5001, "<a>" * 40 + "x" + "</a>" * 40), (5002, "<a>" * 9 + "</a>" * 3)]
+    df = spark.createDataFrame(rows, "i long, s string").select("i", paired_tags("s").alias("t"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    got = {r.i: r.t for r in df.collect()}
+    assert got == {i: None if s is None else recursive_tags(s) for i, s in rows}
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_paired_tags_oracle_is_the_recursion():
+    """The work list in SQL that stands against the fold gives the recursive pattern's result, too."""
+    import duckdb
+    import pandas as pd
+
+    from tessera.plans.corpus import sql_paired_tags
+
+    rng = random.Random(12)
+    parts = ["<a>", "</a>", "<b c>", "</b>", "<", ">", "</", " ", "x", "\n", "<a b>", "</a b>", "<>", "</>", "é"]
+    src = pd.DataFrame([(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))) for i in range(1200)], columns=["i", "s"])
+    got = duckdb.sql(f"WITH RECURSIVE {sql_paired_tags('src', 'i', 's')} SELECT i, text FROM tagged").fetchall()
+    assert dict(got) == {i: recursive_tags(s) for i, s in src.itertuples(index=False)}
