@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..constants import PACK_MAX_TOKENS
 from ..functions.text import (count_tokens, explode_nonempty, posexplode_nonempty, split_sentences,
                               tokenize, truncate_at_punct)
-from ..operators import tokens as tk
+from ..operators import packing, tokens as tk
 from ..operators.experiments import pair_turns
 from ..operators.splits import split_fixed
 from ..session import cut_lineage
@@ -176,6 +176,31 @@ def packed_docs(spark, sf_dir):
     return tk.pack_sentences(d, "s", PACK_MAX_TOKENS, keep=["doc_id"])
 
 
+@query("packed_groups", f"""WITH RECURSIVE {SQL_SENTENCES},
+s AS (SELECT source, doc_id, sents, unnest(sents) AS sent, generate_subscripts(sents, 1) AS k
+      FROM ss JOIN (SELECT doc_id, source FROM documents) USING (doc_id)),
+sn AS (SELECT source, sent, len(regexp_extract_all(sent, '{TOKEN_RE}')) AS n,
+              row_number() OVER (PARTITION BY source ORDER BY doc_id, k) AS r FROM s),
+c AS (SELECT *, sum(n) OVER (PARTITION BY source ORDER BY r ROWS UNBOUNDED PRECEDING) AS cum FROM sn),
+ends AS (SELECT source, cum, min(r) AS r FROM c GROUP BY source, cum),
+nx AS MATERIALIZED (SELECT c.source, c.r, greatest(coalesce(e.r, 9223372036854775807), c.r + 1) AS nxt
+       FROM c ASOF LEFT JOIN ends e ON c.source = e.source AND c.cum - c.n + {PACK_MAX_TOKENS} < e.cum),
+p(source, pack, r, nxt) AS (
+  SELECT source, 0, r, nxt FROM nx WHERE r = 1
+  UNION ALL
+  SELECT nx.source, p.pack + 1, nx.r, nx.nxt FROM p JOIN nx ON nx.source = p.source AND nx.r = p.nxt),
+q AS (SELECT source, r, pack FROM p),
+pl AS (SELECT c.*, q.pack FROM c ASOF JOIN q ON c.source = q.source AND c.r >= q.r)
+SELECT source, CAST(pack AS BIGINT) AS pack, count(*) AS n_sentences, CAST(sum(n) AS BIGINT) AS n_tokens,
+       string_agg(sent, ' ' ORDER BY r) AS text
+FROM pl GROUP BY source, pack""")
+def packed_groups(spark, sf_dir):
+    """K9 across documents: the sentences of all documents of a source, in (document, position) order,
+    packed into pieces of at most ``PACK_MAX_TOKENS`` tokens."""
+    d = load(spark, sf_dir, "documents").select("source", "doc_id", split_sentences("text").alias("s"))
+    return packing.pack_groups(d, "source", ["doc_id"], "s", PACK_MAX_TOKENS)
+
+
 @query("truncate_at_punct", """
 SELECT conv_id, turn, regexp_extract(text, '^[^.,;:!?]*[.,;:!?]?', 0) AS first_clause
 FROM conversations WHERE role = 'assistant'""")
