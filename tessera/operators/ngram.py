@@ -146,6 +146,11 @@ def corpus_perplexity(targets: DataFrame, model: DataFrame, n_total: Column,
 # Next-token distribution, top-k, top-p, sampling
 # --------------------------------------------------------------------------
 
+def count_dist(model: DataFrame) -> DataFrame:
+    """``(ctx, tok, w)`` for :func:`top_k` and :func:`top_p`, which make ``p`` of the weights they keep."""
+    return model.select("ctx", "tok", F.col("cnt").cast("double").alias("w"))
+
+
 def next_token_dist(model: DataFrame) -> DataFrame:
     """Maximum-likelihood next-token distribution ``(ctx, tok, w, p)``; ``w`` is
     the count, kept so that the filters below compare exact integers."""
@@ -220,25 +225,45 @@ def _pick(rows: DataFrame, cdf: DataFrame, u: Column, out: str) -> DataFrame:
     return joined.withColumn(out, F.get(reached, F.lit(0))).drop("_d", "_u")
 
 
+def interval_rows(dist: DataFrame) -> DataFrame:
+    """``(ctx, tok, p, before, cum, tot)``: each token's interval of its context's cumulative weight."""
+    return with_cdf(dist).select("ctx", "tok", "p", (F.col("cum") - F.col("w")).alias("before"), "cum", "tot")
+
+
+def drawn(rows: DataFrame, intervals: DataFrame, out: str) -> DataFrame:
+    """Add ``out`` = (tok, p): the token of ``ctx`` whose interval holds ``u`` of the total (null: no such context).
+    The draw is in the join's condition, so one row of the context leaves the join for each draw."""
+    known = intervals.where(F.col("ctx").isNotNull()).select(
+        F.col("ctx").alias("_ctx"), F.struct("tok", "p").alias(out), F.col("before").alias("_b"), F.col("cum").alias("_c"),
+        F.col("tot").alias("_t"))
+    aim = F.col("u") * F.col("_t")
+    here = (F.col("_c") >= aim) & ((F.col("_b") < aim) | (F.col("_b") == 0))
+    return rows.join(known, (F.col("ctx") == F.col("_ctx")) & here, "left").drop("_ctx", "_b", "_c", "_t")
+
+
 def sample_next(prompts: DataFrame, dist: DataFrame, id_col: str, n: int = 1,
                 seed: int = 42, do_sample: bool = True) -> DataFrame:
     """``n`` draws per prompt, ``n`` rows each.  ``prompts`` has (id_col,
-    ctx); ``dist`` is a filtered distribution or its :func:`cdf_rows`.  Inverse
+    ctx); ``dist`` is a filtered distribution or its :func:`interval_rows`.  Inverse
     CDF with a seeded md5 uniform u: the first token whose cumulative weight
     reaches ``u * total``.  Greedy (``do_sample=False``) takes the top token.  An
     unknown or null context draws from the rows of ``dist`` whose ``ctx`` is null
     (:func:`backoff_dist`); without such rows its tokens are null."""
-    draws = prompts.select(id_col, "ctx", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("draw"))
     u = md5_unit(F.lit(seed), F.col(id_col), F.col("draw")) if do_sample else F.lit(0.0)
-    cdf = dist if "cdf" in dist.columns else cdf_rows(dist)
-    return _pick(draws, cdf, u, "_pick").select(
-        id_col, "draw", F.col("_pick.tok").alias("tok"), F.col("_pick.p").alias("p"))
+    draws = prompts.select(id_col, "ctx", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("draw")).withColumn("u", u)
+    intervals = dist if "before" in dist.columns else interval_rows(dist)
+    back = intervals.where(F.col("ctx").isNull()).select(
+        F.struct(F.array_sort(F.collect_list(F.struct("cum", "tok", "p"))).alias("cdf"), F.max("tot").alias("tot"))).scalar()
+    found = drawn(draws, intervals, "_d").withColumn("_b", F.when(F.col("_d").isNull(), back))
+    reached = F.get(F.filter(F.col("_b.cdf"), lambda c: c["cum"] >= F.col("u") * F.col("_b.tot")), F.lit(0))
+    return found.withColumn("_b", F.when(F.col("_d").isNull(), reached)).select(
+        id_col, "draw", F.coalesce("_d.tok", "_b.tok").alias("tok"), F.coalesce("_d.p", "_b.p").alias("p"))
 
 
 def generate(prompts: DataFrame, dist: DataFrame, id_col: str, max_length: int = GEN_MAX_LENGTH,
              seed: int = 42, per_cut: int = 10) -> DataFrame:
-    """Continue every prompt, ``(id_col, out)`` with its tokens in ``out``,
-    to ``max_length`` tokens, the prompt included; a prompt as long already stays
+    """L7 by one join a step, the plain form of :func:`tessera.operators.generation.generate`,
+    for small batches: continue every prompt, ``(id_col, out)`` with its tokens in ``out``, to ``max_length`` tokens, the prompt included; a prompt as long already stays
     as it is.  Step ``s`` is draw ``s`` of :func:`sample_next` after the last
     token.  Every ``per_cut`` steps the state is written and read again, so
     plans stay short and a lost executor costs ``per_cut`` steps at most."""

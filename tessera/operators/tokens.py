@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import NOT_SCORED, PAD_ID, SPECIAL_TOKENS, UNK_ID
-from ..functions.text import TOKEN_PATTERN, posexplode_nonempty
-from .ordering import global_offsets
+from ..functions.text import TOKEN_PATTERN, explode_nonempty, posexplode_nonempty
+from ..session import cut_lineage
+from .ordering import global_offsets, offset_index
 
 
 # --------------------------------------------------------------------------
@@ -137,26 +138,23 @@ def argmax(col) -> Column:
 def token_stream(paras: DataFrame, order_cols: list[str], tokens: str = "tokens",
                  blocks: int | None = None) -> DataFrame:
     """Add ``start`` = global offset of each row's first token in the
-    order of ``order_cols`` (distributed prefix sum), and ``n`` = its tokens.
+    order of ``order_cols`` (distributed prefix sum), ``n`` = its tokens and
+    ``prev`` = the stream's token before its first one.  The rows are written
+    once; only keys, sizes and last tokens are dealt by ranges, and the offsets
+    are joined back by key, so no token array crosses the range exchange.
     Rows without tokens keep their place (``n = 0``) and share ``start`` with
     the next row, so drop them before ``start`` serves as a key."""
-    p = paras.withColumn("n", F.size(tokens))
-    return global_offsets(p, order_cols, "n", "start", blocks)
+    own = cut_lineage(paras.select("*", F.size(tokens).alias("n"), F.try_element_at(tokens, F.lit(-1)).alias("prev")), "stream-rows")
+    return own.drop("prev").join(offset_index(own, order_cols, "n", "start", blocks, carry="prev"), order_cols)
 
 
 def stream_tokens(stream: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """Per-token rows ``(g, tok, prev)``; ``prev`` is the previous token of the
-    global stream, taken across row boundaries by a row-level equi-join of each
-    row's start with the previous row's end (rows, not tokens, are joined)."""
-    live = stream.where(F.col("n") > 0)
-    ends = live.select((F.col("start") + F.col("n")).alias("start"),
-                       F.element_at(tokens, -1).alias("_tsr_last"))
-    j = live.join(ends, "start", "left")
-    ex = j.select("start", "_tsr_last", tokens, F.posexplode(tokens).alias("k", "tok"))
-    return ex.select(
-        (F.col("start") + F.col("k")).alias("g"), "tok",
-        F.when(F.col("k") == 0, F.col("_tsr_last"))
-        .otherwise(F.element_at(tokens, F.col("k").cast("int"))).alias("prev"))
+    """Per-token rows ``(g, tok, prev)`` of a :func:`token_stream`; ``prev`` is
+    the previous token of the global stream, across rows as well."""
+    before = F.concat(F.array("prev"), F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))))
+    pairs = F.arrays_zip(F.col(tokens).alias("tok"), before.alias("prev"))  # exploded alone: the array is not copied to each row
+    ex = stream.where(F.col("n") > 0).select("start", F.posexplode(pairs).alias("k", "p"))
+    return ex.select((F.col("start") + F.col("k")).alias("g"), "p.tok", "p.prev")
 
 
 def windows_of_token(g: Column, n_total: Column, max_len: int, stride: int) -> Column:
@@ -191,32 +189,39 @@ def strided_windows(tokens: DataFrame, n_total: Column, max_len: int, stride: in
 
 
 def strided_windows_rows(stream: DataFrame, n_total: Column, max_len: int, stride: int,
-                         ids: str = "ids") -> DataFrame:
+                         ids: str = "ids", mask: bool = True) -> DataFrame:
     """K7 + K8 from stream rows ``(start, n, ids)`` instead of single tokens:
     each row sends one slice of its array to every window it overlaps, and a
     window concatenates its slices in ``start`` order.  Same output as
     :func:`strided_windows`, with one shuffled row per (row, window) pair
     rather than ``ceil(L/stride)`` rows per token; a window group holds at most
-    ``max_len`` tokens."""
+    ``max_len`` tokens.  ``mask=False`` leaves ``target_ids`` out (for windows of tokens)."""
     if stride > max_len:
         raise ValueError("stride must be <= max_len")
     S, L = stride, max_len
     first = F.floor(F.col("start") / F.lit(S)).cast("long") * F.lit(S)
     last = F.least(F.floor((F.col("start") + F.col("n") + F.lit(L - S - 1)) / F.lit(S)).cast("long") * F.lit(S),
                    F.floor((n_total - F.lit(1)) / F.lit(S)).cast("long") * F.lit(S))
-    ex = stream.where(F.col("n") > 0).select("start", "n", ids, F.explode(
-        F.sequence(first, last, F.lit(S).cast("long"))).alias("win_start"))
-    begin = F.greatest(F.col("win_start") + F.lit(S - L), F.lit(0)).cast("long")
-    end = F.least(F.col("win_start") + F.lit(S), n_total).cast("long")
-    lo = F.greatest(begin, F.col("start"))
-    hi = F.least(end, F.col("start") + F.col("n"))
-    piece = ex.select("win_start", "start", F.slice(ids, (lo - F.col("start") + 1).cast("int"),
-                                                     (hi - lo).cast("int")).alias("_s")).where(F.size("_s") > 0)
+    def begin_of(w):
+        return F.greatest(w + F.lit(S - L), F.lit(0)).cast("long")
+
+    def end_of(w):
+        return F.least(w + F.lit(S), n_total).cast("long")
+
+    def sliced(w):  # before the explode, which would copy the whole array to every window
+        lo, hi = F.greatest(begin_of(w), F.col("start")), F.least(end_of(w), F.col("start") + F.col("n"))
+        return F.struct(w.alias("w"), F.slice(ids, (lo - F.col("start") + 1).cast("int"),
+                                              F.greatest(hi - lo, F.lit(0)).cast("int")).alias("s"))
+
+    live = stream.where(F.col("n") > 0).select("start", "n", ids, first.alias("_first"), last.alias("_last"))
+    ex = live.select("start", explode_nonempty(F.transform(F.sequence("_first", "_last", F.lit(S).cast("long")), sliced)).alias("x"))
+    piece = ex.where(F.size("x.s") > 0).select(F.col("x.w").alias("win_start"), "start", F.col("x.s").alias("_s"))
+    begin, end = begin_of(F.col("win_start")), end_of(F.col("win_start"))
     grouped = piece.groupBy("win_start").agg(F.array_sort(F.collect_list(F.struct("start", "_s"))).alias("_p"))
     w = grouped.select("win_start", begin.alias("begin_loc"), end.alias("end_loc"),
                        (end - F.col("win_start")).cast("int").alias("trg_len"),
                        F.flatten(F.transform("_p", lambda s: s["_s"])).alias("input_ids"))
-    return w.withColumn("target_ids", mask_targets("input_ids", "trg_len"))
+    return w.withColumn("target_ids", mask_targets("input_ids", "trg_len")) if mask else w
 
 
 def mask_targets(ids, trg_len) -> Column:

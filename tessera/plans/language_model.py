@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..constants import GEN_MAX_LENGTH
-from ..functions.text import explode_nonempty, posexplode_nonempty, rtrim_ws, tokenize
-from ..operators import ngram, tokens as tk
+from ..functions.text import count_tokens, explode_nonempty, posexplode_nonempty, rtrim_ws, tokenize
+from ..operators import generation, kneser_ney, ngram, tokens as tk
+from ..operators.ordering import global_offsets
 from ..operators.splits import split_fixed, split_fraction
 from ..session import cut_lineage
 from ..sources.tables import load
@@ -106,14 +107,17 @@ def paragraphs(docs):
     return p.where(F.length("paragraph") > 0)
 
 
+def test_paragraphs(split):
+    return paragraphs(split.where("split = 'test'"))
+
+
 def test_stream(spark, sf_dir):
-    """Held-out paragraphs with tokens and global offsets, materialised once:
-    the stream feeds the offsets, the total, the neighbour join and the
-    windows."""
+    """The held-out stream, a document a row: its paragraphs' tokens with their global offset and the token before
+    them.  Tokens never span lines, so a document's tokens are those of its right-stripped lines."""
     split = holdout_docs(spark, sf_dir)
-    paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
-    stream = cut_lineage(tk.token_stream(paras, ["doc_id", "pos"], "tokens"))
-    return split, stream.where("n > 0")  # of the written table: ``start`` is a key now
+    lines = F.array_join(F.transform(F.split("text", "\n"), lambda x: rtrim_ws(x)), "\n")
+    docs = split.where("split = 'test'").select("doc_id", tokenize(lines).alias("tokens"))
+    return split, tk.token_stream(docs, ["doc_id"], "tokens").where("n > 0")
 
 
 def train_vocab(split):
@@ -203,8 +207,8 @@ FROM tp
 """)
 def lm_stream(spark, sf_dir):
     """Global token offset of every held-out paragraph."""
-    _, stream = test_stream(spark, sf_dir)
-    return stream.select("doc_id", "pos", "n", "start")
+    paras = test_paragraphs(holdout_docs(spark, sf_dir)).select("doc_id", "pos", count_tokens("paragraph").alias("n"))
+    return global_offsets(paras, ["doc_id", "pos"], "n", "start").where("n > 0")
 
 
 @query("lm_windows", f"""
@@ -258,8 +262,9 @@ def lm_nll(spark, sf_dir):
     """L2: add-one bigram NLL of every scored target of the held-out stream."""
     split, tg, _ = _targets(spark, sf_dir, WIN_LEN, WIN_STRIDE)
     pairs = tg.where("scored").select("g", "tok", F.col("prev").alias("ctx"))
-    out = ngram.bigram_nll(pairs, bigram_model(split))
-    return out.select("g", "tok", F.col("ctx").alias("prev"), F.round("nll", 6).alias("nll"))
+    pairs = cut_lineage(pairs, "nll-targets")
+    known = ngram.bigram_nll(pairs.select("ctx", "tok").distinct(), bigram_model(split))  # every pair is scored once
+    return pairs.join(known, ["ctx", "tok"]).select("g", "tok", F.col("ctx").alias("prev"), F.round("nll", 6).alias("nll"))
 
 
 def _sql_ppl(L, S, weighting):
@@ -299,6 +304,47 @@ def lm_perplexity_token_mean(spark, sf_dir):
     return _ppl(spark, sf_dir, WIN_LEN, WIN_STRIDE, "scored")
 
 
+N_GRAM = 3
+
+
+@query("lm_trigram_perplexity", f"""
+WITH {SQL_TEST_PARAS},
+gw AS (SELECT g, tok, g // {BLOCK_LEN} * {BLOCK_LEN} AS b, lag(tok) OVER (ORDER BY g) AS p1, lag(tok, 2) OVER (ORDER BY g) AS p2 FROM gs),
+tg AS (SELECT tok AS w, p1, CASE WHEN g - 2 >= b THEN p2 END AS p2,
+              trg::DOUBLE / (trg - 1) AS weight
+       FROM (SELECT *, least(b + {BLOCK_LEN}, nt.n) - b AS trg FROM gw, nt) WHERE g > b),
+trd AS (SELECT toks, unnest(range(1, len(toks) + 1)) AS i FROM r WHERE NOT held),
+c3 AS (SELECT CASE WHEN i > 2 THEN toks[i - 2] ELSE '<s>' END AS a, CASE WHEN i > 1 THEN toks[i - 1] ELSE '<s>' END AS b,
+              toks[i] AS w, count(*) AS c FROM trd GROUP BY ALL),
+c2 AS (SELECT b, w, count(*) AS c FROM c3 GROUP BY ALL),
+c1 AS (SELECT w, count(*) AS c FROM c2 GROUP BY ALL),
+d3 AS (SELECT CASE WHEN count(*) FILTER (c = 1) = 0 THEN 0.5 ELSE
+           count(*) FILTER (c = 1) / (count(*) FILTER (c = 1) + 2.0 * count(*) FILTER (c = 2)) END AS d FROM c3),
+d2 AS (SELECT CASE WHEN count(*) FILTER (c = 1) = 0 THEN 0.5 ELSE
+           count(*) FILTER (c = 1) / (count(*) FILTER (c = 1) + 2.0 * count(*) FILTER (c = 2)) END AS d FROM c2),
+d1 AS (SELECT CASE WHEN count(*) FILTER (c = 1) = 0 THEN 0.5 ELSE
+           count(*) FILTER (c = 1) / (count(*) FILTER (c = 1) + 2.0 * count(*) FILTER (c = 2)) END AS d, count(*) AS v, sum(c) AS tot FROM c1),
+t3 AS (SELECT a, b, sum(c) AS tot, count(*) AS types FROM c3 GROUP BY a, b),
+t2 AS (SELECT b, sum(c) AS tot, count(*) AS types FROM c2 GROUP BY b),
+s1 AS (SELECT tg.*, greatest(coalesce(c1.c, 0) - d1.d, 0) / d1.tot + d1.d * d1.v / d1.tot / (d1.v + 1) AS q
+       FROM tg LEFT JOIN c1 USING (w) CROSS JOIN d1),
+s2 AS (SELECT s1.w, p1, p2, weight, CASE WHEN t2.tot IS NULL THEN q
+              ELSE greatest(coalesce(c2.c, 0) - d2.d, 0) / t2.tot + d2.d * t2.types / t2.tot * q END AS q
+       FROM s1 LEFT JOIN c2 ON c2.b = p1 AND c2.w = s1.w LEFT JOIN t2 ON t2.b = p1 CROSS JOIN d2),
+s3 AS (SELECT weight, CASE WHEN t3.tot IS NULL THEN q
+              ELSE greatest(coalesce(c3.c, 0) - d3.d, 0) / t3.tot + d3.d * t3.types / t3.tot * q END AS q
+       FROM s2 LEFT JOIN c3 ON c3.a = p2 AND c3.b = p1 AND c3.w = s2.w LEFT JOIN t3 ON t3.a = p2 AND t3.b = p1 CROSS JOIN d3)
+SELECT count(*) AS n_scored, round(exp(sum(weight * -ln(q)) / any_value(nt.n)), 6) AS perplexity FROM s3, nt
+""")
+def lm_trigram_perplexity(spark, sf_dir, n: int = N_GRAM):
+    """L1-L3 of order 3: interpolated Kneser-Ney, windows of 1,024 with stride 1,024."""
+    split, stream = test_stream(spark, sf_dir)
+    total = n_total(stream)
+    windows = tk.strided_windows_rows(stream.select("start", "n", "tokens"), total, BLOCK_LEN, BLOCK_LEN, "tokens", mask=False)
+    model = kneser_ney.fit(split.where("split = 'train'"), n)
+    return kneser_ney.perplexity(kneser_ney.window_targets(windows, n), model, total)
+
+
 def _sql_dist(docs: str, backoff: bool = False) -> str:
     """The filtered distribution; the null context holds the back-off."""
     back = "\n         UNION ALL SELECT NULL, tok, sum(cnt)::DOUBLE FROM m GROUP BY tok" if backoff else ""
@@ -320,16 +366,16 @@ SQL_DIST = _sql_dist(SQL_HOLDOUT)
 
 def filtered_dist(split, k=50, p=0.95, backoff=False):
     model = bigram_model(split)
-    dist = ngram.next_token_dist(model)
+    dist = ngram.count_dist(model)
     if backoff:
-        dist = dist.unionByName(ngram.backoff_dist(model))
+        dist = dist.unionByName(ngram.backoff_dist(model).drop("p"))
     return ngram.top_p(ngram.top_k(dist, k), p)
 
 
 @query("lm_top_k", SQL_DIST +"\nSELECT ctx, tok, round(p, 6) AS p FROM tkn")
 def lm_top_k(spark, sf_dir):
     """L4: top-50 next tokens per context, renormalised."""
-    dist = ngram.next_token_dist(bigram_model(holdout_docs(spark, sf_dir)))
+    dist = ngram.count_dist(bigram_model(holdout_docs(spark, sf_dir)))
     return ngram.top_k(dist, 50).select("ctx", "tok", F.round("p", 6).alias("p"))
 
 
@@ -363,12 +409,12 @@ def lm_sample_next(spark, sf_dir):
     held-out paragraph, from the top-k / top-p filtered distribution; an unseen
     last token backs off to the unigram distribution."""
     split = holdout_docs(spark, sf_dir)
-    paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
+    paras = test_paragraphs(split).withColumn("tokens", tokenize("paragraph"))
     prompts = paras.where(F.size("tokens") > 0).select(
         F.concat_ws(":", "doc_id", "pos").alias("prompt_id"),
         F.element_at("tokens", -1).alias("ctx"))
-    cdf = cut_lineage(ngram.cdf_rows(filtered_dist(split, backoff=True)))
-    out = ngram.sample_next(prompts, cdf, "prompt_id", n=3, seed=42)
+    intervals = cut_lineage(ngram.interval_rows(filtered_dist(split, backoff=True)), "intervals")
+    out = ngram.sample_next(prompts, intervals, "prompt_id", n=3, seed=42)
     return out.select("prompt_id", "draw", "tok", F.round("p", 6).alias("p"))
 
 
@@ -388,8 +434,8 @@ def lm_generate_counts(spark, sf_dir, max_length: int = GEN_MAX_LENGTH):
     """Every held-out paragraph continued to ``max_length`` tokens, prompt
     included.  Output: prompt, length and text."""
     split = holdout_docs(spark, sf_dir)
-    paras = paragraphs(split.where("split = 'test'")).withColumn("tokens", tokenize("paragraph"))
+    paras = test_paragraphs(split).withColumn("tokens", tokenize("paragraph"))
     prompts = paras.where(F.size("tokens") > 0).select(
         F.concat_ws(":", "doc_id", "pos").alias("prompt_id"), F.col("tokens").alias("out"))
-    out = ngram.generate(prompts, filtered_dist(split, backoff=True), "prompt_id", max_length)
+    out = generation.generate(prompts, filtered_dist(split, backoff=True), "prompt_id", max_length)
     return out.select("prompt_id", F.size("out").alias("n_tokens"), F.array_join("out", " ").alias("text"))
