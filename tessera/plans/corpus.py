@@ -345,27 +345,34 @@ def _tagged_paragraphs(spark, sf_dir):
 def sql_paired_tags(source: str, keys: str, expr: str) -> str:
     """CTEs up to ``tagged`` (keys, text): T9 by a recursive work list.  A piece of a line with a match becomes what
     is before it, its inner text and what is after it; the latter two are searched again.  A match begins at the
-    leftmost ``<`` and has the shortest name for which the next ``>`` has a closing tag after it."""
-    match = """list_filter(flatten(list_transform(list_filter(range(1, length(seg) + 1), lambda i: seg[i] = '<'),
-        lambda i: list_transform(list_filter(range(i + 1, length(seg) + 1), lambda j: seg[j] = ' ' OR seg[j] = '>'),
-                                 lambda j: {'i': i, 'n': seg[i + 1:j - 1], 'e': j - 1 + strpos(seg[j:], '>')}))),
-        lambda x: seg[x.e] = '>' AND strpos(seg[x.e + 1:], '</' || x.n || '>') > 0)[1]"""
-    found = f"CASE WHEN contains(seg, '</') THEN {match} END"
+    leftmost ``<`` after which a name, a prefix up to a space or the next ``>``, has a closing tag, the shortest first."""
+    rest, head = "array_to_string(ps[k + 1:], '<')", "split_part(array_to_string(ps[k + 1:], '<'), '>', 1)"
+    names = f"list_transform(range(1, len(string_split({head}, ' ')) + 1), lambda w: array_to_string(string_split({head}, ' ')[1:w], ' '))"
+    match = f"""list_filter(list_transform(range(1, len(ps)), lambda k: {{'k': k, 'n': list_filter({names},
+        lambda n: contains({rest}[length({head}) + 2:], '</' || n || '>'))[1]}}), lambda x: x.n IS NOT NULL)[1]"""
+    found = f"CASE WHEN contains(seg, '</') THEN {match} END AS m"
     return f"""
 lines AS (SELECT {keys}, unnest(string_split({expr}, chr(10))) AS seg,
                  generate_subscripts(string_split({expr}, chr(10)), 1) AS line FROM {source}),
-work AS (SELECT {keys}, line, '' AS path, seg, {found} AS m FROM lines
+work AS (SELECT {keys}, line, '' AS path, seg, ps, {found} FROM (SELECT *, string_split(seg, '<') AS ps FROM lines)
          UNION ALL
-         SELECT {keys}, line, path, seg, {found} FROM (
-           SELECT {keys}, line, path || k AS path,
-                  CASE k WHEN '1' THEN seg[1:m.i - 1]
-                         WHEN '2' THEN seg[m.e + 1:m.e + strpos(seg[m.e + 1:], '</' || m.n || '>') - 1]
-                         ELSE seg[m.e + strpos(seg[m.e + 1:], '</' || m.n || '>') + length(m.n) + 3:] END AS seg
-           FROM work, (VALUES ('1'), ('2'), ('3')) t(k) WHERE m IS NOT NULL)),
+         SELECT {keys}, line, path, seg, ps, {found} FROM (SELECT *, string_split(seg, '<') AS ps FROM (
+           SELECT {keys}, line, path || c AS path,
+                  CASE c WHEN '1' THEN before WHEN '2' THEN tail[1:strpos(tail, close) - 1]
+                         ELSE tail[strpos(tail, close) + length(close):] END AS seg
+           FROM (SELECT {keys}, line, path, array_to_string(ps[1:m.k], '<') AS before, '</' || m.n || '>' AS close,
+                        array_to_string(ps[m.k + 1:], '<')[length(split_part(array_to_string(ps[m.k + 1:], '<'), '>', 1)) + 2:] AS tail
+                 FROM work WHERE m IS NOT NULL), (VALUES ('1'), ('2'), ('3')) t(c)))),
 whole AS (SELECT {keys}, line, string_agg(seg, '' ORDER BY path) AS seg FROM work WHERE m IS NULL GROUP BY {keys}, line),
 tagged AS (SELECT {keys}, string_agg(seg, chr(10) ORDER BY line) AS text FROM whole GROUP BY {keys})"""
 
 
+@query("page_tags", f"WITH RECURSIVE {sql_paired_tags('pages', 'page_id', 'html')} SELECT page_id, text FROM tagged")
+def page_tags(spark, sf_dir):
+    """T9 on whole page payloads: every pair of tags of a page's lines, nested as they are."""
+    return load(spark, sf_dir, "pages").select("page_id", T.paired_tags("html").alias("text"))
+
+
 @query("tags_exact", f"""WITH RECURSIVE {SQL_PAGES.split('rp AS')[0]}
 rw AS (SELECT page_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS pos, unnest(p) AS raw
        FROM (SELECT page_id, regexp_extract_all(body, '(?s)<p(?:\\s[^>]*)?>(.*?)</p\\s*>', 1) AS p FROM bd)),
