@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import count_tokens, truncate_at_punct
 from ..operators import classifier as CL
+from ..operators import logistic
 from ..operators import experiments as X
 from ..operators import tables as TB
 from ..operators.corpus import union_sources
@@ -436,6 +437,26 @@ def clf_sweep(spark, sf_dir):
     return _rounded(_clf_sweep(spark, sf_dir))
 
 
+LOGISTIC = logistic.Grid(rates=(0.5, 2.0), batches=(32, 256), seeds=3, steps=25, reg=1e-4)
+
+
+def logistic_runs(spark, sf_dir):
+    return logistic.sweep(_clf_docs(spark, sf_dir), LOGISTIC)
+
+
+@query("clf_logistic_runs")
+def clf_logistic_runs(spark, sf_dir):
+    """M1-M3: the run table of 2 learning rates x 2 batch sizes x 3 seeds of logistic regression over hashed TF-IDF.
+    Gradient steps are no SQL; pytest holds them against a plain re-statement."""
+    return _rounded(logistic_runs(spark, sf_dir))
+
+
+@query("clf_logistic_report")
+def clf_logistic_report(spark, sf_dir):
+    """M4 of the logistic sweep: the best dev run by learning rate, batch size and seed."""
+    return X.report(cut_lineage(logistic_runs(spark, sf_dir), "runs"))
+
+
 @query("clf_runs", f"""WITH {SQL_SWEEP},
 dev AS (SELECT * FROM rt WHERE phase = 'dev'),
 b AS (SELECT arg_max(run_key, (metric_1, -run_idx)) AS k FROM dev),
