@@ -13,6 +13,7 @@ content of article ``Commande_<n>``.
 from __future__ import annotations
 
 import unicodedata
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -23,11 +24,14 @@ from ..operators import corpus as C
 from ..operators import html as H
 from ..operators.splits import sample_n, shuffle, split_fixed
 from ..session import cut_lineage, scratch_path
-from ..sources import files
+from ..sources import archives, files
 from ..sources.tables import load
 from .index_fixture import render_index_pages
 from .registry import query
 
+#: Buckets of tables that are joined by ref; at scale, about the table's bytes / 128 MB.
+BUCKETS = 8
+
 # ------------------------------------------------------------- SQL helpers
 
 def _nfkd_pairs():
@@ -216,6 +220,39 @@ def payload_files(spark, sf_dir):
     return found.select("ref", F.regexp_replace("payload", "\\n\\z", "").alias("payload"))  # the writer's line end
 
 
+def _members(spark, sf_dir):
+    """Archive lines of the pages: each as fetched, and a second try of the pages of odd length that was cut off."""
+    p = load(spark, sf_dir, "pages").select(F.concat(F.lit("Commande_"), F.col("page_id")).alias("ref"), "html")
+    whole = p.select(archives.member(F.col("ref"), F.col("html")).alias("value"))
+    cut = F.left("html", F.floor(F.length("html") / 2).cast("int"))
+    torn = p.where(F.length("html") % 2 == 1).select(archives.member(F.col("ref"), cut, archives.checksum(F.col("html"))))
+    return whole.unionByName(torn.toDF("value"))
+
+
+SQL_ARCHIVES = """
+SELECT 'Commande_' || page_id AS ref, html AS payload, TRUE AS ok, CAST(NULL AS VARCHAR) AS reason FROM pages
+UNION ALL SELECT 'Commande_' || page_id, NULL, FALSE, 'checksum' FROM pages WHERE length(html) % 2 = 1"""
+
+
+@query("archive_pages", SQL_ARCHIVES)
+def archive_pages(spark, sf_dir):
+    """S8 + S9: pages landed in archives and read back; members cut off on the way are rows with a reason."""
+    path = archives.write_archives(_members(spark, sf_dir), scratch_path(spark, "archives"))
+    return archives.read_archives(spark.read, path)
+
+
+@query("stream_archives", SQL_ARCHIVES)
+def stream_archives(spark, sf_dir):
+    """S9 under Structured Streaming: archives read as they land, into a Parquet sink."""
+    from ..streaming.corpus_stream import write_parquet_stream
+    from ..streaming.keyed import finish
+    path = archives.write_archives(_members(spark, sf_dir), scratch_path(spark, "archives"))
+    out = scratch_path(spark, "stream_members")
+    rows = archives.read_archives(spark.readStream.option("maxFilesPerTrigger", 64), path)
+    finish(write_parquet_stream(rows, out, scratch_path(spark, "stream_members_ckpt")))
+    return spark.read.schema(rows.schema).parquet(out)
+
+
 @query("materialized", "SELECT doc_id, lang, n_chars FROM documents")
 def materialized(spark, sf_dir):
     """A finished table is reused, so the second call gives the first
@@ -407,6 +444,37 @@ def attach_content(spark, sf_dir):
     return a.select("page_id", "ref", "title", "date", "content")
 
 
+@query("attach_bucketed", SQL_ATTACH + """
+SELECT ia.page_id, ia.ref, ia.title, ia.date, f.content FROM ia JOIN f USING (ref)""")
+def attach_bucketed(spark, sf_dir):
+    """S12 + J2: listing and fetched articles as tables in buckets of the ref, attached without an exchange."""
+    listing = files.materialize_bucketed(index_articles_df(spark, sf_dir), f"listing_{uuid.uuid4().hex}", ["ref"], BUCKETS)
+    got = files.materialize_bucketed(fetched(spark, sf_dir), f"fetched_{uuid.uuid4().hex}", ["ref"], BUCKETS)
+    return C.attach_content(listing, got).select("page_id", "ref", "title", "date", "content")
+
+
+@query("stream_attach", SQL_ATTACH + """,
+dd AS (SELECT ref, arg_min(page_id, (page_id, ord)) AS page_id, arg_min(date, (page_id, ord)) AS date FROM ia GROUP BY ref)
+SELECT dd.ref, dd.page_id, dd.date, f.content FROM dd JOIN f USING (ref)""")
+def stream_attach(spark, sf_dir):
+    """J2 + U4 with state by key: listings arrive as a stream and the first one of a ref stays; fetched articles
+    arrive twice, an early version without content and then the final one, and the last one wins."""
+    from ..streaming import keyed
+    listing, got = index_articles_df(spark, sf_dir), fetched(spark, sf_dir).where("ok").select("ref", "content")
+    early = got.select("ref", F.lit(0).alias("version"), F.array().cast("array<string>").alias("content"))
+    versions = early.unionByName(got.select("ref", F.lit(1).alias("version"), "content"))
+    tables = {}
+    for name, rows, pick, order in (("listing", listing.select("ref", "page_id", "ord", "date"), keyed.earliest, ["page_id", "ord"]),
+                                    ("fetched", versions, keyed.latest, ["version"])):
+        landed, table = scratch_path(spark, f"landed_{name}"), scratch_path(spark, f"keyed_{name}")
+        rows.write.parquet(landed)
+        events = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 64).parquet(landed)
+        keyed.finish(keyed.write_keyed(pick(events, "ref", order), table, scratch_path(spark, f"{name}_ckpt")))
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+        tables[name] = keyed.read_keyed(spark, table, "ref", kinds)
+    return tables["listing"].join(tables["fetched"], "ref").select("ref", "page_id", "date", "content")
+
+
 @query("attach_content_semi", SQL_ATTACH + """
 SELECT page_id, ref FROM ia WHERE ref IN (SELECT ref FROM f)""")
 def attach_content_semi(spark, sf_dir):

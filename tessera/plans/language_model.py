@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import GEN_MAX_LENGTH
 from ..functions.text import count_tokens, explode_nonempty, posexplode_nonempty, rtrim_ws, tokenize
-from ..operators import generation, kneser_ney, ngram, tokens as tk
+from ..operators import generation, kneser_ney, ngram, scoring, tokens as tk
 from ..operators.ordering import global_offsets
 from ..operators.splits import split_fixed, split_fraction
 from ..session import cut_lineage
@@ -267,6 +267,22 @@ def lm_nll(spark, sf_dir):
     return pairs.join(known, ["ctx", "tok"]).select("g", "tok", F.col("ctx").alias("prev"), F.round("nll", 6).alias("nll"))
 
 
+@query("lm_outside_scores", f"""
+WITH {SQL_TEST_PARAS}{SQL_BIGRAM},
+gd AS (SELECT doc_id, tok, lag(tok) OVER (ORDER BY doc_id, pos, k) AS prev FROM tt)
+SELECT CAST(doc_id AS VARCHAR) AS key, count(prev) AS n_tokens,
+       round(coalesce(sum(CASE WHEN prev IS NOT NULL THEN -ln((coalesce(m.cnt, 0) + 1.0) / (coalesce(ct.ctx_cnt, 0) + vv.v)) END), 0), 4) AS nll_sum
+FROM gd LEFT JOIN m ON m.ctx = gd.prev AND m.tok = gd.tok LEFT JOIN ct ON ct.ctx = gd.prev CROSS JOIN vv GROUP BY doc_id
+""")
+def lm_outside_scores(spark, sf_dir):
+    """An outside model, here the bigram counts written to a file that every task loads, scores the held-out
+    documents; their sums are those of ``lm_nll``."""
+    split, stream = test_stream(spark, sf_dir)
+    texts = stream.select("doc_id", F.concat(F.array("prev"), "tokens").alias("tokens"))
+    scores = scoring.score_bigrams(texts, "doc_id", "tokens", bigram_model(split))
+    return scores.select("key", "n_tokens", F.round("nll_sum", 4).alias("nll_sum"))
+
+
 def _sql_ppl(L, S, weighting):
     nll = "-ln((coalesce(m.cnt, 0) + 1.0) / (coalesce(ct.ctx_cnt, 0) + vv.v))"
     if weighting == "window":

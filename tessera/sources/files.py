@@ -6,6 +6,7 @@ Every written intermediate goes to the shared folder of the session
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,11 +81,11 @@ FILE_STEM = r"([^/]+?)(?:\.[^./]*)?$"
 def read_payload_files(spark: SparkSession, path: str, key: str = "ref", name: str = FILE_STEM) -> DataFrame:
     """Landed payload files, one document per file: ``(ref, payload)``
     with ``ref`` = the file name without its extension, or group 1 of another
-    ``name`` pattern (``wholetext`` keeps each file in one row)."""
+    ``name`` pattern (``wholetext`` keeps each file in one row).  For payloads by
+    the million, see :mod:`tessera.sources.archives`."""
     raw = spark.read.text(path, wholetext=True)
     name = F.regexp_extract(F.input_file_name(), name, 1)
-    return raw.select(F.reflect(F.lit("java.net.URLDecoder"), F.lit("decode"), name, F.lit("UTF-8"))
-                      .alias(key), F.col("value").alias("payload"))
+    return raw.select(F.coalesce(F.try_url_decode(name), name).alias(key), F.col("value").alias("payload"))
 
 
 def read_splits(spark: SparkSession, paths: dict[str, str], reader) -> DataFrame:
@@ -134,3 +135,17 @@ def materialize(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
     if overwrite or not fs.exists(done):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None = None,
+                         overwrite: bool = False) -> DataFrame:
+    """S12 for tables that are joined or grouped by ``keys`` again and again:
+    written once as table ``table`` in ``buckets`` buckets of ``keys``, one file
+    each and sorted, below ``path`` (default: the shared scratch folder).  Joins
+    of tables with as many buckets of the join keys, and groups by them, need no
+    exchange.  A table that is there is reused unless overwrite is asked."""
+    spark = df.sparkSession
+    if overwrite or not spark.catalog.tableExists(table):
+        df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option(
+            "path", path or scratch_path(spark, table)).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return spark.table(table)
