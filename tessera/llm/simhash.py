@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import cut, small_batches, text_key
 
 BITS = 64
 
@@ -122,28 +122,34 @@ def stars(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _grouped(own: DataFrame, distance: int, max_file: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of ``own`` (doc_id, fp): ``root`` is the least fingerprint of
+    its component, and tells components without ids or of the same least id apart."""
+    nodes = own.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    member = stars(links(nodes.select("fp"), distance, max_file))
+    known = nodes.join(member, nodes["fp"] == member["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    least = known.groupBy("root").agg(F.min("first").alias("component_id"))
+    return known.join(least, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, distance: int = 2, shingle: int = 3, max_file: int = 256) -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id."""
     small_batches(docs.sparkSession)
     own = cut(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")), "sim-fp")
-    nodes = own.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    member = stars(links(nodes.select("fp"), distance, max_file))
-    linked = member.join(nodes, member["node"] == nodes["fp"]).select("node", "root", "first")
-    least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    linked = linked.join(least, "root").select(F.col("node").alias("fp"), "least")
-    groups = nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    # written, so that both sides of the join are dealt for it and a fingerprint of many documents can be split
+    groups = cut(_grouped(own, distance, max_file), "sim-groups")
     return own.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, distance: int = 2, shingle: int = 3) -> DataFrame:
-    """The documents with one row left of each component: the one whose id is
-    the component's.  Components without any id keep one row per distinct
-    fingerprint."""
-    groups = near_duplicates(docs, distance, shingle)
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__keep")).distinct()
-    named = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi").dropDuplicates(["doc_id"])
-    if groups.where(F.col("component_id").isNull()).isEmpty():
-        return named
-    lost = groups.where(F.col("component_id").isNull()).select(F.col("fp").alias("__fp")).distinct()
-    bare = docs.where(F.col("doc_id").isNull()).withColumn("__fp", fingerprint(F.col("text"), shingle))
-    return named.unionByName(bare.join(lost, "__fp", "left_semi").dropDuplicates(["__fp"]).drop("__fp"))
+def deduplicate(docs: DataFrame, distance: int = 2, shingle: int = 3, max_file: int = 256) -> DataFrame:
+    """The documents with one row left of each component: of its rows with the least id (a null id only if no row
+    has one) that of the least fingerprint and then text, whichever other rows have the same id.  Rows that agree
+    in id and text are one document; one of them stays."""
+    small_batches(docs.sparkSession)
+    key = text_key(F.col("text"))
+    own = cut(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp"), key.alias("key")), "sim-fp")
+    first = own.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "fp", "key")).alias("best"))
+    kept = first.join(_grouped(own, distance, max_file).select("fp", "root"), "fp").groupBy("root").agg(F.min("best").alias("best"))
+    kept = cut(kept.select(F.col("best.doc_id").alias("__id"), F.col("best.key").alias("__key")), "sim-kept")
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (key == F.col("__key"))
+    return docs.withColumn("__own", key).join(kept, same, "left_semi").dropDuplicates(["doc_id", "__own"]).drop("__own")
