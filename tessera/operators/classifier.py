@@ -47,51 +47,64 @@ def bags(docs: DataFrame, text: str = "text", key: str = "doc_id", label: str =
     return words.where(F.col("tok").isNotNull()).groupBy(key, "label", "tok").agg(F.count(F.lit(1)).alias("m"))
 
 
-def fit_naive_bayes(train_bags: DataFrame, labels: Sequence[int]) -> DataFrame:
-    """M1: (seed, tok, n_0, n_1, ...), training occurrences by class."""
-    return train_bags.groupBy("seed", "tok").agg(
-        *[F.coalesce(F.sum(F.when(F.col("label") == c, F.col("m"))), F.lit(0)).alias(f"n_{i}")
-          for i, c in enumerate(labels)])
+def _cells(seeds: int, labels: Sequence[int]) -> list[tuple[int, int]]:
+    return [(s, i) for s in range(seeds) for i in range(len(labels))]
 
 
-def _total(labels: Sequence[int]) -> Column:
-    return sum((F.col(f"n_{i}") for i in range(1, len(labels))), F.col("n_0"))
+def _total(s: int, labels: Sequence[int]) -> Column:
+    return sum((F.col(f"n_{s}_{i}") for i in range(1, len(labels))), F.col(f"n_{s}_0"))
+
+
+def fit_naive_bayes(train_bags: DataFrame, labels: Sequence[int], seeds: int) -> DataFrame:
+    """M1: (tok, n_0_0, n_0_1, ...), training occurrences by seed and class.  ``train_bags`` has each bag once, with the
+    seeds it is dev of as bits of ``dev``."""
+    return train_bags.groupBy("tok").agg(*[
+        F.coalesce(F.sum(F.when((F.getbit("dev", F.lit(s)) == 0) & (F.col("label") == labels[i]), F.col("m"))), F.lit(0)).alias(f"n_{s}_{i}")
+        for s, i in _cells(seeds, labels)])
 
 
 def predict_naive_bayes(words: DataFrame, train_docs: DataFrame, eval_docs: DataFrame, eval_bags: DataFrame,
-                        labels: Sequence[int], smoothing: Sequence[float], min_counts: Sequence[int],
+                        labels: Sequence[int], smoothing: Sequence[float], min_counts: Sequence[int], seeds: int,
                         key: str = "doc_id") -> DataFrame:
     """(seed, split, key, label, run_idx, smoothing, min_count, pred, loss) for
     every document and grid point, ``run_idx`` in product order with the seed
-    last.  The token join has one row per token on the model's side, so a hot
-    token is many rows on the other side only, which AQE splits."""
-    k, grid = range(len(labels)), [(a, c) for a in smoothing for c in min_counts]
-    total = _total(labels)
-    sizes = words.groupBy("seed").agg(*[x for j, c in enumerate(min_counts) for x in (
-        F.count(F.when(total >= c, F.lit(1))).alias(f"v_{j}"),
-        *[F.sum(F.when(total >= c, F.col(f"n_{i}")).otherwise(F.lit(0))).alias(f"t_{j}_{i}") for i in k])])
-    priors = train_docs.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), *[
-        F.count(F.when(F.col("label") == c, F.lit(1))).alias(f"d_{i}") for i, c in enumerate(labels)])
-    known = eval_bags.join(words, ["seed", "tok"])
-    sums = known.groupBy("seed", key).agg(
-        *[F.sum(F.when(total >= c, F.col("m"))).alias(f"m_{j}") for j, c in enumerate(min_counts)],
-        *[F.sum(F.when(total >= c, F.col("m") * F.log(F.col(f"n_{i}") + F.lit(float(a))))).alias(f"s_{g}_{i}")
-          for g, (a, c) in enumerate(grid) for i in k])
-    rows = (eval_docs.select("seed", "split", key, "label").join(sums, ["seed", key], "left")
-            .join(sizes, "seed").join(priors, "seed"))
-    zero = F.lit(0.0)
-    points = []
-    for g, (a, c) in enumerate(grid):
-        j = list(min_counts).index(c)
-        scores = F.array(*[
-            F.log((F.col(f"d_{i}") + 1.0) / (F.col("n") + float(len(labels)))) + F.coalesce(F.col(f"s_{g}_{i}"), zero)
-            - F.coalesce(F.col(f"m_{j}"), F.lit(0)) * F.log(F.col(f"t_{j}_{i}") + float(a) * F.col(f"v_{j}") + F.lit(1e-300))
-            for i in k])
-        points.append(F.struct(F.lit(g).alias("g"), F.lit(float(a)).alias("smoothing"), F.lit(int(c)).alias("min_count"),
-                               scores.alias("scores")))
+    last.  Bags are joined with the words once for all seeds and grid points; the join
+    has one row per token on the model's side, so a hot token is many rows on the
+    other side only, which AQE splits."""
+    grid = [(a, c) for a in smoothing for c in min_counts]
+    cells, k = _cells(seeds, labels), len(labels)
+    known = {(s, j): _total(s, labels) >= max(1, c) for s in range(seeds) for j, c in enumerate(min_counts)}
+    size = words.agg(*[x for (s, j), here in known.items() for x in (
+        F.count(F.when(here, F.lit(1))).alias(f"v_{s}_{j}"),
+        *[F.coalesce(F.sum(F.when(here, F.col(f"n_{s}_{i}"))), F.lit(0)).alias(f"t_{s}_{j}_{i}") for i in range(k)])]).first()
+    prior = train_docs.agg(*[F.coalesce(F.sum(F.when((F.getbit("dev", F.lit(s)) == 0) & (F.col("label") == labels[i]), F.lit(1))), F.lit(0))
+                             .alias(f"d_{s}_{i}") for s, i in cells]).first()
+    # logarithms once for each word, not for each of its places
+    logs = words.select(
+        "tok", *[F.struct(*[known[s, j].alias(f"k_{j}") for j in range(len(min_counts))]).alias(f"h_{s}") for s in range(seeds)],
+        *[F.log(F.col(f"n_{s}_{i}") + F.lit(float(a))).alias(f"l_{s}_{n}_{i}") for s, i in cells for n, a in enumerate(smoothing)])
+    met = eval_bags.join(logs, "tok")
+    sums = met.groupBy(key).agg(
+        *[F.sum(F.when(F.col(f"h_{s}.k_{j}"), F.col("m"))).alias(f"m_{s}_{j}") for s, j in known],
+        *[F.sum(F.when(F.col(f"h_{s}.k_{list(min_counts).index(c)}"), F.col("m") * F.col(f"l_{s}_{list(smoothing).index(a)}_{i}"))).alias(f"s_{s}_{g}_{i}")
+          for g, (a, c) in enumerate(grid) for s, i in cells])
+    rows = eval_docs.select(key, "label", "test", "dev").join(sums, key, "left")
+    zero, points = F.lit(0.0), []
+    for s in range(seeds):
+        n = sum(prior[f"d_{s}_{i}"] for i in range(k))
+        for g, (a, c) in enumerate(grid):
+            j = list(min_counts).index(c)
+            scores = F.array(*[
+                F.log(F.lit((prior[f"d_{s}_{i}"] + 1.0) / (n + float(k)))) + F.coalesce(F.col(f"s_{s}_{g}_{i}"), zero)
+                - F.coalesce(F.col(f"m_{s}_{j}"), F.lit(0)) * F.log(F.lit(size[f"t_{s}_{j}_{i}"] + float(a) * size[f"v_{s}_{j}"] + 1e-300))
+                for i in range(k)])
+            points.append(F.struct(F.lit(s).alias("seed"), F.lit(g).alias("g"), F.lit(float(a)).alias("smoothing"),
+                                   F.lit(int(c)).alias("min_count"), scores.alias("scores"), F.lit(bool(n)).alias("fitted")))
     names = F.array(*[F.lit(c).cast("long") for c in labels])
-    out = rows.select("seed", "split", key, F.col("label").cast("long").alias("label"), F.explode(F.array(*points)).alias("p"))
-    out = out.select("seed", "split", key, "label", F.col("p.g").alias("g"), F.col("p.smoothing").alias("smoothing"),
+    out = rows.select(key, "test", "dev", F.col("label").cast("long").alias("label"), F.explode(F.array(*points)).alias("p"))
+    out = out.where((F.col("test") | (F.getbit("dev", F.col("p.seed")) == 1)) & F.col("p.fitted"))
+    out = out.select(F.col("p.seed").alias("seed"), F.when(F.col("test"), "test").otherwise("dev").alias("split"), key, "label",
+                     F.col("p.g").alias("g"), F.col("p.smoothing").alias("smoothing"),
                      F.col("p.min_count").alias("min_count"), F.col("p.scores").alias("s"), F.array_max("p.scores").alias("top"))
     mass = F.aggregate(F.transform("s", lambda x: F.exp(x - F.col("top"))), zero, lambda x, y: x + y)
     return out.select("seed", "split", key, "label", "g", "smoothing", "min_count",
@@ -100,17 +113,23 @@ def predict_naive_bayes(words: DataFrame, train_docs: DataFrame, eval_docs: Data
                       .alias("loss"))
 
 
+def with_parts(docs: DataFrame, seeds: int, key: str = "doc_id", test: float = 0.2, dev: float = 0.25) -> DataFrame:
+    """The splits of :func:`seeded_splits` without a row per seed: ``test``, and ``dev`` with a bit for each seed."""
+    bits = [F.when(md5_unit(F.lit(s + DEV_SEED), F.col(key)) < dev, F.lit(1 << s)).otherwise(F.lit(0)).cast("long") for s in range(seeds)]
+    in_test = md5_unit(F.lit(TEST_SEED), F.col(key)) < test
+    return docs.withColumn("test", in_test).withColumn("dev", sum(bits[1:], bits[0]))
+
+
 def naive_bayes(docs: DataFrame, labels: Sequence[int], smoothing: Sequence[float] = (1.0,),
                 min_counts: Sequence[int] = (1,), seeds: int = 1, key: str = "doc_id") -> DataFrame:
-    """M1 on every seed: predictions of the dev and test documents.  The token
-    counts of the documents are written once; seeds only re-label them."""
+    """M1 on every seed (63 at most): predictions of the dev and test documents.  Token counts of the documents are
+    written once, with their seeds as bits, and shuffled once by token and once by document for all runs."""
     docs = docs.where(F.col("label").isNotNull())
-    bag = seeded_splits(cut_lineage(bags(docs, key=key), "bags"), seeds, key)
-    heads = seeded_splits(docs.select(key, "label"), seeds, key)
-    train = F.col("split") == "train"
-    words = fit_naive_bayes(bag.where(train), labels)
-    return predict_naive_bayes(words, heads.where(train), heads.where(~train), bag.where(~train).select("seed", key, "tok", "m"),
-                               labels, smoothing, min_counts, key)
+    bag = with_parts(cut_lineage(bags(docs, key=key), "bags"), seeds, key)
+    heads = with_parts(docs.select(key, "label"), seeds, key)
+    words = cut_lineage(fit_naive_bayes(bag.where("not test"), labels, seeds), "words")
+    return predict_naive_bayes(words, heads.where("not test"), heads.where("test or dev <> 0"),
+                               bag.where("test or dev <> 0").select(key, "tok", "m"), labels, smoothing, min_counts, seeds, key)
 
 
 def evaluate(pred: DataFrame, *by: str) -> DataFrame:

@@ -1,10 +1,10 @@
-"""Experiment grid, run table, best-run report and a Spark ML classifier
-(J4, J5, J8, J9, J11, A11, A17, M1-M6, T21, X2).
+"""Experiment grid, run table and best-run report
+(J4, J5, J8, J9, J11, A11, A17, M4, M5, T21, X2).
 
 The grid is generated by exploding the parameter arrays on each task row
-(no cross join); the report is pure DataFrame work: a ``max_by`` for the best
-run, a one-row broadcast join for its configuration, population mean and
-std, and an equi-join to its test result.
+(no cross join); the report is pure DataFrame work: dev runs are aggregated
+once by configuration, the best configuration is taken by ``max_by``, and its
+test result is an equi-join.
 """
 
 from __future__ import annotations

@@ -11,12 +11,14 @@ a hot value is one row for each partner.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ACCURACY_CONFIGS, CONFIG_METRICS, METRIC_CONFIGS
 from ..session import cut_lineage
-from .ordering import global_offsets
+from .ordering import offset_index
 
 
 def _nan() -> Column:
@@ -78,14 +80,17 @@ def pearson(x="pred", y="label") -> Column:
     return F.coalesce(F.try_divide(F.covar_pop(x, y), F.when(den > 0, den)), _nan())
 
 
-def average_ranks(df: DataFrame, col: str, out: str, weight: str | None = None) -> DataFrame:
-    """1-based average rank of each distinct value of ``col`` (ties share
-    the mean rank).  Distinct values are counted (``weight``: rows a row stands
-    for), offset by a distributed prefix sum, and ``(value, rank)`` is returned
-    for a join back."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.sum(_weight(weight)).alias("_c"))
-    off = global_offsets(counts, [col], "_c", "_o")
-    return off.select(col, (F.col("_o") + (F.col("_c") + 1) / 2.0).alias(out))
+def average_ranks(df: DataFrame, cols: Sequence[str], weight: str | None = None) -> DataFrame:
+    """``(c, value, rank)``, the 1-based average rank of each distinct value (as double) of the ``c``-th of
+    ``cols``; ties share the mean rank.  The values of all columns are counted (``weight``: rows a row stands for) and
+    offset by one distributed prefix sum over (column, value); a column's own offsets begin at its least."""
+    each = df.select(F.explode(F.array(*(F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("value")) for i, c in enumerate(cols))))
+                     .alias("x"), _weight(weight).alias("_w"))
+    counts = each.where("x.value is not null").groupBy("x.c", "x.value").agg(F.sum("_w").alias("_n"))
+    off = offset_index(counts, ["c", "value"], "_n", "_o", keep=["_n"])
+    first = off.groupBy("c").agg(F.min("_o").alias("_f")).withColumnRenamed("c", "_k")  # a row for each column
+    return off.join(F.broadcast(first), F.col("c") == F.col("_k")).select(
+        "c", "value", (F.col("_o") - F.col("_f") + (F.col("_n") + 1) / 2.0).alias("rank"))
 
 
 def spearman(df: DataFrame, x: str = "pred", y: str = "label") -> DataFrame:
@@ -93,10 +98,11 @@ def spearman(df: DataFrame, x: str = "pred", y: str = "label") -> DataFrame:
     Distinct pairs are written once with their counts; the mean rank is known
     (``(N + 1) / 2``), so the moments are centred."""
     pairs = cut_lineage(df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-                        .groupBy(x, y).agg(F.count(F.lit(1)).alias("_n")), "pairs")
+                        .groupBy(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).agg(F.count(F.lit(1)).alias("_n")), "pairs")
     mean = (pairs.agg(F.sum("_n")).scalar() + 1) / F.lit(2.0)
-    ranked = (pairs.join(average_ranks(pairs, x, "_rx", "_n"), x).join(average_ranks(pairs, y, "_ry", "_n"), y)
-              .select("_n", (F.col("_rx") - mean).alias("a"), (F.col("_ry") - mean).alias("b")))
+    ranks = average_ranks(pairs, ["x", "y"], "_n")
+    rx, ry = (ranks.where(F.col("c") == i).select(F.col("value").alias(c), F.col("rank").alias(f"r{c}")) for i, c in enumerate("xy"))
+    ranked = pairs.join(rx, "x").join(ry, "y").select("_n", (F.col("rx") - mean).alias("a"), (F.col("ry") - mean).alias("b"))
     n, a, b = F.col("_n"), F.col("a"), F.col("b")
     den = F.sqrt(F.sum(n * a * a)) * F.sqrt(F.sum(n * b * b))
     return ranked.agg(F.coalesce(F.try_divide(F.sum(n * a * b), F.when(den > 0, den)), _nan()).alias("spearmanr"))

@@ -57,12 +57,13 @@ def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | Non
     return joined.drop(_BLK, "_tsr_incl", "_tsr_base", "_tsr_seen", "_tsr_carry")
 
 
-def offset_index(df: DataFrame, order_cols: Sequence[str], size_col: str, out: str = "offset",
-                 blocks: int | None = None, carry: str | None = None) -> DataFrame:
-    """``(order_cols, out[, carry])``, written: what :func:`global_offsets` adds,
+def offset_index(df: DataFrame, order_cols: Sequence[str], size_col: str | None = None, out: str = "offset",
+                 blocks: int | None = None, carry: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """``(order_cols, out[, carry][, keep])``, written: what :func:`global_offsets` adds,
     from the keys and sizes of a written table alone, to be joined back by key."""
-    narrow = df.select(*order_cols, size_col, *([carry] if carry else []))
-    return cut_lineage(global_offsets(narrow, order_cols, size_col, out, blocks, carry).drop(size_col), "offset-index")
+    narrow = df.select(*order_cols, *dict.fromkeys([c for c in (size_col, carry, *keep) if c]))
+    found = global_offsets(narrow, order_cols, size_col, out, blocks, carry)
+    return cut_lineage(found.select(*order_cols, out, *([carry] if carry else []), *keep), "offset-index")
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], out: str = "rn",

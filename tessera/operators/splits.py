@@ -54,7 +54,10 @@ def shuffle(df: DataFrame, key: str, seed: int = 42, ordinal: str | None = "ord"
     order; without it the rows are sorted for a sink."""
     keyed = df.withColumn("_tsr_h", md5_order_key(seed, F.col(key)))
     if ordinal:
-        return global_row_number(keyed, ["_tsr_h", key], ordinal).drop("_tsr_h")
+        if df.columns == [key]:
+            return global_row_number(keyed, ["_tsr_h", key], ordinal).drop("_tsr_h")
+        # the order is found from the keys alone; the rows are only joined with their places
+        return df.join(global_row_number(keyed.select("_tsr_h", key), ["_tsr_h", key], ordinal).drop("_tsr_h"), key)
     return keyed.orderBy("_tsr_h", key).drop("_tsr_h")
 
 

@@ -86,22 +86,32 @@ def pad_truncate(ids, max_len: int, pad: int = PAD_ID) -> tuple[Column, Column]:
     return padded, mask
 
 
-def pad_to_batch(df: DataFrame, ids: str, batch: str, pad: int = PAD_ID) -> DataFrame:
+def pad_to_batch(df: DataFrame, ids: str, batch: str, pad: int = PAD_ID, longest: str | None = None) -> DataFrame:
     """Pad every example to the longest in its batch (batches are small,
-    bounded groups)."""
-    longest = F.max(F.size(ids)).over(Window.partitionBy(batch))
-    rest = longest - F.size(ids)
+    bounded groups).  With a column ``longest`` (see :func:`with_batches`) rows
+    stay where they are."""
+    most = F.col(longest) if longest else F.max(F.size(ids)).over(Window.partitionBy(batch))
+    rest = most - F.size(ids)
     return df.withColumn("_tsr_n", rest).select(
         "*", F.concat(F.col(ids), F.array_repeat(F.lit(pad), F.col("_tsr_n"))).alias("padded_ids"),
         F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), F.col("_tsr_n")))
         .alias("attention_mask")).drop("_tsr_n")
 
 
-def with_batches(df: DataFrame, order_cols: list[str], batch_size: int, out: str = "batch") -> DataFrame:
+def with_batches(df: DataFrame, order_cols: list[str], batch_size: int, out: str = "batch",
+                 ids: str | None = None, longest: str = "longest") -> DataFrame:
     """Consecutive batches of ``batch_size`` examples in the global order of
-    ``order_cols`` (distributed row number); every batch is a bounded group."""
-    r = global_offsets(df, order_cols, None, "_tsr_o")
-    return r.withColumn(out, F.floor(F.col("_tsr_o") / batch_size).cast("long")).drop("_tsr_o")
+    ``order_cols`` (distributed row number); every batch is a bounded group.
+    With ``ids`` each row also learns the longest array of its batch.  Both come
+    from keys and lengths alone and are joined back by key; the examples are
+    written once and not dealt by ranges or batches."""
+    own = cut_lineage(df, "examples")
+    size = F.size(ids).alias("_tsr_s") if ids else F.lit(0).alias("_tsr_s")
+    index = offset_index(own.select(*order_cols, size), order_cols, None, "_tsr_o", keep=["_tsr_s"])
+    index = index.withColumn(out, F.floor(F.col("_tsr_o") / batch_size).cast("long")).drop("_tsr_o")
+    if ids:
+        index = index.withColumn(longest, F.max("_tsr_s").over(Window.partitionBy(out)))
+    return own.join(index.drop("_tsr_s"), order_cols)
 
 
 def truncate_pair(a, b, budget: int) -> tuple[Column, Column]:

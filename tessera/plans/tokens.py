@@ -96,8 +96,8 @@ FROM b""")
 def pad_to_batch(spark, sf_dir):
     """Dynamic padding to the longest example of each batch of 8
     examples in (conversation, turn) order."""
-    e = tk.with_batches(encoded_turns(spark, sf_dir), ["conv_id", "turn"], 8)
-    e = tk.pad_to_batch(e, "input_ids", "batch")
+    e = tk.with_batches(encoded_turns(spark, sf_dir), ["conv_id", "turn"], 8, ids="input_ids")
+    e = tk.pad_to_batch(e, "input_ids", "batch", longest="longest")
     return e.select("conv_id", "turn", "padded_ids", "attention_mask")
 
 
