@@ -4,16 +4,26 @@ Fixed patterns give the base spans, which always stand.  High-recall generators
 propose further, looser spans (written-out addresses, IPv6, other card and
 phone spellings) on the text with the base spans blanked out.  Boosted trees
 are fitted on every candidate of the corpus, counted by its binned format and
-context features: base spans are positive, proposals and failed base matches
-negative.  The trees are turned into one SQL expression and score candidates in
-place; a kind's threshold is the lowest score at which the share of base spans
-among the candidates of that score (isotonic over the scores, not cumulative)
-reaches ``precision``.  Proposals at or over it are added.
+context features.
+
+What a proposal is, no pattern tells, so it is labelled by signals that did not
+make it: its own plausibility (``fits``: a Luhn check, a top-level domain, the
+digits of a national number, hexadecimal groups) and the words before it, a cue
+of its kind (``phone``, ``card``) and no counter (``order``, ``ref``).  Positive are
+base spans and proposals that have all of them, negative are failed base
+matches and the other proposals.  The trees are fitted on three quarters of the
+texts, by hash, and turned into one SQL expression; a kind's threshold comes
+from the proposals of the last quarter alone, so base spans, however many,
+lower no bar: it is the least score at which the share of positive proposals
+(isotonic over the scores; each block counts the model's own score as one
+more candidate, which decides where proposals are few) reaches ``precision``.
+Proposals at or over it are added.
 
 The table that is fitted has at most as many rows as there are combinations of
 bins, whatever the corpus.  Without candidates of both classes nothing is
 added.  Null and empty texts have no span.  Offsets are code points, ends
-exclusive.  Rows are independent of each other, so repeated rows are alike.
+exclusive.  Rows are independent of each other, so repeated rows are alike; an empty
+table gives no row; other columns are not used.
 """
 
 from __future__ import annotations
@@ -44,11 +54,17 @@ PROPOSED = {
     "phone": (r"(?<![0-9A-Za-z])\(?[0-9]{2,4}\)?[\x20./-]?[0-9]{3,4}[\x20./-][0-9]{3,4}(?![0-9])", "[0-9]{3}"),
 }
 PART = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-CUES = "(?i)mail|contact|write|phone|tel|call|fax|mobile|card|visa|credit|pay|ip|host|server|address|login"
-COUNTER = "(?i)order|invoice|isbn|issn|ref|version|ver\\.|sku|serial|total|no\\.|#|\\$"
-FEATURES = ("digits", "length", "marks", "distinct", "left", "right", "cue", "counter")
+#: Words before a span that tell what it is, or that it counts something.
+CUES = {
+    "email": "e?-?mail|contact|write|reach|address",
+    "ip": "ip|ipv6|host|server|address|login|node",
+    "card": "card|visa|mastercard|credit|debit|pay|payment",
+    "phone": "phone|telephone|tel|call|fax|mobile|cell|contact",
+}
+COUNTER = "(?i)(?<![a-z])(?:order|invoice|isbn|issn|ref|version|ver|sku|serial|total|no)(?![a-z])|[#$]"
+FEATURES = ("digits", "length", "marks", "distinct", "left", "right", "cue", "counter", "fits")
 CONTEXT = 24
-SPAN = ("array<struct<start:int,no:int,end:int,kind:string,base:boolean,"
+SPAN = ("array<struct<start:int,no:int,end:int,kind:string,base:boolean,proposed:boolean,"
         + ",".join(f"{f}:int" for f in FEATURES) + ">>")
 
 
@@ -71,22 +87,33 @@ def valid(kind: str, s: Column) -> Column:
             "card": F.when(n.between(14, 19), luhn(_digits(s))).otherwise(False), "phone": n.between(10, 15)}[kind]
 
 
+def fits(kind: str, s: Column) -> Column:
+    """Whether a looser span is plausible in itself, by what its pattern does not ask."""
+    n = F.length(_digits(s))
+    return {"email": s.rlike(r"[A-Za-z]{2,24}$") & s.rlike("[A-Za-z]"), "ip": s.rlike("[A-Fa-f]") | s.rlike("^(?:[0-9A-Fa-f]+:){7}"),
+            "card": F.when(n.between(13, 19), luhn(_digits(s))).otherwise(False), "phone": n.between(9, 11)}[kind]
+
+
 def _side(c: Column) -> Column:
     return (F.when(c.rlike("^[\\x20\\x09-\\x0D]?$"), 0).when(c.rlike("[0-9]"), 1).when(c.rlike("[.,;:!?()\"']"), 2).otherwise(3))
 
 
 def _features(kind: str, text: Column):
-    def run(s: Column, base: Column) -> Column:
+    cues = f"(?i)(?<![a-z])(?:{CUES[kind]})(?![a-z])"
+
+    def run(s: Column, base: Column, proposed: bool) -> Column:
         m = s["m"]
         left = F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
         after = F.substring(text, s["end"] + 1, F.lit(1))
         return F.struct(
             s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("no"), s["end"].alias("end"), F.lit(kind).alias("kind"), base.alias("base"),
+            F.lit(proposed).alias("proposed"),
             F.least(F.length(_digits(m)), F.lit(20)).alias("digits"), F.least(F.floor(F.length(m) / 4), F.lit(12)).cast("int").alias("length"),
             F.least(F.length(F.regexp_replace(m, "[A-Za-z0-9]", "")), F.lit(7)).alias("marks"),
             F.least(F.size(F.array_distinct(F.split(_digits(m), ""))), F.lit(6)).alias("distinct"),
             _side(F.right(left, F.lit(1))).alias("left"), _side(after).alias("right"),
-            left.rlike(CUES).cast("int").alias("cue"), left.rlike(COUNTER).cast("int").alias("counter"))
+            left.rlike(cues).cast("int").alias("cue"), left.rlike(COUNTER).cast("int").alias("counter"),
+            (fits(kind, m) if proposed else base).cast("int").alias("fits"))
 
     return run
 
@@ -126,11 +153,11 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _judged(kind: str, text: Column):
     make = _features(kind, text)
-    return lambda s: make(s, valid(kind, s["m"]))
+    return lambda s: make(s, valid(kind, s["m"]), False)
 
 
 def _proposed(make):
-    return lambda s: make(s, F.lit(False))
+    return lambda s: make(s, F.lit(False), True)
 
 
 def _tree(text: str, value) -> Column:
@@ -153,30 +180,32 @@ def _tree(text: str, value) -> Column:
     return node()
 
 
-def limit(bins: list[tuple[float, float, float]], precision: float, support: int) -> float | None:
-    """Lowest score whose own share of base spans reaches ``precision``, from
-    (score, candidates, base spans); the share never falls with the score, as
-    neighbours where it would are pooled.  None if under ``support`` base spans lie there."""
+def limit(bins: list[tuple[float, float, float]], precision: float, support: int = 0) -> float | None:
+    """Lowest score from which on the share of positives reaches ``precision``, from (score, candidates, positives);
+    the share never falls with the score, as neighbours where it would are pooled, and a block's share counts its
+    score as one candidate more.  None if no block reaches it, or fewer than ``support`` positives lie there."""
     blocks: list[list[float]] = []
     for p, n, good in sorted(bins):
-        blocks.append([p, n, good])
-        while len(blocks) > 1 and blocks[-2][2] * blocks[-1][1] >= blocks[-1][2] * blocks[-2][1]:
-            _, n, good = blocks.pop()
-            blocks[-1][1] += n
-            blocks[-1][2] += good
-    over = [b for b in blocks if b[2] >= precision * b[1]]
-    return over[0][0] if over and sum(b[2] for b in over) >= support else None
-
-
-def fit(rows: DataFrame, precision: float = 0.95, support: int = 20, trees: int = 10, depth: int = 4):
-    """(score(span) -> Column, threshold by kind) from candidates()'s rows, or None."""
-    both = rows.select(F.explode(F.concat("base", "other")).alias("s"))
-    counted = cut(both.groupBy("s.no", *[f"s.{f}" for f in FEATURES], F.col("s.base").cast("int").alias("label"))
+        blocks.append([p, p * n, n, good])
+        while len(blocks) > 1 and blocks[-2][3] * blocks[-1][2] >= blocks[-1][3] * blocks[-2][2]:
+            _, mass, n, good = blocks.pop()
+            blocks[-1][1:] = [blocks[-1][1] + mass, blocks[-1][2] + n, blocks[-1][3] + good]
+    over = [b for b in blocks if (b[3] + b[1] / b[2]) / (b[2] + 1) >= precision]
+    return over[0][0] if over and sum(b[3] for b in over) >= support else None
+
+
+def fit(rows: DataFrame, precision: float = 0.95, trees: int = 10, depth: int = 4):
+    """(score(span) -> Column, threshold by kind) from candidates()'s rows with ``held`` (not fitted on), or None."""
+    both = rows.select("held", F.explode(F.concat("base", "other")).alias("s"))
+    sure = F.col("s.proposed") & (F.col("s.fits") == 1) & (F.col("s.cue") == 1) & (F.col("s.counter") == 0)
+    counted = cut(both.groupBy("held", "s.no", *[f"s.{f}" for f in FEATURES], "s.proposed", (F.col("s.base") | sure).cast("int").alias("label"))
                   .agg(F.count("*").cast("double").alias("weight")), "pii-bins")
-    if {r.label for r in counted.select("label").distinct().collect()} != {0, 1}:
+    fitted = counted.where(~F.col("held"))
+    if {r.label for r in fitted.select("label").distinct().collect()} != {0, 1}:
         return None
     names = ["no", *FEATURES]
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(counted).coalesce(1)  # one row a bin
+    bins = fitted.groupBy(*names, "label").agg(F.sum("weight").alias("weight")).coalesce(1).sortWithinPartitions(*names, "label")  # one row a bin
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(bins)
     model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, weightCol="weight", labelCol="label").fit(vectors)
 
     def score(span) -> Column:
@@ -185,31 +214,32 @@ def fit(rows: DataFrame, precision: float = 0.95, support: int = 20, trees: int
             total = total + float(weight) * _tree(tree.toDebugString, lambda i: span[names[i]])
         return 1 / (1 + F.exp(-2 * total))
 
-    found = (counted.select("no", F.round(score(counted), 3).alias("p"), "label", "weight").groupBy("no", "p")
-             .agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("good")).collect())  # at most 1,001 a kind
+    asked = counted.where("held and proposed").select("no", F.round(score(counted), 3).alias("p"), "label", "weight")
+    found = asked.groupBy("no", "p").agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("good")).collect()  # at most 1,001 a kind
     limits = {}
     for no in range(len(KINDS)):
-        least = limit([(r.p, r.n, r.good) for r in found if r.no == no], precision, support)
+        least = limit([(r.p, r.n, r.good) for r in found if r.no == no], precision)
         if least is not None:
             limits[no] = least
     return score, limits
 
 
-def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), precision: float = 0.95, support: int = 20) -> DataFrame:
+def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), precision: float = 0.95) -> DataFrame:
     """``keep`` columns, base and spans (arrays of SPAN) per row."""
     own = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.col("text").alias("text"))
-    rows = cut(candidates(own).select(*[f"k_{c}" for c in keep], "base", "other"), "pii-rows")
+    held = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(4)) == 0
+    rows = cut(candidates(own).select(*[f"k_{c}" for c in keep], held.alias("held"), "base", "other"), "pii-rows")
     names = [F.col(f"k_{c}").alias(c) for c in keep]
-    fitted = fit(rows, precision, support)
+    fitted = fit(rows, precision)
     if fitted is None or not fitted[1]:
         return rows.select(*names, "base", F.col("base").alias("spans"))
     score, limits = fitted
 
     def chosen(s: Column) -> Column:
-        limit = F.lit(2.0)
-        for no, least in limits.items():
-            limit = F.when(s["no"] == no, least).otherwise(limit)
-        return F.round(score(s), 3) >= limit
+        least = F.lit(2.0)
+        for no, bound in limits.items():
+            least = F.when(s["no"] == no, bound).otherwise(least)
+        return s["proposed"] & (F.round(score(s), 3) >= least)
 
     free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
     added = F.when(F.size("other") > 0, F.filter("other", lambda s: chosen(s) & free(s))).otherwise(F.array().cast(SPAN))
