@@ -8,12 +8,13 @@ window start, so each group is bounded by the window length.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import NOT_SCORED, PAD_ID, SPECIAL_TOKENS, UNK_ID
 from ..functions.text import TOKEN_PATTERN, explode_nonempty, posexplode_nonempty
-from ..session import cut_lineage
+from ..session import cut_lineage, default_blocks
 from .ordering import global_offsets, offset_index
 
 
@@ -40,18 +41,45 @@ def build_vocab(tokens: DataFrame, tok: str = "tok", min_count: int = 1,
     return specials.unionByName(ranked)
 
 
+#: Vocabulary rows up to which an encode or decode sends the vocabulary to every task (some 100 bytes each).
+BROADCAST_ROWS = 300_000
+
+
+def _by_blocks(df: DataFrame, keys: list[str], items: str, table: DataFrame, blocks: int) -> DataFrame:
+    """``df`` with ``items`` replaced by what ``table`` (k, v) has for them, as texts (null: nothing), for a table of
+    any size.  Rows are dealt into blocks by key; each block asks the table for its distinct items once, and a
+    block's rows meet its answers in one task, so neither the table nor a row per item is moved to the rows."""
+    own = cut_lineage(df.withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int")), "lookup")
+    asked = own.select("_b", F.explode(F.array_distinct(items)).alias("_k")).distinct()
+    answers = asked.join(table.select(F.col("k").alias("_k"), "v"), "_k").select(
+        F.col("_b").alias("_at"), F.col("_k").cast("string").alias("_k"), F.col("v").cast("string").alias("_v"))
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields if f.name not in ("_b", items)]
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        get = dict(zip(found["_k"].to_pylist(), found["_v"].to_pylist())).get
+        lists = [None if x is None else [get(str(i)) for i in x] for x in rows[items].to_pylist()]
+        return rows.drop_columns(["_b", items]).append_column("_found", pa.array(lists, pa.list_(pa.string())))
+
+    return own.groupBy("_b").cogroup(answers.groupBy("_at")).applyInArrow(run, ", ".join([*kept, "_found array<string>"]))
+
+
 def encode(df: DataFrame, key, vocab: DataFrame, tokens: str = "tokens",
-           out: str = "input_ids") -> DataFrame:
-    """K3: token array -> id array, unknown tokens -> ``<unk>``.  Tokens are
-    exploded, looked up in the vocabulary (unique per token, so a hot token is
-    many rows on one side only, which AQE splits; Spark broadcasts a small one
-    by its size) and put back in order by one aggregation, which also carries the other columns
-    (``collect_list`` combines map-side, so about one row per key is
-    shuffled).  Rows without tokens keep an empty array."""
+           out: str = "input_ids", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """K3: token array -> id array, unknown tokens -> ``<unk>``.  No token is a
+    row of a shuffle: a vocabulary of up to ``broadcast_rows`` goes to every task,
+    tokens are looked up where they are and put back in order by one aggregation,
+    which also carries the other columns (``collect_list`` combines map-side, so
+    about one row per key is shuffled); for a larger one each block of rows asks for
+    its distinct tokens (:func:`_by_blocks`).  Rows without tokens keep an empty array."""
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys and c != tokens]
+    if vocab.count() > broadcast_rows:
+        table = vocab.select(F.col("tok").alias("k"), F.col("id").alias("v"))
+        found = _by_blocks(df, keys, tokens, table, default_blocks(df.sparkSession))
+        ids = F.transform(F.coalesce("_found", F.array().cast("array<string>")), lambda x: F.coalesce(x.cast("int"), F.lit(UNK_ID)))
+        return found.select(*keys, *others, ids.alias(out))
     ex = df.select(*keys, *others, posexplode_nonempty(tokens).alias("pos", "tok"))
-    ids = (ex.join(vocab.select("tok", "id"), "tok", "left")
+    ids = (ex.join(F.broadcast(vocab.select("tok", "id")), "tok", "left")
            .select(*keys, *others, "pos",
                    F.when(F.col("pos").isNotNull(), F.coalesce("id", F.lit(UNK_ID))).alias("id")))
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
@@ -61,12 +89,15 @@ def encode(df: DataFrame, key, vocab: DataFrame, tokens: str = "tokens",
 
 
 def decode(df: DataFrame, key, vocab: DataFrame, ids: str = "input_ids",
-           out: str = "text") -> DataFrame:
+           out: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Ids -> text, special tokens skipped, pieces joined with a space.
-    One pass over the (unique) keys; a key without pieces gives ''."""
+    One pass over the (unique) keys, as :func:`encode`; a key without pieces gives ''."""
     keys = [key] if isinstance(key, str) else list(key)
     regular = vocab.where(F.col("id") >= len(SPECIAL_TOKENS)).select("id", "tok")
-    toks = df.select(*keys, F.posexplode_outer(ids).alias("pos", "id")).join(regular, "id", "left")
+    if vocab.count() > broadcast_rows:
+        found = _by_blocks(df.select(*keys, ids), keys, ids, regular.toDF("k", "v"), default_blocks(df.sparkSession))
+        return found.select(*keys, F.coalesce(F.array_join("_found", " "), F.lit("")).alias(out))  # nulls are left out
+    toks = df.select(*keys, F.posexplode_outer(ids).alias("pos", "id")).join(F.broadcast(regular), "id", "left")
     item = F.when(F.col("tok").isNotNull(), F.struct("pos", "tok"))
     back = toks.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_p"))
     return back.select(*keys, F.array_join(F.transform("_p", lambda s: s["tok"]), " ").alias(out))

@@ -134,3 +134,20 @@ def test_token_stream_offsets(spark):
         if t:
             assert got[(d, p)] == off
         off += len(t)
+
+
+def test_lookup_by_blocks_is_the_broadcast_lookup(spark):
+    """A vocabulary over the bound: blocks ask for their distinct tokens; no token is a row of a shuffle."""
+    rows = [(k, t, [f"w{(k * 7 + i * i) % 23}" for i in range((k * 5 + t) % 9)], f"x{k}") for k in range(40) for t in range(2)]
+    rows += [(99, 0, [], None), (99, 1, None, "y"), (None, 2, ["w1", "new"], "z")]
+    df = spark.createDataFrame(rows, "k long, t long, tokens array<string>, other string")
+    voc = spark.createDataFrame([(0, "</s>"), (2, "<unk>"), *((5 + i, f"w{i}") for i in range(0, 23, 2))], "id int, tok string")
+    order = lambda x: sorted(x.collect(), key=str)
+    small, large = (tk.encode(df, ["k", "t"], voc, broadcast_rows=n) for n in (1000, 0))
+    assert order(small.select("k", "t", "other", "input_ids")) == order(large.select("k", "t", "other", "input_ids"))
+    assert small.columns == large.columns and {r.k: r.input_ids for r in large.where("t = 2").collect()} == {None: [2, 2]}
+    assert order(tk.decode(small, ["k", "t"], voc, broadcast_rows=1000)) == order(tk.decode(large, ["k", "t"], voc, broadcast_rows=0))
+    assert tk.encode(df.limit(0), ["k", "t"], voc, broadcast_rows=0).count() == 0
+    for enc in (small, large):
+        plan = enc._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(tok#" not in plan
