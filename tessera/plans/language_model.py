@@ -199,6 +199,21 @@ def lm_paragraph_scan(spark, sf_dir):
     return paragraphs(read_split(spark, path, "test"))
 
 
+@query("lm_train_scan", """
+WITH r AS (SELECT doc_id, text,
+                  row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM documents),
+sp AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS para,
+              CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS BIGINT) AS pos
+       FROM r WHERE rn > 120)
+SELECT doc_id, pos, rtrim(para) AS paragraph FROM sp WHERE length(rtrim(para)) > 0
+""")
+def lm_train_scan(spark, sf_dir):
+    """S6 + P1 + P2 on the part that grows with the table: the training split read back by partition pruning."""
+    from ..sources.files import read_split, write_split_dataset
+    docs = split_fixed(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return paragraphs(read_split(spark, write_split_dataset(docs, "lm_corpus"), "train"))
+
+
 @query("lm_stream", f"""
 WITH {SQL_TEST_PARAS}
 SELECT doc_id, pos, CAST(len(toks) AS INTEGER) AS n,
