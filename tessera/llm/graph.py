@@ -353,8 +353,9 @@ def near_duplicates(vectors: DataFrame, settings: Settings | None = None) -> Dat
             break
         s = replace(s, overlap=2 * s.overlap, beam=2 * s.beam)
     member = stars(links.where("root != id").select(F.col("id").alias("a"), F.col("root").alias("b")))
-    named = member.join(nodes.select(F.col("id").alias("node"), "first"), "node")
-    least = named.groupBy("root").agg(F.min("first").alias("least"))
+    named = cut(member.join(nodes.select(F.col("id").alias("node"), "first"), "node"), "graph-named")
+    # written, so that both sides of the join are dealt for it and a component of many nodes can be split
+    least = cut(named.groupBy("root").agg(F.min("first").alias("least")), "graph-least")
     named = named.select("node", "root").join(least, "root").select(F.col("node").alias("id"), "least")
     known = nodes.join(counted, "id", "left").join(named, "id", "left").select(
         F.col("v").alias("w"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
