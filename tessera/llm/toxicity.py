@@ -12,9 +12,14 @@ by extreme-value statistics (Karlin and Altschul): lambda solves
 clean labelled documents, and a segment counts by ``lambda S - ln(K n)``.  A
 logistic curve over their sum gives the score.
 
+The lexicon holds every word that ``Settings`` lets in, without a cap: a word is in
+``min_docs`` labelled documents at least, and of these there are ``max_labelled`` at
+most (the first by hash of the id), which bounds what the driver gathers.
+
 Nulls and empty texts have no segment and get the score of no evidence.  With
-no labelled row of either class every document scores 0.  Repeated rows are
-scored alike; columns of the input are not needed besides ``doc_id``, ``text``.
+no labelled row of either class every document scores 0, an empty table has no row.
+Repeated rows are scored alike; a long text is scanned whole, in its length;
+columns of the input are not needed besides ``doc_id``, ``text``.
 """
 
 from __future__ import annotations
@@ -42,8 +47,6 @@ OUT = "n_tokens int, evidence double, passages array<struct<start:int,end:int,sc
 class Settings:
     #: Labelled rows of which the classifier is fitted, at most.
     max_labelled: int = 200_000
-    #: Words with the most significant log-odds that the model holds, at most.
-    max_lexicon: int = 200_000
     #: Weight of the corpus prior, as a share of the labelled counts.
     prior: float = 0.01
     #: Least absolute z of a word's log-odds, standard deviations taken off
@@ -105,10 +108,12 @@ def labelled(labels: DataFrame, settings: Settings) -> DataFrame:
             .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     if settings.fold:
         rows = rows.where(~held_out(F.col("doc_id"), settings.fold))
-    share = settings.max_labelled / max(1, labels.count())
-    if share < 1:  # the bound holds by the limit; the hash keeps the sample even and cheap
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    return rows.limit(settings.max_labelled) if share < 1 else rows
+    n = rows.count()
+    if n <= settings.max_labelled:
+        return rows
+    # the first by hash, the same in every run; somewhat more than these pass the filter, so no task hands on many
+    near = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    return rows.where(near < 1.2 * settings.max_labelled / n * (1 << 31)).orderBy(near, "doc_id").limit(settings.max_labelled)
 
 
 def _counted(flush: int):
@@ -162,7 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
              .where(F.abs(F.col("delta") / F.col("sd")) >= settings.min_z)
              .select("word", (F.signum("delta") * (F.abs("delta") - settings.shrink * F.col("sd"))).alias("delta"),
                      F.abs(F.col("delta") / F.col("sd")).alias("z"), (F.col("p") * F.col("clean_share")).alias("p")))
-    top = known.orderBy(F.col("z").desc(), "word").limit(settings.max_lexicon).collect()
+    # every one of them is in min_docs labelled documents at least, of which there are max_labelled at most
+    top = sorted(known.collect(), key=lambda r: (-r.z, r.word))
     p = np.array([r.p for r in top] + [max(1e-9, 1 - sum(r.p for r in top))])
     s = np.array([r.delta for r in top] + [0.0])
     shift = float((p * s).sum()) + settings.drift
