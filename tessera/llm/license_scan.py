@@ -6,15 +6,21 @@ sentences; the identifiers found, in order, are matched against ordered rules.
 A rule matches if its identifiers occur in that order; a rule whose identifiers
 are part of a longer matching rule is not reported beside it.
 
-Sentences are taken twice, with line ends as sentence ends and as blanks (but for blank lines), so
-wrapped licence texts and notices on a line of their own are both found.
-
-Null and empty texts hold no licence.  Rows are independent, so repeated rows
-are alike; nothing is shuffled.
+Comment marks at line starts go first, so a blank comment line is a blank line, and
+the full stop of ``v. 2`` ends no sentence.  Sentences are taken twice, with line ends
+as sentence ends and as blanks (but for blank lines), so wrapped licence texts and
+notices on a line of their own are both found; ``sentence_ids`` are those of the reading
+that finds more (the first if they are level).
+
+Null and empty texts hold no licence, an empty table gives no row.  Rows are
+independent, so repeated rows are alike; nothing is shuffled.  A long text is cut up
+as a whole; other columns are not used.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,8 +77,26 @@ SENTENCES = {
     "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means": "unlicense-any",
     "this work is dedicated to the public domain": "public-domain",
     "all rights reserved": "all-rights-reserved",
+    "this software is provided as is without any express or implied warranty": "zlib-warranty",
+    "in no event will the authors be held liable for any damages arising from the use of this software": "zlib-liability",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl-2-header",
+    "distributed under the boost software license version 1 0": "bsl-1-notice",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl-3-or-later-header",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "lgpl-21-or-later-header",
+    "see the gnu lesser general public license for more details": "lgpl-see",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl-3-or-later-header",
+    "see the gnu affero general public license for more details": "agpl-see",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl-2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl-2-copy",
 }
 
+# Identifiers of one-line tags, by the words after "SPDX-License-Identifier".
+TAGGED = ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+          "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later",
+          "MPL-2.0", "EPL-2.0", "BSL-1.0", "Zlib", "Unlicense", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0")
+SENTENCES |= {"spdx license identifier " + re.sub("[^a-z0-9]+", " ", x.lower()): f"spdx-{x.lower()}" for x in TAGGED}
+
 # Licence, form, identifiers in order.
 RULES = (
     ("MIT", "text", ("mit-grant", "mit-warranty", "mit-liability")),
@@ -101,12 +125,27 @@ RULES = (
     ("Unlicense", "text", ("unlicense-grant", "unlicense-any")),
     ("Public-Domain", "notice", ("public-domain",)),
     ("All-Rights-Reserved", "notice", ("all-rights-reserved",)),
+    ("Zlib", "text", ("zlib-warranty", "zlib-liability", "zlib-grant")),
+    ("EPL-2.0", "header", ("epl-2-header",)),
+    ("BSL-1.0", "notice", ("bsl-1-notice",)),
+    ("LGPL-3.0-or-later", "header", ("lgpl-3-or-later-header", "lgpl-see")),
+    ("LGPL-2.1-or-later", "header", ("lgpl-21-or-later-header", "lgpl-see")),
+    ("AGPL-3.0-or-later", "header", ("agpl-3-or-later-header", "agpl-see")),
+    *((x, "tag", (f"spdx-{x.lower()}",)) for x in TAGGED),
 )
 
 #: Every known sentence has one of these, so texts without any are not cut up.
-NEEDED = "(?i)licen[sc]e|permi[st]|redistribut|copyright|software|warrant|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
+NEEDED = "(?i)licen[sc]e|liable|mozilla|permi[st]|redistribut|copyright|software|warrant|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
 ENDS = "[.!?]+(?:[\\x20\\x09-\\x0D]+|$)"
 BLANK_LINE = "\\n[\\x20\\x09]*\\n+"
+#: Marks before a line of a comment, and the full stop between v and a number.
+COMMENT = "(?m)^[\\x20\\x09]*(?:/\\*+|\\*+/?|//+|#+|;+|--+|%+|<!--)[\\x20\\x09]*"
+VERSION = "(?i)([^a-z0-9]v)\\.([\\x20\\x09\\n]*[0-9])"
+
+
+def bare(text: Column) -> Column:
+    """The text without comment marks, and with no full stop after the v of a version."""
+    return F.regexp_replace(F.regexp_replace(text, COMMENT, ""), VERSION, "$1$2")
 
 
 def sentences(text: Column, lines: bool) -> Column:
@@ -132,15 +171,16 @@ def like(ids: tuple[str, ...]) -> str:
 
 
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, sentence_ids (in order, line by line), licences
+    """``keep`` columns, sentence_ids (in order), licences
     (``licence:form``, rule order), n_licences (distinct licences)."""
     df = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.coalesce("text", F.lit("")).alias("t"))
     none = F.array().cast("array<string>")
     hint = F.col("t").rlike(NEEDED)
+    df = df.withColumn("t", F.when(hint, bare(F.col("t"))).otherwise(""))
     for name, lines in (("a", True), ("b", False)):
-        df = df.withColumn(name, F.when(hint, identifiers(F.col("t"), lines)).otherwise(none))
+        df = df.withColumn(name, F.when(F.col("t") != "", identifiers(F.col("t"), lines)).otherwise(none))
         df = df.withColumn(f"{name}_text", F.array_join(F.transform(name, lambda x: F.concat(F.lit(","), x, F.lit(","))), ""))
-    df = df.drop("t", "b")
+    df = df.withColumn("ids", F.when(F.size("b") > F.size("a"), F.col("b")).otherwise(F.col("a"))).drop("t", "a", "b")
     hits = {i: F.col("a_text").like(like(ids)) | F.col("b_text").like(like(ids)) for i, (*_, ids) in enumerate(RULES)}
     df = df.withColumn("hits", F.array(*[hits[i] for i in range(len(RULES))]))
     found = []
@@ -152,7 +192,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         found.append(F.when(test, F.lit(f"{licence}:{form}")))
     df = df.withColumn("found", F.filter(F.array(*found), lambda x: x.isNotNull()))
     names = F.array_distinct(F.transform("found", lambda x: F.split(x, ":")[0]))
-    return df.select(*[F.col(f"k_{c}").alias(c) for c in keep], F.array_join("a", ",").alias("sentence_ids"),
+    return df.select(*[F.col(f"k_{c}").alias(c) for c in keep], F.array_join("ids", ",").alias("sentence_ids"),
                      F.array_join("found", ",").alias("licences"), F.size(names).cast("long").alias("n_licences"))
 
 
@@ -171,13 +211,14 @@ def sql() -> str:
         found.append(f"CASE WHEN hits[{i + 1}]" + "".join(f" AND NOT hits[{j + 1}]" for j in over) + f" THEN '{licence}:{form}' END")
     return f"""
 WITH k AS (SELECT map_from_entries(list((s, i))) AS known FROM (VALUES {table}) v(s, i)),
-d AS (SELECT doc_id, coalesce(text, '') AS t, known FROM documents, k),
+d AS (SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '{COMMENT}', '', 'g'), '{VERSION}', '\\1\\2', 'g') AS t, known
+      FROM documents, k),
 a AS (SELECT doc_id, {ids(ENDS + "|" + chr(92) + "n+")} AS a, {ids(ENDS + "|" + BLANK_LINE)} AS b FROM d),
-j AS (SELECT doc_id, a, list_aggregate(list_transform(a, lambda x: ',' || x || ','), 'string_agg', '') AS a_text,
+j AS (SELECT doc_id, CASE WHEN len(b) > len(a) THEN b ELSE a END AS ids, list_aggregate(list_transform(a, lambda x: ',' || x || ','), 'string_agg', '') AS a_text,
              list_aggregate(list_transform(b, lambda x: ',' || x || ','), 'string_agg', '') AS b_text FROM a),
-h AS (SELECT doc_id, a, [{', '.join(f"coalesce({x}, false)" for x in hit)}] AS hits FROM j),
-f AS (SELECT doc_id, a, list_filter([{', '.join(found)}], lambda x: x IS NOT NULL) AS found FROM h)
-SELECT doc_id, coalesce(list_aggregate(a, 'string_agg', ','), '') AS sentence_ids,
+h AS (SELECT doc_id, ids, [{', '.join(f"coalesce({x}, false)" for x in hit)}] AS hits FROM j),
+f AS (SELECT doc_id, ids, list_filter([{', '.join(found)}], lambda x: x IS NOT NULL) AS found FROM h)
+SELECT doc_id, coalesce(list_aggregate(ids, 'string_agg', ','), '') AS sentence_ids,
        coalesce(list_aggregate(found, 'string_agg', ','), '') AS licences,
        CAST(len(list_distinct(list_transform(found, lambda x: string_split(x, ':')[1]))) AS BIGINT) AS n_licences
 FROM f
