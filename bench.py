@@ -25,6 +25,8 @@ HEADLINE = [
     "vocab_top", "encode_docs", "packed_docs", "nli_repair", "split_union_counts",
     "clf_runs", "pad_to_batch", "label_align", "page_links",
     "stream_article_parse", "stream_token_counts",
+    "lm_generate_counts", "lm_trigram_perplexity", "lm_outside_scores", "packed_groups", "clf_logistic_runs",
+    "page_tags", "archive_pages", "attach_bucketed", "stream_attach",
 ]
 
 

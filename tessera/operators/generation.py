@@ -26,9 +26,10 @@ import hashlib
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import GEN_MAX_LENGTH
@@ -36,15 +37,20 @@ from ..session import cut_lineage
 from .ngram import drawn, interval_rows
 from .ordering import global_offsets
 
-HEAD_BYTES = 64 << 20
-#: Estimated bytes of one context and of one of its tokens in a worker's memory, without the characters.
-CONTEXT_BYTES, TOKEN_BYTES = 400, 70
+HEAD_BYTES = 128 << 20
+#: Estimated bytes in a worker's memory: of a context (its text, place and share of the list of tokens, without the
+#: characters) and of one of its tokens (a number and its cumulative weight).
+CONTEXT_BYTES, TOKEN_BYTES = 220, 12
+
+
+def context_bytes() -> Column:
+    """Estimated bytes of a context's rows, as an aggregate."""
+    return F.count("*") * TOKEN_BYTES + 2 * F.coalesce(F.max(F.length("ctx")), F.lit(0)) + CONTEXT_BYTES
 
 
 def split_table(rows: DataFrame, head_bytes: int) -> tuple[DataFrame, DataFrame | None]:
     """(head, tail) of written interval rows; ``tail`` is None if all fits into the head."""
-    contexts = rows.groupBy("ctx").agg(
-        F.max("tot").alias("tot"), (F.sum(F.length("tok") + F.lit(TOKEN_BYTES)) + F.lit(CONTEXT_BYTES)).alias("bytes"))
+    contexts = rows.groupBy("ctx").agg(F.max("tot").alias("tot"), context_bytes().alias("bytes"))
     if (contexts.agg(F.sum("bytes")).first()[0] or 0) <= head_bytes:
         return rows, None
     keyed = contexts.select("ctx", "bytes", F.col("ctx").isNotNull().cast("int").alias("_known"), (-F.col("tot")).alias("_neg"),
@@ -55,13 +61,24 @@ def split_table(rows: DataFrame, head_bytes: int) -> tuple[DataFrame, DataFrame
     return head, cut_lineage(rows.where("ctx is not null").join(chosen, "ctx", "left_anti"), "gen-tail")
 
 
-def _compiled(head: DataFrame) -> dict:
-    """ctx -> (cumulative weights, tokens, total), at most ``HEAD_BYTES`` of it."""
-    table: dict = {}
-    entries = F.array_sort(F.collect_list(F.struct("cum", "tok"))).alias("e")
-    for r in head.groupBy("ctx").agg(entries, F.max("tot").alias("tot")).toLocalIterator():
-        table[r["ctx"]] = (array("d", (x["cum"] for x in r["e"])), [x["tok"] for x in r["e"]], r["tot"])
-    return table
+@dataclass(frozen=True)
+class Table:
+    """Contexts by text: place of their first and last entry and total; entries: cumulative weight and token number."""
+
+    contexts: dict[str | None, tuple[int, int, float]]
+    cums: array
+    toks: array
+    names: list[str]
+
+
+def _compiled(head: DataFrame) -> Table:
+    """The head, at most ``HEAD_BYTES`` of it, in flat arrays."""
+    rows = head.select("ctx", "cum", "tok", "tot").toPandas().sort_values(["ctx", "cum"], kind="stable")
+    numbers, names = pd.factorize(rows["tok"])
+    ctx, tot = [c if isinstance(c, str) else None for c in rows["ctx"]], rows["tot"].tolist()
+    starts = [i for i in range(len(ctx)) if not i or ctx[i] != ctx[i - 1]]
+    return Table({ctx[i]: (i, j, tot[i]) for i, j in zip(starts, [*starts[1:], len(ctx)])},
+                 array("d", rows["cum"].tolist()), array("l", numbers.tolist()), list(names))
 
 
 def _uniform(seed: int, key, step: int) -> float:
@@ -71,16 +88,18 @@ def _uniform(seed: int, key, step: int) -> float:
 def _walker(table, all_here: bool, id_col: str, max_length: int, seed: int):
     """Continues each prompt until its length is reached or its last token is a context of the tail.
     A row that was joined (``asked``) first takes the token it was given, or the back-off's."""
-    def step(entry, out: list, u: float) -> bool:
-        cums, toks, tot = entry
-        i = bisect_left(cums, u * tot)
-        if i < len(toks):
-            out.append(toks[i])
-        return i < len(toks)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head = table.value
+        held = table.value
+        head, cums, toks, names = held.contexts, held.cums, held.toks, held.names
         back = head.get(None)
+
+        def step(entry, out: list, u: float) -> bool:
+            lo, hi, tot = entry
+            i = bisect_left(cums, u * tot, lo, hi)
+            if i < hi:
+                out.append(names[toks[i]])
+            return i < hi
+
         for batch in batches:
             made = []
             for key, out, n0, asked, tok in zip(batch[id_col], batch["out"], batch["n0"], batch["asked"], batch["tok"]):

@@ -95,9 +95,8 @@ def _matrix(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _scores(entries, n: int, w: np.ndarray) -> np.ndarray:
     """Linear scores (documents x runs); the last row of ``w`` is the intercept."""
     rows, idx, val = entries
-    out = np.tile(w[-1], (n, 1))
-    np.add.at(out, rows, val[:, None] * w[idx])
-    return out
+    own = w[idx]
+    return w[-1] + np.stack([np.bincount(rows, val * own[:, k], n) for k in range(w.shape[1])], axis=1)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -108,8 +107,7 @@ def gradient(entries, label: np.ndarray, chosen: np.ndarray, w: np.ndarray) -> t
     """Sum of the gradients of the log-loss over the chosen documents of each run, and their number."""
     rest = (_sigmoid(_scores(entries, len(label), w)) - label[:, None]) * chosen
     rows, idx, val = entries
-    out = np.zeros_like(w)
-    np.add.at(out, idx, val[:, None] * rest[rows])
+    out = np.stack([np.bincount(idx, val * rest[rows, k], len(w)) for k in range(w.shape[1])], axis=1)
     out[-1] = rest.sum(0)
     return out, chosen.sum(0)
 

@@ -62,8 +62,9 @@ def ship_model(model: DataFrame, k: float = 1.0, max_rows: int = MODEL_ROWS) ->
     if model.count() > max_rows:
         return None
     spark = model.sparkSession
-    counts = {(r["ctx"], r["tok"]): r["cnt"] for r in model.toLocalIterator()}
-    totals = {r["ctx"]: r["ctx_cnt"] for r in context_totals(model).toLocalIterator()}
+    rows, heads = model.select("ctx", "tok", "cnt").toPandas(), context_totals(model).toPandas()  # at most max_rows
+    counts = dict(zip(zip(rows["ctx"], rows["tok"]), rows["cnt"].tolist()))
+    totals = dict(zip(heads["ctx"], heads["ctx_cnt"].tolist()))
     v = spark.range(1).select(vocab_size(model)).first()[0]
     name = f"counts-{uuid.uuid4().hex}.pickle"
     path = os.path.join(tempfile.mkdtemp(prefix="tessera-model-"), name)  # on the driver; addFile hands out its content

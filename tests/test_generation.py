@@ -32,7 +32,7 @@ def collected(df):
     return {r.id: r.out for r in df.collect()}
 
 
-@pytest.mark.parametrize("head_bytes", [1 << 26, 20_000, 4_000, 0])
+@pytest.mark.parametrize("head_bytes", [1 << 26, 9_000, 3_000, 0])
 def test_same_rows_as_a_join_for_each_step(spark, dist, prompts, head_bytes):
     want = collected(ngram.generate(prompts, dist, "id", max_length=25))
     got = collected(generation.generate(prompts, dist, "id", max_length=25, head_bytes=head_bytes))
@@ -51,7 +51,7 @@ def test_rounds_follow_the_tail(spark, dist, monkeypatch):
     monkeypatch.setattr(generation, "drawn", lambda *a: rounds.append(1) or plain(*a))
     prompts = spark.createDataFrame([(f"q{i}", ["w0"]) for i in range(20)], "id string, out array<string>")
     table = generation.interval_rows(dist)
-    sizes = table.groupBy("ctx").agg((F.sum(F.length("tok") + 70) + 400).alias("b"), F.max("tot").alias("t")).orderBy(F.desc("t")).collect()
+    sizes = table.groupBy("ctx").agg(generation.context_bytes().alias("b"), F.max("tot").alias("t")).orderBy(F.desc("t")).collect()
     head = sum(r.b for r in sizes[:16])
     out = collected(generation.generate(prompts, dist, "id", max_length=101, head_bytes=head))
     assert {len(v) for v in out.values()} == {101} and 0 < len(rounds) <= 30
