@@ -4,8 +4,8 @@ A prompt is continued token by token, so a join for every step would move all
 prompts some two hundred times.  Here the distribution is compiled once:
 
 * ``head``: the contexts with most weight, in rows of cumulative weights, up to
-  ``head_bytes`` together, and always the null context (the back-off).  Every
-  task holds it and walks its prompts from token to token as long as their last
+  ``head_bytes`` together, and always the null context (the back-off).  Tasks
+  pack it into flat arrays, the driver hands on their bytes, and every task holds it and walks its prompts from token to token as long as their last
   token is a context of the head.
 * ``tail``: the other contexts, as rows with their interval of the cumulative
   weight.  Prompts that stop at one of them are joined with the tail once, all
@@ -23,17 +23,21 @@ of a prompt uses the md5 uniform of (seed, prompt, s), whatever route it took.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import GEN_MAX_LENGTH
-from ..session import cut_lineage
+from ..session import cut_lineage, default_blocks
 from .ngram import drawn, interval_rows
 from .ordering import global_offsets
 
@@ -41,6 +45,7 @@ HEAD_BYTES = 128 << 20
 #: Estimated bytes in a worker's memory: of a context (its text, place and share of the list of tokens, without the
 #: characters) and of one of its tokens (a number and its cumulative weight).
 CONTEXT_BYTES, TOKEN_BYTES = 220, 12
+PACKED_FROM = pa.schema([("ctx", pa.string()), ("cum", pa.float64()), ("tok", pa.string()), ("tot", pa.float64())])
 
 
 def context_bytes() -> Column:
@@ -63,22 +68,57 @@ def split_table(rows: DataFrame, head_bytes: int) -> tuple[DataFrame, DataFrame
 
 @dataclass(frozen=True)
 class Table:
-    """Contexts by text: place of their first and last entry and total; entries: cumulative weight and token number."""
+    """Contexts by text: their place, from which their entries start (and end before the next one's) and their total;
+    entries: cumulative weight and token number."""
 
-    contexts: dict[str | None, tuple[int, int, float]]
+    contexts: dict[str | None, int]
+    starts: array
+    tots: array
     cums: array
     toks: array
     names: list[str]
 
 
-def _compiled(head: DataFrame) -> Table:
-    """The head, at most ``HEAD_BYTES`` of it, in flat arrays."""
-    rows = head.select("ctx", "cum", "tok", "tot").toPandas().sort_values(["ctx", "cum"], kind="stable")
-    numbers, names = pd.factorize(rows["tok"])
-    ctx, tot = [c if isinstance(c, str) else None for c in rows["ctx"]], rows["tot"].tolist()
-    starts = [i for i in range(len(ctx)) if not i or ctx[i] != ctx[i - 1]]
-    return Table({ctx[i]: (i, j, tot[i]) for i, j in zip(starts, [*starts[1:], len(ctx)])},
-                 array("d", rows["cum"].tolist()), array("l", numbers.tolist()), list(names))
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's share of the head, sorted by context and cumulative weight, as one row of bytes."""
+    rows = pa.Table.from_batches(batches, PACKED_FROM).combine_chunks()
+    if not rows.num_rows:
+        return
+    ctx, tok = (rows[c].combine_chunks().dictionary_encode(null_encoding="encode") for c in ("ctx", "tok"))
+    first = np.concatenate([[0], np.flatnonzero(np.diff(ctx.indices.to_numpy())) + 1])
+    names = ctx.dictionary.to_pylist()
+    held = ([names[i] for i in ctx.indices.to_numpy()[first]], first, rows["tot"].to_numpy()[first], rows["cum"].to_numpy(),
+            tok.indices.to_numpy(), tok.dictionary.to_pylist())
+    yield pa.RecordBatch.from_pydict({"part": pa.array([pickle.dumps(held)], pa.binary())})
+
+
+class Head:
+    """The head in the parts that the tasks packed, at most ``HEAD_BYTES`` of them; unpacked once in each worker, never on the driver."""
+
+    def __init__(self, parts: list[bytes]):
+        self.parts = parts
+
+    @cached_property
+    def table(self) -> Table:
+        out = Table({}, array("q"), array("d"), array("d"), array("i"), [])
+        numbers: dict[str, int] = {}
+        for part in self.parts:
+            contexts, first, tots, cums, toks, names = pickle.loads(part)
+            number = np.array([numbers.setdefault(x, len(numbers)) for x in names], np.int32)
+            out.contexts.update((c, i) for i, c in enumerate(contexts, len(out.contexts)))
+            out.starts.frombytes((first + len(out.cums)).astype(np.int64).tobytes())
+            for held, new in ((out.tots, tots), (out.cums, cums), (out.toks, number[toks])):
+                held.frombytes(new.tobytes())
+        out.starts.append(len(out.cums))
+        out.names.extend(numbers)
+        return out
+
+
+def _compiled(head: DataFrame) -> Head:
+    """The head's rows in flat arrays, built by the tasks; the driver gets their bytes, a few parts at a time."""
+    rows = head.select("ctx", "cum", "tok", "tot").repartition(default_blocks(head.sparkSession), "ctx").sortWithinPartitions("ctx", "cum")
+    packed = cut_lineage(rows.mapInArrow(_pack, "part binary"), "gen-packed")
+    return Head([bytes(r["part"]) for r in packed.toLocalIterator()])
 
 
 def _uniform(seed: int, key, step: int) -> float:
@@ -89,13 +129,13 @@ def _walker(table, all_here: bool, id_col: str, max_length: int, seed: int):
     """Continues each prompt until its length is reached or its last token is a context of the tail.
     A row that was joined (``asked``) first takes the token it was given, or the back-off's."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = table.value
-        head, cums, toks, names = held.contexts, held.cums, held.toks, held.names
+        held = table.value.table
+        head, starts, tots, cums, toks, names = held.contexts, held.starts, held.tots, held.cums, held.toks, held.names
         back = head.get(None)
 
-        def step(entry, out: list, u: float) -> bool:
-            lo, hi, tot = entry
-            i = bisect_left(cums, u * tot, lo, hi)
+        def step(entry: int, out: list, u: float) -> bool:
+            hi = starts[entry + 1]
+            i = bisect_left(cums, u * tots[entry], starts[entry], hi)
             if i < hi:
                 out.append(names[toks[i]])
             return i < hi
@@ -115,7 +155,7 @@ def _walker(table, all_here: bool, id_col: str, max_length: int, seed: int):
                     u = _uniform(seed, key, len(out) - n0)
                     if entry is None and ctx is not None and not all_here:
                         break
-                    entry = entry or back
+                    entry = back if entry is None else entry
                     live = entry is not None and step(entry, out, u)
                 live = live and len(out) < max_length
                 made.append((key, out, n0, live, out[-1] if live else None, u if live else None, None))

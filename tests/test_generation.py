@@ -78,3 +78,17 @@ def test_draws_ship_one_token(spark, dist):
         rows = sorted(table.get(r.ctx) or table[None])
         u = generation._uniform(42, r.id, r.draw)
         assert r.tok == next(t for c, t, tot in rows if c >= u * tot)
+
+
+def test_the_head_is_packed_by_the_tasks(spark, dist, monkeypatch):
+    """The driver gets bytes, never the table's rows or its lists, and workers unpack the same table."""
+    monkeypatch.setattr(type(dist), "toPandas", lambda self: pytest.fail("rows on the driver"))
+    head = generation._compiled(generation.interval_rows(dist))
+    assert all(isinstance(p, bytes) for p in head.parts) and "table" not in vars(head)
+    want = {}
+    for r in generation.interval_rows(dist).orderBy("cum").collect():
+        want.setdefault(r.ctx, []).append((r.cum, r.tok, r.tot))
+    t = head.table
+    got = {c: [(t.cums[j], t.names[t.toks[j]], t.tots[i]) for j in range(t.starts[i], t.starts[i + 1])] for c, i in t.contexts.items()}
+    assert got == want and None in got
+    assert generation._compiled(generation.interval_rows(dist.limit(0))).table.contexts == {}
