@@ -24,7 +24,8 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,13 +84,37 @@ def draw(h: np.ndarray, seed: int, step: int) -> np.ndarray:
     return ((z ^ z >> np.uint64(31)) >> np.uint64(11)) / float(1 << 53)
 
 
-def _matrix(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Cells, features of documents times runs, that a task works on at a time (8 bytes each, a few arrays of them).
+CELLS = 1 << 20
+
+
+def _slices(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of documents whose features times ``runs`` are about ``CELLS``, however many or long
+    a batch's documents are; a document is never cut."""
+    most = max(1, CELLS // max(1, runs))
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column("idx")).to_numpy(zero_copy_only=False) + 1
+        block = (np.cumsum(sizes) - sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(batch)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
+def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of each entry, feature, value) of a batch."""
-    sizes = batch["idx"].map(len).to_numpy()
-    rows = np.repeat(np.arange(len(batch)), sizes)
-    if not len(rows):
-        return rows, np.empty(0, np.int64), np.empty(0)
-    return rows, np.concatenate(batch["idx"].to_list()).astype(np.int64), np.concatenate(batch["val"].to_list())
+    idx, val = batch.column("idx"), batch.column("val")
+    rows = np.repeat(np.arange(len(batch)), pc.list_value_length(idx).to_numpy(zero_copy_only=False))
+    return rows, idx.flatten().to_numpy(zero_copy_only=False).astype(np.int64), val.flatten().to_numpy(zero_copy_only=False)
+
+
+def _parts(batch: pa.RecordBatch) -> np.ndarray:
+    """Documents x seeds."""
+    return batch.column("parts").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
 
 
 def _scores(entries, n: int, w: np.ndarray) -> np.ndarray:
@@ -112,8 +137,8 @@ def gradient(entries, label: np.ndarray, chosen: np.ndarray, w: np.ndarray) -> t
     return out, chosen.sum(0)
 
 
-def _members(batch: pd.DataFrame, grid: Grid, shares: np.ndarray, step: int) -> np.ndarray:
-    parts, h = np.stack(batch["parts"].to_list()), batch["h"].to_numpy()
+def _members(batch: pa.RecordBatch, grid: Grid, shares: np.ndarray, step: int) -> np.ndarray:
+    parts, h = _parts(batch), _column(batch, "h")
     u = {s: draw(h, s, step) for s in range(grid.seeds)}
     return np.stack([(parts[:, s] == 0) & (u[s] < shares[k]) for k, (_, _, s) in enumerate(grid.runs())], axis=1).astype(np.float64)
 
@@ -130,18 +155,19 @@ def fit(rows: DataFrame, grid: Grid, num_features: int = 1 << 14) -> np.ndarray:
     for step in range(grid.steps):
         held = spark.sparkContext.broadcast(w)
 
-        def run(batches: Iterator[pd.DataFrame], step=step, held=held) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch], step=step, held=held) -> Iterator[pa.RecordBatch]:
             total, seen = np.zeros((num_features + 1, len(runs))), np.zeros(len(runs))
-            for batch in batches:
-                g, k = gradient(_matrix(batch), batch["label"].to_numpy(), _members(batch, grid, shares, step), held.value)
+            for batch in _slices(batches, len(runs)):
+                g, k = gradient(_matrix(batch), _column(batch, "label"), _members(batch, grid, shares, step), held.value)
                 total += g
                 seen += k
             some = np.flatnonzero(total.any(1))
-            yield pd.DataFrame(total[some], columns=cols).assign(i=some)
-            yield pd.DataFrame(seen[None], columns=cols).assign(i=-1)
+            for rows_of, places in ((total[some], some), (seen[None], np.array([-1]))):
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in np.ascontiguousarray(rows_of.T)),
+                                                  pa.array(places.astype(np.int32))], [*cols, "i"])
 
         cols = [f"g{k}" for k in range(len(runs))]
-        parts = rows.mapInPandas(run, ", ".join([*(f"{c} double" for c in cols), "i int"]))
+        parts = rows.mapInArrow(run, ", ".join([*(f"{c} double" for c in cols), "i int"]))
         found = parts.groupBy("i").agg(*(F.sum(c).alias(c) for c in cols)).toPandas()  # at most num_features + 2 rows
         seen = found.loc[found["i"] == -1, cols].to_numpy().sum(0)
         g = np.zeros_like(w)
@@ -159,17 +185,20 @@ def predict(rows: DataFrame, w: np.ndarray, grid: Grid, key: str = "doc_id") ->
     runs = grid.runs()
     held = rows.sparkSession.sparkContext.broadcast(w)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches, len(runs)):
             z = _scores(_matrix(batch), len(batch), held.value)
-            parts, label = np.stack(batch["parts"].to_list()), batch["label"].to_numpy()
+            parts, label = _parts(batch), _column(batch, "label")
             for k, (_, _, s) in enumerate(runs):
                 at = np.flatnonzero(parts[:, s] > 0)
-                yield pd.DataFrame({key: batch[key].to_numpy()[at], "run_idx": k, "seed": s, "part": parts[at, s], "label": label[at],
-                                    "pred": (z[at, k] > 0).astype(np.int64), "loss": np.logaddexp(0, np.where(label[at] == 1, -z[at, k], z[at, k]))})
+                loss = np.logaddexp(0, np.where(label[at] == 1, -z[at, k], z[at, k]))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(key).take(pa.array(at)), pa.array(np.full(len(at), k)), pa.array(np.full(len(at), s, np.int32)),
+                     pa.array(parts[at, s]), pa.array(label[at]), pa.array((z[at, k] > 0).astype(np.int64)), pa.array(loss)],
+                    [key, "run_idx", "seed", "part", "label", "pred", "loss"])
 
     kind = dict(rows.dtypes)[key]
-    out = rows.mapInPandas(run, f"{key} {kind}, run_idx long, seed int, part int, label long, pred long, loss double")
+    out = rows.mapInArrow(run, f"{key} {kind}, run_idx long, seed int, part int, label long, pred long, loss double")
     names = F.array(*(F.lit(p) for p in PARTS))
     return out.withColumn("split", F.get(names, "part")).drop("part")
 

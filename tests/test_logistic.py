@@ -118,3 +118,19 @@ def test_documents_are_not_shuffled_in_a_step(spark):
     rows = lr.features(docs)
     plan = lr.predict(rows, np.zeros(((1 << 14) + 1, 1)), lr.Grid())._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_a_batch_is_worked_on_in_slices(monkeypatch):
+    """Cells at a time are bounded however many or long a batch's documents are; no document is lost or cut."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(lr, "CELLS", 60)
+    lists = [[*range(n)] for n in (3, 0, 40, 1, 1, 0, 7, 7, 7, 0)]
+    batch = pa.RecordBatch.from_pydict({"idx": pa.array(lists, pa.list_(pa.int32())), "val": pa.array([[float(i) for i in x] for x in lists])})
+    parts = list(lr._slices(iter([batch, batch.slice(0, 0), batch.slice(2, 3)]), 3))
+    assert [x for p in parts for x in p.column("idx").to_pylist()] == lists + lists[2:5]
+    assert max(len(p.column("idx").flatten()) for p in parts) <= 20 + 40 and len(parts) > 4
+    for p in parts:
+        rows, idx, val = lr._matrix(p)
+        assert idx.tolist() == val.tolist() == [i for x in p.column("idx").to_pylist() for i in x]
+        assert rows.tolist() == [r for r, x in enumerate(p.column("idx").to_pylist()) for _ in x]
