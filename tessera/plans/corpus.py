@@ -213,11 +213,11 @@ LINK = '<li><a href="/(.*?)">(.*?)</a></li>'
 @query("payload_files", "SELECT CAST(page_id AS VARCHAR) AS ref, html AS payload FROM pages")
 def payload_files(spark, sf_dir):
     """Page payloads landed as one file each and read back whole."""
-    path = scratch_path(spark, "payloads")
     p = load(spark, sf_dir, "pages").select("page_id", "html")
-    p.repartition("page_id").write.partitionBy("page_id").text(path)
-    found = files.read_payload_files(spark, path, name="page_id=([^/]+)/[^/]*$")
-    return found.select("ref", F.regexp_replace("payload", "\\n\\z", "").alias("payload"))  # the writer's line end
+    path = files.write_payload_files(p, "page_id", "html", scratch_path(spark, "payloads"))
+    found = files.read_payload_files(spark, path, name=files.payload_name("page_id"), nested=True)
+    ref = F.url_decode("ref")  # names are URL-encoded keys
+    return found.select(ref.alias("ref"), F.regexp_replace("payload", "\\n\\z", "").alias("payload"))  # the line end
 
 
 def _members(spark, sf_dir):

@@ -6,15 +6,18 @@ Every written intermediate goes to the shared folder of the session
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import normalize_split
-from ..session import scratch_path
+from ..session import default_blocks, scratch_path
 
 TSV_WRITE = {"sep": "\t", "quote": "", "escape": "", "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false", "nullValue": ""}
@@ -77,15 +80,78 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 FILE_STEM = r"([^/]+?)(?:\.[^./]*)?$"
 
+#: Name of the payloads without a key, as Spark's partition folders have it.
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 
-def read_payload_files(spark: SparkSession, path: str, key: str = "ref", name: str = FILE_STEM) -> DataFrame:
+#: Tasks that land payload files, folders they land in and tasks that read files back, at least.
+PAYLOAD_BLOCKS = 64
+
+
+def _payload_blocks(spark: SparkSession) -> int:
+    return max(default_blocks(spark), PAYLOAD_BLOCKS)
+
+
+def _mounted(spark: SparkSession, path: str) -> str | None:
+    """The folder behind ``path`` if it is one of a mounted file system, else ``None``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+def _land(path: str, key: str) -> Callable[[Iterable[Row]], None]:
+    def land(rows: Iterable[Row]) -> None:
+        for (folder, name), same in groupby(rows, key=lambda r: (r.folder, r.name)):
+            os.makedirs(to := f"{path}/{folder}", exist_ok=True)
+            # whole under its name or not there; a task that is run again puts the same files in place
+            with open(part := f"{to}/.{TaskContext.get().taskAttemptId()}", "wb") as f:
+                for r in same:
+                    f.write(r.payload)
+                    f.write(b"\n")
+            os.replace(part, f"{to}/{key}={name}.txt")
+    return land
+
+
+def write_payload_files(df: DataFrame, key: str, payload: str, path: str) -> str:
+    """Land each payload below the new folder ``path`` as a file of its own,
+    ended by a newline and named by its URL-encoded key (:func:`payload_name`
+    finds it); payloads of one key follow each other in one file.
+
+    On a mounted file system the tasks write the files themselves, side by side
+    in a bounded number of folders: Hadoop's local file system starts two
+    ``chmod`` processes a file, and Spark's writer makes, moves and lists a
+    folder for each key.  Any other store gets Spark's folder for each key."""
+    spark = df.sparkSession
+    folder = _mounted(spark, path)
+    if folder is None:
+        df.select(key, payload).repartition(key).write.partitionBy(key).text(path)
+        return path
+    os.makedirs(folder)
+    n = _payload_blocks(spark)
+    name = F.url_encode(F.col(key).cast("string"))
+    rows = df.select(F.when(F.length(name) > 0, name).otherwise(NO_KEY).alias("name"),
+                     F.coalesce(F.col(payload), F.lit("")).cast("binary").alias("payload"))
+    rows = rows.repartition(n, "name").sortWithinPartitions("name")
+    rows.select(F.pmod(F.hash("name"), F.lit(n)).alias("folder"), "name", "payload").foreachPartition(_land(folder, key))
+    return path
+
+
+def payload_name(key: str) -> str:
+    """Pattern of the names that :func:`write_payload_files` gives, in both its layouts."""
+    return rf"/{key}=([^/]+?)(?:\.txt|/[^/]*)$"
+
+
+def read_payload_files(spark: SparkSession, path: str, key: str = "ref", name: str = FILE_STEM,
+                       nested: bool = False) -> DataFrame:
     """Landed payload files, one document per file: ``(ref, payload)``
     with ``ref`` = the file name without its extension, or group 1 of another
-    ``name`` pattern (``wholetext`` keeps each file in one row).  For payloads by
-    the million, see :mod:`tessera.sources.archives`."""
-    raw = spark.read.text(path, wholetext=True)
+    ``name`` pattern (``wholetext`` keeps each file in one row); ``nested`` reads
+    the folders below ``path`` too.  Spark plans a scan of small files in tasks of
+    a few files each; they are put together, so the tasks do not grow with the
+    files.  For payloads by the million, see :mod:`tessera.sources.archives`."""
+    raw = spark.read.text(path, wholetext=True, recursiveFileLookup=nested)
     name = F.regexp_extract(F.input_file_name(), name, 1)
-    return raw.select(F.coalesce(F.try_url_decode(name), name).alias(key), F.col("value").alias("payload"))
+    found = raw.select(F.coalesce(F.try_url_decode(name), name).alias(key), F.col("value").alias("payload"))
+    return found.coalesce(_payload_blocks(spark))
 
 
 def read_splits(spark: SparkSession, paths: dict[str, str], reader) -> DataFrame:

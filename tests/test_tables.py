@@ -100,3 +100,50 @@ def test_read_payload_files(spark, tmp_dir):
     df = files.read_payload_files(spark, d)
     got = {r.ref: (r.content, r.ok) for r in parse_article(df, "ref", "payload", tag="extract").collect()}
     assert got == {"Aé_1": (["un\ndeux"], True), "B": (None, False)}
+
+
+def _landed(spark, path, key="k"):
+    from tessera.sources.files import payload_name, read_payload_files
+    got = read_payload_files(spark, path, name=payload_name(key), nested=True)
+    return sorted((r.ref, r.payload) for r in got.select(F.url_decode("ref").alias("ref"), "payload").collect())
+
+
+def test_payload_files_land_side_by_side(spark, tmp_dir):
+    import os
+    path = os.path.join(tmp_dir, "payloads")
+    rows = [(str(i), f"p{i}\n") for i in range(300)] + [("é/1 +%*", "x\r\ny"), ("_a=.txt", ""), ("b", None), ("c", "1"), ("c", "1")]
+    df = spark.createDataFrame([*rows, (None, "n"), ("", "n")], "k string, v string")
+    files.write_payload_files(df, "k", "v", path)
+    found = [(d, n) for d, _, names in os.walk(path) for n in names]
+    assert len(found) == 305 and len({d for d, _ in found}) <= files._payload_blocks(spark) and not any(n[0] == "." for _, n in found)
+    with open(os.path.join(found[0][0], ".99"), "w") as f:
+        f.write("of a task that did not end")
+    want = [(k, f"{v or ''}\n") for k, v in rows[:-2]] + [("c", "1\n1\n"), (files.NO_KEY, "n\nn\n")]
+    assert _landed(spark, path) == sorted(want)
+    assert files.read_payload_files(spark, path, nested=True).rdd.getNumPartitions() <= files._payload_blocks(spark)
+
+
+def test_payload_files_of_no_rows(spark, tmp_dir):
+    path = files.write_payload_files(spark.createDataFrame([], "k string, v string"), "k", "v", f"{tmp_dir}/none")
+    assert _landed(spark, path) == []
+
+
+def test_payload_files_in_another_store(spark, tmp_dir):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.tsr.link./at", f"file://{tmp_dir}")
+    df = spark.createDataFrame([("é/1", "x\n"), ("2%", ""), ("c", "1"), ("c", "1"), (None, "n")], "k string, v string")
+    path = files.write_payload_files(df, "k", "v", "viewfs://tsr/at/payloads")
+    assert _landed(spark, path) == sorted([("é/1", "x\n\n"), ("2%", "\n"), ("c", "1\n1\n"), (files.NO_KEY, "n\n")])
+
+
+def test_payload_files_query_makes_no_folder_a_page(spark, tmp_dir):
+    import os
+    from tessera.plans import catalog
+    from tessera.session import ensure_checkpoint_dir
+    pages = [(i, f"u{i}", f"<p>{i}</p>\n" * (i % 3)) for i in range(-5, 200)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_dir}/pages.parquet")
+    got = catalog.queries()["payload_files"](spark, tmp_dir)
+    assert sorted((r.ref, r.payload) for r in got.collect()) == sorted((str(i), h) for i, _, h in pages)
+    top = ensure_checkpoint_dir(spark).removeprefix("file:") + f"/tessera-scratch/{spark.sparkContext.applicationId}"
+    last = max((os.path.join(top, x) for x in os.listdir(top) if x.startswith("payloads-")), key=os.path.getmtime)
+    landed = [(d, names) for d, _, names in os.walk(last) if names]
+    assert sum(len(names) for _, names in landed) == 205 and len(landed) <= files._payload_blocks(spark)
